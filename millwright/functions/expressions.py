@@ -86,6 +86,14 @@ def day_text(c: ColumnOrName) -> Column:
     return F.date_format(as_column(c), "yyyy-MM-dd")
 
 
+def hour_of(c: ColumnOrName) -> Column:
+    """A timestamp without zone floored to the hour, whatever the session time zone."""
+    c = as_column(c)
+    return F.make_timestamp_ntz(
+        F.year(c), F.month(c), F.dayofmonth(c), F.hour(c), F.lit(0), F.lit(0)
+    )
+
+
 def percent_text(c: ColumnOrName, digits: int = 1) -> Column:
     """A share as percent text, rounded half to even: 0.8128 -> ``81.3%``."""
     return F.concat(F.bround(as_column(c) * 100, digits).cast("string"), F.lit("%"))

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millwright.functions.expressions import (
@@ -44,7 +44,6 @@ RATE_WEIGHTS = {
     "throughput_units_per_hour": "run_time_minutes",
 }
 HEADLINE_KPIS = ("oee", "availability", "performance", "quality", "scrap_rate")
-PERCENT_KPIS = HEADLINE_KPIS
 
 
 def add_oee_components(production: DataFrame) -> DataFrame:
@@ -208,16 +207,13 @@ def calculate_defect_rate(inspections: DataFrame, group_by: Sequence[str]) -> Da
     )
 
 
-def pareto_analysis(
-    defects: DataFrame, category_col: str = "defect_type", *, line: float = PARETO_LINE
-) -> DataFrame:
-    """Counts per category, largest first, with share, cumulative share and vital-few flag.
+def pareto_analysis(defects: DataFrame, category_col: str = "defect_type") -> DataFrame:
+    """Counts per category, largest first, with share and cumulative share in percent.
 
-    Equal counts are ordered by category.
+    Equal counts are ordered by category; null categories are left out.
     """
-    counts = value_counts(defects, category_col)
     running = running_sum(
-        counts,
+        value_counts(defects, category_col),
         "count",
         [F.col("count").desc(), category_col],
         unique_order=True,
@@ -225,17 +221,19 @@ def pareto_analysis(
         total="_total",
     )
     # Multiplying before dividing keeps whole percentages exact, so the last row is 100.
-    share = F.col("count") * 100.0 / F.col("_total")
-    upto = F.col("_upto") * 100.0 / F.col("_total")
     return running.select(
         category_col,
         "count",
-        share.alias("pct_of_total"),
-        upto.alias("cumulative_pct"),
-        (upto <= F.lit(line)).alias("is_vital_few"),
+        (F.col("count") * 100.0 / F.col("_total")).alias("pct_of_total"),
+        (F.col("_upto") * 100.0 / F.col("_total")).alias("cumulative_pct"),
     ).orderBy(F.col("count").desc(), category_col)
 
 
+def vital_few(pareto: DataFrame, *, line: float = PARETO_LINE) -> DataFrame:
+    """Flag the categories up to the Pareto line."""
+    return pareto.withColumn("is_vital_few", F.col("cumulative_pct") <= F.lit(line))
+
+
 def headline_kpis(production_with_oee: DataFrame, date_col: str = "date") -> DataFrame:
     """Unweighted row means of the headline KPIs and the reporting period, in one row."""
     return production_with_oee.agg(
@@ -246,7 +244,7 @@ def headline_kpis(production_with_oee: DataFrame, date_col: str = "date") -> Dat
 
 
 def percent_table(
-    kpis: DataFrame, keys: Sequence[str], columns: Sequence[str] = PERCENT_KPIS
+    kpis: DataFrame, keys: Sequence[str], columns: Sequence[str] = HEADLINE_KPIS
 ) -> DataFrame:
     """KPI table for print: keys and the given rates as percent text."""
     return kpis.select(*keys, *[percent_text(c).alias(c) for c in columns])
@@ -267,8 +265,3 @@ def material_downtime(
     """Keep rows whose downtime exceeds ``threshold`` minutes; no downtime counts as zero."""
     return df.filter(F.coalesce(as_column(minutes), F.lit(0.0)) > F.lit(threshold))
 
-
-def row_measures() -> Mapping[str, Column]:
-    """The row-level KPI columns by name, for selections."""
-    names = (*HEADLINE_KPIS, "cycle_time_actual_seconds", "utilization")
-    return {c: F.col(c) for c in (*names, "throughput_units_per_hour")}

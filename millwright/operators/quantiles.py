@@ -19,34 +19,50 @@ def value_counts(df: DataFrame, column: str, *, by: Sequence[str] = ()) -> DataF
     )
 
 
+def ranked_values(df: DataFrame, column: str, *, by: Sequence[str] = ()) -> DataFrame:
+    """Distinct values of ``column`` as ``(by..., value, count, upto, n)``.
+
+    ``upto`` counts the values of the group up to and including this one, ``n`` all of them.
+    """
+    values = df.select(*by, F.col(column).cast("double").alias("value"))
+    return running_sum(
+        value_counts(values, "value", by=by),
+        "count",
+        ["value"],
+        partition_by=by,
+        unique_order=True,
+        out="upto",
+        total="n",
+    )
+
+
+def pick_quantiles(
+    ranked: DataFrame, quantiles: Mapping[str, float], *, by: Sequence[str] = ()
+) -> DataFrame:
+    """Quantiles with linear interpolation out of :func:`ranked_values`, one row per group."""
+    picks, results = [], []
+    for name, share in quantiles.items():
+        rank = (F.col("n") - 1) * F.lit(share)
+        low, high = F.col(f"_low_{name}"), F.col(f"_high_{name}")
+        for side, wanted in ((f"_low_{name}", F.floor(rank)), (f"_high_{name}", F.ceil(rank))):
+            covers = (F.col("upto") - F.col("count") <= wanted) & (wanted < F.col("upto"))
+            picks.append(F.max(F.when(covers, F.col("value"))).alias(side))
+        results.append((low + (high - low) * (rank - F.floor(rank))).alias(name))
+    picked = ranked.groupBy(*by).agg(F.max("n").alias("n"), *picks)
+    return picked.select(*by, *results)
+
+
 def exact_quantiles(
     df: DataFrame, column: str, quantiles: Mapping[str, float], *, by: Sequence[str] = ()
 ) -> DataFrame:
-    """Exact quantiles of ``column`` with linear interpolation, one row per group.
+    """Exact quantiles of ``column``, one row per group.
 
     ``quantiles`` maps output names to shares in [0, 1]. The built-in ``percentile`` keeps a
     map of all distinct values of a group in one task; here the distinct values are counted,
     sorted over the cluster, and the two values around each rank are picked by their
     cumulative counts.
     """
-    keys = list(by)
-    counts = value_counts(df.select(*keys, F.col(column).cast("double").alias("_v")), "_v", by=keys)
-    ranked = running_sum(
-        counts, "count", ["_v"], partition_by=keys, unique_order=True, out="_upto", total="_n"
-    )
-    picks = []
-    for name, share in quantiles.items():
-        rank = (F.col("_n") - 1) * F.lit(share)
-        for side, wanted in (("lo", F.floor(rank)), ("hi", F.ceil(rank))):
-            covers = (F.col("_upto") - F.col("count") <= wanted) & (wanted < F.col("_upto"))
-            picks.append(F.max(F.when(covers, F.col("_v"))).alias(f"_{side}_{name}"))
-    picked = ranked.groupBy(*keys).agg(F.max("_n").alias("_n"), *picks)
-    results = []
-    for name, share in quantiles.items():
-        rank = (F.col("_n") - 1) * F.lit(share)
-        low, high = F.col(f"_lo_{name}"), F.col(f"_hi_{name}")
-        results.append((low + (high - low) * (rank - F.floor(rank))).alias(name))
-    return picked.select(*keys, *results)
+    return pick_quantiles(ranked_values(df, column, by=by), quantiles, by=by)
 
 
 def exact_medians(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -8,12 +8,19 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millwright.functions.expressions import ColumnOrName, as_column, map_lookup, padded_key
+from millwright.functions.expressions import (
+    ColumnOrName,
+    as_column,
+    hour_of,
+    map_lookup,
+    padded_key,
+)
 from millwright.operators.kpi import with_known_keys
 from millwright.operators.ordered import number_rows, running_sum
 
 # A top-k of this size still fits one task for any number of input partitions.
 TOP_K_ROWS = 10_000
+EXPAND_BLOCK = 100_000
 
 
 def union_all(frames: Sequence[DataFrame]) -> DataFrame:
@@ -30,9 +37,18 @@ def unpivot_sensors(
 
 
 def expand_units(df: DataFrame, count: str, *, index: str = "unit_no") -> DataFrame:
-    """One child row per counted unit: a row with count n becomes n rows numbered 1..n."""
-    counted = df.filter(F.col(count) > 0)
-    return counted.select("*", F.explode(F.sequence(F.lit(1), F.col(count).cast("int"))).alias(index))
+    """One child row per counted unit: a row with count n becomes n rows numbered 1..n.
+
+    Large counts are expanded block by block, so no long array is built.
+    """
+    n, block = F.col(count).cast("bigint"), F.lit(EXPAND_BLOCK)
+    blocks = df.filter(n > 0).select(
+        "*", F.explode(F.sequence(F.lit(0).cast("bigint"), n - 1, block)).alias("_from")
+    )
+    last = F.least(F.col("_from") + block, n)
+    return blocks.select(
+        *df.columns, F.explode(F.sequence(F.col("_from") + 1, last)).alias(index)
+    )
 
 
 def surrogate_keys(
@@ -107,9 +123,12 @@ def slot_grid(
     days = F.sequence(
         period.getField("first"), period.getField("last"), F.expr("interval 1 day")
     )
-    # Machines are spread first: each grows to days x shifts rows.
+    # Each machine grows to days x shifts rows, so the machines are spread first, by an
+    # explicit count: a plain shuffle of the few machines would be coalesced to one task.
+    partitions = int(machines.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return (
         machines.select(F.col(machine_key).alias("machine_id"))
+        .repartition(partitions, "machine_id")
         .distinct()
         .select("machine_id", F.explode(days).alias("date"))
         .select("machine_id", "date", F.explode(F.array(*map(F.lit, shifts))).alias("shift_id"))
@@ -140,7 +159,7 @@ def tail_extract(
 
 def sensor_hourly(readings: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Mean, minimum, maximum and count of the readings per key and hour, in time order."""
-    hour = F.date_trunc("hour", "timestamp").cast("timestamp_ntz")
+    hour = hour_of("timestamp")
     hourly = with_known_keys(readings, [*keys, "timestamp"]).groupBy(*keys, hour.alias("hour"))
     value = "reading_value"
     return hourly.agg(

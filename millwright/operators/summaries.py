@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from millwright.functions.expressions import without_nan
 from millwright.operators.kpi import with_known_keys
-from millwright.operators.quantiles import exact_quantiles, value_counts
+from millwright.operators.quantiles import pick_quantiles, ranked_values
 
 WHISKER = 1.5
 
@@ -39,24 +39,21 @@ def histogram(df: DataFrame, x: str, bins: int = 30) -> DataFrame:
 def box_stats(df: DataFrame, group_by: Sequence[str], y: str) -> DataFrame:
     """Quartiles, 1.5 IQR whiskers and outlier count per group."""
     keys = list(group_by)
-    points = without_nan(
-        with_known_keys(df, keys).select(*keys, F.col(y).cast("double").alias("_y")), ["_y"]
-    )
-    quartiles = exact_quantiles(
-        points, "_y", {"q1": 0.25, "median": 0.5, "q3": 0.75}, by=keys
-    )
+    points = without_nan(with_known_keys(df, keys).select(*keys, y), [y])
+    # Counted values instead of rows: a value repeated in a hot group is one row from here on.
+    ranked = ranked_values(points, y, by=keys)
+    quartiles = pick_quantiles(ranked, {"q1": 0.25, "median": 0.5, "q3": 0.75}, by=keys)
     reach = F.lit(WHISKER) * (F.col("q3") - F.col("q1"))
-    inside = F.col("_y").between(F.col("q1") - reach, F.col("q3") + reach)
-    # Counted values instead of rows: a value repeated in a hot group is one row here.
+    inside = F.col("value").between(F.col("q1") - reach, F.col("q3") + reach)
     return (
-        value_counts(points, "_y", by=keys)
+        ranked.select(*keys, "value", "count")
         .join(quartiles, keys)
         .groupBy(*keys)
         .agg(
             F.sum("count").alias("n"),
             *[F.any_value(c).alias(c) for c in ("q1", "median", "q3")],
-            F.min(F.when(inside, F.col("_y"))).alias("whisker_low"),
-            F.max(F.when(inside, F.col("_y"))).alias("whisker_high"),
+            F.min(F.when(inside, F.col("value"))).alias("whisker_low"),
+            F.max(F.when(inside, F.col("value"))).alias("whisker_high"),
             F.sum(F.when(inside, F.lit(0)).otherwise(F.col("count"))).alias("outliers"),
         )
     )
