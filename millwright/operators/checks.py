@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millwright.functions.expressions import sum_or_zero, without_nan
+from millwright.functions.expressions import sum_or_zero, to_number, without_nan
 from millwright.operators.kpi import with_known_keys
 
 # Short dtype names and the Spark types they stand for, as prefixes.
@@ -26,6 +26,10 @@ def _dtype_matches(actual: str, expected: str) -> bool:
     return actual.startswith(DTYPE_PREFIXES.get(expected, (expected,)))
 
 
+def _converted(column: str, kind: str) -> Column:
+    return to_number(column) if kind == "double" else F.col(column).try_cast(kind)
+
+
 def missing_columns(df: DataFrame, required: Sequence[str]) -> list[str]:
     return [c for c in required if c not in df.columns]
 
@@ -70,7 +74,7 @@ def schema_report(
     counted = df.agg(
         F.count(F.lit(1)).alias("_rows"),
         *[
-            F.count_if(F.col(c).isNotNull() & F.col(c).try_cast(t).isNull()).alias(c)
+            F.count_if(F.col(c).isNotNull() & _converted(c, t).isNull()).alias(c)
             for c, t in castable.items()
         ],
     )

@@ -226,7 +226,7 @@ class CleaningReport:
         ]
 
     def metrics(self) -> DataFrame:
-        """``(table, metric, column, value)``: one row per count."""
+        """``(table_name, metric, column_name, value)``: one row per count."""
         rows = F.count(F.lit(1)).alias("rows")
         counted = self.cleaned.agg(*self._after()).select(
             self.raw.agg(rows).scalar().alias("rows_before"),
@@ -236,9 +236,9 @@ class CleaningReport:
 
         def metric(name: str, value: Column, column: str = "") -> Column:
             return F.struct(
-                F.lit(self.table).alias("table"),
+                F.lit(self.table).alias("table_name"),
                 F.lit(name).alias("metric"),
-                F.lit(column).alias("column"),
+                F.lit(column).alias("column_name"),
                 value.cast("bigint").alias("value"),
             )
 
@@ -263,7 +263,7 @@ class CleaningReport:
         """One line for the log."""
         counts: dict[str, dict[str, int]] = {}
         for row in self.metrics().collect():
-            counts.setdefault(row["metric"], {})[row["column"]] = row["value"]
+            counts.setdefault(row["metric"], {})[row["column_name"]] = row["value"]
         before, after = counts["rows_before"][""], counts["rows_after"][""]
         parts = [
             f"{self.table}: {before} rows in, {after} out",
