@@ -289,11 +289,13 @@ def impute(
 ) -> tuple[DataFrame, dict[str, int]]:
     """Fill or drop missing values; returns the count of missing values per changed column."""
     numeric = _present(df, spec.numeric_cols)
+    text = _text_columns(df, spec.category_cols)
     if strategy == "drop":
-        df, filled = _drop_in_turn(df, numeric)
+        df, missing = _drop_in_turn(df, numeric)
+        missing = missing | null_counts(df, text)
     else:
-        filled = null_counts(df, numeric)
-        gaps = [c for c in numeric if filled[c]]
+        missing = null_counts(df, [*numeric, *text])
+        gaps = [c for c in numeric if missing[c]]
         if gaps and strategy == "median":
             df = fill_median(df, gaps)
         elif gaps and strategy == "mean":
@@ -302,9 +304,7 @@ def impute(
             if not spec.order_by:
                 raise ValueError("the ffill strategy needs an order_by in the CleanSpec")
             df = fill_gaps(df, gaps, spec.order_by, partition_by=spec.fill_within)
-    text = _text_columns(df, spec.category_cols)
-    filled = filled | null_counts(df, text)
-    return fill_sentinel(df, spec.category_cols), {c: n for c, n in filled.items() if n}
+    return fill_sentinel(df, spec.category_cols), {c: n for c, n in missing.items() if n}
 
 
 def clean(

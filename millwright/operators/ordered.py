@@ -20,6 +20,7 @@ from millwright.sources.staging import FILE_COLUMN, ROW_COLUMN, stage
 CHUNK = "_chunk"
 POSITION = "_position"
 _ADDRESS = "_address"
+_KEY = "_key"
 # monotonically_increasing_id() keeps the partition above, the row below this bit.
 _PARTITION_BIT = 33
 
@@ -49,11 +50,15 @@ def ordered_chunks(
     )
 
 
-def _join_on_chunk(rows: DataFrame, summary: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Attach the per-chunk summary; null keys match each other."""
-    on = [rows[c].eqNullSafe(summary[c]) for c in (CHUNK, *keys)]
-    kept = [summary[c] for c in summary.columns if c not in (CHUNK, *keys)]
-    return rows.join(summary, on, "left").select(*[rows[c] for c in rows.columns], *kept)
+def _with_key(chunks: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list[str]]:
+    """Add the group as one struct column; returns the columns of a chunk's part of a group.
+
+    A struct is never null, so groups with null keys join like any other, and the windows and
+    the join below share one shuffle.
+    """
+    if not keys:
+        return chunks, [CHUNK]
+    return chunks.withColumn(_KEY, F.struct(*keys)), [CHUNK, _KEY]
 
 
 def running_sum(
@@ -75,31 +80,27 @@ def running_sum(
     chunks = ordered_chunks(
         df.withColumn(value_col, as_column(value)), [*keys, *order_by], unique_order=unique_order
     )
+    chunks, part = _with_key(chunks, keys)
     before, whole = "_before", "_whole"
     # One row per chunk and key: at most the number of sort partitions plus that of keys.
-    by_key = Window.partitionBy(*keys)
+    by_key = Window.partitionBy(*part[1:])
+    earlier = by_key.orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
     carried = (
-        chunks.groupBy(CHUNK, *keys)
+        chunks.groupBy(*part)
         .agg(F.sum(value_col).alias("_chunk_sum"))
         .select(
-            CHUNK,
-            *keys,
-            F.coalesce(
-                F.sum("_chunk_sum").over(
-                    by_key.orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
-                ),
-                F.lit(0),
-            ).alias(before),
+            *part,
+            F.coalesce(F.sum("_chunk_sum").over(earlier), F.lit(0)).alias(before),
             F.sum("_chunk_sum").over(by_key).alias(whole),
         )
     )
     within = (
-        Window.partitionBy(CHUNK, *keys)
+        Window.partitionBy(*part)
         .orderBy(POSITION)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     summed = chunks.withColumn("_local", F.sum(value_col).over(within))
-    joined = _join_on_chunk(summed, carried, keys)
+    joined = summed.join(carried, part, "left")
     columns = [F.col(c) for c in df.columns]
     columns.append((F.col(before) + F.col("_local")).alias(out))
     if total is not None:
@@ -147,32 +148,35 @@ def fill_gaps(
     keys = list(partition_by)
     chunks = ordered_chunks(df, [*keys, *order_by], unique_order=unique_order)
 
+    chunks, part = _with_key(chunks, keys)
+
     def present(c: str) -> Column:
         return F.when(F.col(c).isNotNull(), F.col(POSITION))
 
-    edges = chunks.groupBy(CHUNK, *keys).agg(
+    edges = chunks.groupBy(*part).agg(
         *[F.max_by(c, present(c)).alias(f"_last_{c}") for c in columns],
         *[F.min_by(c, present(c)).alias(f"_first_{c}") for c in columns],
     )
-    by_chunk = Window.partitionBy(*keys).orderBy(CHUNK)
+    by_chunk = Window.partitionBy(*part[1:]).orderBy(CHUNK)
     earlier = by_chunk.rowsBetween(Window.unboundedPreceding, -1)
-    later = by_chunk.rowsBetween(1, Window.unboundedFollowing)
+    anywhere = by_chunk.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+
+    def carry(pick, c: str, frame) -> Column:
+        return pick(c, ignorenulls=True).over(frame)
+
+    # A row without any value before it takes the first value of its key, wherever that is.
     carried = edges.select(
-        CHUNK,
-        *keys,
-        *[F.last(f"_last_{c}", ignorenulls=True).over(earlier).alias(f"_prev_{c}") for c in columns],
-        *[F.first(f"_first_{c}", ignorenulls=True).over(later).alias(f"_next_{c}") for c in columns],
+        *part,
+        *[carry(F.last, f"_last_{c}", earlier).alias(f"_prev_{c}") for c in columns],
+        *[carry(F.first, f"_first_{c}", anywhere).alias(f"_lead_{c}") for c in columns],
     )
-    by_row = Window.partitionBy(CHUNK, *keys).orderBy(POSITION)
-    back = by_row.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ahead = by_row.rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    local = chunks.withColumns(
-        {f"_back_{c}": F.last(c, ignorenulls=True).over(back) for c in columns}
-        | {f"_ahead_{c}": F.first(c, ignorenulls=True).over(ahead) for c in columns}
+    back = (
+        Window.partitionBy(*part)
+        .orderBy(POSITION)
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    filled = {
-        c: F.coalesce(f"_back_{c}", f"_prev_{c}", f"_ahead_{c}", f"_next_{c}") for c in columns
-    }
-    return _join_on_chunk(local, carried, keys).select(
+    local = chunks.withColumns({f"_back_{c}": carry(F.last, c, back) for c in columns})
+    filled = {c: F.coalesce(f"_back_{c}", f"_prev_{c}", f"_lead_{c}") for c in columns}
+    return local.join(carried, part, "left").select(
         *[filled[c].alias(c) if c in filled else F.col(c) for c in df.columns]
     )
