@@ -68,23 +68,26 @@ def ratio(numerator: str, denominator: str) -> str:
     )
 
 
-VIEWS["oee_v"] = f"""
-    SELECT *, availability * performance * quality AS oee FROM (
-        SELECT *, strftime(date, '%Y-%m') AS month,
-            {ratio("run_time_minutes", "planned_production_time_minutes")} AS availability,
-            least({ratio(
-                "ideal_cycle_time_seconds * total_units_produced / 60e0", "run_time_minutes"
-            )}, 1.5e0) AS performance,
-            {ratio("good_units", "total_units_produced")} AS quality,
-            {ratio("scrap_units", "total_units_produced")} AS scrap_rate,
-            {ratio("run_time_minutes * 60e0", "total_units_produced")}
-                AS cycle_time_actual_seconds,
-            {ratio("run_time_minutes", "planned_production_time_minutes")} AS utilization,
-            {ratio("total_units_produced", "run_time_minutes / 60e0")}
-                AS throughput_units_per_hour
-        FROM production_v)
-"""
+def oee_rows(records: str) -> str:
+    """Production records with the row-level KPIs."""
+    ideal = "ideal_cycle_time_seconds * total_units_produced / 60e0"
+    return f"""
+        SELECT *, availability * performance * quality AS oee FROM (
+            SELECT *, strftime(date, '%Y-%m') AS month,
+                {ratio("run_time_minutes", "planned_production_time_minutes")} AS availability,
+                least({ratio(ideal, "run_time_minutes")}, 1.5e0) AS performance,
+                {ratio("good_units", "total_units_produced")} AS quality,
+                {ratio("scrap_units", "total_units_produced")} AS scrap_rate,
+                {ratio("run_time_minutes * 60e0", "total_units_produced")}
+                    AS cycle_time_actual_seconds,
+                {ratio("run_time_minutes", "planned_production_time_minutes")} AS utilization,
+                {ratio("total_units_produced", "run_time_minutes / 60e0")}
+                    AS throughput_units_per_hour
+            FROM {records})
+    """
+
 
+VIEWS["oee_v"] = oee_rows("production_v")
 VIEW_INPUTS = {"oee_v": ["production_v"]}
 
 
@@ -682,6 +685,14 @@ ORACLES: dict[str, str] = {
         FROM flagged""",
         "production_v",
     ),
+    "clean_kpi_by_factory": over(
+        CLEAN_PRODUCTION
+        + f""", cleaned AS (
+            SELECT * REPLACE (greatest(downtime_minutes, 0e0) AS downtime_minutes) FROM flagged),
+        rated AS ({oee_rows("cleaned")})
+        SELECT factory_id, {KPI_MEASURES} FROM rated GROUP BY factory_id""",
+        "production_v",
+    ),
     "clean_downtime": over(
         CLEAN_DOWNTIME + " SELECT * REPLACE (round(duration_minutes, 6) AS duration_minutes)"
         " FROM flagged",

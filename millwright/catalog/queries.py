@@ -401,6 +401,13 @@ def clean_production(spark, sf):
     return rounded(_clean(P.production(spark, sf), PRODUCTION_SPEC)[0])
 
 
+@query
+def clean_kpi_by_factory(spark, sf):
+    """The way from raw records to a KPI table: clean, rate each record, roll up."""
+    cleaned = _clean(P.production(spark, sf), PRODUCTION_SPEC)[0]
+    return rounded(kpi.aggregate_kpis(kpi.add_oee_components(cleaned), ["factory_id"]))
+
+
 @query
 def clean_downtime(spark, sf):
     return rounded(_clean(P.downtime(spark, sf), DOWNTIME_SPEC)[0])

@@ -75,12 +75,24 @@ def running_sum(
 
     ``total`` names an extra column with the sum over the whole group.
     """
-    keys = list(partition_by)
+    chunks = ordered_chunks(df, [*partition_by, *order_by], unique_order=unique_order)
+    summed = running_sum_over(chunks, value, partition_by=partition_by, out=out, total=total)
+    return summed.drop(CHUNK, POSITION)
+
+
+def running_sum_over(
+    chunks: DataFrame,
+    value: ColumnOrName,
+    *,
+    partition_by: Sequence[str] = (),
+    out: str = "running_sum",
+    total: str | None = None,
+) -> DataFrame:
+    """:func:`running_sum` of :func:`ordered_chunks` sorted by group first."""
+    columns = [F.col(c) for c in chunks.columns]
     value_col = "_value"
-    chunks = ordered_chunks(
-        df.withColumn(value_col, as_column(value)), [*keys, *order_by], unique_order=unique_order
-    )
-    chunks, part = _with_key(chunks, keys)
+    chunks = chunks.withColumn(value_col, as_column(value))
+    chunks, part = _with_key(chunks, list(partition_by))
     before, whole = "_before", "_whole"
     # One row per chunk and key: at most the number of sort partitions plus that of keys.
     by_key = Window.partitionBy(*part[1:])
@@ -101,7 +113,6 @@ def running_sum(
     )
     summed = chunks.withColumn("_local", F.sum(value_col).over(within))
     joined = summed.join(carried, part, "left")
-    columns = [F.col(c) for c in df.columns]
     columns.append((F.col(before) + F.col("_local")).alias(out))
     if total is not None:
         columns.append(F.col(whole).alias(total))

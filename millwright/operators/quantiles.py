@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millwright.operators.ordered import running_sum
+from millwright.operators.ordered import ordered_chunks, running_sum_over
 
 
 def value_counts(df: DataFrame, column: str, *, by: Sequence[str] = ()) -> DataFrame:
@@ -19,27 +19,20 @@ def value_counts(df: DataFrame, column: str, *, by: Sequence[str] = ()) -> DataF
     )
 
 
-def ranked_values(df: DataFrame, column: str, *, by: Sequence[str] = ()) -> DataFrame:
-    """Distinct values of ``column`` as ``(by..., value, count, upto, n)``.
-
-    ``upto`` counts the values of the group up to and including this one, ``n`` all of them.
-    """
+def sorted_counts(df: DataFrame, column: str, *, by: Sequence[str] = ()) -> DataFrame:
+    """Distinct values of ``column`` as staged, sorted ``(by..., value, count)``."""
     values = df.select(*by, F.col(column).cast("double").alias("value"))
-    return running_sum(
-        value_counts(values, "value", by=by),
-        "count",
-        ["value"],
-        partition_by=by,
-        unique_order=True,
-        out="upto",
-        total="n",
-    )
+    return ordered_chunks(value_counts(values, "value", by=by), [*by, "value"], unique_order=True)
 
 
 def pick_quantiles(
-    ranked: DataFrame, quantiles: Mapping[str, float], *, by: Sequence[str] = ()
+    counts: DataFrame, quantiles: Mapping[str, float], *, by: Sequence[str] = ()
 ) -> DataFrame:
-    """Quantiles with linear interpolation out of :func:`ranked_values`, one row per group."""
+    """Quantiles with linear interpolation out of :func:`sorted_counts`, one row per group.
+
+    A value with count c takes the c ranks that end at its cumulative count.
+    """
+    ranked = running_sum_over(counts, "count", partition_by=by, out="upto", total="n")
     picks, results = [], []
     for name, share in quantiles.items():
         rank = (F.col("n") - 1) * F.lit(share)
@@ -62,7 +55,7 @@ def exact_quantiles(
     sorted over the cluster, and the two values around each rank are picked by their
     cumulative counts.
     """
-    return pick_quantiles(ranked_values(df, column, by=by), quantiles, by=by)
+    return pick_quantiles(sorted_counts(df, column, by=by), quantiles, by=by)
 
 
 def exact_medians(df: DataFrame, columns: Sequence[str]) -> DataFrame:
