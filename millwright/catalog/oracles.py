@@ -811,10 +811,10 @@ ORACLES: dict[str, str] = {
             SELECT oee_v.factory_id, oee, q1, med, q3,
                 oee BETWEEN q1 - 1.5e0 * (q3 - q1) AND q3 + 1.5e0 * (q3 - q1) AS inside
             FROM oee_v JOIN q ON q.factory_id = oee_v.factory_id)
-        SELECT factory_id, count(*) AS n, round(any_value(q1), 6) AS q1,
-            round(any_value(med), 6) AS median, round(any_value(q3), 6) AS q3,
-            round(min(oee) FILTER (WHERE inside), 6) AS whisker_low,
-            round(max(oee) FILTER (WHERE inside), 6) AS whisker_high,
+        SELECT factory_id, count(*) AS n, round(any_value(q1), 9) AS q1,
+            round(any_value(med), 9) AS median, round(any_value(q3), 9) AS q3,
+            round(min(oee) FILTER (WHERE inside), 9) AS whisker_low,
+            round(max(oee) FILTER (WHERE inside), 9) AS whisker_high,
             count(*) FILTER (WHERE NOT inside) AS outliers
         FROM marked GROUP BY factory_id""",
         "oee_v",

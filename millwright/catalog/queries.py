@@ -533,7 +533,8 @@ def histogram(spark, sf):
 
 @query
 def box_stats(spark, sf):
-    return rounded(summaries.box_stats(with_oee(spark, sf), ["factory_id"], "oee"))
+    # OEE values end after a few decimals; at six, rounding would often meet an exact half.
+    return rounded(summaries.box_stats(with_oee(spark, sf), ["factory_id"], "oee"), digits=9)
 
 
 @query

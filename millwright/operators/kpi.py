@@ -216,7 +216,6 @@ def pareto_analysis(defects: DataFrame, category_col: str = "defect_type") -> Da
         value_counts(defects, category_col),
         "count",
         [F.col("count").desc(), category_col],
-        unique_order=True,
         out="_upto",
         total="_total",
     )

@@ -1,10 +1,15 @@
 """Order-dependent operators that stay parallel whatever the size of a group.
 
 A plain window over the whole table, or over a key that holds a large share of the rows, runs
-in one task. Here the rows are sorted across the cluster and staged with the number of the
-sorted partition they fell in (the *chunk*) and their position in it. Windows then run per
-chunk, so no task sees more than a chunk, and what has to cross a chunk boundary is carried
-over a summary with one row per chunk and key.
+in one task. Each operator here first stages its input and looks at the row count. Up to
+``SMALL_ROWS`` a plain window does. Beyond, the rows are sorted across the cluster and staged
+again with the number of the sorted partition they fell in (the *chunk*) and their position
+in it. Windows then run per chunk, so no task sees more than a chunk, and what has to cross a
+chunk boundary is carried over a summary with one row per chunk and key.
+
+Ties in the given order are broken by the staged address of the rows. That makes the sort
+repeatable when a task is retried, and spreads even a large group of identical rows over many
+chunks.
 """
 
 from __future__ import annotations
@@ -17,6 +22,9 @@ from pyspark.sql import functions as F
 from millwright.functions.expressions import ColumnOrName, as_column
 from millwright.sources.staging import FILE_COLUMN, ROW_COLUMN, stage
 
+# So many rows can be sorted by one task, wherever it runs.
+SMALL_ROWS = 1_000_000
+
 CHUNK = "_chunk"
 POSITION = "_position"
 _ADDRESS = "_address"
@@ -25,26 +33,27 @@ _KEY = "_key"
 _PARTITION_BIT = 33
 
 
-def ordered_chunks(
-    df: DataFrame, order_by: Sequence[ColumnOrName], *, unique_order: bool
-) -> DataFrame:
-    """Sort ``df`` across the cluster and stage it with chunk number and position.
+def fits_one_task(staged: DataFrame) -> bool:
+    """Whether a staged table is small; its row count comes from the file footers."""
+    return staged.count() <= SMALL_ROWS
 
-    ``unique_order`` promises that no two rows compare equal. Without it the rows are staged
-    first and ties are broken by their staged address: that makes the sort repeatable when a
-    task is retried, and spreads even a large group of identical rows over many chunks.
-    """
-    order = [as_column(c) for c in order_by]
-    if unique_order:
-        source = df
-    else:
-        source = stage(df, row_ids=True)
-        order += [F.col(FILE_COLUMN), F.col(ROW_COLUMN)]
-    addressed = source.orderBy(*order).select(
-        *df.columns, F.monotonically_increasing_id().alias(_ADDRESS)
+
+def _visible(staged: DataFrame) -> list[str]:
+    return [c for c in staged.columns if c not in (FILE_COLUMN, ROW_COLUMN)]
+
+
+def _total_order(order_by: Sequence[ColumnOrName]) -> list[Column]:
+    return [*map(as_column, order_by), F.col(FILE_COLUMN), F.col(ROW_COLUMN)]
+
+
+def ordered_chunks(staged: DataFrame, order_by: Sequence[ColumnOrName]) -> DataFrame:
+    """Sort a table staged with row ids; stage it again with chunk number and position."""
+    columns = _visible(staged)
+    addressed = staged.orderBy(*_total_order(order_by)).select(
+        *columns, F.monotonically_increasing_id().alias(_ADDRESS)
     )
     return stage(addressed).select(
-        *df.columns,
+        *columns,
         F.shiftright(_ADDRESS, _PARTITION_BIT).alias(CHUNK),
         F.col(_ADDRESS).bitwiseAND(F.lit((1 << _PARTITION_BIT) - 1)).alias(POSITION),
     )
@@ -67,7 +76,6 @@ def running_sum(
     order_by: Sequence[ColumnOrName],
     *,
     partition_by: Sequence[str] = (),
-    unique_order: bool,
     out: str = "running_sum",
     total: str | None = None,
 ) -> DataFrame:
@@ -75,35 +83,45 @@ def running_sum(
 
     ``total`` names an extra column with the sum over the whole group.
     """
-    chunks = ordered_chunks(df, [*partition_by, *order_by], unique_order=unique_order)
-    summed = running_sum_over(chunks, value, partition_by=partition_by, out=out, total=total)
-    return summed.drop(CHUNK, POSITION)
+    staged = stage(df, row_ids=True)
+    return running_sum_of_staged(
+        staged, value, order_by, partition_by=partition_by, out=out, total=total
+    )
 
 
-def running_sum_over(
-    chunks: DataFrame,
+def running_sum_of_staged(
+    staged: DataFrame,
     value: ColumnOrName,
+    order_by: Sequence[ColumnOrName],
     *,
     partition_by: Sequence[str] = (),
     out: str = "running_sum",
     total: str | None = None,
 ) -> DataFrame:
-    """:func:`running_sum` of :func:`ordered_chunks` sorted by group first."""
-    columns = [F.col(c) for c in chunks.columns]
-    value_col = "_value"
-    chunks = chunks.withColumn(value_col, as_column(value))
-    chunks, part = _with_key(chunks, list(partition_by))
-    before, whole = "_before", "_whole"
+    """:func:`running_sum` of a table staged with row ids."""
+    keys, value = list(partition_by), as_column(value)
+    if fits_one_task(staged):
+        group = Window.partitionBy(*keys)
+        upto = group.orderBy(*_total_order(order_by)).rowsBetween(
+            Window.unboundedPreceding, Window.currentRow
+        )
+        sums = {out: F.sum(value).over(upto)}
+        if total is not None:
+            sums[total] = F.sum(value).over(group)
+        return staged.select(*_visible(staged), *[c.alias(name) for name, c in sums.items()])
+
+    chunks, part = _with_key(ordered_chunks(staged, [*keys, *order_by]), keys)
+    chunks = chunks.withColumn("_value", value)
     # One row per chunk and key: at most the number of sort partitions plus that of keys.
     by_key = Window.partitionBy(*part[1:])
     earlier = by_key.orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
     carried = (
         chunks.groupBy(*part)
-        .agg(F.sum(value_col).alias("_chunk_sum"))
+        .agg(F.sum("_value").alias("_chunk_sum"))
         .select(
             *part,
-            F.coalesce(F.sum("_chunk_sum").over(earlier), F.lit(0)).alias(before),
-            F.sum("_chunk_sum").over(by_key).alias(whole),
+            F.coalesce(F.sum("_chunk_sum").over(earlier), F.lit(0)).alias("_before"),
+            F.sum("_chunk_sum").over(by_key).alias("_whole"),
         )
     )
     within = (
@@ -111,35 +129,27 @@ def running_sum_over(
         .orderBy(POSITION)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    summed = chunks.withColumn("_local", F.sum(value_col).over(within))
-    joined = summed.join(carried, part, "left")
-    columns.append((F.col(before) + F.col("_local")).alias(out))
+    summed = chunks.withColumn("_local", F.sum("_value").over(within))
+    columns = [F.col(c) for c in _visible(staged)]
+    columns.append((F.col("_before") + F.col("_local")).alias(out))
     if total is not None:
-        columns.append(F.col(whole).alias(total))
-    return joined.select(*columns)
+        columns.append(F.col("_whole").alias(total))
+    return summed.join(carried, part, "left").select(*columns)
 
 
-def number_rows(
-    df: DataFrame,
-    order_by: Sequence[ColumnOrName],
-    *,
-    unique_order: bool = False,
-    out: str = "seq",
-) -> DataFrame:
+def number_rows(df: DataFrame, order_by: Sequence[ColumnOrName], *, out: str = "seq") -> DataFrame:
     """Number all rows 1..n in the given order, without gaps."""
-    chunks = ordered_chunks(df, order_by, unique_order=unique_order)
+    staged = stage(df, row_ids=True)
+    if fits_one_task(staged):
+        number = F.row_number().over(Window.orderBy(*_total_order(order_by)))
+        return staged.select(*df.columns, number.cast("bigint").alias(out))
+
+    chunks = ordered_chunks(staged, order_by)
+    earlier = Window.orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         chunks.groupBy(CHUNK)
         .count()
-        .select(
-            CHUNK,
-            F.coalesce(
-                F.sum("count").over(
-                    Window.orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
-                ),
-                F.lit(0),
-            ).alias("_before"),
-        )
+        .select(CHUNK, F.coalesce(F.sum("count").over(earlier), F.lit(0)).alias("_before"))
     )
     # One row per sort partition, so the broadcast is bounded by the partition count.
     return chunks.join(F.broadcast(offsets), CHUNK).select(
@@ -153,13 +163,24 @@ def fill_gaps(
     order_by: Sequence[ColumnOrName],
     *,
     partition_by: Sequence[str] = (),
-    unique_order: bool = False,
 ) -> DataFrame:
     """Fill nulls with the last value before them, leading nulls with the first after them."""
     keys = list(partition_by)
-    chunks = ordered_chunks(df, [*keys, *order_by], unique_order=unique_order)
+    staged = stage(df, row_ids=True)
+
+    def pick(fn, c: str, frame) -> Column:
+        return fn(c, ignorenulls=True).over(frame)
+
+    if fits_one_task(staged):
+        ordered = Window.partitionBy(*keys).orderBy(*_total_order(order_by))
+        before = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        group = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+        filled = {
+            c: F.coalesce(pick(F.last, c, before), pick(F.first, c, group)) for c in columns
+        }
+        return staged.select(*[filled[c].alias(c) if c in filled else c for c in df.columns])
 
-    chunks, part = _with_key(chunks, keys)
+    chunks, part = _with_key(ordered_chunks(staged, [*keys, *order_by]), keys)
 
     def present(c: str) -> Column:
         return F.when(F.col(c).isNotNull(), F.col(POSITION))
@@ -171,22 +192,18 @@ def fill_gaps(
     by_chunk = Window.partitionBy(*part[1:]).orderBy(CHUNK)
     earlier = by_chunk.rowsBetween(Window.unboundedPreceding, -1)
     anywhere = by_chunk.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-
-    def carry(pick, c: str, frame) -> Column:
-        return pick(c, ignorenulls=True).over(frame)
-
     # A row without any value before it takes the first value of its key, wherever that is.
     carried = edges.select(
         *part,
-        *[carry(F.last, f"_last_{c}", earlier).alias(f"_prev_{c}") for c in columns],
-        *[carry(F.first, f"_first_{c}", anywhere).alias(f"_lead_{c}") for c in columns],
+        *[pick(F.last, f"_last_{c}", earlier).alias(f"_prev_{c}") for c in columns],
+        *[pick(F.first, f"_first_{c}", anywhere).alias(f"_lead_{c}") for c in columns],
     )
     back = (
         Window.partitionBy(*part)
         .orderBy(POSITION)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    local = chunks.withColumns({f"_back_{c}": carry(F.last, c, back) for c in columns})
+    local = chunks.withColumns({f"_back_{c}": pick(F.last, c, back) for c in columns})
     filled = {c: F.coalesce(f"_back_{c}", f"_prev_{c}", f"_lead_{c}") for c in columns}
     return local.join(carried, part, "left").select(
         *[filled[c].alias(c) if c in filled else F.col(c) for c in df.columns]

@@ -7,7 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millwright.operators.ordered import ordered_chunks, running_sum_over
+from millwright.operators.ordered import fits_one_task, running_sum_of_staged
+from millwright.sources.staging import stage
 
 
 def value_counts(df: DataFrame, column: str, *, by: Sequence[str] = ()) -> DataFrame:
@@ -19,20 +20,29 @@ def value_counts(df: DataFrame, column: str, *, by: Sequence[str] = ()) -> DataF
     )
 
 
-def sorted_counts(df: DataFrame, column: str, *, by: Sequence[str] = ()) -> DataFrame:
-    """Distinct values of ``column`` as staged, sorted ``(by..., value, count)``."""
+def staged_counts(df: DataFrame, column: str, *, by: Sequence[str] = ()) -> DataFrame:
+    """Distinct values of ``column`` as staged ``(by..., value, count)`` with row ids."""
     values = df.select(*by, F.col(column).cast("double").alias("value"))
-    return ordered_chunks(value_counts(values, "value", by=by), [*by, "value"], unique_order=True)
+    return stage(value_counts(values, "value", by=by), row_ids=True)
 
 
-def pick_quantiles(
+def quantiles_of_counts(
     counts: DataFrame, quantiles: Mapping[str, float], *, by: Sequence[str] = ()
 ) -> DataFrame:
-    """Quantiles with linear interpolation out of :func:`sorted_counts`, one row per group.
+    """Quantiles with linear interpolation out of :func:`staged_counts`, one row per group.
 
-    A value with count c takes the c ranks that end at its cumulative count.
+    The built-in ``percentile`` keeps a map of all distinct values of a group in one task, so
+    it is used for a small table of counts only. Otherwise the values are sorted over the
+    cluster, and those around each rank are picked by their cumulative counts: a value with
+    count c takes the c ranks that end at its cumulative count.
     """
-    ranked = running_sum_over(counts, "count", partition_by=by, out="upto", total="n")
+    if fits_one_task(counts):
+        return counts.groupBy(*by).agg(
+            *[F.percentile("value", q, F.col("count")).alias(name) for name, q in quantiles.items()]
+        )
+    ranked = running_sum_of_staged(
+        counts, "count", ["value"], partition_by=by, out="upto", total="n"
+    )
     picks, results = [], []
     for name, share in quantiles.items():
         rank = (F.col("n") - 1) * F.lit(share)
@@ -50,12 +60,9 @@ def exact_quantiles(
 ) -> DataFrame:
     """Exact quantiles of ``column``, one row per group.
 
-    ``quantiles`` maps output names to shares in [0, 1]. The built-in ``percentile`` keeps a
-    map of all distinct values of a group in one task; here the distinct values are counted,
-    sorted over the cluster, and the two values around each rank are picked by their
-    cumulative counts.
+    ``quantiles`` maps output names to shares in [0, 1].
     """
-    return pick_quantiles(sorted_counts(df, column, by=by), quantiles, by=by)
+    return quantiles_of_counts(staged_counts(df, column, by=by), quantiles, by=by)
 
 
 def exact_medians(df: DataFrame, columns: Sequence[str]) -> DataFrame:

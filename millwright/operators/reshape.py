@@ -58,10 +58,9 @@ def surrogate_keys(
     *,
     out: str = "key",
     width: int = 7,
-    unique_order: bool = False,
 ) -> DataFrame:
     """Append gap-free padded keys (``DF0000001``...) in the given order."""
-    numbered = number_rows(df, order_by, unique_order=unique_order, out="_seq")
+    numbered = number_rows(df, order_by, out="_seq")
     return numbered.select(*df.columns, padded_key(prefix, "_seq", width).alias(out))
 
 
@@ -93,7 +92,6 @@ def roster(
         "_one",
         [member],
         partition_by=[group],
-        unique_order=False,
         out="_rank",
     )
     page = F.floor((F.col("_rank") - 1) / F.lit(page_size)).cast("bigint")
@@ -141,9 +139,7 @@ def missing_slots(grid: DataFrame, production: DataFrame) -> DataFrame:
     return grid.join(production.select(*slot).distinct(), slot, "left_anti")
 
 
-def tail_extract(
-    df: DataFrame, order_by: Sequence[ColumnOrName], n: int, *, unique_order: bool = False
-) -> DataFrame:
+def tail_extract(df: DataFrame, order_by: Sequence[ColumnOrName], n: int) -> DataFrame:
     """The last ``n`` rows in the given order, in that order.
 
     A small ``n`` is a top-k. A large one (a spreadsheet's row limit) would send ``n`` rows
@@ -152,7 +148,7 @@ def tail_extract(
     order = [as_column(c) for c in order_by]
     if n <= TOP_K_ROWS:
         return df.orderBy(*[c.desc_nulls_last() for c in order]).limit(n).orderBy(*order)
-    numbered = number_rows(df, order, unique_order=unique_order, out="_seq")
+    numbered = number_rows(df, order, out="_seq")
     last = numbered.agg(F.max("_seq")).scalar()
     return numbered.filter(F.col("_seq") > last - F.lit(n)).orderBy("_seq").select(*df.columns)
 

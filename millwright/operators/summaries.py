@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from millwright.functions.expressions import without_nan
 from millwright.operators.kpi import with_known_keys
-from millwright.operators.quantiles import pick_quantiles, sorted_counts
+from millwright.operators.quantiles import quantiles_of_counts, staged_counts
 
 WHISKER = 1.5
 
@@ -41,8 +41,8 @@ def box_stats(df: DataFrame, group_by: Sequence[str], y: str) -> DataFrame:
     keys = list(group_by)
     points = without_nan(with_known_keys(df, keys).select(*keys, y), [y])
     # Counted values instead of rows: a value repeated in a hot group is one row from here on.
-    counts = sorted_counts(points, y, by=keys)
-    quartiles = pick_quantiles(counts, {"q1": 0.25, "median": 0.5, "q3": 0.75}, by=keys)
+    counts = staged_counts(points, y, by=keys)
+    quartiles = quantiles_of_counts(counts, {"q1": 0.25, "median": 0.5, "q3": 0.75}, by=keys)
     reach = F.lit(WHISKER) * (F.col("q3") - F.col("q1"))
     inside = F.col("value").between(F.col("q1") - reach, F.col("q3") + reach)
     return (

@@ -7,7 +7,15 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from millwright.operators import ordered, quantiles, reshape
+from millwright.operators import ordered, quantiles, reshape, summaries
+from millwright.sources.staging import stage
+
+
+@pytest.fixture(params=["one task", "chunks"])
+def either_way(request, monkeypatch):
+    """Run a test with plain windows and with the rows split into chunks."""
+    if request.param == "chunks":
+        monkeypatch.setattr(ordered, "SMALL_ROWS", 0)
 
 
 def hot_rows(n=600, seed=3):
@@ -33,7 +41,7 @@ def frame():
 
 
 def test_chunks_split_a_hot_group(spark, hot):
-    chunks = ordered.ordered_chunks(hot, ["k", "t"], unique_order=False)
+    chunks = ordered.ordered_chunks(stage(hot, row_ids=True), ["k", "t"])
     sizes = [r["count"] for r in chunks.filter("k = 'hot'").groupBy(ordered.CHUNK).count().collect()]
     assert len(sizes) > 2
     assert max(sizes) < 250
@@ -41,15 +49,15 @@ def test_chunks_split_a_hot_group(spark, hot):
 
 def test_chunks_split_identical_rows(spark):
     copies = spark.range(500).select(F.lit("same").alias("k"))
-    chunks = ordered.ordered_chunks(copies, ["k"], unique_order=False)
+    chunks = ordered.ordered_chunks(stage(copies, row_ids=True), ["k"])
     sizes = [r["count"] for r in chunks.groupBy(ordered.CHUNK).count().collect()]
     assert sum(sizes) == 500
     assert max(sizes) < 250
 
 
-def test_running_sum_by_key(hot, frame):
+def test_running_sum_by_key(hot, frame, either_way):
     got = ordered.running_sum(
-        hot, "id", ["t", "id"], partition_by=["k"], unique_order=True, total="whole"
+        hot, "id", ["t", "id"], partition_by=["k"], total="whole"
     ).toPandas()
     want = frame.sort_values("id")
     group = want.groupby("k", dropna=False)["id"]
@@ -60,20 +68,20 @@ def test_running_sum_by_key(hot, frame):
     assert (merged["whole_x"] == merged["whole_y"]).all()
 
 
-def test_running_sum_over_everything(hot, frame):
-    got = ordered.running_sum(hot, F.lit(1), ["id"], unique_order=True).toPandas()
+def test_running_sum_over_everything(hot, frame, either_way):
+    got = ordered.running_sum(hot, F.lit(1), ["id"]).toPandas()
     assert (got["running_sum"] == got["id"] + 1).all()
     assert len(got) == len(frame)
 
 
-def test_number_rows_is_gap_free(hot, frame):
+def test_number_rows_is_gap_free(hot, frame, either_way):
     got = ordered.number_rows(hot, ["t"]).toPandas().sort_values("seq")
     assert list(got["seq"]) == list(range(1, len(frame) + 1))
     assert got["t"].is_monotonic_increasing
 
 
 @pytest.mark.parametrize("keys", [[], ["k"]])
-def test_fill_gaps(hot, frame, keys):
+def test_fill_gaps(hot, frame, keys, either_way):
     got = ordered.fill_gaps(hot, ["v"], ["t", "id"], partition_by=keys).toPandas()
     want = frame.sort_values("id").copy()
     if keys:
@@ -85,15 +93,15 @@ def test_fill_gaps(hot, frame, keys):
     assert list(got.columns) == ["id", "k", "t", "v"]
 
 
-def test_fill_gaps_across_many_empty_chunks(spark):
+def test_fill_gaps_across_many_empty_chunks(spark, either_way):
     df = spark.range(300).withColumn("v", F.when(F.col("id") == 150, 7.0))
-    got = ordered.fill_gaps(df, ["v"], ["id"], unique_order=True)
+    got = ordered.fill_gaps(df, ["v"], ["id"])
     assert got.filter("v = 7").count() == 300
     nothing = df.withColumn("v", F.lit(None).cast("double"))
-    assert ordered.fill_gaps(nothing, ["v"], ["id"], unique_order=True).dropna().count() == 0
+    assert ordered.fill_gaps(nothing, ["v"], ["id"]).dropna().count() == 0
 
 
-def test_exact_quantiles(hot, frame):
+def test_exact_quantiles(hot, frame, either_way):
     shares = {"q0": 0.0, "q1": 0.25, "med": 0.5, "q9": 0.9, "q10": 1.0}
     got = quantiles.exact_quantiles(hot, "v", shares, by=["k"]).toPandas().set_index("k")
     for key, group in frame.dropna(subset=["v"]).groupby("k"):
@@ -101,17 +109,17 @@ def test_exact_quantiles(hot, frame):
             assert got.loc[key, name] == pytest.approx(np.quantile(group["v"], share), abs=1e-12)
 
 
-def test_exact_medians_of_several_columns(hot, frame):
+def test_exact_medians_of_several_columns(hot, frame, either_way):
     got = {r["column"]: r["median"] for r in quantiles.exact_medians(hot, ["v", "t"]).collect()}
     assert got == {"v": frame["v"].median(), "t": frame["t"].median()}
 
 
-def test_medians_of_empty_columns(spark):
+def test_medians_of_empty_columns(spark, either_way):
     empty = spark.createDataFrame([(None,), (None,)], "v double")
     assert quantiles.exact_medians(empty, ["v"]).count() == 0
 
 
-def test_roster_pages(spark):
+def test_roster_pages(spark, either_way):
     members = spark.range(25).select(
         F.when(F.col("id") < 20, "big").otherwise("small").alias("g"), F.col("id").alias("m")
     )
@@ -122,18 +130,18 @@ def test_roster_pages(spark):
     assert ",".join(r["roster"] for r in rows[:3]) == ",".join(map(str, range(20)))
 
 
-def test_tail_extract_small_and_large(spark, monkeypatch):
+def test_tail_extract_small_and_large(spark, monkeypatch, either_way):
     df = spark.range(200).select(F.col("id"), (F.col("id") % 7).alias("x"))
     small = reshape.tail_extract(df, ["id"], 30).collect()
     monkeypatch.setattr(reshape, "TOP_K_ROWS", 10)
-    large = reshape.tail_extract(df, ["id"], 30, unique_order=True).collect()
+    large = reshape.tail_extract(df, ["id"], 30).collect()
     assert small == large
     assert [r["id"] for r in large] == list(range(170, 200))
-    assert reshape.tail_extract(df, ["id"], 500, unique_order=True).count() == 200
+    assert reshape.tail_extract(df, ["id"], 500).count() == 200
 
 
-def test_surrogate_keys(hot, frame):
-    keyed = reshape.surrogate_keys(hot, "DF", ["id"], unique_order=True).collect()
+def test_surrogate_keys(hot, frame, either_way):
+    keyed = reshape.surrogate_keys(hot, "DF", ["id"]).collect()
     assert {r["id"]: r["key"] for r in keyed} == {i: f"DF{i + 1:07d}" for i in frame["id"]}
 
 
@@ -144,3 +152,15 @@ def test_expand_units_by_blocks(spark, monkeypatch):
     assert {r["p"]: r["u"] for r in got.collect()} == {
         "b": [1], "c": [1, 2, 3, 4], "d": list(range(1, 10)),
     }
+
+
+def test_box_stats_of_a_hot_group(hot, frame, either_way):
+    rows = {r["k"]: r for r in summaries.box_stats(hot, ["k"], "v").collect()}
+    values = frame[frame["k"] == "hot"]["v"].dropna()
+    q1, q3 = np.quantile(values, [0.25, 0.75])
+    assert (rows["hot"]["n"], rows["hot"]["q1"], rows["hot"]["q3"]) == (len(values), q1, q3)
+
+
+def test_quantile_of_an_ungrouped_column(hot, frame, either_way):
+    row = quantiles.exact_quantiles(hot, "v", {"q": 0.3}).first()
+    assert row["q"] == pytest.approx(np.quantile(frame["v"].dropna(), 0.3))
