@@ -593,13 +593,13 @@ ORACLES: dict[str, str] = {
         "defects_v",
     ),
     "tail_extract": over(
-        "SELECT * FROM sensor_v ORDER BY timestamp DESC, event_id DESC LIMIT 1000", "sensor_v"
+        "SELECT * FROM sensor_v ORDER BY timestamp DESC, event_id DESC LIMIT 100", "sensor_v"
     ),
     "tail_extract_large": """
         SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity FROM lineitem
         ORDER BY l_orderkey DESC, l_linenumber DESC, l_partkey DESC, l_suppkey DESC,
             l_quantity DESC
-        LIMIT 50000
+        LIMIT 20000
     """,
     "sensor_hourly": over(
         """SELECT machine_id, sensor_type, CAST(date_trunc('hour', timestamp) AS TIMESTAMP) AS hour,

@@ -302,14 +302,14 @@ def surrogate_keys(spark, sf):
 
 @query
 def tail_extract(spark, sf):
-    return reshape.tail_extract(P.sensors(spark, sf), ["timestamp", "event_id"], 1000)
+    return reshape.tail_extract(P.sensors(spark, sf), ["timestamp", "event_id"], 100)
 
 
 @query
 def tail_extract_large(spark, sf):
     """The spreadsheet row limit: at larger scale factors it does cut the table."""
     ids = P.table(spark, sf, "lineitem").select(*RECORD, "l_partkey", "l_suppkey", "l_quantity")
-    return reshape.tail_extract(ids, ids.columns, 50_000)
+    return reshape.tail_extract(ids, ids.columns, 20_000)
 
 
 @query

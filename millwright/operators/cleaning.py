@@ -29,8 +29,9 @@ SENTINEL = "UNKNOWN"
 class CleanSpec:
     """Column roles of one table.
 
-    ``order_by`` decides which of several duplicates is the first one and is required by the
-    ``ffill`` strategy; ``fill_within`` restricts filling to groups (per machine, say).
+    ``order_by`` stands for the file order of the rows: it decides which of several duplicates
+    is the first one and is required by the ``ffill`` strategy. ``fill_within`` restricts
+    filling to groups (per machine, say). Columns a table lacks are passed over.
     """
 
     table: str
@@ -65,6 +66,7 @@ FACT_SPECS = {
             "scrap_units",
             "downtime_minutes",
         ),
+        order_by=("record_id",),
     ),
     "downtime_events": CleanSpec(
         "downtime",
@@ -73,6 +75,7 @@ FACT_SPECS = {
         category_cols=("reason_code", "shift_id"),
         outlier_cols=("duration_minutes",),
         non_negative_cols=("duration_minutes",),
+        order_by=("event_id",),
     ),
     "quality_inspections": CleanSpec(
         "quality",
@@ -80,11 +83,13 @@ FACT_SPECS = {
         numeric_cols=("sample_size", "defective_units"),
         category_cols=("result", "shift_id"),
         non_negative_cols=("sample_size", "defective_units"),
+        order_by=("inspection_id",),
     ),
     "defects": CleanSpec(
         "defects",
         date_cols=("date",),
         category_cols=("defect_type", "severity", "disposition"),
+        order_by=("defect_id",),
     ),
     "sensor_readings": CleanSpec(
         "sensor",
@@ -92,6 +97,8 @@ FACT_SPECS = {
         numeric_cols=("reading_value",),
         category_cols=("sensor_type",),
         outlier_cols=("reading_value",),
+        order_by=("timestamp",),
+        fill_within=("machine_id", "sensor_type"),
     ),
 }
 
@@ -136,6 +143,7 @@ def dedupe(
     only one row per input partition.
     """
     keys = _present(df, keys or ())
+    order_by = _present(df, order_by)
     order = [*order_by, *[c for c in df.columns if c not in keys and c not in order_by]]
     if not keys or not order:
         return df.dropDuplicates()
@@ -301,9 +309,10 @@ def impute(
         elif gaps and strategy == "mean":
             df = fill_mean(df, gaps)
         elif gaps and strategy == "ffill":
-            if not spec.order_by:
+            order = _present(df, spec.order_by)
+            if not order:
                 raise ValueError("the ffill strategy needs an order_by in the CleanSpec")
-            df = fill_gaps(df, gaps, spec.order_by, partition_by=spec.fill_within)
+            df = fill_gaps(df, gaps, order, partition_by=_present(df, spec.fill_within))
     return fill_sentinel(df, spec.category_cols), {c: n for c, n in missing.items() if n}
 
 

@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DatetimeType, NumericType
 
 from millwright.functions.expressions import (
     ColumnOrName,
@@ -18,8 +19,10 @@ from millwright.functions.expressions import (
 from millwright.operators.kpi import with_known_keys
 from millwright.operators.ordered import number_rows, running_sum
 
-# A top-k of this size still fits one task for any number of input partitions.
-TOP_K_ROWS = 10_000
+# A top-k gathers so many rows of each input partition in one task; that has to stay small.
+TOP_K_ROWS = 100
+# Rank error of the cut-off search, as a share of the rows.
+CUTOFF_ERROR = 1e-4
 EXPAND_BLOCK = 100_000
 
 
@@ -139,18 +142,37 @@ def missing_slots(grid: DataFrame, production: DataFrame) -> DataFrame:
     return grid.join(production.select(*slot).distinct(), slot, "left_anti")
 
 
-def tail_extract(df: DataFrame, order_by: Sequence[ColumnOrName], n: int) -> DataFrame:
+def tail_extract(df: DataFrame, order_by: Sequence[str], n: int) -> DataFrame:
     """The last ``n`` rows in the given order, in that order.
 
-    A small ``n`` is a top-k. A large one (a spreadsheet's row limit) would send ``n`` rows
-    of every partition to one task, so there the rows are numbered over the cluster instead.
+    A small ``n`` is a top-k. A large one (a spreadsheet's row limit) would gather ``n`` rows
+    of every partition in one task, so there the rows that can be among the last are kept by
+    a cut-off on the leading column and numbered over the cluster.
     """
-    order = [as_column(c) for c in order_by]
     if n <= TOP_K_ROWS:
-        return df.orderBy(*[c.desc_nulls_last() for c in order]).limit(n).orderBy(*order)
-    numbered = number_rows(df, order, out="_seq")
-    last = numbered.agg(F.max("_seq")).scalar()
-    return numbered.filter(F.col("_seq") > last - F.lit(n)).orderBy("_seq").select(*df.columns)
+        last = [F.col(c).desc_nulls_last() for c in order_by]
+        return df.orderBy(*last).limit(n).orderBy(*order_by)
+    numbered = number_rows(_tail_candidates(df, order_by[0], n), order_by, out="_seq")
+    rows = numbered.agg(F.max("_seq")).scalar()
+    return numbered.filter(F.col("_seq") > rows - F.lit(n)).orderBy("_seq").select(*df.columns)
+
+
+def _tail_candidates(df: DataFrame, lead: str, n: int) -> DataFrame:
+    """A superset of the last ``n`` rows by ``lead``, usually little larger.
+
+    The cut-off is an approximate quantile taken low enough; should the rows above it be
+    fewer than ``n`` after all, every row stays a candidate.
+    """
+    if not isinstance(df.schema[lead].dataType, NumericType | DatetimeType):
+        return df
+    rows = df.agg(F.count(lead).alias("rows")).first()["rows"]
+    share = 1.0 - n / rows - 2 * CUTOFF_ERROR if rows else 0.0
+    if share <= 0.5:
+        return df
+    accuracy = int(1 / CUTOFF_ERROR)
+    cutoff = df.agg(F.approx_percentile(lead, share, accuracy).alias("at")).first()["at"]
+    kept = df.filter(F.col(lead) >= F.lit(cutoff))
+    return kept if cutoff is not None and kept.count() >= n else df
 
 
 def sensor_hourly(readings: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -31,6 +31,10 @@ def staging_root(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir()
 
 
+def _folder(spark: SparkSession) -> str:
+    return f"{staging_root(spark).rstrip('/')}/millwright-{spark.sparkContext.applicationId}"
+
+
 def stage(df: DataFrame, *, row_ids: bool = False) -> DataFrame:
     """Write ``df`` to the staging folder and return a scan of it.
 
@@ -38,8 +42,7 @@ def stage(df: DataFrame, *, row_ids: bool = False) -> DataFrame:
     unique, repeatable address of each staged row.
     """
     spark = df.sparkSession
-    app = spark.sparkContext.applicationId
-    path = f"{staging_root(spark).rstrip('/')}/millwright-{app}/{uuid.uuid4().hex}"
+    path = f"{_folder(spark)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     staged = spark.read.schema(df.schema).parquet(path)
     if row_ids:
@@ -49,3 +52,9 @@ def stage(df: DataFrame, *, row_ids: bool = False) -> DataFrame:
             F.col("_metadata.row_index").alias(ROW_COLUMN),
         )
     return staged
+
+
+def drop_staged(spark: SparkSession) -> None:
+    """Delete the tables this application has staged, once the results built on them are written."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_folder(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -120,6 +120,21 @@ def test_ffill_strategy(spark):
         clean(df, spec(numeric_cols=["x"]), settings)
 
 
+def test_ffill_of_sensor_readings_stays_with_the_sensor(spark):
+    rows = [("m1", 1, 1.0), ("m2", 2, 8.0), ("m1", 3, None), ("m2", 4, None), ("m3", 5, None)]
+    df = spark.createDataFrame(rows, "machine_id string, t int, reading_value double").selectExpr(
+        "machine_id",
+        "make_timestamp_ntz(2024, 1, 1, t, 0, 0) AS timestamp",
+        "'rpm' AS sensor_type",
+        "reading_value",
+    )
+    settings = Settings(missing_value_strategy="ffill")
+    cleaned = clean(df, cleaning.FACT_SPECS["sensor_readings"], settings)[0]
+    assert [r["reading_value"] for r in cleaned.orderBy("timestamp").collect()] == [
+        1.0, 8.0, 1.0, 8.0, None,
+    ]
+
+
 def test_drop_strategy_counts_in_turn(spark):
     df = spark.createDataFrame([(1.0, None), (None, None), (None, 2.0), (3.0, 4.0)], "a double, b double")
     settings = Settings(missing_value_strategy="drop")

@@ -138,6 +138,26 @@ def test_tail_extract_small_and_large(spark, monkeypatch, either_way):
     assert small == large
     assert [r["id"] for r in large] == list(range(170, 200))
     assert reshape.tail_extract(df, ["id"], 500).count() == 200
+    by_text = reshape.tail_extract(df.select(F.col("id").cast("string")), ["id"], 30)
+    assert [r["id"] for r in by_text.collect()] == sorted(map(str, range(200)))[-30:]
+
+
+def test_tail_extract_with_a_hot_leading_value(spark, monkeypatch):
+    monkeypatch.setattr(reshape, "TOP_K_ROWS", 10)
+    df = spark.range(600).select(
+        F.when(F.col("id") % 3 == 0, F.lit(9)).otherwise(F.col("id") % 9).alias("lead"), "id"
+    )
+    got = [tuple(r) for r in reshape.tail_extract(df, ["lead", "id"], 50).collect()]
+    want = sorted((9 if i % 3 == 0 else i % 9, i) for i in range(600))[-50:]
+    assert got == want
+
+
+def test_tail_candidates_keep_too_many_rather_than_too_few(spark):
+    df = spark.range(10_000).withColumn("lead", F.when(F.col("id") >= 100, F.col("id")))
+    kept = reshape._tail_candidates(df, "lead", 200)
+    assert 200 <= kept.count() < 1000
+    nulls = df.withColumn("lead", F.lit(None).cast("bigint"))
+    assert reshape._tail_candidates(nulls, "lead", 200).count() == 10_000
 
 
 def test_surrogate_keys(hot, frame, either_way):

@@ -1,10 +1,11 @@
 import datetime as dt
+import os
 
 import pytest
 
 from millwright.plans.plant import compute_kpis
 from millwright.schemas import TABLE_DDL, table_schema
-from millwright.sources import tables
+from millwright.sources import staging, tables
 from millwright.sources.staging import stage, staging_root
 
 
@@ -85,3 +86,11 @@ def test_staging_uses_the_session_folder(spark, production):
     staged = stage(production)
     assert all(root in f for f in staged.inputFiles())
     assert sorted(staged.collect()) == sorted(production.collect())
+
+
+def test_staged_tables_can_be_dropped(spark, production, monkeypatch):
+    monkeypatch.setattr(staging, "_folder", lambda _: f"{staging_root(spark)}/to-drop")
+    path = stage(production).inputFiles()[0].removeprefix("file://")
+    assert os.path.exists(path)
+    staging.drop_staged(spark)
+    assert not os.path.exists(path)
