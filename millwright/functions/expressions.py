@@ -1,7 +1,8 @@
 """Reusable column expressions: built-in Spark functions only.
 
 All helpers follow the plant-data conventions rather than the SQL ones: a ratio with a zero
-or missing operand is 0, clamping keeps nulls, and NaN is treated as null.
+or missing operand is 0, clamping keeps nulls, and NaN is treated as null. They name their
+operands as few times as possible: a filter on a computed column repeats its whole expression.
 """
 
 from __future__ import annotations
@@ -20,8 +21,7 @@ def as_column(c: ColumnOrName) -> Column:
 
 
 def nan_to_null(c: ColumnOrName) -> Column:
-    c = as_column(c)
-    return F.when(~F.isnan(c), c)
+    return F.nanvl(as_column(c), F.lit(None).cast("double"))
 
 
 def without_nan(df: DataFrame, columns: Iterable[str] | None = None) -> DataFrame:

@@ -4,25 +4,24 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millwright.functions.expressions import (
     ColumnOrName,
     as_column,
-    clamp_max,
     day_text,
+    map_lookup,
     month_key,
     percent_text,
     ratio_of_sums,
     safe_div,
     sum_or_zero,
     weighted_avg,
-    weighted_sum,
     without_nan,
 )
-from millwright.operators.ordered import running_sum
-from millwright.operators.quantiles import value_counts
+from millwright.operators.ordered import running_sum_of_staged
+from millwright.operators.quantiles import staged_counts
 
 PERFORMANCE_CAP = 1.5
 PARETO_LINE = 80.0
@@ -56,7 +55,7 @@ def add_oee_components(production: DataFrame) -> DataFrame:
         .withColumns(
             {
                 "availability": safe_div(run, planned),
-                "performance": clamp_max(safe_div(ideal_minutes, run), PERFORMANCE_CAP),
+                "performance": F.least(safe_div(ideal_minutes, run), F.lit(PERFORMANCE_CAP)),
                 "quality": safe_div("good_units", total),
                 "scrap_rate": safe_div("scrap_units", total),
                 "cycle_time_actual_seconds": safe_div(run * 60.0, total),
@@ -73,25 +72,46 @@ def with_known_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.dropna(how="any", subset=list(keys))
 
 
-def kpi_sums(production_with_oee: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The sums every KPI is made of, per group. Null keys form groups of their own.
-
-    The sums add up, so a coarser grain can be rolled up from a finer one with
-    :func:`rollup_sums` without reading the records again.
-    """
+def _sum_inputs(production_with_oee: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The columns every KPI is summed up from: measures, and rates times their weights."""
     df = without_nan(production_with_oee, (*ADDITIVE_MEASURES, *RATE_WEIGHTS))
-    return df.groupBy(*keys).agg(
-        *[F.sum(c).alias(c) for c in ADDITIVE_MEASURES],
-        *[weighted_sum(rate, w).alias(f"{rate}_weighted") for rate, w in RATE_WEIGHTS.items()],
+    products = {
+        f"{rate}_weighted": F.col(rate).cast("double") * F.col(weight).cast("double")
+        for rate, weight in RATE_WEIGHTS.items()
+    }
+    return df.select(
+        *keys, *ADDITIVE_MEASURES, *[product.alias(name) for name, product in products.items()]
     )
 
 
-def _sum_columns() -> list[str]:
-    return [*ADDITIVE_MEASURES, *[f"{rate}_weighted" for rate in RATE_WEIGHTS]]
+def _sums() -> list[Column]:
+    weighted = [f"{rate}_weighted" for rate in RATE_WEIGHTS]
+    return [F.sum(c).alias(c) for c in (*ADDITIVE_MEASURES, *weighted)]
 
 
-def rollup_sums(sums: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return sums.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in _sum_columns()])
+def kpi_sums_by_grain(production_with_oee: DataFrame, grains: Sequence[str]) -> DataFrame:
+    """KPI sums for several single-column grains: ``(grain, grain columns..., sums...)``.
+
+    One pass over the records: row-level KPIs are computed once, then each row counts towards
+    every grain, and what is shuffled are the groups of the grains, not their combinations.
+    """
+    sets = (
+        _sum_inputs(production_with_oee, grains)
+        .groupingSets([[g] for g in grains], *grains)
+        .agg(F.grouping_id().alias("_grouping"), *_sums())
+    )
+    # The grouping id has a zero bit for the column that is grouped by, first column highest.
+    full = (1 << len(grains)) - 1
+    ids = {str(full - (1 << (len(grains) - 1 - i))): grain for i, grain in enumerate(grains)}
+    return sets.withColumn("grain", map_lookup(F.col("_grouping").cast("string"), ids)).drop(
+        "_grouping"
+    )
+
+
+def kpis_of_grain(grain_sums: DataFrame, grain: str) -> DataFrame:
+    """The KPI table of one grain out of :func:`kpi_sums_by_grain`."""
+    own = grain_sums.filter(F.col("grain") == grain)
+    return finish_kpis(with_known_keys(own, [grain]), [grain])
 
 
 def finish_kpis(sums: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -111,28 +131,17 @@ def finish_kpis(sums: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def aggregate_kpis(production_with_oee: DataFrame, group_by: Sequence[str]) -> DataFrame:
     """KPIs at an arbitrary grain, rates weighted rather than averaged row by row."""
-    known = with_known_keys(production_with_oee, group_by)
-    return finish_kpis(kpi_sums(known, group_by), group_by)
+    inputs = _sum_inputs(with_known_keys(production_with_oee, group_by), group_by)
+    return finish_kpis(inputs.groupBy(*group_by).agg(*_sums()), group_by)
 
 
 def aggregate_kpis_by_grain(production_with_oee: DataFrame, grains: Sequence[str]) -> DataFrame:
-    """KPIs for several single-column grains at once: ``(grain, grain_value, measures...)``.
-
-    The records are summed once at the combined grain; the grouping sets expand only that.
-    """
-    finest = kpi_sums(production_with_oee, grains)
-    bit = {grain: 1 << (len(grains) - 1 - i) for i, grain in enumerate(grains)}
-    everything = sum(bit.values())
-    sets = finest.groupingSets([[g] for g in grains], *grains).agg(
-        F.grouping_id().alias("_grouping"), *[F.sum(c).alias(c) for c in _sum_columns()]
-    )
-    name, value = F.lit(None).cast("string"), F.lit(None).cast("string")
-    for grain in grains:
-        here = F.col("_grouping") == everything - bit[grain]
-        name = F.when(here, F.lit(grain)).otherwise(name)
-        value = F.when(here, F.col(grain).cast("string")).otherwise(value)
-    named = sets.withColumns({"grain": name, "grain_value": value})
-    return finish_kpis(with_known_keys(named, ["grain_value"]), ["grain", "grain_value"])
+    """KPIs for several single-column grains at once: ``(grain, grain_value, measures...)``."""
+    sums = kpi_sums_by_grain(production_with_oee, grains)
+    # Of the grain columns only the one grouped by is set in a row.
+    value = F.coalesce(*[F.col(g).cast("string") for g in grains])
+    named = with_known_keys(sums.withColumn("grain_value", value), ["grain_value"])
+    return finish_kpis(named, ["grain", "grain_value"])
 
 
 def weighted_matrix(
@@ -212,8 +221,8 @@ def pareto_analysis(defects: DataFrame, category_col: str = "defect_type") -> Da
 
     Equal counts are ordered by category; null categories are left out.
     """
-    running = running_sum(
-        value_counts(defects, category_col),
+    running = running_sum_of_staged(
+        staged_counts(defects, category_col),
         "count",
         [F.col("count").desc(), category_col],
         out="_upto",

@@ -11,25 +11,20 @@ from millwright.operators.ordered import fits_one_task, running_sum_of_staged
 from millwright.sources.staging import stage
 
 
-def value_counts(df: DataFrame, column: str, *, by: Sequence[str] = ()) -> DataFrame:
-    """Rows per distinct non-null value (and group), combined before the shuffle."""
-    return (
-        df.filter(F.col(column).isNotNull())
-        .groupBy(*by, F.col(column))
-        .agg(F.count(F.lit(1)).alias("count"))
-    )
-
-
 def staged_counts(df: DataFrame, column: str, *, by: Sequence[str] = ()) -> DataFrame:
-    """Distinct values of ``column`` as staged ``(by..., value, count)`` with row ids."""
-    values = df.select(*by, F.col(column).cast("double").alias("value"))
-    return stage(value_counts(values, "value", by=by), row_ids=True)
+    """Rows per distinct non-null value (and group), combined before the shuffle; staged.
+
+    Nulls are left out of the staged counts rather than of the rows, because a filter below
+    the count would compute ``column`` a second time for every row.
+    """
+    counts = df.groupBy(*by, column).agg(F.count(F.lit(1)).alias("count"))
+    return stage(counts, row_ids=True).filter(F.col(column).isNotNull())
 
 
 def quantiles_of_counts(
     counts: DataFrame, quantiles: Mapping[str, float], *, by: Sequence[str] = ()
 ) -> DataFrame:
-    """Quantiles with linear interpolation out of :func:`staged_counts`, one row per group.
+    """Quantiles with linear interpolation out of staged counts of ``value``, one row per group.
 
     The built-in ``percentile`` keeps a map of all distinct values of a group in one task, so
     it is used for a small table of counts only. Otherwise the values are sorted over the
@@ -62,7 +57,8 @@ def exact_quantiles(
 
     ``quantiles`` maps output names to shares in [0, 1].
     """
-    return quantiles_of_counts(staged_counts(df, column, by=by), quantiles, by=by)
+    values = df.select(*by, F.col(column).cast("double").alias("value"))
+    return quantiles_of_counts(staged_counts(values, "value", by=by), quantiles, by=by)
 
 
 def exact_medians(df: DataFrame, columns: Sequence[str]) -> DataFrame:

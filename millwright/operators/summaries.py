@@ -16,7 +16,7 @@ WHISKER = 1.5
 
 def histogram(df: DataFrame, x: str, bins: int = 30) -> DataFrame:
     """Counts in ``bins`` equal-width bins from minimum to maximum; the top edge is closed."""
-    values = without_nan(df.select(F.col(x).cast("double").alias("_x"))).dropna()
+    values = without_nan(df.select(F.col(x).cast("double").alias("_x")))
     edges = values.agg(
         F.struct(F.min("_x").alias("low"), F.max("_x").alias("high")).alias("edges")
     ).scalar()
@@ -24,9 +24,8 @@ def histogram(df: DataFrame, x: str, bins: int = 30) -> DataFrame:
     width = (edges.getField("high") - low) / F.lit(bins)
     position = F.floor(F.try_divide(F.col("_x") - low, width))
     number = F.least(F.coalesce(position, F.lit(0)), F.lit(bins - 1))
-    counted = values.groupBy(number.cast("bigint").alias("bin")).agg(
-        F.count(F.lit(1)).alias("count")
-    )
+    # A constant column has bins of no width: all its values are in the first.
+    counted = values.groupBy(number.cast("bigint").alias("bin")).agg(F.count("_x").alias("count"))
     every_bin = df.sparkSession.range(bins).withColumnRenamed("id", "bin")
     return every_bin.join(counted, "bin", "left").select(
         "bin",
@@ -39,9 +38,9 @@ def histogram(df: DataFrame, x: str, bins: int = 30) -> DataFrame:
 def box_stats(df: DataFrame, group_by: Sequence[str], y: str) -> DataFrame:
     """Quartiles, 1.5 IQR whiskers and outlier count per group."""
     keys = list(group_by)
-    points = without_nan(with_known_keys(df, keys).select(*keys, y), [y])
+    values = with_known_keys(df, keys).select(*keys, F.col(y).cast("double").alias("value"))
     # Counted values instead of rows: a value repeated in a hot group is one row from here on.
-    counts = staged_counts(points, y, by=keys)
+    counts = staged_counts(without_nan(values, ["value"]), "value", by=keys)
     quartiles = quantiles_of_counts(counts, {"q1": 0.25, "median": 0.5, "q3": 0.75}, by=keys)
     reach = F.lit(WHISKER) * (F.col("q3") - F.col("q1"))
     inside = F.col("value").between(F.col("q1") - reach, F.col("q3") + reach)

@@ -12,12 +12,10 @@ from millwright.operators.kpi import (
     add_oee_components,
     calculate_defect_rate,
     calculate_mtbf_mttr,
-    finish_kpis,
     headline_kpis,
-    kpi_sums,
+    kpi_sums_by_grain,
+    kpis_of_grain,
     pareto_analysis,
-    rollup_sums,
-    with_known_keys,
     with_month,
 )
 from millwright.operators.limits import status_table
@@ -51,16 +49,11 @@ def clean_tables(
 def compute_kpis(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     """The eight KPI tables.
 
-    The four rollups share one pass over the records: their sums are staged at the combined
-    grain, and each table adds up that much smaller result.
+    The four rollups share one pass over the records, whose sums are staged.
     """
     production = with_month(add_oee_components(tables["production_records"]))
-    grains = list(GRAIN_TABLES.values())
-    sums = stage(kpi_sums(production, grains))
-    rollups = {
-        name: finish_kpis(rollup_sums(with_known_keys(sums, [grain]), [grain]), [grain])
-        for name, grain in GRAIN_TABLES.items()
-    }
+    sums = stage(kpi_sums_by_grain(production, list(GRAIN_TABLES.values())))
+    rollups = {name: kpis_of_grain(sums, grain) for name, grain in GRAIN_TABLES.items()}
     return {
         "production_with_kpis": production,
         **rollups,
