@@ -5,6 +5,7 @@ import re
 import pytest
 
 from millwright.catalog.queries import QUERIES
+from millwright.operators import ordered
 from millwright.sources import proxies as P
 from millwright.sources.staging import stage
 from tests.conftest import SF
@@ -27,19 +28,39 @@ def test_no_python_and_no_cross_join(planned):
     assert "BroadcastNestedLoopJoin" not in plan, name
 
 
-def test_single_partition_only_gathers_reduced_rows(planned):
-    """One-task exchanges only feed a final aggregate, or a window over per-chunk sums."""
-    name, plan = planned
+def one_task_exchanges(plan):
+    """What lies below and above each exchange into a single task, and the scan it reads."""
     lines = [line.lstrip(" :+-*0123456789()") for line in plan.splitlines()]
     for i, line in enumerate(lines):
         if line.startswith("Exchange SinglePartition"):
-            below = lines[i + 1]
-            above = lines[i - 1]
-            partial = below.startswith(("HashAggregate", "SortAggregate", "ObjectHashAggregate"))
-            gathered = partial and ("keys=[]" in below or "_chunk" in below or "Sort" in above)
-            top_k = below.startswith(("LocalLimit", "GlobalLimit", "TakeOrdered"))
-            chunk_sums = below.startswith("Project") and "_chunk" in below
-            assert gathered or top_k or chunk_sums, (name, above, below)
+            scan = next((x for x in lines[i:] if x.startswith("FileScan")), "")
+            yield lines[i + 1], lines[i - 1], scan
+
+
+def gathers_reduced_rows(below, above):
+    partial = below.startswith(("HashAggregate", "SortAggregate", "ObjectHashAggregate"))
+    global_sum = partial and ("keys=[]" in below or "_chunk" in below or "Sort" in above)
+    top_k = below.startswith(("LocalLimit", "GlobalLimit", "TakeOrdered"))
+    chunk_sums = below.startswith("Project") and "_chunk" in below
+    return global_sum or top_k or chunk_sums
+
+
+def test_single_partition_only_gathers_reduced_rows(planned):
+    """One-task exchanges feed final aggregates, or windows over staged rows of checked number."""
+    name, plan = planned
+    for below, above, scan in one_task_exchanges(plan):
+        staged = "checkpoints" in scan
+        assert gathers_reduced_rows(below, above) or staged, (name, above, below)
+
+
+@pytest.mark.parametrize(
+    "name", ["clean_missing_ffill", "pareto", "roster_by_factory", "surrogate_keys", "box_stats"]
+)
+def test_large_inputs_never_gather_rows(spark, name, monkeypatch):
+    monkeypatch.setattr(ordered, "SMALL_ROWS", 0)
+    plan = plan_of(QUERIES[name](spark, SF))
+    for below, above, _ in one_task_exchanges(plan):
+        assert gathers_reduced_rows(below, above), (name, above, below)
 
 
 def test_scan_reads_needed_columns_only(spark):
