@@ -81,7 +81,7 @@ def weighted_avg(value: ColumnOrName, weight: ColumnOrName) -> Column:
 def month_key(c: ColumnOrName) -> Column:
     """``YYYY-MM`` of a date. Joined from its parts: formatting each row's date costs more."""
     c = as_column(c)
-    return F.concat_ws("-", F.lpad(F.year(c), 4, "0"), F.lpad(F.month(c), 2, "0"))
+    return F.concat(F.lpad(F.year(c), 4, "0"), F.lit("-"), F.lpad(F.month(c), 2, "0"))
 
 
 def day_text(c: ColumnOrName) -> Column:

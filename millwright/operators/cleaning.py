@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from millwright.functions.expressions import (
-    as_column,
     clamp_min,
     to_number,
     to_timestamp,

@@ -11,7 +11,6 @@ from pyspark.sql.types import DatetimeType, NumericType
 
 from millwright.functions.expressions import (
     ColumnOrName,
-    as_column,
     hour_of,
     map_lookup,
     padded_key,

@@ -115,6 +115,7 @@ def test_text_forms(spark):
     assert one(spark, X.percent_text("v"), v=(0.8125, "double")) == "81.2%"
     assert one(spark, X.percent_text("v"), v=(0.8135, "double")) == "81.4%"
     assert one(spark, X.month_key("d"), d=("2024-07-09", "date")) == "2024-07"
+    assert one(spark, X.month_key("d"), d=(None, "date")) is None
     assert one(spark, X.is_weekend("d"), d=("2024-01-06", "date")) is True
     assert one(spark, X.is_weekend("d"), d=("2024-01-05", "date")) is False
 
