@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millwright.llm import packing, token_counts
+from millwright.llm import decontam, language_id, packing, quality_rules, simhash, token_counts, warc
 from millwright.llm.common import read_table
+from millwright.llm.rawfiles import new_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -18,6 +19,25 @@ def query(fn: Query) -> Query:
     return fn
 
 
+@query
+def op2_language_id(spark, sf):
+    return language_id.identify(read_table(spark, sf, "documents"))
+
+
+@query
+def op3_simhash(spark, sf):
+    return simhash.near_duplicates(read_table(spark, sf, "documents"))
+
+
+@query
+def op4_quality_rules(spark, sf):
+    rows = quality_rules.apply_policy(quality_rules.ledger(read_table(spark, sf, "documents")))
+    return rows.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "base_failed", "kept", "failed",
+    )
+
+
 @query
 def op5_packing(spark, sf):
     return packing.pack(read_table(spark, sf, "documents"))
@@ -26,3 +46,21 @@ def op5_packing(spark, sf):
 @query
 def op8_token_counts(spark, sf):
     return token_counts.prefix_ledger(read_table(spark, sf, "documents"), with_steps=False)
+
+
+@query
+def op9_decontamination(spark, sf):
+    return decontam.contained_items(
+        read_table(spark, sf, "documents"), read_table(spark, sf, "benchmark")
+    )
+
+
+@query
+def op10_warc(spark, sf):
+    pages = read_table(spark, sf, "pages")
+    folder = new_folder(spark, "warc")
+    warc.write_archives(pages, folder)
+    index = warc.build_index(warc.read_archives(spark, folder))
+    return warc.lookup(index, pages).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
