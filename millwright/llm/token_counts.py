@@ -18,6 +18,7 @@ every prefix, and truncation and budget questions need no encoding.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -75,35 +76,52 @@ class PrefixCounter:
 
     def _steps(self, text: str) -> bytes:
         """The change of the count at each character of a segment."""
-        n = len(text)
-        last, count = [""] * (n + 1), [0] * (n + 1)
-        score, tails, apart = self.score, self.tails, self.apart
-        for i in range(1, n + 1):
-            for k in range(i - 1, max(-1, i - 1 - self.longest), -1):
-                piece = text[k:i]
-                if k < i - 1:
-                    if piece not in tails:
-                        break  # no piece ends with these characters, so none with more
-                    if piece not in score:
-                        continue
-                before = last[k]
-                if before:
-                    pair = (before, piece)
-                    free = apart.get(pair)
-                    if free is None:
-                        if len(apart) >= MAX_PAIRS:
-                            apart.clear()
-                        free = apart[pair] = self._stay_apart(before, piece)
-                    if not free:
-                        continue
-                last[i] = piece
+        return next(self._steps_of_sorted([text]))
+
+    def _steps_of_sorted(self, texts: list[str]) -> Iterator[bytes]:
+        """:meth:`_steps` of segments in order; what a segment shares with the one before, its
+        first characters, is not gone through again: the state at a prefix is the prefix's own.
+        """
+        score, tails, apart, longest = self.score, self.tails, self.apart, self.longest
+        last, count, before_text = [""], [0], ""
+        for text in texts:
+            n, i = len(text), 0
+            for left, right in zip(text, before_text):
+                if left != right:
+                    break
+                i += 1
+            del last[i + 1 :], count[i + 1 :]
+            before_text = text
+            while i < n:
+                i += 1
+                for k in range(i - 1, max(-1, i - 1 - longest), -1):
+                    piece = text[k:i]
+                    if k < i - 1:
+                        if piece not in tails:
+                            k = -1  # no piece ends with these characters, so none with more
+                            break
+                        if piece not in score:
+                            continue
+                    before = last[k]
+                    if before:
+                        pair = (before, piece)
+                        free = apart.get(pair)
+                        if free is None:
+                            if len(apart) >= MAX_PAIRS:
+                                apart.clear()
+                            free = apart[pair] = self._stay_apart(before, piece)
+                        if not free:
+                            continue
+                    break
+                else:
+                    k = -1
+                if k < 0:
+                    raise AssertionError(f"no token ends at {i} of {text!r}")
                 # A character without a piece is spelled in bytes.
                 units = 1 if piece in score else len(piece.encode("utf-8", "surrogatepass"))
-                count[i] = count[k] + units
-                break
-            else:
-                raise AssertionError(f"no token ends at {i} of {text!r}")
-        return np.diff(np.asarray(count)).astype(np.int8).tobytes()
+                last.append(piece)
+                count.append(count[k] + units)
+            yield bytes([(b - a) & 255 for a, b in zip(count, count[1:])])
 
     def _ledger_of_any(self, text: str) -> bytes:
         """Texts with runs of spaces: cut before each run instead of before each space."""
@@ -137,11 +155,12 @@ class PrefixCounter:
                 out[i] = b"".join(values)
         if len(self.word) + len(new) > MAX_KEPT:
             self.word.clear()
-        for part in new:
-            if part not in self.word:
-                own_line = part.startswith("\n")
-                steps = self._steps(part[1:] if own_line else SPACE_MARK + part)
-                self.word[part] = self.line_break + steps if own_line else steps
+        after_space = sorted(p for p in new if p not in self.word and not p.startswith("\n"))
+        marked = [SPACE_MARK + p for p in after_space]
+        self.word.update(zip(after_space, self._steps_of_sorted(marked), strict=True))
+        heads = sorted(p for p in new if p not in self.word)
+        steps = self._steps_of_sorted([p[1:] for p in heads])
+        self.word.update({p: self.line_break + s for p, s in zip(heads, steps, strict=True)})
         for i in later:
             values, _ = self._regular(texts[i])
             out[i] = self._ledger_of_any(texts[i]) if None in values else b"".join(values)
