@@ -27,6 +27,7 @@ SEQUENCE_TOKENS = 1024
 END_ID = 0
 # Pieces that one group of windows is chosen from; about 100 bytes each are held meanwhile.
 GROUP_PIECES = 200_000
+SLICE_CHARS = 16_000_000
 # sequence_id keeps the partition above, the number of the sequence below this bit.
 _PARTITION_BIT = 40
 
@@ -145,7 +146,7 @@ def pack(
 
         for batch in batches:
             ids_of, texts = batch.column("doc_id").to_pylist(), texts_of(batch.column("text"))
-            for low, high in in_slices(texts):
+            for low, high in in_slices(texts, SLICE_CHARS):
                 for doc, encoded in zip(ids_of[low:high], words.encode(texts[low:high]), strict=True):
                     encoded += end
                     n = len(encoded) // 4

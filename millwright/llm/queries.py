@@ -6,9 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millwright.llm import decontam, language_id, packing, quality_rules, simhash, token_counts, warc
+from millwright.llm import (
+    decontam,
+    html_extract,
+    language_id,
+    packing,
+    quality_rules,
+    simhash,
+    token_binary,
+    token_counts,
+    warc,
+)
 from millwright.llm.common import read_table
 from millwright.llm.rawfiles import new_folder
+from millwright.sources.staging import stage
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -43,6 +54,19 @@ def op5_packing(spark, sf):
     return packing.pack(read_table(spark, sf, "documents"))
 
 
+@query
+def op6_token_binary(spark, sf):
+    tokens = stage(token_binary.tokenized(read_table(spark, sf, "documents")))
+    folder = new_folder(spark, "token-ids")
+    lengths = token_binary.write_ids(tokens, folder)
+    return token_binary.read_ids(spark, folder, lengths)
+
+
+@query
+def op7_html_extraction(spark, sf):
+    return html_extract.extract(read_table(spark, sf, "pages"))
+
+
 @query
 def op8_token_counts(spark, sf):
     return token_counts.prefix_ledger(read_table(spark, sf, "documents"), with_steps=False)

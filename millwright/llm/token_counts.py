@@ -28,8 +28,10 @@ from millwright.llm.common import map_batches, texts_of
 from millwright.llm.token_words import in_slices, tokenizer_path
 
 TOKEN_LIMIT = 4096
-MAX_KEPT = 700_000
+MAX_KEPT = 1_200_000
 MAX_PAIRS = 2_000_000
+# Texts looked at together: the more new words there are at once, the more prefixes they share.
+SLICE_CHARS = 40_000_000
 SPACE_MARK = "▁"
 
 _COUNTERS: dict[str, PrefixCounter] = {}
@@ -205,7 +207,7 @@ def prefix_ledger(
         tokens = counter(model or tokenizer_path("piece_bpe_32k.model"))
         for batch in batches:
             texts = texts_of(batch.column("text"))
-            for low, high in in_slices(texts):
+            for low, high in in_slices(texts, SLICE_CHARS):
                 own = texts[low:high]
                 ledgers = tokens.ledgers(own)
                 totals, kept = [], []

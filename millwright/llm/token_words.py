@@ -12,7 +12,7 @@ from collections.abc import Callable
 
 import numpy as np
 
-MAX_KEPT = 700_000
+MAX_KEPT = 1_200_000
 _ENCODERS: dict[tuple[str, str], WordEncoder] = {}
 
 # The two kinds of tokenizer files that this module can cut texts for.
