@@ -36,6 +36,7 @@ def utf8(text: str) -> bytes:
 
 # Fixed odd multiplier for hashes of byte strings modulo 2**64, and its inverse.
 _BASE = 0x9E3779B97F4A7C15
+_LENGTH_FACTOR = 0xD6E8FEB86659FD93
 _BASE_INVERSE = pow(_BASE, -1, 1 << 64)
 # A random 64-bit value per byte, so that runs of small byte values do not cancel out.
 _BYTE_VALUES = np.random.default_rng(20240607).integers(0, 1 << 63, 256, dtype=np.uint64) * 2 + 1
@@ -72,7 +73,13 @@ class ByteHashes:
         self.sums = np.zeros(n + 1, np.uint64)
         np.cumsum(_BYTE_VALUES[data] * ByteHashes._powers[:n], out=self.sums[1:])
 
+    def rolling(self, width: int) -> np.ndarray:
+        """Hashes of all slices of one width, by where they start."""
+        n = len(self.sums) - width
+        raw = (self.sums[width:] - self.sums[:n]) * ByteHashes._inverses[:n]
+        return mix(raw + np.uint64(width * _LENGTH_FACTOR % (1 << 64)))
+
     def of(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         lengths = (ends - starts).astype(np.uint64)
         raw = (self.sums[ends] - self.sums[starts]) * ByteHashes._inverses[starts]
-        return mix(raw + lengths * np.uint64(0xD6E8FEB86659FD93))
+        return mix(raw + lengths * np.uint64(_LENGTH_FACTOR))

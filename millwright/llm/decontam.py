@@ -18,9 +18,11 @@ from __future__ import annotations
 
 import math
 import re
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -140,6 +142,29 @@ class Sketches:
                 found.append((text, item_id, len(shingles), shared))
         return found
 
+    def contained_in_slices(self, texts: list[str]) -> list[tuple[int, int, int, int]]:
+        """:meth:`contained` over slices of bounded size."""
+        found, low = [], 0
+        while low < len(texts):
+            high, held = low, 0
+            while high < len(texts) and (high == low or held < _SLICE_CHARS):
+                held += len(texts[high])
+                high += 1
+            found += [(low + text, *rest) for text, *rest in self.contained(texts[low:high])]
+            low = high
+        return found
+
+
+def _item_blocks(items: DataFrame, block_bytes: int) -> Iterator[Broadcast]:
+    """The items in blocks of about so many bytes, each sent to all executors."""
+    own = items.filter(F.col("text").isNotNull()).select("item_id", "text").distinct()
+    size = own.agg(F.sum(F.octet_length("text")).alias("bytes")).first()["bytes"] or 0
+    blocks = max(1, -(-size // block_bytes))
+    block = F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks))
+    for k in range(blocks):
+        texts = [(r.item_id, r.text) for r in own.filter(block == k).collect()]
+        yield items.sparkSession.sparkContext.broadcast(texts)
+
 
 _PAIRS = "item_id bigint, doc_id bigint, n_shingles bigint, n_shared bigint"
 
@@ -158,31 +183,17 @@ def contained_items(
     null texts and empty tables match nothing. Repeated items count once; documents with equal
     or null ids are rows of their own, so that a pair can occur more than once.
     """
-    spark = documents.sparkSession
-    own = items.filter(F.col("text").isNotNull()).select("item_id", "text").distinct()
-    size = own.agg(F.sum(F.octet_length("text")).alias("bytes")).first()["bytes"] or 0
-    blocks = max(1, -(-size // block_bytes))
-    block = F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks))
     found = []
-    for k in range(blocks):
-        texts = [(r.item_id, r.text) for r in own.filter(block == k).collect()]
-        shared = spark.sparkContext.broadcast(texts)
+    for shared in _item_blocks(items, block_bytes):
 
         def searched(batches, shared=shared):
             sketches = Sketches(shared.value, shingle_words, threshold)
             for batch in batches:
                 ids, texts = batch.column("doc_id"), texts_of(batch.column("text"))
-                low, rows = 0, []
-                while low < len(texts):
-                    high, held = low, 0
-                    while high < len(texts) and (high == low or held < _SLICE_CHARS):
-                        held += len(texts[high])
-                        high += 1
-                    rows += [
-                        (item, ids[low + text].as_py(), n, shared_n)
-                        for text, item, n, shared_n in sketches.contained(texts[low:high])
-                    ]
-                    low = high
+                rows = [
+                    (item, ids[text].as_py(), n, shared_n)
+                    for text, item, n, shared_n in sketches.contained_in_slices(texts)
+                ]
                 columns = list(zip(*rows, strict=True)) or [[]] * 4
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, pa.int64()) for c in columns],
@@ -196,7 +207,24 @@ def contained_items(
     return pairs
 
 
-def without_items(documents: DataFrame, items: DataFrame, **bounds) -> DataFrame:
-    """The documents that contain no item; all their columns."""
-    hit = contained_items(documents, items, **bounds).select("doc_id").distinct()
-    return documents.join(hit, "doc_id", "left_anti")
+def without_items(
+    documents: DataFrame,
+    items: DataFrame,
+    *,
+    shingle_words: int = SHINGLE_WORDS,
+    threshold: float = THRESHOLD,
+    block_bytes: int = BLOCK_BYTES,
+) -> DataFrame:
+    """The documents that contain no item, with all their columns; nothing is shuffled."""
+    for shared in _item_blocks(items, block_bytes):
+
+        def clean(batches, shared=shared):
+            sketches = Sketches(shared.value, shingle_words, threshold)
+            for batch in batches:
+                texts = texts_of(batch.column("text"))
+                keep = np.ones(len(texts), bool)
+                keep[[text for text, *_ in sketches.contained_in_slices(texts)]] = False
+                yield batch.filter(pa.array(keep))
+
+        documents = documents.mapInArrow(clean, documents.schema)
+    return documents

@@ -44,7 +44,7 @@ _NOISE_WORDS = "read more here and there about some other things that we sell or
 
 
 def _noise(*names: str) -> str:
-    return "".join(f'<div class="{n}"><p>{_NOISE_WORDS}</p></div>' for n in names)
+    return "".join(f'<div class="{n}"><span>{_NOISE_WORDS}</span></div>' for n in names)
 
 
 LABELLED_PAGES = (
@@ -55,14 +55,14 @@ LABELLED_PAGES = (
     # Site header, side bar, notice, reader comments inside and outside of the article.
     f'<body><header class="site-header masthead"><h1>Site</h1><div id="logo">name</div></header>'
     f'<main><ul class="breadcrumb">{_LINKS}</ul>{_ARTICLE}</article></main>'
-    f'<aside class="sidebar"><h3>Also</h3><ul>{_LINKS}</ul><p>{_NOISE_WORDS}</p></aside>'
+    f'<aside class="sidebar"><h3>Also</h3><ul>{_LINKS}</ul><span>{_NOISE_WORDS}</span></aside>'
     + _noise("cookie notice consent", "comments", "comment reply", "banner advert ads advertisement")
-    + f'<section id="comments"><h2>Comments</h2><p>{_NOISE_WORDS}</p></section></body>',
+    + f'<section id="comments"><h2>Comments</h2><span>{_NOISE_WORDS}</span></section></body>',
     # Articles without article or main elements.
     f'<body><div id="menu" class="menu navbar navigation">{_LINKS}</div><div id="content">'
     f"<div data-content><h1>A title</h1>{_SENTENCES}<ul><li>first of the points made</li>"
     f"<li>second of the points made</li></ul><blockquote>What they said about it</blockquote></div>"
-    f'</div><form action="/s"><label>Search</label><button>Go</button><p>{_NOISE_WORDS}</p></form>'
+    f'</div><form action="/s"><label>Search</label><button>Go</button><span>{_NOISE_WORDS}</span></form>'
     + _noise("footer copyright", "share social", "related recommended", "newsletter subscribe")
     + "</body>",
     f"<body>{_noise('popup modal overlay', 'sponsored promo', 'widget', 'disclaimer', 'alert')}"
@@ -70,12 +70,12 @@ LABELLED_PAGES = (
     f"<pre>code of the text</pre><table><tr><td>cell of it</td><td>and more</td></tr></table></div>"
     f'</div><div class="tags meta byline author date">{_NOISE_WORDS}</div>'
     f'<div role="navigation">{_LINKS}</div><div role="banner contentinfo complementary search">'
-    f"{_NOISE_WORDS}</div><footer><p>{_NOISE_WORDS}</p></footer></body>",
+    f"{_NOISE_WORDS}</div><footer><span>{_NOISE_WORDS}</span></footer></body>",
     # Little else than text.
     f"<html><body data-content><h1>A title</h1>{_SENTENCES * 3}</body></html>",
     # Boilerplate inside an article: the parts with content are labelled one by one.
     f"<body><article><h1 data-content>A title</h1><nav>{_LINKS}</nav><div data-content>{_SENTENCES}"
-    f"</div><aside><p>{_NOISE_WORDS}</p></aside><form><p>{_NOISE_WORDS}</p></form>"
+    f"</div><aside><span>{_NOISE_WORDS}</span></aside><form><span>{_NOISE_WORDS}</span></form>"
     f"<footer>{_NOISE_WORDS}</footer>{_noise('ad', 'comments', 'related', 'sidebar')}"
     f"<section data-content><h2>Part</h2>{_SENTENCES}<ol><li>a point made</li></ol></section>"
     "</article></body>",
@@ -225,7 +225,10 @@ class Weights:
             return 0.0 if stack[-1][2] else -1.0
         return max(-1.0, min(1.0, total + 0.5))
 
-    def tag(self, name: str) -> float:
+    def tag(self, name: str, stack: list) -> float:
+        """Score of a tag; within content, where even a single word stands apart, next to none."""
+        if stack and (stack[-1][2] or self.word(stack) > 0.5):
+            return -0.01
         return self.tags.get(name, -0.5)
 
 
@@ -253,7 +256,7 @@ def main_text(html: str, weights: Weights | None = None) -> str:
     items: list[str | None] = []  # text, "" for a space, None for the end of a block
     for kind, value, stack in walk(html):
         if kind == "tag":
-            scores.append(weights.tag(value))
+            scores.append(weights.tag(value, stack))
             items.append(None if value in _BLOCKS else "" if value in _SPACES else "\0")
         else:
             score = weights.word(stack)

@@ -30,8 +30,8 @@ MAX_LANGUAGES = 64
 LONGEST_SAMPLE = 20_000  # longer texts are sampled only where there are no others
 RIDGE = 1e-2
 UNKNOWN = "und"
-# A third of this lies between a confident prediction and one that no language supports.
-LEAST_SCORE = 0.3
+# Below this no learned language supports a text. Single words of a learned language score more.
+LEAST_SCORE = 0.15
 _DOCS = 128
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _LETTERS: list[np.ndarray] = []
@@ -201,6 +201,26 @@ def predict(documents: DataFrame, model: Model) -> DataFrame:
     return map_batches(rows, ["doc_id", "text", "held_out"], predicted, schema)
 
 
+def supported(documents: DataFrame, model: Model, *, least_score: float = LEAST_SCORE) -> DataFrame:
+    """The documents in a learned language, with all their columns.
+
+    Left out are null texts, texts without a letter and those of too low a score.
+    """
+    shared = documents.sparkSession.sparkContext.broadcast(model)
+
+    def kept(batches):
+        model = shared.value
+        for batch in batches:
+            texts = texts_of(batch.column("text"))
+            keep = np.zeros(len(texts), bool)
+            for low in range(0, len(texts) if model.languages else 0, _DOCS):
+                scores, any_letter = model.scores(texts[low : low + _DOCS])
+                keep[low : low + _DOCS] = any_letter & (scores.max(1) >= least_score)
+            yield batch.filter(pa.array(keep))
+
+    return documents.mapInArrow(kept, documents.schema)
+
+
 def identify(documents: DataFrame, **bounds) -> DataFrame:
     """Train on the labelled rows of ``documents`` and predict all of them."""
     return predict(documents, train(documents, **bounds))

@@ -13,6 +13,7 @@ from millwright.llm import (
     packing,
     quality_rules,
     simhash,
+    suffix_dedup,
     token_binary,
     token_counts,
     warc,
@@ -30,6 +31,11 @@ def query(fn: Query) -> Query:
     return fn
 
 
+@query
+def op1_suffix_dedup(spark, sf):
+    return suffix_dedup.remove_repeats(read_table(spark, sf, "documents"))
+
+
 @query
 def op2_language_id(spark, sf):
     return language_id.identify(read_table(spark, sf, "documents"))
