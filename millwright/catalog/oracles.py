@@ -505,6 +505,12 @@ ORACLES: dict[str, str] = {
     ),
     "mtbf_mttr": over(MTBF + " SELECT * FROM mtbf", "production_v", "downtime_v"),
     "worst_mtbf_topk": over(
+        MTBF
+        + " SELECT * FROM mtbf ORDER BY mtbf_hours, machine_id LIMIT 10",
+        "production_v",
+        "downtime_v",
+    ),
+    "worst_mtbf_failing_topk": over(
         MTBF
         + " SELECT * FROM mtbf WHERE failure_count > 0 ORDER BY mtbf_hours, machine_id LIMIT 10",
         "production_v",
@@ -601,6 +607,25 @@ ORACLES: dict[str, str] = {
             l_quantity DESC
         LIMIT 20000
     """,
+    "sensor_hourly_nan": over(
+        """SELECT machine_id, sensor_type, CAST(date_trunc('hour', timestamp) AS TIMESTAMP) AS hour,
+            round(avg(v), 6) AS mean_value, round(min(v), 6) AS min_value,
+            round(max(v), 6) AS max_value, count(v) AS n_readings
+        FROM (SELECT *, CASE WHEN event_id % 13 <> 0 THEN reading_value END AS v FROM sensor_v)
+        GROUP BY ALL""",
+        "sensor_v",
+    ),
+    "running_sum": over(
+        """SELECT *, CAST(sum(v) OVER (PARTITION BY k ORDER BY event_id
+                ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS running_sum
+        FROM (SELECT event_id, CASE WHEN event_id % 3 = 0 THEN 0 ELSE machine_id END AS k,
+            CASE WHEN event_id % 10 = 0 THEN CAST(1 AS BIGINT) END AS v FROM sensor_v)""",
+        "sensor_v",
+    ),
+    "csv_round_trip": """
+        SELECT doc_id AS id, md5('say "so", \\' || text) AS body, lang FROM documents
+        UNION ALL SELECT n_nationkey, md5(n_name), 'nation' FROM nation
+    """,
     "sensor_hourly": over(
         """SELECT machine_id, sensor_type, CAST(date_trunc('hour', timestamp) AS TIMESTAMP) AS hour,
             round(avg(reading_value), 6) AS mean_value, round(min(reading_value), 6) AS min_value,
@@ -620,6 +645,16 @@ ORACLES: dict[str, str] = {
                     l_returnflag, l_linestatus, l_shipdate) AS copy
             FROM lineitem) WHERE copy = 1
     """,
+    "clean_dedupe_gaps": over(
+        """WITH sent AS (
+            SELECT * FROM sensor_v UNION ALL
+            SELECT * REPLACE (CAST(NULL AS DOUBLE) AS reading_value) FROM sensor_v
+            WHERE event_id % 7 = 0)
+        SELECT * EXCLUDE (copy) FROM (
+            SELECT *, row_number() OVER (PARTITION BY machine_id, sensor_type, timestamp
+                ORDER BY event_id, reading_value NULLS LAST) AS copy FROM sent) WHERE copy = 1""",
+        "sensor_v",
+    ),
     "clean_missing_median": over(
         "SELECT "
         + MINUTES.format(
@@ -709,11 +744,9 @@ ORACLES: dict[str, str] = {
     ),
     "schema_report": over(
         " UNION ALL ".join(
-            f"""SELECT 'events' AS table_name, '{check}' AS check_name, '{column}' AS column_name,
+            f"""(SELECT 'events' AS table_name, '{check}' AS check_name, '{column}' AS column_name,
             '{detail}' AS detail, CAST({violations} AS BIGINT) AS violations
-            FROM raw_events_v {"" if "count(" in violations else "LIMIT 1"}""".join(
-                ("(", ")")
-            )
+            FROM raw_events_v {"" if "count(" in violations else "LIMIT 1"})"""
             for check, column, detail, violations in SCHEMA_CHECKS
         ),
         "raw_events_v",
@@ -787,6 +820,24 @@ ORACLES: dict[str, str] = {
     "out_of_control": over(
         CONTROL + " SELECT event_id, reading_value FROM chart WHERE out_of_control", "sensor_v"
     ),
+    "histogram_by_factory": over(
+        """WITH e AS (
+            SELECT min(cycle_time_actual_seconds) AS low,
+                (max(cycle_time_actual_seconds) - min(cycle_time_actual_seconds)) / 10e0 AS width
+            FROM oee_v),
+        counted AS (
+            SELECT factory_id,
+                CAST(least(floor((cycle_time_actual_seconds - low) / width), 9) AS BIGINT) AS bin,
+                count(*) AS n
+            FROM oee_v CROSS JOIN e GROUP BY 1, 2)
+        SELECT f.factory_id, b.bin, round(low + b.bin * width, 6) AS bin_start,
+            round(low + (b.bin + 1) * width, 6) AS bin_end, coalesce(n, 0) AS "count"
+        FROM (SELECT unnest(generate_series(0, 9)) AS bin) AS b
+        CROSS JOIN (SELECT DISTINCT factory_id FROM oee_v) AS f
+        LEFT JOIN counted ON counted.bin = b.bin AND counted.factory_id = f.factory_id
+        CROSS JOIN e""",
+        "oee_v",
+    ),
     "histogram": over(
         """WITH e AS (
             SELECT min(cycle_time_actual_seconds) AS low,
@@ -828,3 +879,15 @@ ORACLES: dict[str, str] = {
         "oee_v",
     ),
 }
+
+# The pipelines as a whole are the single steps over the cleaned tables.
+ORACLES["plant_factory_kpis"] = ORACLES["clean_kpi_by_factory"]
+
+
+def _over_distinct(sql: str, view: str) -> str:
+    """A statement with the rows of a view taken once each, as cleaning does without a key."""
+    return sql.replace(f"FROM {view}", f"FROM (SELECT DISTINCT * FROM {view})")
+
+
+ORACLES["plant_pareto"] = _over_distinct(ORACLES["pareto"], "defects_v")
+ORACLES["plant_defect_rate"] = _over_distinct(ORACLES["defect_rate"], "inspections_v")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import replace
 
@@ -10,12 +11,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from millwright.functions import expressions as X
-from millwright.operators import checks, cleaning, kpi, limits, reshape, summaries
+from millwright.operators import checks, cleaning, kpi, limits, ordered, reshape, summaries
 from millwright.operators.ordered import fill_gaps
-from millwright.plans.plant import kpi_summary
+from millwright.plans.plant import clean_tables, compute_kpis, kpi_summary
 from millwright.settings import Settings
 from millwright.sources import proxies as P
-from millwright.sources.tables import load_tables, table_overview
+from millwright.sources.staging import staging_root
+from millwright.sources.tables import load_tables, table_overview, write_tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -66,6 +68,23 @@ def scan_tables(spark, sf):
     return table_overview(load_tables(spark, sf, fmt="parquet", names=SAMPLE_TABLES))
 
 
+@query
+def csv_round_trip(spark, sf):
+    """Texts with quotes, commas and line breaks, written as CSV and read back."""
+    folder = f"{staging_root(spark).rstrip('/')}/csv-{uuid.uuid4().hex}"
+    texts = P.table(spark, sf, "documents").select(
+        "doc_id", F.concat(F.lit('say "so", \\'), "text").alias("text"), "lang"
+    )
+    tables = {"nation": P.table(spark, sf, "nation"), "notes": texts}
+    write_tables(tables, folder)
+    back = load_tables(spark, folder, {}, multi_line=True, infer=True)
+    notes = back["notes"].select(F.col("doc_id").alias("id"), F.md5("text").alias("body"), "lang")
+    nations = back["nation"].select(
+        F.col("n_nationkey").alias("id"), F.md5("n_name").alias("body"), F.lit("nation").alias("lang")
+    )
+    return notes.unionByName(nations)
+
+
 # --- row expressions ------------------------------------------------------------------------
 
 
@@ -215,9 +234,12 @@ def mtbf_mttr(spark, sf):
 
 @query
 def worst_mtbf_topk(spark, sf):
-    # Machines without any failure have a time between failures of 0 and are left out here.
-    failing = _mtbf(spark, sf).filter("failure_count > 0")
-    return rounded(kpi.least_reliable(failing, 10))
+    return rounded(kpi.least_reliable(_mtbf(spark, sf), 10))
+
+
+@query
+def worst_mtbf_failing_topk(spark, sf):
+    return rounded(kpi.least_reliable(_mtbf(spark, sf), 10, failing_only=True))
 
 
 @query
@@ -317,6 +339,27 @@ def sensor_hourly(spark, sf):
     return rounded(reshape.sensor_hourly(P.sensors(spark, sf), ["machine_id", "sensor_type"]))
 
 
+@query
+def sensor_hourly_nan(spark, sf):
+    """Readings of NaN are missing ones."""
+    readings = P.sensors(spark, sf).withColumn(
+        "reading_value",
+        F.when(F.col("event_id") % 13 == 0, F.lit(float("nan"))).otherwise(F.col("reading_value")),
+    )
+    return rounded(reshape.sensor_hourly(readings, ["machine_id", "sensor_type"]))
+
+
+@query
+def running_sum(spark, sf):
+    """Running sums with gaps; a third of the rows are under one key."""
+    readings = P.sensors(spark, sf).select(
+        "event_id",
+        F.when(F.col("event_id") % 3 == 0, F.lit(0)).otherwise(F.col("machine_id")).alias("k"),
+        F.when(F.col("event_id") % 10 == 0, F.lit(1).cast("bigint")).alias("v"),
+    )
+    return ordered.running_sum(readings, "v", ["event_id"], partition_by=["k"])
+
+
 # --- cleaning -------------------------------------------------------------------------------
 
 PRODUCTION_SPEC = replace(cleaning.FACT_SPECS["production_records"], order_by=RECORD)
@@ -343,6 +386,12 @@ def clean_dedupe(spark, sf):
     return cleaning.dedupe(P.table(spark, sf, "lineitem"), RECORD)
 
 
+@query
+def clean_dedupe_gaps(spark, sf):
+    """Of several readings under one key the one with a value stays."""
+    return cleaning.dedupe(P.repeated_sensors(spark, sf), ["machine_id", "sensor_type", "timestamp"])
+
+
 @query
 def clean_missing_median(spark, sf):
     filled = cleaning.fill_median(P.production(spark, sf), ["downtime_minutes", "run_time_minutes"])
@@ -372,7 +421,8 @@ def clean_missing_ffill_by_machine(spark, sf):
 
 @query
 def clean_missing_drop(spark, sf):
-    kept = P.production(spark, sf).dropna(subset=["downtime_minutes"])
+    spec = cleaning.CleanSpec("production", numeric_cols=("downtime_minutes",))
+    kept, _ = cleaning.impute(P.production(spark, sf), spec, "drop")
     return kept.select(*RECORD, "machine_id", F.round("downtime_minutes", 6).alias("minutes"))
 
 
@@ -408,6 +458,34 @@ def clean_kpi_by_factory(spark, sf):
     return rounded(kpi.aggregate_kpis(kpi.add_oee_components(cleaned), ["factory_id"]))
 
 
+def _plant_kpis(spark, sf):
+    """The whole way from raw tables to KPI tables."""
+    tables = {
+        "production_records": P.production(spark, sf),
+        "downtime_events": P.downtime(spark, sf),
+        "quality_inspections": P.inspections(spark, sf),
+        "defects": P.defects(spark, sf),
+        "factories": P.table(spark, sf, "nation"),
+    }
+    specs = {**cleaning.FACT_SPECS, "production_records": PRODUCTION_SPEC}
+    return compute_kpis(clean_tables(tables, Settings(), specs)[0])
+
+
+@query
+def plant_factory_kpis(spark, sf):
+    return rounded(_plant_kpis(spark, sf)["factory_kpis"])
+
+
+@query
+def plant_pareto(spark, sf):
+    return rounded(_plant_kpis(spark, sf)["pareto"])
+
+
+@query
+def plant_defect_rate(spark, sf):
+    return rounded(_plant_kpis(spark, sf)["defect_rate_factory"])
+
+
 @query
 def clean_downtime(spark, sf):
     return rounded(_clean(P.downtime(spark, sf), DOWNTIME_SPEC)[0])
@@ -531,6 +609,15 @@ def histogram(spark, sf):
     return rounded(summaries.histogram(with_oee(spark, sf), "cycle_time_actual_seconds"))
 
 
+@query
+def histogram_by_factory(spark, sf):
+    return rounded(
+        summaries.histogram(
+            with_oee(spark, sf), "cycle_time_actual_seconds", 10, by=["factory_id"]
+        )
+    )
+
+
 @query
 def box_stats(spark, sf):
     # OEE values end after a few decimals; at six, rounding would often meet an exact half.

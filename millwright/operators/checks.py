@@ -10,20 +10,31 @@ from pyspark.sql import functions as F
 from millwright.functions.expressions import sum_or_zero, to_number, without_nan
 from millwright.operators.kpi import with_known_keys
 
-# Short dtype names and the Spark types they stand for, as prefixes.
-DTYPE_PREFIXES = {
-    "int": ("tinyint", "smallint", "int", "bigint"),
-    "float": ("float", "double"),
-    "datetime64": ("date", "timestamp"),
-    "datetime": ("date", "timestamp"),
+# Dtype names in use for data frames and the Spark types they stand for.
+_WHOLE = ("tinyint", "smallint", "int", "bigint")
+_FRACTIONAL = ("float", "double")
+_TIMES = ("date", "timestamp", "timestamp_ntz")
+DTYPES = {
+    "int": _WHOLE,
+    "int8": ("tinyint",),
+    "int16": ("smallint",),
+    "int32": ("int",),
+    "int64": ("bigint",),
+    "float": _FRACTIONAL,
+    "float32": ("float",),
+    "float64": ("double",),
+    "datetime": _TIMES,
+    "datetime64": _TIMES,
+    "datetime64[ns]": _TIMES,
     "object": ("string",),
+    "str": ("string",),
     "category": ("string",),
     "bool": ("boolean",),
 }
 
 
 def _dtype_matches(actual: str, expected: str) -> bool:
-    return actual.startswith(DTYPE_PREFIXES.get(expected, (expected,)))
+    return actual in DTYPES.get(expected, (expected,))
 
 
 def _converted(column: str, kind: str) -> Column:
@@ -106,8 +117,14 @@ def null_profile(
 ) -> DataFrame:
     """Nulls per column against a threshold, and the row count against a minimum.
 
-    One pass over the table; one output row per column.
+    One pass over the table; one output row per column, so none for a table without columns.
     """
+    if not df.columns:
+        return df.sparkSession.createDataFrame(
+            [],
+            "table_name string, row_count bigint, column_count bigint, column_name string, "
+            "null_count bigint, null_pct double, too_many_nulls boolean, too_few_rows boolean",
+        )
     clean = without_nan(df)
     counted = clean.agg(
         F.count(F.lit(1)).alias("_rows"),
@@ -132,7 +149,7 @@ def validate_data_quality(
 ) -> dict:
     """The null profile as one mapping with warnings and errors as text."""
     rows = null_profile(df, table, max_null_pct=max_null_pct, min_rows=min_rows).collect()
-    count = rows[0]["row_count"]
+    count = rows[0]["row_count"] if rows else df.count()
     return {
         "table_name": table,
         "row_count": count,

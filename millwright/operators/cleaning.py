@@ -20,6 +20,7 @@ from millwright.operators.ordered import fill_gaps
 from millwright.operators.quantiles import exact_medians
 from millwright.settings import Settings
 from millwright.sources.staging import stage
+from millwright.sources.tables import INGEST_POSITION
 
 SENTINEL = "UNKNOWN"
 
@@ -29,8 +30,10 @@ class CleanSpec:
     """Column roles of one table.
 
     ``order_by`` stands for the file order of the rows: it decides which of several duplicates
-    is the first one and is required by the ``ffill`` strategy. ``fill_within`` restricts
-    filling to groups (per machine, say). Columns a table lacks are passed over.
+    is the first one and is required by the ``ffill`` strategy. Tables read with their ingest
+    position (see :func:`millwright.sources.tables.load_tables`) are deduplicated by that first.
+    ``fill_within`` restricts filling to groups (per machine, say). Columns a table lacks are
+    passed over.
     """
 
     table: str
@@ -137,16 +140,18 @@ def dedupe(
 ) -> DataFrame:
     """Keep the first row per key; without keys, one of each set of identical rows.
 
-    Null keys equal each other. "First" follows ``order_by`` and then the other columns. The
-    row limit per key is applied before the shuffle too, so a key repeated many times moves
-    only one row per input partition.
+    Null keys equal each other. "First" follows the ingest position, if the table has one, then
+    ``order_by`` and then the other columns, so that of two copies the one with a value stays:
+    nulls come last. The row limit per key is applied before the shuffle too, so a key repeated
+    many times moves only one row per input partition.
     """
     keys = _present(df, keys or ())
-    order_by = _present(df, order_by)
-    order = [*order_by, *[c for c in df.columns if c not in keys and c not in order_by]]
+    order_by = _present(df, [INGEST_POSITION, *order_by])
+    columns = [c for c in df.columns if c != INGEST_POSITION]
+    order = [*order_by, *[c for c in columns if c not in keys and c not in order_by]]
     if not keys or not order:
-        return df.dropDuplicates()
-    first = Window.partitionBy(*keys).orderBy(*order)
+        return df.dropDuplicates(columns)
+    first = Window.partitionBy(*keys).orderBy(*[F.col(c).asc_nulls_last() for c in order])
     return (
         df.withColumn("_copy", F.row_number().over(first)).filter("_copy = 1").drop("_copy")
     )
@@ -167,11 +172,13 @@ def fill_with(df: DataFrame, values: Mapping[str, object]) -> DataFrame:
 
 
 def fill_median(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    df = without_nan(df, columns)
     medians = {row["column"]: row["median"] for row in exact_medians(df, columns).collect()}
     return fill_with(df, medians)
 
 
 def fill_mean(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    df = without_nan(df, columns)
     return fill_with(df, df.agg(*[F.avg(c).alias(c) for c in columns]).first().asDict())
 
 
@@ -216,11 +223,15 @@ def enforce_non_negative(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 @dataclass(frozen=True)
 class CleaningReport:
-    """What cleaning changed. Counts are computed when asked for."""
+    """What cleaning changed.
+
+    The counts of rows and gaps were observed while the deduplicated rows were written; what
+    came out is counted when asked for.
+    """
 
     table: str
-    raw: DataFrame
-    deduped: DataFrame
+    rows_before: int
+    rows_deduped: int
     cleaned: DataFrame
     filled: Mapping[str, int]
     flags: Sequence[str]
@@ -234,12 +245,7 @@ class CleaningReport:
 
     def metrics(self) -> DataFrame:
         """``(table_name, metric, column_name, value)``: one row per count."""
-        rows = F.count(F.lit(1)).alias("rows")
-        counted = self.cleaned.agg(*self._after()).select(
-            self.raw.agg(rows).scalar().alias("rows_before"),
-            self.deduped.agg(rows).scalar().alias("rows_deduped"),
-            "*",
-        )
+        counted = self.cleaned.agg(*self._after())
 
         def metric(name: str, value: Column, column: str = "") -> Column:
             return F.struct(
@@ -250,9 +256,9 @@ class CleaningReport:
             )
 
         entries = [
-            metric("rows_before", F.col("rows_before")),
+            metric("rows_before", F.lit(self.rows_before)),
             metric("rows_after", F.col("rows_after")),
-            metric("duplicates_removed", F.col("rows_before") - F.col("rows_deduped")),
+            metric("duplicates_removed", F.lit(self.rows_before - self.rows_deduped)),
             *[metric("missing_filled", F.lit(n), c) for c, n in self.filled.items()],
             *[
                 metric("outliers_flagged", F.col(c), c.removesuffix("_is_outlier"))
@@ -292,16 +298,22 @@ def _drop_in_turn(df: DataFrame, columns: Sequence[str]) -> tuple[DataFrame, dic
 
 
 def impute(
-    df: DataFrame, spec: CleanSpec, strategy: str = "median"
+    df: DataFrame,
+    spec: CleanSpec,
+    strategy: str = "median",
+    missing: Mapping[str, int] | None = None,
 ) -> tuple[DataFrame, dict[str, int]]:
-    """Fill or drop missing values; returns the count of missing values per changed column."""
+    """Fill or drop missing values; returns the count of missing values per changed column.
+
+    ``missing`` gives these counts where they are known already.
+    """
     numeric = _present(df, spec.numeric_cols)
     text = _text_columns(df, spec.category_cols)
     if strategy == "drop":
-        df, missing = _drop_in_turn(df, numeric)
-        missing = missing | null_counts(df, text)
+        df, dropped = _drop_in_turn(df, numeric)
+        missing = dropped | null_counts(df, text)
     else:
-        missing = null_counts(df, [*numeric, *text])
+        missing = dict(missing or null_counts(df, [*numeric, *text]))
         gaps = [c for c in numeric if missing[c]]
         if gaps and strategy == "median":
             df = fill_median(df, gaps)
@@ -321,17 +333,26 @@ def clean(
     """Coerce, deduplicate, impute, flag outliers and clamp, in this order.
 
     The deduplicated rows are staged once, because the fill values, the outlier statistics
-    and the result each read them.
+    and the result each read them. The rows before and after and the gaps are counted by that
+    same write, so the raw input is read once.
     """
     settings = settings or Settings()
     coerced = coerce_types(
         df,
         date_cols=spec.date_cols,
         numeric_cols=spec.numeric_cols,
-        date_formats=spec.date_formats,
+        date_formats={**settings.date_formats, **spec.date_formats},
+    )
+    raw, unique = Observation(), Observation()
+    rows = F.count(F.lit(1)).alias("rows")
+    gaps = [*_present(coerced, spec.numeric_cols), *_text_columns(coerced, spec.category_cols)]
+    first = dedupe(coerced.observe(raw, rows), settings.dedupe_keys.get(spec.table), spec.order_by)
+    counted = first.drop(INGEST_POSITION).observe(
+        unique, rows, *[F.count_if(F.col(c).isNull()).alias(f"null {c}") for c in gaps]
     )
-    deduped = stage(dedupe(coerced, settings.dedupe_keys.get(spec.table), spec.order_by))
-    imputed, filled = impute(deduped, spec, settings.missing_value_strategy)
+    deduped = stage(counted)
+    nulls = {c: unique.get[f"null {c}"] for c in gaps}
+    imputed, filled = impute(deduped, spec, settings.missing_value_strategy, nulls)
     flagged = flag_outliers(imputed, spec.outlier_cols, settings.outlier_z_threshold)
     cleaned = enforce_non_negative(flagged, spec.non_negative_cols)
     kinds = (
@@ -341,8 +362,8 @@ def clean(
     )
     report = CleaningReport(
         table=spec.table,
-        raw=df,
-        deduped=deduped,
+        rows_before=raw.get["rows"],
+        rows_deduped=unique.get["rows"],
         cleaned=cleaned,
         filled=filled,
         flags=[f"{c}_is_outlier" for c in _present(df, spec.outlier_cols)],

@@ -147,9 +147,12 @@ def aggregate_kpis_by_grain(production_with_oee: DataFrame, grains: Sequence[str
 def weighted_matrix(
     df: DataFrame, rows: str, columns: str, values: Sequence, rate: str, weight: str
 ) -> DataFrame:
-    """Heatmap input: one row per ``rows`` value, one column per listed ``columns`` value."""
+    """Heatmap input: one row per ``rows`` value, one column per listed ``columns`` value.
+
+    Records whose ``columns`` value is not listed are left out.
+    """
     return (
-        with_known_keys(df, [rows, columns])
+        with_known_keys(without_nan(df, [rate, weight]), [rows, columns])
         .groupBy(rows)
         .pivot(columns, list(values))
         .agg(weighted_avg(rate, weight))
@@ -191,8 +194,15 @@ def calculate_mtbf_mttr(
     )
 
 
-def least_reliable(mtbf: DataFrame, k: int = 10, key: str = "machine_id") -> DataFrame:
-    """The ``k`` groups with the shortest time between failures."""
+def least_reliable(
+    mtbf: DataFrame, k: int = 10, key: str = "machine_id", *, failing_only: bool = False
+) -> DataFrame:
+    """The ``k`` groups with the shortest time between failures.
+
+    Groups without any failure have a time of 0 and come first; ``failing_only`` leaves them out.
+    """
+    if failing_only:
+        mtbf = mtbf.filter("failure_count > 0")
     return mtbf.orderBy("mtbf_hours", key).limit(k)
 
 
@@ -244,7 +254,7 @@ def vital_few(pareto: DataFrame, *, line: float = PARETO_LINE) -> DataFrame:
 
 def headline_kpis(production_with_oee: DataFrame, date_col: str = "date") -> DataFrame:
     """Unweighted row means of the headline KPIs and the reporting period, in one row."""
-    return production_with_oee.agg(
+    return without_nan(production_with_oee, HEADLINE_KPIS).agg(
         *[F.avg(c).alias(c) for c in HEADLINE_KPIS],
         day_text(F.min(date_col)).alias("period_start"),
         day_text(F.max(date_col)).alias("period_end"),
@@ -258,9 +268,9 @@ def percent_table(
     return kpis.select(*keys, *[percent_text(c).alias(c) for c in columns])
 
 
-def series(kpis: DataFrame, x: str, y: str) -> DataFrame:
-    """Two-column series behind a trend or bar chart, ordered by ``x``."""
-    return kpis.select(x, y).orderBy(x)
+def series(kpis: DataFrame, x: str, y: str, *, by: Sequence[str] = ()) -> DataFrame:
+    """Series behind a trend or bar chart, ordered by ``x``; one line per ``by`` group."""
+    return kpis.select(*by, x, y).orderBy(*by, x)
 
 
 def with_month(df: DataFrame, date_col: str = "date") -> DataFrame:

@@ -1,11 +1,11 @@
 """Order-dependent operators that stay parallel whatever the size of a group.
 
 A plain window over the whole table, or over a key that holds a large share of the rows, runs
-in one task. Each operator here first stages its input and looks at the row count. Up to
-``SMALL_ROWS`` a plain window does. Beyond, the rows are sorted across the cluster and staged
-again with the number of the sorted partition they fell in (the *chunk*) and their position
-in it. Windows then run per chunk, so no task sees more than a chunk, and what has to cross a
-chunk boundary is carried over a summary with one row per chunk and key.
+in one task. Each operator here stages its input, sorts the rows across the cluster and stages
+them again with the number of the sorted partition they fell in (the *chunk*) and their
+position in it. Windows then run per chunk, so no task sees more than a chunk, and what has to
+cross a chunk boundary is carried over a summary with one row per chunk and key. There is one
+form for every size: adaptive execution makes one chunk out of little data.
 
 Ties in the given order are broken by the staged address of the rows. That makes the sort
 repeatable when a task is retried, and spreads even a large group of identical rows over many
@@ -19,12 +19,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millwright.functions.expressions import ColumnOrName, as_column
+from millwright.functions.expressions import ColumnOrName, as_column, without_nan
 from millwright.sources.staging import FILE_COLUMN, ROW_COLUMN, stage
 
-# So many rows can be sorted by one task, wherever it runs.
-SMALL_ROWS = 1_000_000
-
 CHUNK = "_chunk"
 POSITION = "_position"
 _ADDRESS = "_address"
@@ -33,11 +30,6 @@ _KEY = "_key"
 _PARTITION_BIT = 33
 
 
-def fits_one_task(staged: DataFrame) -> bool:
-    """Whether a staged table is small; its row count comes from the file footers."""
-    return staged.count() <= SMALL_ROWS
-
-
 def _visible(staged: DataFrame) -> list[str]:
     return [c for c in staged.columns if c not in (FILE_COLUMN, ROW_COLUMN)]
 
@@ -100,16 +92,6 @@ def running_sum_of_staged(
 ) -> DataFrame:
     """:func:`running_sum` of a table staged with row ids."""
     keys, value = list(partition_by), as_column(value)
-    if fits_one_task(staged):
-        group = Window.partitionBy(*keys)
-        upto = group.orderBy(*_total_order(order_by)).rowsBetween(
-            Window.unboundedPreceding, Window.currentRow
-        )
-        sums = {out: F.sum(value).over(upto)}
-        if total is not None:
-            sums[total] = F.sum(value).over(group)
-        return staged.select(*_visible(staged), *[c.alias(name) for name, c in sums.items()])
-
     chunks, part = _with_key(ordered_chunks(staged, [*keys, *order_by]), keys)
     chunks = chunks.withColumn("_value", value)
     # One row per chunk and key: at most the number of sort partitions plus that of keys.
@@ -120,7 +102,7 @@ def running_sum_of_staged(
         .agg(F.sum("_value").alias("_chunk_sum"))
         .select(
             *part,
-            F.coalesce(F.sum("_chunk_sum").over(earlier), F.lit(0)).alias("_before"),
+            F.sum("_chunk_sum").over(earlier).alias("_before"),
             F.sum("_chunk_sum").over(by_key).alias("_whole"),
         )
     )
@@ -131,7 +113,9 @@ def running_sum_of_staged(
     )
     summed = chunks.withColumn("_local", F.sum("_value").over(within))
     columns = [F.col(c) for c in _visible(staged)]
-    columns.append((F.col("_before") + F.col("_local")).alias(out))
+    # Either side is null as long as it has had no value; so is the sum over both.
+    before, local = F.col("_before"), F.col("_local")
+    columns.append(F.coalesce(before + local, local, before).alias(out))
     if total is not None:
         columns.append(F.col("_whole").alias(total))
     return summed.join(carried, part, "left").select(*columns)
@@ -139,11 +123,13 @@ def running_sum_of_staged(
 
 def number_rows(df: DataFrame, order_by: Sequence[ColumnOrName], *, out: str = "seq") -> DataFrame:
     """Number all rows 1..n in the given order, without gaps."""
-    staged = stage(df, row_ids=True)
-    if fits_one_task(staged):
-        number = F.row_number().over(Window.orderBy(*_total_order(order_by)))
-        return staged.select(*df.columns, number.cast("bigint").alias(out))
+    return number_rows_of_staged(stage(df, row_ids=True), order_by, out=out)
 
+
+def number_rows_of_staged(
+    staged: DataFrame, order_by: Sequence[ColumnOrName], *, out: str = "seq"
+) -> DataFrame:
+    """:func:`number_rows` of a table staged with row ids."""
     chunks = ordered_chunks(staged, order_by)
     earlier = Window.orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
@@ -153,7 +139,7 @@ def number_rows(df: DataFrame, order_by: Sequence[ColumnOrName], *, out: str = "
     )
     # One row per sort partition, so the broadcast is bounded by the partition count.
     return chunks.join(F.broadcast(offsets), CHUNK).select(
-        *df.columns, (F.col("_before") + F.col(POSITION) + 1).cast("bigint").alias(out)
+        *_visible(staged), (F.col("_before") + F.col(POSITION) + 1).cast("bigint").alias(out)
     )
 
 
@@ -164,22 +150,16 @@ def fill_gaps(
     *,
     partition_by: Sequence[str] = (),
 ) -> DataFrame:
-    """Fill nulls with the last value before them, leading nulls with the first after them."""
+    """Fill nulls with the last value before them, leading nulls with the first after them.
+
+    NaN is a missing value too.
+    """
     keys = list(partition_by)
-    staged = stage(df, row_ids=True)
+    staged = stage(without_nan(df, columns), row_ids=True)
 
     def pick(fn, c: str, frame) -> Column:
         return fn(c, ignorenulls=True).over(frame)
 
-    if fits_one_task(staged):
-        ordered = Window.partitionBy(*keys).orderBy(*_total_order(order_by))
-        before = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        group = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-        filled = {
-            c: F.coalesce(pick(F.last, c, before), pick(F.first, c, group)) for c in columns
-        }
-        return staged.select(*[filled[c].alias(c) if c in filled else c for c in df.columns])
-
     chunks, part = _with_key(ordered_chunks(staged, [*keys, *order_by]), keys)
 
     def present(c: str) -> Column:

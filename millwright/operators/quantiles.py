@@ -1,15 +1,23 @@
-"""Exact quantiles whose memory does not grow with the number of distinct values."""
+"""Counted values and exact quantiles whose memory does not grow with the number of values."""
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millwright.operators.ordered import fits_one_task, running_sum_of_staged
+from millwright.functions.expressions import without_nan
+from millwright.operators.ordered import running_sum_of_staged
 from millwright.sources.staging import stage
 
+# Rank error of the first look at a column, as a share of its rows.
+RANK_ERROR = 1e-4
+# Statistics of a group are joined to its rows in so many copies, so that the rows of a group
+# holding much of a table are dealt to as many tasks.
+SALTS = 16
+
 
 def staged_counts(df: DataFrame, column: str, *, by: Sequence[str] = ()) -> DataFrame:
     """Rows per distinct non-null value (and group), combined before the shuffle; staged.
@@ -21,44 +29,106 @@ def staged_counts(df: DataFrame, column: str, *, by: Sequence[str] = ()) -> Data
     return stage(counts, row_ids=True).filter(F.col(column).isNotNull())
 
 
-def quantiles_of_counts(
-    counts: DataFrame, quantiles: Mapping[str, float], *, by: Sequence[str] = ()
-) -> DataFrame:
-    """Quantiles with linear interpolation out of staged counts of ``value``, one row per group.
+def with_group_statistics(rows: DataFrame, stats: DataFrame, by: Sequence[str], spread: str) -> DataFrame:
+    """Append a group's statistics (one row per group) to its rows; null keys are groups too.
 
-    The built-in ``percentile`` keeps a map of all distinct values of a group in one task, so
-    it is used for a small table of counts only. Otherwise the values are sorted over the
-    cluster, and those around each rank are picked by their cumulative counts: a value with
-    count c takes the c ranks that end at its cumulative count.
+    Rows are dealt out by group and by the value of ``spread``, so a large group is not one
+    task's; small statistics are broadcast by their measured size as in any join.
     """
-    if fits_one_task(counts):
-        return counts.groupBy(*by).agg(
-            *[F.percentile("value", q, F.col("count")).alias(name) for name, q in quantiles.items()]
-        )
-    ranked = running_sum_of_staged(
-        counts, "count", ["value"], partition_by=by, out="upto", total="n"
+    added = [c for c in stats.columns if c not in by]
+    if not by:
+        one = stats.agg(F.first(F.struct(*added)).alias("s")).scalar()
+        return rows.withColumns({c: one.getField(c) for c in added})
+    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(SALTS)))
+    copies = stats.select(
+        *[F.col(k).alias(f"_group_{k}") for k in by],
+        *added,
+        F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))).alias("_copy"),
     )
-    picks, results = [], []
+    same = [F.col(k).eqNullSafe(F.col(f"_group_{k}")) for k in by]
+    same.append(F.col("_salt") == F.col("_copy"))
+    joined = salted.join(copies, reduce(lambda a, b: a & b, same))
+    return joined.select(*rows.columns, *added)
+
+
+def _brackets(values: DataFrame, quantiles: Mapping[str, float], by: Sequence[str], error: float) -> DataFrame:
+    """Per group its row count and, per quantile, two values that its ranks should lie between."""
+
+    def near(share: float) -> Column:
+        if share <= 0:
+            return F.min("value")
+        if share >= 1:
+            return F.max("value")
+        return F.approx_percentile("value", share, int(1 / RANK_ERROR))
+
+    bounds = []
     for name, share in quantiles.items():
-        rank = (F.col("n") - 1) * F.lit(share)
-        low, high = F.col(f"_low_{name}"), F.col(f"_high_{name}")
-        for side, wanted in ((f"_low_{name}", F.floor(rank)), (f"_high_{name}", F.ceil(rank))):
-            covers = (F.col("upto") - F.col("count") <= wanted) & (wanted < F.col("upto"))
-            picks.append(F.max(F.when(covers, F.col("value"))).alias(side))
-        results.append((low + (high - low) * (rank - F.floor(rank))).alias(name))
-    picked = ranked.groupBy(*by).agg(F.max("n").alias("n"), *picks)
-    return picked.select(*by, *results)
+        bounds.append(near(share - 2 * error).alias(f"_low_{name}"))
+        bounds.append(near(share + 2 * error).alias(f"_high_{name}"))
+    return values.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), *bounds)
 
 
 def exact_quantiles(
     df: DataFrame, column: str, quantiles: Mapping[str, float], *, by: Sequence[str] = ()
 ) -> DataFrame:
-    """Exact quantiles of ``column``, one row per group.
+    """Exact quantiles of ``column`` with linear interpolation, one row per group.
 
-    ``quantiles`` maps output names to shares in [0, 1].
+    ``quantiles`` maps output names to shares in [0, 1]; null and NaN are left out. A first
+    pass brackets each quantile by approximate ones. A second pass counts the values below the
+    bracket and keeps those inside, a small share of the rows, whose cumulative counts give
+    the values at the ranks. Should a rank lie outside its bracket, the brackets are widened.
     """
-    values = df.select(*by, F.col(column).cast("double").alias("value"))
-    return quantiles_of_counts(staged_counts(values, "value", by=by), quantiles, by=by)
+    by = list(by)
+    raw = df.select(*by, F.col(column).cast("double").alias("value"))
+    values = without_nan(raw, ["value"]).filter(F.col("value").isNotNull())
+    error = RANK_ERROR
+    while True:
+        brackets = stage(_brackets(values, quantiles, by, error))
+        bounds = with_group_statistics(values, brackets, by, "value")
+        looked = F.array_compact(
+            F.array(
+                *[
+                    F.when(
+                        F.col("value") <= F.col(f"_high_{name}"),
+                        F.struct(
+                            F.lit(name).alias("name"),
+                            # Null stands for all values below the bracket.
+                            F.when(F.col("value") >= F.col(f"_low_{name}"), F.col("value")).alias("at"),
+                        ),
+                    )
+                    for name in quantiles
+                ]
+            )
+        )
+        kept = bounds.select(*by, "n", F.explode(looked).alias("_look")).groupBy(
+            *by, F.col("_look.name").alias("_name"), F.col("_look.at").alias("value")
+        ).agg(F.first("n").alias("n"), F.count(F.lit(1)).alias("count"))
+        ranked = running_sum_of_staged(
+            stage(kept, row_ids=True),
+            "count",
+            [F.col("value").asc_nulls_first()],
+            partition_by=[*by, "_name"],
+            out="upto",
+        )
+        share = F.create_map(*[F.lit(x) for pair in quantiles.items() for x in pair])[F.col("_name")]
+        rank = (F.col("n") - 1) * share
+
+        def at(wanted: Column) -> Column:
+            covers = (F.col("upto") - F.col("count") <= wanted) & (wanted < F.col("upto"))
+            return F.max(F.when(covers, F.col("value")))
+
+        found = ranked.groupBy(*by, "_name").agg(
+            at(F.floor(rank)).alias("low"), at(F.ceil(rank)).alias("high"), F.max(rank).alias("rank")
+        )
+        found = stage(found)
+        if error >= 1 or found.filter("low IS NULL OR high IS NULL").isEmpty():
+            break
+        error *= 100
+    low, high = F.col("low"), F.col("high")
+    value = low + (high - low) * (F.col("rank") - F.floor("rank"))
+    return found.groupBy(*by).agg(
+        *[F.max(F.when(F.col("_name") == name, value)).alias(name) for name in quantiles]
+    )
 
 
 def exact_medians(df: DataFrame, columns: Sequence[str]) -> DataFrame:

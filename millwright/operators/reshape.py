@@ -14,14 +14,16 @@ from millwright.functions.expressions import (
     hour_of,
     map_lookup,
     padded_key,
+    without_nan,
 )
 from millwright.operators.kpi import with_known_keys
-from millwright.operators.ordered import number_rows, running_sum
+from millwright.operators.ordered import number_rows, number_rows_of_staged, running_sum
+from millwright.sources.staging import stage
 
-# A top-k gathers so many rows of each input partition in one task; that has to stay small.
-TOP_K_ROWS = 100
 # Rank error of the cut-off search, as a share of the rows.
 CUTOFF_ERROR = 1e-4
+# Cut-offs that are looked at: those above which 1/2, 1/4, 1/8, ... of the rows lie.
+CUTOFFS = 12
 EXPAND_BLOCK = 100_000
 
 
@@ -41,15 +43,26 @@ def unpivot_sensors(
 def expand_units(df: DataFrame, count: str, *, index: str = "unit_no") -> DataFrame:
     """One child row per counted unit: a row with count n becomes n rows numbered 1..n.
 
-    Large counts are expanded block by block, so no long array is built.
+    Counts up to a block expand where they are. Larger ones are cut into blocks, which are
+    dealt out over the cluster before they expand, so no task expands a whole large count and
+    no long array is built.
     """
-    n, block = F.col(count).cast("bigint"), F.lit(EXPAND_BLOCK)
-    blocks = df.filter(n > 0).select(
-        "*", F.explode(F.sequence(F.lit(0).cast("bigint"), n - 1, block)).alias("_from")
+    n, block = F.col(count).cast("bigint"), F.lit(EXPAND_BLOCK).cast("bigint")
+    zero, one = F.lit(0).cast("bigint"), F.lit(1).cast("bigint")
+    small = df.filter((n > 0) & (n <= block)).select(
+        *df.columns, F.explode(F.sequence(one, n)).alias(index)
     )
+    # Blocks of blocks first: the arrays stay short for any count.
+    large = df.filter(n > block).withColumn("_row", F.monotonically_increasing_id())
+    outer = block * F.lit(EXPAND_BLOCK)
+    spans = large.select("*", F.explode(F.sequence(zero, n - 1, outer)).alias("_span"))
+    ends = F.least(F.col("_span") + outer, n) - 1
+    blocks = spans.select("*", F.explode(F.sequence(F.col("_span"), ends, block)).alias("_from"))
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = blocks.repartition(partitions, "_row", "_from")
     last = F.least(F.col("_from") + block, n)
-    return blocks.select(
-        *df.columns, F.explode(F.sequence(F.col("_from") + 1, last)).alias(index)
+    return small.unionByName(
+        dealt.select(*df.columns, F.explode(F.sequence(F.col("_from") + 1, last)).alias(index))
     )
 
 
@@ -144,39 +157,44 @@ def missing_slots(grid: DataFrame, production: DataFrame) -> DataFrame:
 def tail_extract(df: DataFrame, order_by: Sequence[str], n: int) -> DataFrame:
     """The last ``n`` rows in the given order, in that order.
 
-    A small ``n`` is a top-k. A large one (a spreadsheet's row limit) would gather ``n`` rows
-    of every partition in one task, so there the rows that can be among the last are kept by
-    a cut-off on the leading column and numbered over the cluster.
+    Rows that can be among the last are found by a cut-off on the leading column, staged, and
+    numbered over the cluster, so that neither a large ``n`` nor a large table meets in one task.
     """
-    if n <= TOP_K_ROWS:
-        last = [F.col(c).desc_nulls_last() for c in order_by]
-        return df.orderBy(*last).limit(n).orderBy(*order_by)
-    numbered = number_rows(_tail_candidates(df, order_by[0], n), order_by, out="_seq")
+    candidates = _tail_candidates(df, order_by[0], n)
+    numbered = number_rows_of_staged(candidates, order_by, out="_seq")
     rows = numbered.agg(F.max("_seq")).scalar()
     return numbered.filter(F.col("_seq") > rows - F.lit(n)).orderBy("_seq").select(*df.columns)
 
 
 def _tail_candidates(df: DataFrame, lead: str, n: int) -> DataFrame:
-    """A superset of the last ``n`` rows by ``lead``, usually little larger.
+    """A superset of the last ``n`` rows by ``lead``, staged with row ids.
 
-    The cut-off is an approximate quantile taken low enough; should the rows above it be
-    fewer than ``n`` after all, every row stays a candidate.
+    One pass looks at the row count and a series of approximate quantiles; the highest one
+    with enough rows above it is the cut-off. Should the rows above it be too few after all,
+    the next lower one is tried, and at last all rows are candidates.
     """
-    if not isinstance(df.schema[lead].dataType, NumericType | DatetimeType):
-        return df
-    rows = df.agg(F.count(lead).alias("rows")).first()["rows"]
-    share = 1.0 - n / rows - 2 * CUTOFF_ERROR if rows else 0.0
-    if share <= 0.5:
-        return df
-    accuracy = int(1 / CUTOFF_ERROR)
-    cutoff = df.agg(F.approx_percentile(lead, share, accuracy).alias("at")).first()["at"]
-    kept = df.filter(F.col(lead) >= F.lit(cutoff))
-    return kept if cutoff is not None and kept.count() >= n else df
+    cuts: list = []
+    if isinstance(df.schema[lead].dataType, NumericType | DatetimeType):
+        shares = [1.0 - 0.5**k for k in range(1, CUTOFFS + 1)]
+        look = F.approx_percentile(lead, F.array(*map(F.lit, shares)), int(1 / CUTOFF_ERROR))
+        seen = df.agg(F.count(lead).alias("rows"), look.alias("at")).first()
+        enough = [
+            at
+            for share, at in zip(shares, seen["at"] or (), strict=False)
+            if seen["rows"] * (1.0 - share - 2 * CUTOFF_ERROR) >= n
+        ]
+        cuts = list(reversed(enough))
+    for cut in cuts:
+        kept = stage(df.filter(F.col(lead) >= F.lit(cut)), row_ids=True)
+        if kept.count() >= n:
+            return kept
+    return stage(df, row_ids=True)
 
 
 def sensor_hourly(readings: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Mean, minimum, maximum and count of the readings per key and hour, in time order."""
     hour = hour_of("timestamp")
+    readings = without_nan(readings, ["reading_value"])
     hourly = with_known_keys(readings, [*keys, "timestamp"]).groupBy(*keys, hour.alias("hour"))
     value = "reading_value"
     return hourly.agg(

@@ -9,14 +9,19 @@ from pyspark.sql import functions as F
 
 from millwright.functions.expressions import without_nan
 from millwright.operators.kpi import with_known_keys
-from millwright.operators.quantiles import quantiles_of_counts, staged_counts
+from millwright.operators.quantiles import exact_quantiles, with_group_statistics
 
 WHISKER = 1.5
 
 
-def histogram(df: DataFrame, x: str, bins: int = 30) -> DataFrame:
-    """Counts in ``bins`` equal-width bins from minimum to maximum; the top edge is closed."""
-    values = without_nan(df.select(F.col(x).cast("double").alias("_x")))
+def histogram(df: DataFrame, x: str, bins: int = 30, *, by: Sequence[str] = ()) -> DataFrame:
+    """Counts in ``bins`` equal-width bins from minimum to maximum; the top edge is closed.
+
+    With ``by``, one set of counts per group, over bins common to all groups.
+    """
+    keys = list(by)
+    values = without_nan(df.select(*keys, F.col(x).cast("double").alias("_x")), ["_x"])
+    values = with_known_keys(values, keys) if keys else values
     edges = values.agg(
         F.struct(F.min("_x").alias("low"), F.max("_x").alias("high")).alias("edges")
     ).scalar()
@@ -25,9 +30,16 @@ def histogram(df: DataFrame, x: str, bins: int = 30) -> DataFrame:
     position = F.floor(F.try_divide(F.col("_x") - low, width))
     number = F.least(F.coalesce(position, F.lit(0)), F.lit(bins - 1))
     # A constant column has bins of no width: all its values are in the first.
-    counted = values.groupBy(number.cast("bigint").alias("bin")).agg(F.count("_x").alias("count"))
-    every_bin = df.sparkSession.range(bins).withColumnRenamed("id", "bin")
-    return every_bin.join(counted, "bin", "left").select(
+    counted = values.groupBy(*keys, number.cast("bigint").alias("bin")).agg(
+        F.count("_x").alias("count")
+    )
+    if keys:
+        numbers = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(bins - 1).cast("bigint")))
+        every_bin = values.select(*keys).distinct().select(*keys, numbers.alias("bin"))
+    else:
+        every_bin = df.sparkSession.range(bins).withColumnRenamed("id", "bin")
+    return every_bin.join(counted, [*keys, "bin"], "left").select(
+        *keys,
         "bin",
         (low + F.col("bin") * width).alias("bin_start"),
         (low + (F.col("bin") + 1) * width).alias("bin_end"),
@@ -39,21 +51,19 @@ def box_stats(df: DataFrame, group_by: Sequence[str], y: str) -> DataFrame:
     """Quartiles, 1.5 IQR whiskers and outlier count per group."""
     keys = list(group_by)
     values = with_known_keys(df, keys).select(*keys, F.col(y).cast("double").alias("value"))
-    # Counted values instead of rows: a value repeated in a hot group is one row from here on.
-    counts = staged_counts(without_nan(values, ["value"]), "value", by=keys)
-    quartiles = quantiles_of_counts(counts, {"q1": 0.25, "median": 0.5, "q3": 0.75}, by=keys)
+    values = without_nan(values, ["value"]).filter(F.col("value").isNotNull())
+    quartiles = exact_quantiles(values, "value", {"q1": 0.25, "median": 0.5, "q3": 0.75}, by=keys)
     reach = F.lit(WHISKER) * (F.col("q3") - F.col("q1"))
     inside = F.col("value").between(F.col("q1") - reach, F.col("q3") + reach)
     return (
-        counts.select(*keys, "value", "count")
-        .join(quartiles, keys)
+        with_group_statistics(values, quartiles, keys, "value")
         .groupBy(*keys)
         .agg(
-            F.sum("count").alias("n"),
+            F.count(F.lit(1)).alias("n"),
             *[F.any_value(c).alias(c) for c in ("q1", "median", "q3")],
             F.min(F.when(inside, F.col("value"))).alias("whisker_low"),
             F.max(F.when(inside, F.col("value"))).alias("whisker_high"),
-            F.sum(F.when(inside, F.lit(0)).otherwise(F.col("count"))).alias("outliers"),
+            F.count_if(~inside).alias("outliers"),
         )
     )
 

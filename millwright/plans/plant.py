@@ -49,9 +49,10 @@ def clean_tables(
 def compute_kpis(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     """The eight KPI tables.
 
-    The four rollups share one pass over the records, whose sums are staged.
+    The rated records are staged: the rollups, the failure statistics and the row-level table
+    all read them. The four rollups share one pass, whose sums are staged too.
     """
-    production = with_month(add_oee_components(tables["production_records"]))
+    production = stage(with_month(add_oee_components(tables["production_records"])))
     sums = stage(kpi_sums_by_grain(production, list(GRAIN_TABLES.values())))
     rollups = {name: kpis_of_grain(sums, grain) for name, grain in GRAIN_TABLES.items()}
     return {

@@ -41,6 +41,8 @@ class Settings:
         default_factory=lambda: dict(DEFAULT_DEDUPE_KEYS)
     )
     targets: Mapping[str, float] = field(default_factory=lambda: dict(DEFAULT_TARGETS))
+    # Patterns of date columns by name, for texts in another form than ISO.
+    date_formats: Mapping[str, str] = field(default_factory=dict)
 
     def __post_init__(self) -> None:
         if self.missing_value_strategy not in MISSING_STRATEGIES:
@@ -61,6 +63,7 @@ class Settings:
                 table: tuple(keys)
                 for table, keys in quality.get("duplicate_subset_keys", {}).items()
             },
+            date_formats=dict(quality.get("date_formats", {})),
             targets={
                 name: kpi.get(TARGET_CONFIG_KEYS[name], default)
                 for name, default in DEFAULT_TARGETS.items()

@@ -101,6 +101,13 @@ def sensors(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def repeated_sensors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Readings of which every seventh was sent again, without its value."""
+    once = sensors(spark, sf_dir)
+    again = once.filter(F.col("event_id") % 7 == 0)
+    return once.unionByName(again.withColumn("reading_value", F.lit(None).cast("double")))
+
+
 def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as a text export: numbers and times as text, some of them unreadable."""
     event = F.col("event_id")

@@ -9,6 +9,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import warnings
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,19 +19,46 @@ from pyspark.sql import functions as F
 FILE_COLUMN = "_staged_file"
 ROW_COLUMN = "_staged_row"
 
+# Folders made for sessions in local mode that name none, by application.
+_LOCAL_FOLDERS: dict[str, str] = {}
+# Paths staged within each open scope, the innermost last.
+_SCOPES: list[list[str]] = []
+
+
+def _is_local(spark: SparkSession) -> bool:
+    master = spark.sparkContext.master
+    return master == "local" or master.startswith("local[")
+
+
+def local_mode_folder(spark: SparkSession) -> str:
+    """A temporary folder for a session in local mode, where driver and executors are one."""
+    application = spark.sparkContext.applicationId
+    if application not in _LOCAL_FOLDERS:
+        _LOCAL_FOLDERS[application] = tempfile.mkdtemp(prefix="millwright-")
+        warnings.warn(
+            f"spark.checkpoint.dir is not set; staging in {_LOCAL_FOLDERS[application]}",
+            stacklevel=3,
+        )
+    return _LOCAL_FOLDERS[application]
+
 
 def staging_root(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir`` or the context's checkpoint dir."""
+    """The shared folder named by ``spark.checkpoint.dir`` or the context's checkpoint dir.
+
+    With neither set, local mode has a folder of its own and a cluster is refused. The
+    settings of the session are not changed.
+    """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if root:
-        return root
-    if not spark.sparkContext.master.startswith("local"):
+    if not root:
+        if _is_local(spark):
+            return local_mode_folder(spark)
         raise RuntimeError(
             "Set spark.checkpoint.dir to a folder all executors share; "
             "intermediate tables are staged there."
         )
-    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="millwright-"))
-    return spark.sparkContext.getCheckpointDir()
+    if root.startswith(("file:", "/")) and not _is_local(spark):
+        warnings.warn(f"{root} must be a mount that all executors share", stacklevel=3)
+    return root
 
 
 def _folder(spark: SparkSession) -> str:
@@ -43,6 +73,8 @@ def stage(df: DataFrame, *, row_ids: bool = False) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{_folder(spark)}/{uuid.uuid4().hex}"
+    for scope in _SCOPES[-1:]:
+        scope.append(path)
     df.write.parquet(path)
     staged = spark.read.schema(df.schema).parquet(path)
     if row_ids:
@@ -54,7 +86,22 @@ def stage(df: DataFrame, *, row_ids: bool = False) -> DataFrame:
     return staged
 
 
-def drop_staged(spark: SparkSession) -> None:
-    """Delete the tables this application has staged, once the results built on them are written."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(_folder(spark))
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+@contextmanager
+def staged_scope(spark: SparkSession) -> Iterator[None]:
+    """Delete at the end what is staged within; results must have been written by then."""
+    _SCOPES.append([])
+    try:
+        yield
+    finally:
+        for path in _SCOPES.pop():
+            _delete(spark, path)
+
+
+def drop_staged(spark: SparkSession) -> None:
+    """Delete all tables this application has staged, once the results built on them are written."""
+    _delete(spark, _folder(spark))

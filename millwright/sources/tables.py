@@ -6,11 +6,16 @@ from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, StringType, StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from millwright.functions.expressions import to_number, to_timestamp, without_nan
 from millwright.schemas import table_schemas
 
+# Where a row stood in its file; load_tables() adds it on request, cleaning takes it off.
+INGEST_POSITION = "_ingest_position"
+# Quotes inside a quoted field are doubled; a field may hold separators and backslashes.
+_DIALECT = {"header": True, "quote": '"', "escape": '"'}
+
 # Texts that stand for a missing value in CSV files.
 NULL_TEXTS = (
     "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
@@ -29,10 +34,9 @@ KPI_TABLES = (
 )
 
 
-def _read_as(column: str, kind: DataType) -> Column:
+def _read_as(column: str, name: str) -> Column:
     value = F.col(column)
     text = F.when(~value.isin(*NULL_TEXTS), value)
-    name = kind.simpleString()
     if name == "string":
         return text
     if name == "double":
@@ -55,17 +59,62 @@ def table_names(spark: SparkSession, directory: str, fmt: str = "csv") -> list[s
     return sorted(n.removesuffix(f".{fmt}") for n in found if n.endswith(f".{fmt}"))
 
 
+def _with_position(df: DataFrame, row: Column) -> DataFrame:
+    place = [F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block")]
+    return df.select("*", F.struct(*place, row.alias("row")).alias(INGEST_POSITION))
+
+
+def _inferred(value: Column, column: str) -> list[Column]:
+    """Whether all values of a text column read as a whole number, a number, a time."""
+    known = F.when(~value.isin(*NULL_TEXTS), value)
+    kinds = ("bigint", "double", "boolean")
+    return [
+        F.every(known.isNull() | known.try_cast(k).isNotNull()).alias(f"{column} {k}") for k in kinds
+    ]
+
+
+def infer_kinds(raw: DataFrame) -> dict[str, str]:
+    """Types for text columns, from one pass over all their values; text where none fits."""
+    if not raw.columns:
+        return {}
+    fits = raw.agg(*[c for name in raw.columns for c in _inferred(F.col(name), name)]).first()
+    order = ("bigint", "double", "boolean")
+    return {
+        name: next((k for k in order if fits[f"{name} {k}"]), "string")
+        for name in raw.columns
+    }
+
+
 def read_csv_table(
-    spark: SparkSession, path: str, schema: StructType | None = None
+    spark: SparkSession,
+    path: str,
+    schema: StructType | None = None,
+    *,
+    multi_line: bool = False,
+    infer: bool = False,
+    position: bool = False,
 ) -> DataFrame:
     """One CSV table with header. Values are read as text, then converted by ``schema``,
     so that any of the usual null texts and any unreadable value become null.
 
-    Columns the schema does not know stay text; columns the file lacks stay absent.
+    Columns the schema does not know stay text, unless ``infer`` is set; columns the file lacks
+    stay absent. Fields may hold line breaks only with ``multi_line``, which reads each file in
+    one task. A row with too few or too many fields is an error when it is read, not shifted.
     """
-    raw = spark.read.option("header", True).csv(path)
-    kinds = {f.name: f.dataType for f in schema.fields} if schema is not None else {}
-    return raw.select(*[_read_as(c, kinds.get(c, StringType())).alias(c) for c in raw.columns])
+    head = spark.read.options(**_DIALECT).option("multiLine", multi_line).csv(path)
+    text = StructType([*[StructField(c, StringType()) for c in head.columns]])
+    reader = spark.read.options(**_DIALECT).option("multiLine", multi_line)
+    raw = reader.option("mode", "FAILFAST").schema(text).csv(path)
+    kinds = {f.name: f.dataType.simpleString() for f in schema.fields} if schema is not None else {}
+    if infer:
+        unknown = [c for c in raw.columns if c not in kinds]
+        kinds |= infer_kinds(raw.select(*unknown))
+    if position:
+        raw = _with_position(raw, F.monotonically_increasing_id())
+    kept = [INGEST_POSITION] if position else []
+    return raw.select(
+        *[_read_as(c, kinds.get(c, "string")).alias(c) for c in text.names], *kept
+    )
 
 
 def load_tables(
@@ -75,11 +124,16 @@ def load_tables(
     *,
     fmt: str = "csv",
     names: Iterable[str] | None = None,
+    multi_line: bool = False,
+    infer: bool = False,
+    position: bool = False,
 ) -> dict[str, DataFrame]:
     """Table name to lazy DataFrame for ``<directory>/<name>.<fmt>``.
 
     ``names`` defaults to all tables found. CSV tables take their types from ``schemas``
-    (default: the ten plant tables); other formats carry their own.
+    (default: the ten plant tables), see :func:`read_csv_table` for the options; other formats
+    carry their own. ``position`` adds where each row stood in its file, so that duplicates
+    can be told apart by file order.
     """
     base = directory.rstrip("/")
     known = table_schemas() if schemas is None else schemas
@@ -87,9 +141,15 @@ def load_tables(
     for name in names or table_names(spark, base, fmt):
         path = f"{base}/{name}.{fmt}"
         if fmt == "csv":
-            tables[name] = read_csv_table(spark, path, known.get(name))
+            tables[name] = read_csv_table(
+                spark, path, known.get(name), multi_line=multi_line, infer=infer, position=position
+            )
         else:
-            tables[name] = without_nan(spark.read.format(fmt).load(path))
+            df = spark.read.format(fmt).load(path)
+            if position:
+                columns = df.columns
+                df = _with_position(df, F.col("_metadata.row_index")).select(*columns, INGEST_POSITION)
+            tables[name] = without_nan(df)
     return tables
 
 
@@ -106,7 +166,8 @@ def write_tables(
     for name, df in tables.items():
         writer = df.write.mode("overwrite").format(fmt)
         if fmt == "csv":
-            writer = writer.option("header", True)
+            # An empty text is written in quotes, so that it differs from null in the file.
+            writer = writer.options(**_DIALECT).option("emptyValue", '""').option("nullValue", "")
         if partition_by and name in partition_by:
             writer = writer.partitionBy(*partition_by[name])
         writer.save(f"{base}/{name}{suffix}.{fmt}")

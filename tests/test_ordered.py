@@ -11,13 +11,6 @@ from millwright.operators import ordered, quantiles, reshape, summaries
 from millwright.sources.staging import stage
 
 
-@pytest.fixture(params=["one task", "chunks"])
-def either_way(request, monkeypatch):
-    """Run a test with plain windows and with the rows split into chunks."""
-    if request.param == "chunks":
-        monkeypatch.setattr(ordered, "SMALL_ROWS", 0)
-
-
 def hot_rows(n=600, seed=3):
     """Two thirds of the rows under one key, a null key, tied order values, many gaps."""
     rng = random.Random(seed)
@@ -55,7 +48,7 @@ def test_chunks_split_identical_rows(spark):
     assert max(sizes) < 250
 
 
-def test_running_sum_by_key(hot, frame, either_way):
+def test_running_sum_by_key(hot, frame):
     got = ordered.running_sum(
         hot, "id", ["t", "id"], partition_by=["k"], total="whole"
     ).toPandas()
@@ -68,20 +61,35 @@ def test_running_sum_by_key(hot, frame, either_way):
     assert (merged["whole_x"] == merged["whole_y"]).all()
 
 
-def test_running_sum_over_everything(hot, frame, either_way):
+def test_running_sum_over_everything(hot, frame):
     got = ordered.running_sum(hot, F.lit(1), ["id"]).toPandas()
     assert (got["running_sum"] == got["id"] + 1).all()
     assert len(got) == len(frame)
 
 
-def test_number_rows_is_gap_free(hot, frame, either_way):
+def test_running_sum_of_gaps_crosses_chunks(hot, frame):
+    got = ordered.running_sum(hot, "v", ["id"], partition_by=["k"]).toPandas().sort_values("id")
+    want = frame.sort_values("id")
+    # Null until the group's first value, then the sum so far, also at later gaps.
+    seen = want.groupby("k", dropna=False)["v"]
+    sums = seen.transform(lambda s: s.fillna(0).cumsum().where(s.notna().cummax()))
+    np.testing.assert_array_equal(got["running_sum"].to_numpy(), sums.to_numpy())
+
+
+def test_running_sum_of_few_values(spark):
+    rows = spark.range(40).withColumn("v", F.when(F.col("id") % 10 == 0, 1))
+    got = ordered.running_sum(rows, "v", ["id"]).orderBy("id").collect()
+    assert [r["running_sum"] for r in got] == [i // 10 + 1 for i in range(40)]
+
+
+def test_number_rows_is_gap_free(hot, frame):
     got = ordered.number_rows(hot, ["t"]).toPandas().sort_values("seq")
     assert list(got["seq"]) == list(range(1, len(frame) + 1))
     assert got["t"].is_monotonic_increasing
 
 
 @pytest.mark.parametrize("keys", [[], ["k"]])
-def test_fill_gaps(hot, frame, keys, either_way):
+def test_fill_gaps(hot, frame, keys):
     got = ordered.fill_gaps(hot, ["v"], ["t", "id"], partition_by=keys).toPandas()
     want = frame.sort_values("id").copy()
     if keys:
@@ -93,7 +101,7 @@ def test_fill_gaps(hot, frame, keys, either_way):
     assert list(got.columns) == ["id", "k", "t", "v"]
 
 
-def test_fill_gaps_across_many_empty_chunks(spark, either_way):
+def test_fill_gaps_across_many_empty_chunks(spark):
     df = spark.range(300).withColumn("v", F.when(F.col("id") == 150, 7.0))
     got = ordered.fill_gaps(df, ["v"], ["id"])
     assert got.filter("v = 7").count() == 300
@@ -101,7 +109,7 @@ def test_fill_gaps_across_many_empty_chunks(spark, either_way):
     assert ordered.fill_gaps(nothing, ["v"], ["id"]).dropna().count() == 0
 
 
-def test_exact_quantiles(hot, frame, either_way):
+def test_exact_quantiles(hot, frame):
     shares = {"q0": 0.0, "q1": 0.25, "med": 0.5, "q9": 0.9, "q10": 1.0}
     got = quantiles.exact_quantiles(hot, "v", shares, by=["k"]).toPandas().set_index("k")
     for key, group in frame.dropna(subset=["v"]).groupby("k"):
@@ -109,17 +117,17 @@ def test_exact_quantiles(hot, frame, either_way):
             assert got.loc[key, name] == pytest.approx(np.quantile(group["v"], share), abs=1e-12)
 
 
-def test_exact_medians_of_several_columns(hot, frame, either_way):
+def test_exact_medians_of_several_columns(hot, frame):
     got = {r["column"]: r["median"] for r in quantiles.exact_medians(hot, ["v", "t"]).collect()}
     assert got == {"v": frame["v"].median(), "t": frame["t"].median()}
 
 
-def test_medians_of_empty_columns(spark, either_way):
+def test_medians_of_empty_columns(spark):
     empty = spark.createDataFrame([(None,), (None,)], "v double")
     assert quantiles.exact_medians(empty, ["v"]).count() == 0
 
 
-def test_roster_pages(spark, either_way):
+def test_roster_pages(spark):
     members = spark.range(25).select(
         F.when(F.col("id") < 20, "big").otherwise("small").alias("g"), F.col("id").alias("m")
     )
@@ -130,20 +138,16 @@ def test_roster_pages(spark, either_way):
     assert ",".join(r["roster"] for r in rows[:3]) == ",".join(map(str, range(20)))
 
 
-def test_tail_extract_small_and_large(spark, monkeypatch, either_way):
+@pytest.mark.parametrize("n", [1, 30, 199, 500])
+def test_tail_extract(spark, n):
     df = spark.range(200).select(F.col("id"), (F.col("id") % 7).alias("x"))
-    small = reshape.tail_extract(df, ["id"], 30).collect()
-    monkeypatch.setattr(reshape, "TOP_K_ROWS", 10)
-    large = reshape.tail_extract(df, ["id"], 30).collect()
-    assert small == large
-    assert [r["id"] for r in large] == list(range(170, 200))
-    assert reshape.tail_extract(df, ["id"], 500).count() == 200
-    by_text = reshape.tail_extract(df.select(F.col("id").cast("string")), ["id"], 30)
-    assert [r["id"] for r in by_text.collect()] == sorted(map(str, range(200)))[-30:]
-
-
-def test_tail_extract_with_a_hot_leading_value(spark, monkeypatch):
-    monkeypatch.setattr(reshape, "TOP_K_ROWS", 10)
+    got = reshape.tail_extract(df, ["id"], n).collect()
+    assert [r["id"] for r in got] == list(range(200))[-n:]
+    by_text = reshape.tail_extract(df.select(F.col("id").cast("string")), ["id"], n)
+    assert [r["id"] for r in by_text.collect()] == sorted(map(str, range(200)))[-n:]
+
+
+def test_tail_extract_with_a_hot_leading_value(spark):
     df = spark.range(600).select(
         F.when(F.col("id") % 3 == 0, F.lit(9)).otherwise(F.col("id") % 9).alias("lead"), "id"
     )
@@ -154,13 +158,12 @@ def test_tail_extract_with_a_hot_leading_value(spark, monkeypatch):
 
 def test_tail_candidates_keep_too_many_rather_than_too_few(spark):
     df = spark.range(10_000).withColumn("lead", F.when(F.col("id") >= 100, F.col("id")))
-    kept = reshape._tail_candidates(df, "lead", 200)
-    assert 200 <= kept.count() < 1000
+    assert 200 <= reshape._tail_candidates(df, "lead", 200).count() < 1000
     nulls = df.withColumn("lead", F.lit(None).cast("bigint"))
     assert reshape._tail_candidates(nulls, "lead", 200).count() == 10_000
 
 
-def test_surrogate_keys(hot, frame, either_way):
+def test_surrogate_keys(hot, frame):
     keyed = reshape.surrogate_keys(hot, "DF", ["id"]).collect()
     assert {r["id"]: r["key"] for r in keyed} == {i: f"DF{i + 1:07d}" for i in frame["id"]}
 
@@ -174,13 +177,45 @@ def test_expand_units_by_blocks(spark, monkeypatch):
     }
 
 
-def test_box_stats_of_a_hot_group(hot, frame, either_way):
+def test_expand_units_spreads_one_large_count(spark):
+    df = spark.createDataFrame([("a", 3_000_000)], "p string, n bigint")
+    units = reshape.expand_units(df, "n").select("unit_no", F.spark_partition_id().alias("task"))
+    sizes = [r["count"] for r in units.groupBy("task").count().collect()]
+    assert sum(sizes) == 3_000_000
+    assert len(sizes) >= 4
+    assert units.agg(F.countDistinct("unit_no")).first()[0] == 3_000_000
+
+
+def test_quantile_brackets_are_widened(hot, frame, monkeypatch):
+    """Brackets that lie beside their quantile do no harm."""
+    monkeypatch.setattr(quantiles, "_brackets", _wrong_at_first(quantiles._brackets))
+    got = quantiles.exact_quantiles(hot, "v", {"q": 0.5}).first()["q"]
+    assert got == frame["v"].median()
+
+
+def _wrong_at_first(brackets):
+    def wrong(values, shares, by, error):
+        found = brackets(values, shares, by, error)
+        return found.withColumn("_high_q", F.col("_low_q") - 1) if error < 0.01 else found
+
+    return wrong
+
+
+def test_quartiles_without_broadcast(spark, hot, frame):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        test_box_stats_of_a_hot_group(hot, frame)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_box_stats_of_a_hot_group(hot, frame):
     rows = {r["k"]: r for r in summaries.box_stats(hot, ["k"], "v").collect()}
     values = frame[frame["k"] == "hot"]["v"].dropna()
     q1, q3 = np.quantile(values, [0.25, 0.75])
     assert (rows["hot"]["n"], rows["hot"]["q1"], rows["hot"]["q3"]) == (len(values), q1, q3)
 
 
-def test_quantile_of_an_ungrouped_column(hot, frame, either_way):
+def test_quantile_of_an_ungrouped_column(hot, frame):
     row = quantiles.exact_quantiles(hot, "v", {"q": 0.3}).first()
     assert row["q"] == pytest.approx(np.quantile(frame["v"].dropna(), 0.3))

@@ -5,7 +5,6 @@ import re
 import pytest
 
 from millwright.catalog.queries import QUERIES
-from millwright.operators import ordered
 from millwright.sources import proxies as P
 from millwright.sources.staging import stage
 from tests.conftest import SF
@@ -46,23 +45,16 @@ def gathers_reduced_rows(below, above):
 
 
 def test_single_partition_only_gathers_reduced_rows(planned):
-    """One-task exchanges feed final aggregates, or windows over staged rows of checked number."""
+    """One-task exchanges feed final aggregates, top-k results and windows over chunk sums."""
     name, plan = planned
-    for below, above, scan in one_task_exchanges(plan):
-        staged = "checkpoints" in scan
-        assert gathers_reduced_rows(below, above) or staged, (name, above, below)
-
-
-@pytest.mark.parametrize(
-    "name", ["clean_missing_ffill", "pareto", "roster_by_factory", "surrogate_keys", "box_stats"]
-)
-def test_large_inputs_never_gather_rows(spark, name, monkeypatch):
-    monkeypatch.setattr(ordered, "SMALL_ROWS", 0)
-    plan = plan_of(QUERIES[name](spark, SF))
     for below, above, _ in one_task_exchanges(plan):
         assert gathers_reduced_rows(below, above), (name, above, below)
 
 
+def test_cleaning_report_reads_no_source_table(queried):
+    assert "/testdata/" not in plan_of(queried("cleaning_report"))
+
+
 def test_scan_reads_needed_columns_only(spark):
     plan = plan_of(QUERIES["fk_orphans"](spark, SF))
     schemas = re.findall(r"ReadSchema: struct<([^>]*)>", plan)
