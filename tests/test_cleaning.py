@@ -7,15 +7,16 @@ from millwright.operators import cleaning
 from millwright.operators.cleaning import CleanSpec, clean
 from millwright.plans.plant import clean_tables
 from millwright.settings import Settings
+from millwright.sources.tables import INGEST_POSITION, load_tables
 
 
 def spec(**roles):
-    return CleanSpec("unknown_table", **roles)
+    return CleanSpec("gauge_log", **roles)
 
 
 def test_whole_row_dedupe_needs_equal_rows(dirty):
-    assert cleaning.dedupe(dirty).count() == 22
-    assert cleaning.dedupe(dirty.unionByName(dirty)).count() == 22
+    assert cleaning.dedupe(dirty).count() == 24
+    assert cleaning.dedupe(dirty.unionByName(dirty)).count() == 24
 
 
 def test_dedupe_keeps_the_first_by_order(spark):
@@ -25,6 +26,32 @@ def test_dedupe_keeps_the_first_by_order(spark):
     assert kept == {("a", "y"), (None, "q"), ("b", "z")}
 
 
+def test_dedupe_keeps_the_copy_with_a_value(spark):
+    rows = [("m", 1, None), ("m", 1, 72.0), ("n", 1, None)]
+    df = spark.createDataFrame(rows, "k string, t bigint, reading double")
+    assert {tuple(r) for r in cleaning.dedupe(df, ["k"], ["t"]).collect()} == {
+        ("m", 1, 72.0), ("n", 1, None),
+    }
+
+
+def test_dedupe_follows_the_file_where_it_is_known(spark, tmp_path):
+    text = "machine_id,timestamp,sensor_type,reading_value\n"
+    text += "".join(f"m1,2024-03-04T00:00:00,rpm,{v}\n" for v in (9, 4, 7))
+    (tmp_path / "sensor_readings.csv").write_text(text)
+    table = load_tables(spark, str(tmp_path), position=True)["sensor_readings"]
+    cleaned, report = clean(table, cleaning.FACT_SPECS["sensor_readings"])
+    assert [r["reading_value"] for r in cleaned.collect()] == [9.0]
+    assert (report.rows_before, report.rows_deduped) == (3, 1)
+    assert INGEST_POSITION not in cleaned.columns
+
+
+def test_date_formats_come_from_the_settings(spark):
+    df = spark.createDataFrame([("04/03/2024",)], "seen string")
+    settings = Settings.from_config({"data_quality": {"date_formats": {"seen": "dd/MM/yyyy"}}})
+    cleaned = clean(df, spec(date_cols=["seen"]), settings)[0]
+    assert cleaned.first()["seen"] == dt.datetime(2024, 3, 4)
+
+
 def test_dedupe_ignores_absent_keys(spark, production):
     doubled = production.unionByName(production.limit(1))
     kept, report = clean(doubled, CleanSpec("production", numeric_cols=["total_units_produced"]))
@@ -37,22 +64,22 @@ def test_dedupe_ignores_absent_keys(spark, production):
 
 def test_median_fill_and_sentinel(dirty):
     cleaned, report = clean(dirty, spec(numeric_cols=["value"]))
-    row = cleaned.filter("id = 20").first()
-    assert (row["value"], row["category"]) == (10.0, "UNKNOWN")
+    row = cleaned.filter("id = 22").first()
+    assert (row["value"], row["category"]) == (100.0, "UNKNOWN")
     assert report.filled == {"value": 1, "category": 1}
 
 
 def test_outliers_after_fill(dirty):
     cleaned, report = clean(dirty, spec(numeric_cols=["value"], outlier_cols=["value"]))
-    assert cleaned.count() == 22
-    assert [r["value"] for r in cleaned.filter("value_is_outlier").collect()] == [50.0, 50.0]
+    assert cleaned.count() == 24
+    assert [r["value"] for r in cleaned.filter("value_is_outlier").collect()] == [160.0, 160.0]
     stats = cleaned.agg(F.avg("value"), F.stddev_pop("value")).first()
-    assert tuple(stats) == pytest.approx((13.622727, 11.505095), abs=1e-6)
+    assert tuple(stats) == pytest.approx((105.000000, 16.673332), abs=1e-6)
     assert "2 outliers" in report.summary()
     keyed = clean(
-        dirty, spec(numeric_cols=["value"], outlier_cols=["value"]), Settings(dedupe_keys={"unknown_table": ("id",)})
+        dirty, spec(numeric_cols=["value"], outlier_cols=["value"]), Settings(dedupe_keys={"gauge_log": ("id",)})
     )[0]
-    assert keyed.count() == 21
+    assert keyed.count() == 23
     assert keyed.filter("value_is_outlier").count() == 1
 
 
@@ -71,9 +98,9 @@ def test_threshold_is_strict(spark):
 
 
 def test_coercion(spark):
-    df = spark.createDataFrame([("10",), ("20",), ("not_a_number",)], "amount string")
+    df = spark.createDataFrame([("4",), ("9",), ("some",)], "amount string")
     cleaned, report = clean(df, spec(numeric_cols=["amount"]))
-    assert sorted(r["amount"] for r in cleaned.collect()) == [10.0, 15.0, 20.0]
+    assert sorted(r["amount"] for r in cleaned.collect()) == [4.0, 6.5, 9.0]
     assert report.conversions == {"amount": "numeric"}
 
 
@@ -155,20 +182,20 @@ def test_sentinel_skips_categories(spark):
 
 
 def test_clamp(spark):
-    df = spark.createDataFrame([(1, -5), (2, 10), (3, -1), (4, 20)], "id bigint, units bigint")
+    df = spark.createDataFrame([(1, 7), (2, -3), (3, 0), (4, -12)], "id bigint, units bigint")
     cleaned = clean(df, spec(numeric_cols=["units"], non_negative_cols=["units"]))[0]
-    assert [r["units"] for r in cleaned.orderBy("id").collect()] == [0, 10, 0, 20]
+    assert [r["units"] for r in cleaned.orderBy("id").collect()] == [7, 0, 0, 0]
 
 
 def test_observed_counts_come_with_the_write(dirty):
     _, report = clean(dirty, spec(numeric_cols=["value"], outlier_cols=["value"]))
     df, observation = report.observed()
     df.write.format("noop").mode("overwrite").save()
-    assert observation.get == {"rows_after": 22, "value_is_outlier": 2}
+    assert observation.get == {"rows_after": 24, "value_is_outlier": 2}
 
 
 def test_clean_tables_passes_dimensions_through(spark, production):
-    factories = spark.createDataFrame([("F01", None)], "factory_id string, country string")
+    factories = spark.createDataFrame([("P1", None)], "factory_id string, country string")
     cleaned, reports = clean_tables({"production_records": production, "factories": factories})
     assert cleaned["factories"] is factories
     assert list(reports) == ["production_records"]

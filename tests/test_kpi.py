@@ -12,18 +12,18 @@ def by(rows, key):
 def test_row_components(production):
     rows = by(kpi.add_oee_components(production).collect(), "record_id")
     expected = {
-        "PR001": (0.9375, 0.888889, 0.975, 0.8125),
-        "PR002": (0.875, 0.833333, 0.928571, 0.677083),
-        "PR003": (1.0, 0.972222, 0.985714, 0.958333),
+        "R1": (0.9, 0.8, 0.975, 0.702),
+        "R2": (0.75, 0.8, 0.95, 0.57),
+        "R3": (1.0, 0.75, 0.99, 0.7425),
     }
     for record, (a, p, q, oee) in expected.items():
         row = rows[record]
         got = (row["availability"], row["performance"], row["quality"], row["oee"])
         assert got == pytest.approx((a, p, q, oee), abs=1e-6)
         assert row["utilization"] == row["availability"]
-    assert rows["PR001"]["scrap_rate"] == 0.025
-    assert rows["PR001"]["cycle_time_actual_seconds"] == 33.75
-    assert rows["PR001"]["throughput_units_per_hour"] == pytest.approx(800 / 7.5)
+    assert rows["R1"]["scrap_rate"] == 0.025
+    assert rows["R1"]["cycle_time_actual_seconds"] == 30.0
+    assert rows["R1"]["throughput_units_per_hour"] == pytest.approx(720 / 6)
 
 
 def test_idle_row_is_zero_everywhere(spark):
@@ -45,28 +45,28 @@ def test_performance_is_capped(production):
 
 def test_weighted_rollup(production):
     rows = by(kpi.aggregate_kpis(kpi.add_oee_components(production), ["factory_id"]).collect(), "factory_id")
-    f01 = rows["F01"]
-    got = (f01["availability"], f01["performance"], f01["quality"], f01["oee"])
-    assert got == pytest.approx((0.90625, 0.862069, 0.953333, 0.744792), abs=1e-6)
-    assert f01["scrap_rate"] == pytest.approx(0.046667, abs=1e-6)
-    assert f01["throughput_units_per_hour"] == pytest.approx(103.448276, abs=1e-6)
-    assert (f01["total_units_produced"], f01["run_time_minutes"]) == (1500, 870.0)
+    p1 = rows["P1"]
+    got = (p1["availability"], p1["performance"], p1["quality"], p1["oee"])
+    assert got == pytest.approx((0.81, 0.8, 1272 / 1320, 0.6228), abs=1e-6)
+    assert p1["scrap_rate"] == pytest.approx(48 / 1320, abs=1e-6)
+    assert p1["throughput_units_per_hour"] == pytest.approx(1320 / 13.5, abs=1e-6)
+    assert (p1["total_units_produced"], p1["run_time_minutes"]) == (1320, 810.0)
 
 
 def test_rollup_identities(production):
-    row = kpi.aggregate_kpis(kpi.add_oee_components(production), ["factory_id"]).filter("factory_id = 'F01'").first()
+    row = kpi.aggregate_kpis(kpi.add_oee_components(production), ["factory_id"]).filter("factory_id = 'P1'").first()
     assert row["availability"] == pytest.approx(row["run_time_minutes"] / row["planned_production_time_minutes"])
     assert row["quality"] == pytest.approx(row["good_units"] / row["total_units_produced"])
 
 
 def test_null_keys_form_no_group(production):
     with_gap = kpi.add_oee_components(
-        production.withColumn("machine_id", F.when(F.col("record_id") != "PR003", F.col("machine_id")))
+        production.withColumn("machine_id", F.when(F.col("record_id") != "R3", F.col("machine_id")))
     )
     assert kpi.aggregate_kpis(with_gap, ["machine_id"]).count() == 1
     grains = kpi.aggregate_kpis_by_grain(with_gap, ["factory_id", "machine_id"])
     assert {(r["grain"], r["grain_value"]) for r in grains.collect()} == {
-        ("factory_id", "F01"), ("factory_id", "F02"), ("machine_id", "F01-L1-M1"),
+        ("factory_id", "P1"), ("factory_id", "P2"), ("machine_id", "P1-A-1"),
     }
 
 
@@ -96,9 +96,11 @@ def test_empty_input_keeps_its_columns(production):
 
 def test_mtbf_mttr(downtime, production):
     rows = by(kpi.calculate_mtbf_mttr(downtime, production, ["machine_id"]).collect(), "machine_id")
-    first, second = rows["F01-L1-M1"], rows["F02-L1-M1"]
-    assert (first["failure_count"], first["mtbf_hours"], first["mttr_hours"]) == (1, 14.5, 0.5)
-    assert (second["failure_count"], second["mtbf_hours"], second["mttr_hours"]) == (1, 8.0, 0.0)
+    first, second = rows["P1-A-1"], rows["P2-A-1"]
+    assert (first["failure_count"], first["mtbf_hours"]) == (1, 13.5)
+    assert first["mttr_hours"] == pytest.approx(40 / 60)
+    assert (second["failure_count"], second["mttr_hours"]) == (1, 0.0)
+    assert second["mtbf_hours"] == pytest.approx(500 / 60)
 
 
 def test_machine_without_failures_has_zeros(downtime, production):
@@ -110,21 +112,21 @@ def test_machine_without_failures_has_zeros(downtime, production):
 
 def test_defect_rate(spark):
     inspections = spark.createDataFrame(
-        [("F01", 100, 5, "QI1", "Fail"), ("F01", 100, 3, "QI2", "Fail"), ("F02", 50, 10, "QI3", "Fail")],
+        [("P1", 80, 4, "I1", "Fail"), ("P1", 120, 2, "I2", "Pass"), ("P2", 40, 6, "I3", "Fail")],
         "factory_id string, sample_size bigint, defective_units bigint, inspection_id string, result string",
     )
     rows = by(kpi.calculate_defect_rate(inspections, ["factory_id"]).collect(), "factory_id")
-    assert rows["F01"]["defect_rate"] == pytest.approx(0.04)
-    assert rows["F02"]["defect_rate"] == pytest.approx(0.20)
-    assert rows["F01"]["first_pass_yield"] == 0.0
+    assert rows["P1"]["defect_rate"] == pytest.approx(0.03)
+    assert rows["P2"]["defect_rate"] == pytest.approx(0.15)
+    assert (rows["P1"]["first_pass_yield"], rows["P2"]["first_pass_yield"]) == (0.5, 0.0)
 
 
 def test_pareto(spark):
-    defects = spark.createDataFrame([(c,) for c in "AAABBC"] + [(None,)], "defect_type string")
+    defects = spark.createDataFrame([(c,) for c in "QQQQRRS"] + [(None,)], "defect_type string")
     rows = kpi.pareto_analysis(defects).collect()
-    assert [(r["defect_type"], r["count"]) for r in rows] == [("A", 3), ("B", 2), ("C", 1)]
-    assert [r["pct_of_total"] for r in rows] == pytest.approx([50.0, 100 / 3, 100 / 6])
-    assert [r["cumulative_pct"] for r in rows] == pytest.approx([50.0, 250 / 3, 100.0])
+    assert [(r["defect_type"], r["count"]) for r in rows] == [("Q", 4), ("R", 2), ("S", 1)]
+    assert [r["pct_of_total"] for r in rows] == pytest.approx([400 / 7, 200 / 7, 100 / 7])
+    assert [r["cumulative_pct"] for r in rows] == pytest.approx([400 / 7, 600 / 7, 100.0])
     assert rows[-1]["cumulative_pct"] == 100.0
     flagged = kpi.vital_few(kpi.pareto_analysis(defects)).collect()
     assert [r["is_vital_few"] for r in flagged] == [True, False, False]
@@ -139,13 +141,13 @@ def test_pareto_with_many_tied_categories(spark):
 
 def test_headline_is_the_unweighted_mean(production):
     row = kpi.headline_kpis(kpi.add_oee_components(production)).first()
-    assert row["oee"] == pytest.approx((0.8125 + 0.677083333 + 0.958333333) / 3)
-    assert (row["period_start"], row["period_end"]) == ("2024-01-01", "2024-01-02")
+    assert row["oee"] == pytest.approx((0.702 + 0.57 + 0.7425) / 3)
+    assert (row["period_start"], row["period_end"]) == ("2024-03-04", "2024-03-05")
 
 
 def test_percent_table(production):
     table = kpi.percent_table(kpi.aggregate_kpis(kpi.add_oee_components(production), ["factory_id"]), ["factory_id"])
-    assert by(table.collect(), "factory_id")["F01"]["oee"] == "74.5%"
+    assert by(table.collect(), "factory_id")["P1"]["oee"] == "62.3%"
 
 
 def test_material_downtime(spark):
@@ -155,7 +157,7 @@ def test_material_downtime(spark):
 
 def test_compute_kpis_shares_one_pass(spark, production, downtime):
     inspections = spark.createDataFrame(
-        [("F01", 10, 1, "QI1", "Pass")],
+        [("P1", 10, 1, "I1", "Pass")],
         "factory_id string, sample_size bigint, defective_units bigint, inspection_id string, result string",
     )
     tables = {
@@ -173,11 +175,11 @@ def test_compute_kpis_shares_one_pass(spark, production, downtime):
         kpis[n].agg(F.sum("total_units_produced")).first()[0]
         for n in ("monthly_kpis", "factory_kpis", "machine_kpis", "shift_kpis")
     }
-    assert totals == {2900}
+    assert totals == {2820}
 
 
 def test_summary_has_targets_and_status(production):
     rows = by(kpi_summary(kpi.add_oee_components(production)).collect(), "kpi")
-    assert rows["oee"]["status"] == "Green"
-    assert rows["scrap_rate"]["target"] == 0.03
-    assert rows["scrap_rate"]["status"] == "Amber" if rows["scrap_rate"]["value"] <= 0.036 else "Red"
+    # Means of the three records: availability 0.883 of 0.90, scrap rate 0.028 of at most 0.03.
+    assert (rows["scrap_rate"]["target"], rows["scrap_rate"]["status"]) == (0.03, "Green")
+    assert (rows["availability"]["target"], rows["availability"]["status"]) == (0.9, "Amber")

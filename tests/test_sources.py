@@ -47,6 +47,42 @@ def test_round_trip(spark, tmp_path, production, fmt):
     assert sorted(back.collect()) == sorted(production.collect())
 
 
+def test_csv_dialect_round_trip(spark, tmp_path):
+    texts = ['Plant "North", hall 2', "a,b", "back\\slash", "two\nlines", "", None, '"', "plain"]
+    df = spark.createDataFrame(list(enumerate(texts)), "n bigint, t string")
+    tables.write_tables({"notes": df}, str(tmp_path))
+    back = tables.load_tables(spark, str(tmp_path), {}, multi_line=True, infer=True)["notes"]
+    assert dict(back.dtypes) == {"n": "bigint", "t": "string"}
+    # Empty text is one of the texts that stand for a missing value.
+    assert {r["n"]: r["t"] for r in back.collect()} == dict(enumerate(t or None for t in texts))
+    written = (f for f in (tmp_path / "notes.csv").iterdir() if f.name.startswith("part-"))
+    lines = "".join(f.read_text() for f in written)
+    assert '"Plant ""North"", hall 2"' in lines
+
+
+def test_csv_rows_of_wrong_length_are_refused(spark, tmp_path):
+    (tmp_path / "notes.csv").write_text("a,b,c\n1,2,3\n4,5\n")
+    df = tables.load_tables(spark, str(tmp_path))["notes"]
+    with pytest.raises(Exception, match="(?i)malformed"):
+        df.collect()
+
+
+def test_doubled_quotes_are_read(spark, tmp_path):
+    (tmp_path / "factories.csv").write_text(
+        "factory_id,factory_name,country,num_lines,timezone\n"
+        'P1,"Hall ""East"", gate 4",DE,3,UTC\n'
+    )
+    row = tables.load_tables(spark, str(tmp_path))["factories"].first()
+    assert tuple(row) == ("P1", 'Hall "East", gate 4', "DE", 3, "UTC")
+
+
+def test_staged_scope_deletes_its_tables(spark, production):
+    with staging.staged_scope(spark):
+        inner = stage(production).inputFiles()[0].removeprefix("file://")
+        assert os.path.exists(inner)
+    assert not os.path.exists(inner)
+
+
 def test_partitioned_write(spark, tmp_path, production):
     tables.write_tables(
         {"production_records": production},
@@ -56,14 +92,14 @@ def test_partitioned_write(spark, tmp_path, production):
         partition_by={"production_records": ["date"]},
     )
     back = spark.read.parquet(str(tmp_path / "production_records_clean.parquet"))
-    plan = back.filter("date = date'2024-01-02'")._jdf.queryExecution().executedPlan().toString()
+    plan = back.filter("date = date'2024-03-05'")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(date" in plan
     assert back.count() == 3
 
 
 def test_kpi_sink(spark, tmp_path, production, downtime):
     inspections = spark.createDataFrame(
-        [("F01", 10, 1, "QI1", "Pass")],
+        [("P1", 10, 1, "I1", "Pass")],
         "factory_id string, sample_size bigint, defective_units bigint, inspection_id string, result string",
     )
     kpis = compute_kpis(
