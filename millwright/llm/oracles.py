@@ -1,3 +1,115 @@
-"""SQL for DuckDB with the same rows as the queries, where SQL can express them."""
+"""SQL for DuckDB with the same rows as the queries, where SQL can express them.
 
-ORACLES: dict[str, str] = {}
+Written from the contracts: strings are compared as such and windows are counted one by one.
+Language models, XXH64, tokenizers and page extraction have no counterpart in SQL.
+"""
+
+WORDS = r"regexp_extract_all({0}, '[^\x20\x09-\x0D]+')"
+
+ORACLES: dict[str, str] = {
+    "op1_suffix_dedup": """
+        WITH d AS (
+            SELECT row_number() OVER () AS rid, doc_id, hex(encode(coalesce(text, ''))) AS h,
+                octet_length(encode(coalesce(text, ''))) AS n
+            FROM documents),
+        starts AS (
+            SELECT rid, h, unnest(generate_series(0, n - 200)) AS i FROM d WHERE n >= 200),
+        strings AS (SELECT rid, i, md5(substring(h, 2 * i + 1, 400)) AS s FROM starts),
+        repeated AS (
+            SELECT rid, i FROM (SELECT *, count(*) OVER (PARTITION BY s) AS c FROM strings)
+            WHERE c > 1),
+        marked AS (
+            SELECT *, CASE WHEN i - lag(i) OVER (PARTITION BY rid ORDER BY i) <= 200
+                THEN 0 ELSE 1 END AS fresh
+            FROM repeated),
+        numbered AS (
+            SELECT *, sum(fresh) OVER (PARTITION BY rid ORDER BY i) AS run FROM marked),
+        spans AS (
+            SELECT rid, run, min(i) AS b, max(i) + 200 AS e FROM numbered GROUP BY rid, run),
+        gaps AS (
+            SELECT rid, coalesce(lag(e) OVER (PARTITION BY rid ORDER BY b), 0) AS a, b AS z
+            FROM spans
+            UNION ALL SELECT d.rid, coalesce(max(e), 0), any_value(n)
+            FROM d LEFT JOIN spans ON spans.rid = d.rid GROUP BY d.rid),
+        kept AS (
+            SELECT d.rid, string_agg(substring(h, 2 * a + 1, 2 * (z - a)), '' ORDER BY a) AS h
+            FROM gaps JOIN d ON d.rid = gaps.rid GROUP BY d.rid),
+        cut AS (SELECT rid, count(*) AS n_spans, sum(e - b) AS removed FROM spans GROUP BY rid)
+        SELECT doc_id, CAST(n AS BIGINT) AS n_bytes,
+            CAST(coalesce(removed, 0) AS BIGINT) AS n_removed,
+            CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
+            sha256(unhex(kept.h)) AS kept_sha256
+        FROM d JOIN kept ON kept.rid = d.rid LEFT JOIN cut ON cut.rid = d.rid
+    """,
+    "op4_quality_rules": f"""
+        WITH d AS (
+            SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t,
+                {WORDS.format("coalesce(text, '')")} AS w,
+                list_filter(string_split(coalesce(text, ''), chr(10)),
+                    lambda line: regexp_matches(line, '[^\\x20\\x09-\\x0D]')) AS lines
+            FROM documents),
+        starts AS (
+            SELECT rid, w, unnest(generate_series(1, len(w) - 4)) AS i FROM d WHERE len(w) >= 5),
+        windows AS (SELECT rid, i, array_to_string(w[i:i + 4], ' ') AS s FROM starts),
+        found AS (
+            SELECT rid, i FROM (SELECT *, count(*) OVER (PARTITION BY rid, s) AS c FROM windows)
+            WHERE c > 1),
+        places AS (SELECT DISTINCT rid, unnest([i, i + 1, i + 2, i + 3, i + 4]) AS k FROM found),
+        repeats AS (SELECT rid, count(*) AS n FROM places GROUP BY rid),
+        m AS (
+            SELECT doc_id, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars,
+                length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
+                len(lines) - len(list_distinct(lines)) AS n_dup_lines, len(lines) AS n_lines,
+                coalesce(n, 0) AS n_repeat_words
+            FROM d LEFT JOIN repeats ON repeats.rid = d.rid),
+        ledger AS (
+            SELECT *, CASE WHEN n_words < 10 THEN 1 ELSE 0 END
+                + CASE WHEN 100 * n_repeat_words > 20 * n_words THEN 2 ELSE 0 END
+                + CASE WHEN 100 * n_symbols > 10 * n_words THEN 4 ELSE 0 END
+                + CASE WHEN 100 * n_dup_lines > 50 * n_lines THEN 8 ELSE 0 END
+                + CASE WHEN word_chars < 2 * n_words THEN 16 ELSE 0 END
+                + CASE WHEN word_chars > 20 * n_words THEN 32 ELSE 0 END AS failed
+            FROM m)
+        SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars,
+            CAST(n_symbols AS BIGINT) AS n_symbols, CAST(n_dup_lines AS BIGINT) AS n_dup_lines,
+            CAST(n_repeat_words AS BIGINT) AS n_repeat_words, failed & 3 <> 0 AS base_failed,
+            failed = 0 AS kept, CAST(failed AS BIGINT) AS failed
+        FROM ledger
+    """,
+    "op9_decontamination": r"""
+        WITH iw AS (
+            SELECT DISTINCT item_id, text,
+                regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS w
+            FROM benchmark WHERE text IS NOT NULL),
+        items AS (
+            SELECT DISTINCT item_id, unnest(list_transform(generate_series(1, len(w) - 4),
+                lambda k: array_to_string(w[k:k + 4], ' '))) AS s
+            FROM iw WHERE len(w) >= 5),
+        sizes AS (SELECT item_id, count(*) AS n FROM items GROUP BY item_id),
+        dw AS (
+            SELECT row_number() OVER () AS rid, doc_id,
+                regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS w
+            FROM documents),
+        docs AS (
+            SELECT DISTINCT rid, doc_id, unnest(list_transform(generate_series(1, len(w) - 4),
+                lambda k: array_to_string(w[k:k + 4], ' '))) AS s
+            FROM dw WHERE len(w) >= 5),
+        shared AS (
+            SELECT item_id, rid, doc_id, count(*) AS c
+            FROM items JOIN docs ON docs.s = items.s GROUP BY item_id, rid, doc_id)
+        SELECT shared.item_id, doc_id, n AS n_shingles, c AS n_shared
+        FROM shared JOIN sizes ON sizes.item_id = shared.item_id WHERE 5 * c >= 4 * n
+    """,
+    "op10_warc": """
+        WITH p AS (
+            SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n,
+                sha256(coalesce(html, '')) AS h
+            FROM pages),
+        firsts AS (SELECT h, min(page_id) AS first FROM p WHERE n >= 100 GROUP BY h)
+        SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, p.h AS payload_digest,
+            CASE WHEN first IS NULL OR first = page_id THEN 'response' ELSE 'revisit' END
+                AS record_type,
+            CASE WHEN first <> page_id THEN first END AS refers_to
+        FROM p LEFT JOIN firsts ON firsts.h = p.h
+    """,
+}
