@@ -40,11 +40,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from millwright.llm.common import ByteHashes, map_batches, utf8
+from millwright.llm.rawfiles import new_folder
 from millwright.sources.staging import stage
 
 LENGTH = 200
 TRIGGER_BYTES = 56
 BLOCK_BYTES = 4_000_000
+# Spark allows up to 100,000 buckets; beyond, a bucket just holds more blocks.
+MAX_BUCKETS = 50_000
 # Starts looked at together; must stay below 2**24 with its margins.
 WINDOW_STARTS = 2_000_000
 _POSITION_BITS = 24
@@ -172,8 +175,8 @@ def write_blocks(
 ) -> DataFrame:
     """Documents grouped as they are read: ``block, doc_ids, sizes, data``, bucketed by block.
 
-    A table of its own below the warehouse folder; a document is never split. The columns of
-    ``carry`` are kept beside the ids, as ``carried``.
+    A table of its own in the shared folder; a document is never split. The columns of ``carry``
+    are kept beside the ids, as ``carried``.
     """
     carry = list(carry)
     fields = documents.select(*carry).schema
@@ -214,8 +217,8 @@ def write_blocks(
         schema += f", carried array<{fields.simpleString()}>"
     made = map_batches(documents, ["doc_id", "text", *carry], blocks, schema)
     name = f"text_blocks_{uuid.uuid4().hex}"
-    writer = made.write.bucketBy(parts, "block").option("compression", "zstd").format("parquet")
-    writer.saveAsTable(name)
+    writer = made.write.bucketBy(min(parts, MAX_BUCKETS), "block").format("parquet")
+    writer.options(compression="zstd", path=new_folder(spark, "text-blocks")).saveAsTable(name)
     return spark.table(name)
 
 
