@@ -9,8 +9,8 @@ vocabulary's pieces that end there, gives the count at every prefix:
 gives these two tokens again; answers are kept by pair.
 
 A text is cut where no piece of the vocabulary crosses (before a space mark that follows
-another character, and around characters that are in no longer piece), so the pass runs once
-per distinct word and worker, and its counts, as steps from prefix to prefix, are joined for
+another character, before a comma or full stop that follows a letter, and around line breaks), so the pass runs
+once per distinct word and worker, and its counts, as steps from prefix to prefix, are joined for
 each text. The steps, one byte a character, are the ledger: their running sum is the count at
 every prefix, and truncation and budget questions need no encoding.
 """
@@ -33,6 +33,7 @@ MAX_PAIRS = 2_000_000
 # Texts looked at together: the more new words there are at once, the more prefixes they share.
 SLICE_CHARS = 40_000_000
 SPACE_MARK = "▁"
+_STOPS = ",."
 
 _COUNTERS: dict[str, PrefixCounter] = {}
 
@@ -56,6 +57,9 @@ class PrefixCounter:
             raise ValueError("a piece of this vocabulary crosses the start of a word")
         if any("\n" in p for p in self.score):
             raise ValueError("a piece of this vocabulary holds a line break")
+        if any(a.isalpha() and b in _STOPS for p in longer for a, b in zip(p, p[1:])):
+            raise ValueError("a piece of this vocabulary crosses the end of a word")
+        self.stops: dict[str, bytes] = {}
         self.tails: set[str] = {p[k:] for p in longer for k in range(len(p))}
         self.apart: dict[tuple[str, str], bool] = {}
         self.line_break = self._steps("\n")
@@ -157,12 +161,21 @@ class PrefixCounter:
                 out[i] = b"".join(values)
         if len(self.word) + len(new) > MAX_KEPT:
             self.word.clear()
+        # Words with a comma or full stop after them take the word's own steps.
+        bare = {p: p.rstrip(_STOPS) for p in new if p not in self.word}
+        ended = {p: w for p, w in bare.items() if w != p and w and w[-1].isalpha()}
+        new = {ended.get(p, p): None for p in bare}
         after_space = sorted(p for p in new if p not in self.word and not p.startswith("\n"))
         marked = [SPACE_MARK + p for p in after_space]
         self.word.update(zip(after_space, self._steps_of_sorted(marked), strict=True))
         heads = sorted(p for p in new if p not in self.word)
         steps = self._steps_of_sorted([p[1:] for p in heads])
         self.word.update({p: self.line_break + s for p, s in zip(heads, steps, strict=True)})
+        for part, word in ended.items():
+            tail = part[len(word) :]
+            if tail not in self.stops:
+                self.stops[tail] = self._steps(tail)
+            self.word[part] = self.word[word] + self.stops[tail]
         for i in later:
             values, _ = self._regular(texts[i])
             out[i] = self._ledger_of_any(texts[i]) if None in values else b"".join(values)
