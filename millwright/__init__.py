@@ -25,6 +25,7 @@ from millwright.operators.limits import classify_status, control_chart, gauge_ba
 from millwright.operators.summaries import box_stats, histogram, trendline
 from millwright.plans.plant import clean_tables, compute_kpis, kpi_summary
 from millwright.settings import Settings
+from millwright.sources.staging import drop_staged, staged_scope
 from millwright.sources.tables import load_tables, write_kpis, write_tables
 
 __all__ = [
@@ -43,6 +44,7 @@ __all__ = [
     "clean_tables",
     "compute_kpis",
     "control_chart",
+    "drop_staged",
     "gauge_bands",
     "has_columns",
     "headline_kpis",
@@ -55,6 +57,7 @@ __all__ = [
     "reconcile_downtime",
     "rule_violations",
     "schema_report",
+    "staged_scope",
     "status_table",
     "trendline",
     "validate_data_quality",

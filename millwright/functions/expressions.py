@@ -79,9 +79,9 @@ def weighted_avg(value: ColumnOrName, weight: ColumnOrName) -> Column:
 
 
 def month_key(c: ColumnOrName) -> Column:
-    """``YYYY-MM`` of a date. Joined from its parts: formatting each row's date costs more."""
+    """``YYYY-MM`` of a date: how its text starts, which costs less than a date format."""
     c = as_column(c)
-    return F.concat(F.lpad(F.year(c), 4, "0"), F.lit("-"), F.lpad(F.month(c), 2, "0"))
+    return F.substring(c.cast("date").cast("string"), 1, 7)
 
 
 def day_text(c: ColumnOrName) -> Column:

@@ -23,6 +23,7 @@ from millwright.functions.expressions import (
 from millwright.operators.ordered import running_sum_of_staged
 from millwright.operators.quantiles import staged_counts
 
+# The cap on performance, the Pareto line, and the measures of a KPI table.
 PERFORMANCE_CAP = 1.5
 PARETO_LINE = 80.0
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql.types import StructType
 
+# Tables, columns and types.
 TABLE_DDL = {
     "factories": """
         factory_id string, factory_name string, country string, num_lines bigint, timezone string

@@ -15,6 +15,10 @@ DEFAULT_TARGETS = {
     "scrap_rate": 0.03,
     "defect_rate": 0.03,
 }
+# Where scrap and defect rates are to have no status, pass these targets instead.
+HIGHER_IS_BETTER_TARGETS = {
+    name: DEFAULT_TARGETS[name] for name in ("oee", "availability", "performance", "quality")
+}
 TARGET_CONFIG_KEYS = {
     "oee": "oee_target",
     "availability": "availability_target",

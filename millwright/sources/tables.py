@@ -22,6 +22,7 @@ NULL_TEXTS = (
     "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 )
 
+# The names of the KPI result set.
 KPI_TABLES = (
     "production_with_kpis",
     "monthly_kpis",
