@@ -24,14 +24,15 @@ from millwright.llm.common import map_batches, texts_of
 
 ORDERS = (1, 2, 3)
 BUCKETS = 1 << 16
-PER_LANGUAGE = 300
+PER_LANGUAGE = 200
 LANDMARKS_PER_LANGUAGE = 32
+MAX_LANDMARKS = 256  # over all languages; a landmark is at most a quarter of a megabyte
 MAX_LANGUAGES = 64
-LONGEST_SAMPLE = 20_000  # longer texts are sampled only where there are no others
+LONGEST_SAMPLE = 5_000  # longer texts are sampled only where there are no others
 RIDGE = 1e-2
 UNKNOWN = "und"
 # Below this no learned language supports a text. Single words of a learned language score more.
-LEAST_SCORE = 0.15
+LEAST_SCORE = 0.08
 _DOCS = 128
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _LETTERS: list[np.ndarray] = []
@@ -76,7 +77,9 @@ def presence(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
             for n in range(1, max(ORDERS) + 1):
                 gram = gram[: len(part) - n + 1] * _STEP + part[n - 1 :] + np.uint64(n)
                 if n in ORDERS:
-                    row[(gram * _STEP) >> np.uint64(48)] = True
+                    # A gap alone is no n-gram: every text has it.
+                    own = gram[part != 0] if n == 1 else gram
+                    row[(own * _STEP) >> np.uint64(48)] = True
     return found, any_letter
 
 
@@ -110,11 +113,12 @@ def fit(
         nothing = np.zeros((0, 0), np.float32)
         return Model([], np.zeros(0, np.int64), nothing, nothing)
     of = {lang: i for i, lang in enumerate(languages)}
+    per_language = max(1, min(landmarks_per_language, MAX_LANDMARKS // len(languages)))
     seen: dict[str, int] = {}
     marks = []
     for lang, text in sample:
         seen[lang] = seen.get(lang, 0) + 1
-        if seen[lang] <= landmarks_per_language:
+        if seen[lang] <= per_language:
             marks.append(text)
     found, _ = presence(marks)
     columns = np.flatnonzero(found.any(0))
