@@ -25,6 +25,13 @@ def map_batches(
     return df.select(*columns).mapInArrow(fn, schema)
 
 
+def sliced(batches: Batches, rows: int = 512) -> Batches:
+    """The same rows in smaller batches, so that few texts are Python objects at a time."""
+    for batch in batches:
+        for low in range(0, batch.num_rows, rows):
+            yield batch.slice(low, rows)
+
+
 def texts_of(column: pa.Array) -> list[str]:
     """Texts of an Arrow column as Python strings; null counts as empty."""
     return [t or "" for t in column.to_pylist()]

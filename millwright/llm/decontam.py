@@ -26,7 +26,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millwright.llm.common import ByteHashes, map_batches, texts_of, utf8
+from millwright.llm.common import ByteHashes, map_batches, sliced, texts_of, utf8
 
 SHINGLE_WORDS = 5
 THRESHOLD = 0.8
@@ -188,7 +188,7 @@ def contained_items(
 
         def searched(batches, shared=shared):
             sketches = Sketches(shared.value, shingle_words, threshold)
-            for batch in batches:
+            for batch in sliced(batches):
                 ids, texts = batch.column("doc_id"), texts_of(batch.column("text"))
                 rows = [
                     (item, ids[text].as_py(), n, shared_n)
@@ -220,7 +220,7 @@ def without_items(
 
         def clean(batches, shared=shared):
             sketches = Sketches(shared.value, shingle_words, threshold)
-            for batch in batches:
+            for batch in sliced(batches):
                 texts = texts_of(batch.column("text"))
                 keep = np.ones(len(texts), bool)
                 keep[[text for text, *_ in sketches.contained_in_slices(texts)]] = False

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millwright.llm.common import map_batches, texts_of
+from millwright.llm.common import map_batches, sliced, texts_of
 
 ORDERS = (1, 2, 3)
 BUCKETS = 1 << 16
@@ -181,7 +181,7 @@ def predict(documents: DataFrame, model: Model) -> DataFrame:
 
     def predicted(batches):
         model = shared.value
-        for batch in batches:
+        for batch in sliced(batches):
             texts = texts_of(batch.column("text"))
             names, best = [UNKNOWN] * len(texts), np.zeros(len(texts))
             for low in range(0, len(texts) if model.languages else 0, _DOCS):
@@ -214,7 +214,7 @@ def supported(documents: DataFrame, model: Model, *, least_score: float = LEAST_
 
     def kept(batches):
         model = shared.value
-        for batch in batches:
+        for batch in sliced(batches):
             texts = texts_of(batch.column("text"))
             keep = np.zeros(len(texts), bool)
             for low in range(0, len(texts) if model.languages else 0, _DOCS):

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millwright.llm.common import map_batches, texts_of, utf8
+from millwright.llm.common import map_batches, sliced, texts_of, utf8
 from millwright.sources.staging import stage
 
 SHINGLE_WORDS = 4
@@ -69,7 +69,7 @@ def fingerprints(documents: DataFrame, *, shingle_words: int = SHINGLE_WORDS) ->
     """``doc_id`` and ``fp``, the fingerprint as a signed bigint. Null text has no words."""
 
     def made(batches):
-        for batch in batches:
+        for batch in sliced(batches):
             own = [fingerprint(t, shingle_words) for t in texts_of(batch.column("text"))]
             fps = np.array(own, np.uint64).astype(np.int64)
             yield pa.RecordBatch.from_arrays(

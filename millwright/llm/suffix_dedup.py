@@ -49,7 +49,7 @@ BLOCK_BYTES = 4_000_000
 # Spark allows up to 100,000 buckets; beyond, a bucket just holds more blocks.
 MAX_BUCKETS = 50_000
 # Starts looked at together; must stay below 2**24 with its margins.
-WINDOW_STARTS = 2_000_000
+WINDOW_STARTS = 500_000
 _POSITION_BITS = 24
 _LOW = np.uint64((1 << _POSITION_BITS) - 1)
 _CODE = np.uint64(3)

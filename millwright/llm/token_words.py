@@ -18,7 +18,8 @@ from collections.abc import Callable
 
 import numpy as np
 
-MAX_KEPT = 1_200_000
+# Parts in each of two generations; a part takes some 200 bytes.
+MAX_KEPT = 350_000
 _ENCODERS: dict[tuple[str, str], WordEncoder] = {}
 
 # The two kinds of tokenizer files that this module can cut texts for.
@@ -41,6 +42,29 @@ def _parts_without_space(text: str) -> list[str]:
     return text.replace("\n", " ").split(" ")
 
 
+class Kept:
+    """Ids of parts in two generations: when the newer is full it becomes the older one.
+
+    Parts met again move to the newer one, so frequent parts stay.
+    """
+
+    def __init__(self):
+        self.now: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
+
+    def make_room(self, new: list[str]) -> list[str]:
+        """Room for new parts; returns those that are really unknown."""
+        if len(self.now) + len(new) > MAX_KEPT:
+            self.now, self.before = {}, self.now
+        again = {p: self.before[p] for p in new if p in self.before}
+        self.now.update(again)
+        return [p for p in new if p not in again]
+
+    def get(self, part: str) -> bytes | None:
+        found = self.now.get(part)
+        return self.before.get(part) if found is None else found
+
+
 def _byte_alphabet() -> dict[str, int]:
     """The printable characters that stand for bytes in byte-level vocabularies."""
     printable = [b for b in range(256) if chr(b).isprintable() and b not in (0x20, 0xA0, 0xAD)]
@@ -105,8 +129,8 @@ class WordEncoder:
         self.mark = self._ids(self.between)[0]
         self.line_break = self._ids("\n").tobytes()
         # Empty bytes stand for parts with white space at an edge: such texts are encoded whole.
-        self.first: dict[str, bytes] = {}
-        self.rest: dict[str, bytes] = {} if self.spaced else self.first
+        self.first = Kept()
+        self.rest = Kept() if self.spaced else self.first
 
     def _ids(self, text: str) -> np.ndarray:
         encoded = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)
@@ -151,11 +175,10 @@ class WordEncoder:
         ids = self.merges.encode(((prefix if self.spaced else "") + core).encode())
         return ids + self.merges.encode(tail.encode()) if tail else ids
 
-    def _learn(self, known: dict[str, bytes], new: list[str], prefix: str) -> None:
-        if len(known) + len(new) > MAX_KEPT:
-            known.clear()
-        chunks = {}
-        for part in new:
+    def _learn(self, kept: Kept, new: list[str], prefix: str) -> None:
+        chunks, unknown = {}, kept.make_room(new)
+        known = kept.now
+        for part in unknown:
             own_line = self.spaced and prefix and part.startswith("\n")
             core = part[1:] if own_line else part
             plain = self._plain(core, "" if own_line else prefix)
@@ -176,9 +199,9 @@ class WordEncoder:
 
     def _look_up(self, parts: list[str]) -> list[bytes | None]:
         if not self.spaced:
-            return list(map(self.first.get, parts))
-        values = list(map(self.rest.get, parts))
-        values[0] = self.first.get(parts[0])
+            return list(map(self.first.now.get, parts))
+        values = list(map(self.rest.now.get, parts))
+        values[0] = self.first.now.get(parts[0])
         return values
 
     def _joined(self, text: str, values: list[bytes]) -> bytes:
@@ -206,11 +229,14 @@ class WordEncoder:
             else:
                 out[i] = self._joined(text, values)
         if later:
-            self._learn(self.first, [p for p in first if p not in self.first], "")
-            self._learn(self.rest, [p for p in rest if p not in self.rest], " ")
+            self._learn(self.first, list(first), "")
+            self._learn(self.rest, list(rest), " ")
         for i, parts in later:
             values = self._look_up(parts)
-            if None in values:  # the table was emptied meanwhile
+            if None in values:  # the generations changed meanwhile
+                values = list(map(self.rest.get, parts))
+                values[0] = self.first.get(parts[0])
+            if None in values:
                 out[i] = self._ids(texts[i]).tobytes()
             else:
                 out[i] = self._joined(texts[i], values)
