@@ -19,7 +19,7 @@ within documents. What any such string covers is removed, every occurrence inclu
   neighbours fall together, and one entry per class is compared with other blocks.
 
 Both comparisons shuffle one row per distinct value and block, so a value that a third of all
-documents hold costs one row per block. Documents are grouped into blocks of some megabytes as
+documents hold costs one row per block. Documents are grouped into blocks of two megabytes as
 they are read; blocks are written once, bucketed by their number, and later passes join answers
 to them without shuffling texts. Longer documents are gone through in windows.
 
@@ -45,11 +45,11 @@ from millwright.sources.staging import stage
 
 LENGTH = 200
 TRIGGER_BYTES = 56
-BLOCK_BYTES = 4_000_000
+BLOCK_BYTES = 2_000_000
 # Spark allows up to 100,000 buckets; beyond, a bucket just holds more blocks.
 MAX_BUCKETS = 50_000
 # Starts looked at together; must stay below 2**24 with its margins.
-WINDOW_STARTS = 500_000
+WINDOW_STARTS = 250_000
 _POSITION_BITS = 24
 _LOW = np.uint64((1 << _POSITION_BITS) - 1)
 _CODE = np.uint64(3)
