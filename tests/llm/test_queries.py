@@ -1,9 +1,13 @@
 """The registered corpus queries over whole small tables, and the pipeline."""
 
+import random
+
 import duckdb
+import numpy as np
 import pytest
 
 import corpus_pipeline
+from millwright.llm import minhash
 from millwright.llm.oracles import ORACLES
 from millwright.llm.queries import QUERIES
 from millwright.sources.staging import stage
@@ -57,6 +61,62 @@ def test_pipeline_keeps_clean_documents_and_drops_the_rest(spark):
     assert twice.count() == unique.count()
 
 
+def similarity(a, b):
+    a, b = ({tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in (a.split(), b.split()))
+    return len(a & b) / len(a | b)
+
+
+def test_pipeline_drops_near_duplicates_from_a_similarity_of_0_8(spark):
+    rng = random.Random(2)
+    rows, dropped, kept = [], set(), set()
+    for k, (n, changed) in enumerate([(300, 3), (300, 6), (300, 7), (1000, 4), (1000, 20), (60, 1), (300, 14)] * 20):
+        words = [f"w{rng.randrange(5000)}" for _ in range(n)]
+        copy = list(words)
+        for at in rng.sample(range(n), changed):
+            copy[at] = f"new{rng.randrange(5000)}"
+        rows += [(2 * k, " ".join(words)), (2 * k + 1, " ".join(copy))]
+        (dropped if similarity(rows[-2][1], rows[-1][1]) >= 0.8 else kept).add(2 * k + 1)
+    assert len(dropped) > 80 and len(kept) > 20
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").selectExpr(
+        "doc_id", "text", "'en' AS lang", "'s' AS source", "bigint(length(text)) AS n_chars"
+    )
+    got = {r.doc_id for r in corpus_pipeline.near_duplicates(spark, docs, SF).collect()}
+    assert got == {i for i, _ in rows} - dropped
+
+
+@pytest.mark.parametrize("block_entries", [3, 1024])
+def test_links_connect_what_is_similar(spark, block_entries):
+    """Long lists in blocks give the same groups as brute force over all pairs."""
+    rng = random.Random(3)
+    texts = []
+    for n in (1, 4, 30, 200):
+        words = [f"w{rng.randrange(900)}" for _ in range(n)]
+        for _ in range(25):
+            texts.append(" ".join(words))
+            words[rng.randrange(n)] = f"w{rng.randrange(900)}"
+    sets = {minhash.set_name(s): s for s in map(minhash.shingle_set, texts)}
+    names = {minhash.set_name(minhash.shingle_set(t)): t for t in texts}
+    entries = spark.createDataFrame(list(names.items()), "set_name string, text string")
+    found = minhash.links(entries, block_entries=block_entries).collect()
+    close = {
+        (a, b)
+        for a in sets for b in sets
+        if a < b and len(np.intersect1d(sets[a], sets[b])) >= 0.8 * len(np.union1d(sets[a], sets[b]))
+    }
+
+    def groups(edges):
+        of = {a: {a} for a in sets}
+        for a, b in edges:
+            if of[a] is not of[b]:
+                of[a] |= of[b]
+                for c in of[b]:
+                    of[c] = of[a]
+        return {frozenset(g) for g in of.values()}
+
+    assert {tuple(sorted((r.a, r.b))) for r in found} <= close
+    assert groups(close) == groups([(r.a, r.b) for r in found])
+
+
 def test_pipeline_of_an_empty_table(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").limit(0)
     for _, step in corpus_pipeline.STAGES:
