@@ -84,6 +84,18 @@ def test_pipeline_drops_near_duplicates_from_a_similarity_of_0_8(spark):
     assert got == {i for i, _ in rows} - dropped
 
 
+def test_pipeline_keeps_different_texts_under_null_and_repeated_ids(spark):
+    text = {k: " ".join(f"{k}{i}" for i in range(40)) for k in "abcdef"}
+    rows = [(None, text["a"]), (None, text["b"]), (None, text["b"]), (7, text["c"]), (7, text["d"])]
+    rows += [(3, text["d"]), (None, text["e"]), (9, text["e"]), (5, text["f"]), (5, text["f"])]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").selectExpr(
+        "doc_id", "text", "'en' AS lang", "'s' AS source", "bigint(length(text)) AS n_chars"
+    )
+    got = corpus_pipeline.near_duplicates(spark, docs, SF).select("doc_id", "text").collect()
+    want = [(None, "a"), (None, "b"), (7, "c"), (3, "d"), (9, "e"), (5, "f")]
+    assert sorted(map(tuple, got), key=repr) == sorted([(i, text[k]) for i, k in want], key=repr)
+
+
 @pytest.mark.parametrize("block_entries", [3, 1024])
 def test_links_connect_what_is_similar(spark, block_entries):
     """Long lists in blocks give the same groups as brute force over all pairs."""
