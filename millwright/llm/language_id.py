@@ -7,13 +7,21 @@ labelled rows supplies landmarks (Nyström) and training rows; for each language
 regression in the landmarks' space separates it from the rest. Scoring is two matrix products
 per batch of texts: presence times landmarks, then times the weights.
 
-Whole texts are read; only the training sample is bounded (``PER_LANGUAGE`` rows of each of at
-most ``MAX_LANGUAGES`` languages, taken by a hash of the id).
+Whole texts are read; only the training sample is bounded (``PER_LANGUAGE`` rows of each
+most frequent ``MAX_LANGUAGES`` languages, taken by a hash of the id).
+
+The scores tell languages apart, but not whether a text is in any of them: some language always
+has the most. That is decided by the share of the text's three-letter n-grams, every occurrence
+counted, that no training row of its language has. What is usual is fitted on the training rows,
+each against the others of its language; ``supported`` leaves texts out that are clearly beyond,
+as a whole and in most of their pieces (a text may change between learned languages).
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from itertools import groupby, islice
 
 import numpy as np
 import pyarrow as pa
@@ -21,19 +29,23 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millwright.llm.common import map_batches, sliced, texts_of
+from millwright.sources.staging import stage
 
 ORDERS = (1, 2, 3)
 BUCKETS = 1 << 16
 PER_LANGUAGE = 200
 LANDMARKS_PER_LANGUAGE = 32
-MAX_LANDMARKS = 256  # over all languages; a landmark is at most a quarter of a megabyte
-MAX_LANGUAGES = 64
+MAX_LANDMARKS = 256  # over all languages, but for one a language
 LONGEST_SAMPLE = 5_000  # longer texts are sampled only where there are no others
 RIDGE = 1e-2
 UNKNOWN = "und"
-# Below this no learned language supports a text. Single words of a learned language score more.
-LEAST_SCORE = 0.08
+MAX_LANGUAGES = 64
+KNOWN_BITS = 18  # n-grams of three letters are kept as bits under so many bits of their hash
+USUAL = 0.99  # quantile of the training rows' shares of unknown n-grams
+DEVIATIONS = 4.0  # how far beyond a text may be, by chance in as many n-grams as it has
+PIECE = 300  # characters of the pieces that texts in several languages are judged by
 _DOCS = 128
+_MARKS = 256
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _LETTERS: list[np.ndarray] = []
 
@@ -83,23 +95,86 @@ def presence(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return found, any_letter
 
 
+def trigrams(text: str) -> np.ndarray:
+    """Hashes of all occurrences of three letters or gaps in a row."""
+    codes = letters_of(text)
+    if len(codes) < 3:
+        return np.zeros(0, np.int64)
+    gram = (codes[:-2] * _STEP + codes[1:-1] + np.uint64(1)) * _STEP + codes[2:]
+    return ((gram * _STEP) >> np.uint64(64 - KNOWN_BITS)).astype(np.int64)
+
+
+def most_unknown(usual: float, n: int) -> float:
+    """The largest share among ``n`` n-grams that chance explains if ``usual`` is the true one."""
+    z2 = DEVIATIONS**2
+    spread = DEVIATIONS * np.sqrt(usual * (1 - usual) / n + z2 / (4 * n * n))
+    return (usual + z2 / (2 * n) + spread) / (1 + z2 / n)
+
+
 @dataclass(frozen=True)
 class Model:
-    """Landmarks and weights; small enough to be sent to every executor."""
+    """Landmarks, weights and known n-grams; small enough to be sent to every executor."""
 
     languages: list[str]
     columns: np.ndarray  # the buckets that some landmark has
-    landmarks: np.ndarray  # columns x landmarks, divided by the root of the landmark's size
+    marks: np.ndarray  # landmarks x columns, as bits
     weights: np.ndarray  # landmarks x languages
+    known: np.ndarray  # languages x three-letter n-grams, as bits
+    usual: np.ndarray  # by language: the share of unknown n-grams that is usual
 
     def kernel(self, found: np.ndarray) -> np.ndarray:
         sizes = np.sqrt(np.maximum(found.sum(1, dtype=np.float32), 1))
-        return (found[:, self.columns].astype(np.float32) @ self.landmarks) / sizes[:, None]
+        own = found[:, self.columns].astype(np.float32)
+        out = np.empty((len(found), len(self.marks)), np.float32)
+        for low in range(0, len(self.marks), _MARKS):
+            some = np.unpackbits(self.marks[low : low + _MARKS], axis=1, count=len(self.columns))
+            roots = np.sqrt(np.maximum(some.sum(1, dtype=np.float32), 1))
+            out[:, low : low + _MARKS] = own @ some.T.astype(np.float32) / roots
+        return out / sizes[:, None]
 
     def scores(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         found, any_letter = presence(texts)
         return np.clip(self.kernel(found) @ self.weights, 0, 1), any_letter
 
+    def supports(self, text: str, language: int) -> bool:
+        """Whether the text's share of unknown n-grams is as in texts of the language."""
+        grams = trigrams(text)
+        if not len(grams):
+            return False
+        bits = self.known[language, grams >> 3] >> (7 - (grams & 7)).astype(np.uint8) & 1
+        n = np.count_nonzero(np.bincount(grams, minlength=1 << KNOWN_BITS))
+        return 1 - bits.mean() <= most_unknown(self.usual[language], n)
+
+
+    def supported(self, texts: list[str]) -> np.ndarray:
+        """Which texts are in a learned language, or in several ones piece by piece."""
+        keep = self._supported(texts)
+        for k in np.flatnonzero(~keep):
+            text = texts[k]
+            pieces = [text[low : low + PIECE] for low in range(0, len(text), PIECE)]
+            if len(pieces) > 1:
+                keep[k] = 2 * np.count_nonzero(self._supported(pieces)) > len(pieces)
+        return keep
+
+    def _supported(self, texts: list[str]) -> np.ndarray:
+        keep = np.zeros(len(texts), bool)
+        for low in range(0, len(texts) if self.languages else 0, _DOCS):
+            scores, any_letter = self.scores(texts[low : low + _DOCS])
+            at = scores.argmax(1)
+            for k in np.flatnonzero(any_letter):
+                keep[low + k] = self.supports(texts[low + k], at[k])
+        return keep
+
+
+def _known(texts: list[str]) -> tuple[np.ndarray, float]:
+    """Bits of the n-grams in the texts, and the usual share of a text that no other one has."""
+    grams = [trigrams(t) for t in texts]
+    holders = np.zeros(1 << KNOWN_BITS, np.int32)
+    for own in grams:
+        holders[np.unique(own)] += 1
+    shares = [np.mean(holders[own] == 1) for own in grams if len(own)]
+    return np.packbits(holders > 0), float(np.quantile(shares, USUAL)) if shares else 0.0
+
 
 def fit(
     sample: list[tuple[str, str]],
@@ -108,44 +183,60 @@ def fit(
     ridge: float = RIDGE,
 ) -> Model:
     """Train on ``(lang, text)`` rows; the first rows of a language are its landmarks."""
-    languages = sorted({lang for lang, _ in sample})
+    rows = sorted(sample, key=lambda row: row[0])
+    return fit_rows(
+        sorted({lang for lang, _ in rows}),
+        lambda: iter(rows),
+        landmarks_per_language=landmarks_per_language,
+        ridge=ridge,
+    )
+
+
+def fit_rows(
+    languages: list[str],
+    rows: Callable[[], Iterator[tuple[str, str]]],
+    *,
+    landmarks_per_language: int = LANDMARKS_PER_LANGUAGE,
+    ridge: float = RIDGE,
+) -> Model:
+    """:func:`fit` on rows in order of language, of which only one language's are held at a time."""
     if not languages:
         nothing = np.zeros((0, 0), np.float32)
-        return Model([], np.zeros(0, np.int64), nothing, nothing)
+        return Model([], np.zeros(0, np.int64), nothing, nothing, nothing, nothing)
     of = {lang: i for i, lang in enumerate(languages)}
     per_language = max(1, min(landmarks_per_language, MAX_LANDMARKS // len(languages)))
-    seen: dict[str, int] = {}
+    known = np.zeros((len(languages), (1 << KNOWN_BITS) // 8), np.uint8)
+    usual = np.zeros(len(languages))
     marks = []
-    for lang, text in sample:
-        seen[lang] = seen.get(lang, 0) + 1
-        if seen[lang] <= per_language:
-            marks.append(text)
-    found, _ = presence(marks)
-    columns = np.flatnonzero(found.any(0))
-    own = found[:, columns].astype(np.float32)
-    own /= np.sqrt(np.maximum(own.sum(1, keepdims=True), 1))
-    model = Model(languages, columns, own.T.copy(), np.zeros((len(marks), len(languages))))
-    among = (own @ own.T).astype(np.float64)
-    values, vectors = np.linalg.eigh(among)
+    for lang, own in groupby(rows(), key=lambda row: row[0]):
+        texts = [text for _, text in own]
+        marks.append(np.packbits(presence(texts[:per_language])[0], axis=1))
+        known[of[lang]], usual[of[lang]] = _known(texts)
+    marks = np.concatenate(marks)
+    columns = np.flatnonzero(np.unpackbits(np.bitwise_or.reduce(marks, axis=0)))
+    own = np.concatenate([np.packbits(np.unpackbits(m)[columns])[None] for m in marks])
+    model = Model(languages, columns, own, np.zeros((len(marks), len(languages))), known, usual)
+    among = np.concatenate(
+        [model.kernel(np.unpackbits(marks[k : k + _DOCS], axis=1)) for k in range(0, len(marks), _DOCS)]
+    ).astype(np.float64)
+    values, vectors = np.linalg.eigh((among + among.T) / 2)
     usable = values > 1e-8 * max(values.max(), 1e-12)
     half = vectors[:, usable] / np.sqrt(values[usable])
     gram = np.zeros((half.shape[1], half.shape[1]))
     target = np.zeros((half.shape[1], len(languages)))
-    for low in range(0, len(sample), _DOCS):
-        rows = sample[low : low + _DOCS]
-        mapped = model.kernel(presence([t for _, t in rows])[0]).astype(np.float64) @ half
-        wanted = np.zeros((len(rows), len(languages)))
-        wanted[np.arange(len(rows)), [of[lang] for lang, _ in rows]] = 1
+    again = rows()
+    while some := list(islice(again, _DOCS)):
+        mapped = model.kernel(presence([t for _, t in some])[0]).astype(np.float64) @ half
+        wanted = np.zeros((len(some), len(languages)))
+        wanted[np.arange(len(some)), [of[lang] for lang, _ in some]] = 1
         gram += mapped.T @ mapped
         target += mapped.T @ wanted
     solved = np.linalg.solve(gram + ridge * np.eye(len(gram)), target)
-    return Model(languages, columns, model.landmarks, (half @ solved).astype(np.float32))
+    return Model(languages, columns, own, (half @ solved).astype(np.float32), known, usual)
 
 
-def training_sample(
-    documents: DataFrame, *, per_language: int = PER_LANGUAGE, max_languages: int = MAX_LANGUAGES
-) -> DataFrame:
-    """At most so many labelled rows of each of the most frequent languages: ``lang, text, rank``.
+def training_sample(documents: DataFrame, *, per_language: int = PER_LANGUAGE, max_languages: int = MAX_LANGUAGES) -> DataFrame:
+    """At most so many labelled rows of each language: ``lang, text, rank``.
 
     Each task keeps its first rows per language before anything is shuffled.
     """
@@ -153,22 +244,30 @@ def training_sample(
         F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out()
     ).select("doc_id", "lang", "text")
     by_language = usable.groupBy("lang").count().orderBy(F.desc("count"), "lang")
-    frequent = F.broadcast(by_language.limit(max_languages).select("lang"))
+    usable = usable.join(F.broadcast(by_language.limit(max_languages).select("lang")), "lang")
     order = [F.length("text") > LONGEST_SAMPLE, F.xxhash64("doc_id"), F.col("doc_id"), F.col("text")]
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(*order))
     return (
-        usable.join(frequent, "lang")
-        .withColumn("rank", rank)
+        usable.withColumn("rank", rank)
         .filter(F.col("rank") <= per_language)
         .select("lang", "text", "rank")
     )
 
 
 def train(documents: DataFrame, **bounds) -> Model:
-    """Fit on the bounded sample; ties and repeated rows are ordered by id, then text."""
-    rows = training_sample(documents, **bounds).collect()
-    rows.sort(key=lambda r: (r["lang"], r["rank"]))
-    return fit([(r["lang"], r["text"]) for r in rows])
+    """Fit on the bounded sample; ties and repeated rows are ordered by id, then text.
+
+    The sample is staged and read in order, partition by partition, so that the driver never
+    holds all of it.
+    """
+    sample = stage(training_sample(documents, **bounds).orderBy("lang", "rank"))
+    languages = sorted(r["lang"] for r in sample.select("lang").distinct().collect())
+
+    def rows():
+        ordered = sample.orderBy("lang", "rank")
+        return ((r["lang"], r["text"]) for r in ordered.toLocalIterator())
+
+    return fit_rows(languages, rows)
 
 
 def predict(documents: DataFrame, model: Model) -> DataFrame:
@@ -205,21 +304,18 @@ def predict(documents: DataFrame, model: Model) -> DataFrame:
     return map_batches(rows, ["doc_id", "text", "held_out"], predicted, schema)
 
 
-def supported(documents: DataFrame, model: Model, *, least_score: float = LEAST_SCORE) -> DataFrame:
+def supported(documents: DataFrame, model: Model) -> DataFrame:
     """The documents in a learned language, with all their columns.
 
-    Left out are null texts, texts without a letter and those of too low a score.
+    Left out are null texts, texts without a letter and those with more unknown n-grams than
+    texts in the language of their highest score have, as a whole and in half of their pieces.
     """
     shared = documents.sparkSession.sparkContext.broadcast(model)
 
     def kept(batches):
         model = shared.value
         for batch in sliced(batches):
-            texts = texts_of(batch.column("text"))
-            keep = np.zeros(len(texts), bool)
-            for low in range(0, len(texts) if model.languages else 0, _DOCS):
-                scores, any_letter = model.scores(texts[low : low + _DOCS])
-                keep[low : low + _DOCS] = any_letter & (scores.max(1) >= least_score)
+            keep = model.supported(texts_of(batch.column("text")))
             yield batch.filter(pa.array(keep))
 
     return documents.mapInArrow(kept, documents.schema)

@@ -51,6 +51,28 @@ def test_language_of_odd_texts(spark):
     assert language_id.predict(documents(spark, texts).limit(0), model).count() == 0
 
 
+def test_unlearned_languages_and_gibberish_are_not_supported(spark):
+    rng = random.Random(4)
+    docs = spark.read.parquet(f"{SF[:-3]}01/documents.parquet").select("doc_id", "text", "lang")
+    for left_out in ("fr", "de"):
+        unlabelled = F.when(F.col("lang") != left_out, F.col("lang")).alias("lang")
+        model = language_id.train(docs.select("doc_id", "text", unlabelled))
+        kept = {r.doc_id for r in language_id.supported(docs, model).collect()}
+        rows = docs.collect()
+        others = [r for r in rows if r.lang == left_out]
+        learned = [r for r in rows if r.lang != left_out]
+        assert sum(r.doc_id in kept for r in others) < 0.1 * len(others)
+        assert sum(r.doc_id in kept for r in learned) > 0.99 * len(learned)
+        consonants = [
+            " ".join("".join(rng.choice("bcdfghjklmnpqrstvwxz") for _ in range(6)) for _ in range(8)) for _ in range(50)
+        ]
+        assert not model.supported(consonants).any()
+        short = [" ".join(r.text.split()[1:4]) for r in learned if len(r.text.split()) > 5]
+        assert model.supported(short).mean() > 0.98
+        halves = [learned[k].text[:900] + " " + learned[-k].text[:900] for k in range(1, 60)]
+        assert model.supported(halves).mean() > 0.95
+
+
 def measures_by_brute_force(text):
     text = text or ""
     words, lines = WORD.findall(text), [x for x in text.split("\n") if WORD.search(x)]
