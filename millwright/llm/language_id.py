@@ -8,7 +8,7 @@ regression in the landmarks' space separates it from the rest. Scoring is two ma
 per batch of texts: presence times landmarks, then times the weights.
 
 Whole texts are read; only the training sample is bounded (``PER_LANGUAGE`` rows of each
-most frequent ``MAX_LANGUAGES`` languages, taken by a hash of the id).
+language, taken by a hash of the id). All languages present are learned.
 
 The scores tell languages apart, but not whether a text is in any of them: some language always
 has the most. That is decided by the share of the text's three-letter n-grams, every occurrence
@@ -39,7 +39,6 @@ MAX_LANDMARKS = 256  # over all languages, but for one a language
 LONGEST_SAMPLE = 5_000  # longer texts are sampled only where there are no others
 RIDGE = 1e-2
 UNKNOWN = "und"
-MAX_LANGUAGES = 64
 KNOWN_BITS = 18  # n-grams of three letters are kept as bits under so many bits of their hash
 USUAL = 0.99  # quantile of the training rows' shares of unknown n-grams
 DEVIATIONS = 4.0  # how far beyond a text may be, by chance in as many n-grams as it has
@@ -235,7 +234,7 @@ def fit_rows(
     return Model(languages, columns, own, (half @ solved).astype(np.float32), known, usual)
 
 
-def training_sample(documents: DataFrame, *, per_language: int = PER_LANGUAGE, max_languages: int = MAX_LANGUAGES) -> DataFrame:
+def training_sample(documents: DataFrame, *, per_language: int = PER_LANGUAGE) -> DataFrame:
     """At most so many labelled rows of each language: ``lang, text, rank``.
 
     Each task keeps its first rows per language before anything is shuffled.
@@ -243,8 +242,6 @@ def training_sample(documents: DataFrame, *, per_language: int = PER_LANGUAGE, m
     usable = documents.filter(
         F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out()
     ).select("doc_id", "lang", "text")
-    by_language = usable.groupBy("lang").count().orderBy(F.desc("count"), "lang")
-    usable = usable.join(F.broadcast(by_language.limit(max_languages).select("lang")), "lang")
     order = [F.length("text") > LONGEST_SAMPLE, F.xxhash64("doc_id"), F.col("doc_id"), F.col("text")]
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(*order))
     return (

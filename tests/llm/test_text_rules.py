@@ -73,6 +73,24 @@ def test_unlearned_languages_and_gibberish_are_not_supported(spark):
         assert model.supported(halves).mean() > 0.95
 
 
+def test_all_languages_are_learned(spark):
+    rng = random.Random(5)
+    rows = []
+    for k in range(80):
+        words = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(5)) for _ in range(40)]
+        # The last ones are the rarest, and in a script of their own.
+        words = [w.translate({c: c + 0x3D0 for c in range(97, 123)}) for w in words] if k > 76 else words
+        for _ in range(12 if k < 70 else 8):
+            rows.append((len(rows), f"l{k:02d}", " ".join(rng.choice(words) for _ in range(60))))
+    docs = spark.createDataFrame(rows, "doc_id bigint, lang string, text string")
+    model = language_id.train(docs)
+    assert len(model.languages) == 80
+    got = {r.doc_id: r.lang_pred for r in language_id.predict(docs, model).collect()}
+    assert sum(got[i] == lang for i, lang, _ in rows) > 0.98 * len(rows)
+    kept = {r.doc_id for r in language_id.supported(docs, model).collect()}
+    assert sum(i in kept for i, _, _ in rows) > 0.98 * len(rows)
+
+
 def measures_by_brute_force(text):
     text = text or ""
     words, lines = WORD.findall(text), [x for x in text.split("\n") if WORD.search(x)]
