@@ -1,7 +1,7 @@
 """Benchmark items inside documents: size-partitioned MinHash containment search.
 
 An item is contained in a document if the document has at least ``threshold`` of the item's
-distinct five-word shingles. Items are partitioned by their number of shingles (doubling
+distinct five-word shingles; one of fewer words, if the document has all of them in a row. Items are partitioned by their number of shingles (doubling
 sizes). The MinHash sketch of an item is its shingles of least hash, as many as its partition
 needs: a document that holds the share ``t`` of ``n`` shingles misses at most ``n - ceil(t n)``
 of them, so among one more than that at least one is found. The sketch size is set for the
@@ -33,12 +33,22 @@ THRESHOLD = 0.8
 # Bytes of item texts that one pass searches for.
 BLOCK_BYTES = 8_000_000
 _WORDS = re.compile(r"[^\W_]+")
+# Thai, Lao, Myanmar, Khmer, kana and Han.
+_UNSPACED = (
+    "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3005-\u3007\u3040-\u30ff\u31f0-\u31ff\u3400-\u4dbf"
+    "\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff"
+)
+_ANY_UNSPACED = re.compile(f"[{_UNSPACED}]")
+_WORDS_AND_CHARACTERS = re.compile(rf"(?![{_UNSPACED}])[^\W_](?:(?![{_UNSPACED}])[^\W_])*|[^\W_]")
 _SLICE_CHARS = 2_000_000
 
 
-def words_of(text: str) -> list[str]:
-    """Runs of letters and digits, in lower case."""
-    return _WORDS.findall(text.lower())
+def words_of(text: str, by_character: bool = False) -> list[str]:
+    """Runs of letters and digits, in lower case; characters of unspaced scripts one by one if asked."""
+    text = text.lower()
+    if by_character and _ANY_UNSPACED.search(text):
+        return _WORDS_AND_CHARACTERS.findall(text)
+    return _WORDS.findall(text)
 
 
 def shingle_bounds(words: list[bytes], size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -50,9 +60,9 @@ def shingle_bounds(words: list[bytes], size: int) -> tuple[np.ndarray, np.ndarra
     return (ends - lengths)[: len(words) - size + 1], ends[size - 1 :]
 
 
-def shingles_of(text: str, size: int) -> list[bytes]:
+def shingles_of(text: str, size: int, by_character: bool = False) -> list[bytes]:
     """Distinct shingles in order of first appearance."""
-    words = [utf8(w) for w in words_of(text)]
+    words = [utf8(w) for w in words_of(text, by_character)]
     joined = b" ".join(words)
     starts, ends = shingle_bounds(words, size)
     return list(dict.fromkeys(joined[s:e] for s, e in zip(starts.tolist(), ends.tolist())))
@@ -76,12 +86,14 @@ def sketch_size(partition: int, threshold: float) -> int:
 class Sketches:
     """The sketches of a block of items, by shingle hash."""
 
-    def __init__(self, items: list[tuple[int, str]], size: int, threshold: float):
-        self.size, self.threshold = size, threshold
+    def __init__(
+        self, items: list[tuple[int, str]], size: int, threshold: float, by_character: bool = False
+    ):
+        self.size, self.threshold, self.by_character = size, threshold, by_character
         self.items = []
         holders: dict[int, list[int]] = {}
         for item_id, text in items:
-            shingles = shingles_of(text, size)
+            shingles = shingles_of(text, size, by_character)
             if not shingles:
                 continue
             data = np.frombuffer(b"".join(shingles), np.uint8)
@@ -110,7 +122,7 @@ class Sketches:
         """``(text, item, shingles of the item, shared)`` of all contained items."""
         words, counts = [], []
         for text in texts:
-            own = words_of(text)
+            own = words_of(text, self.by_character)
             counts.append(len(own))
             words += own
         encoded = "\n".join(words).encode("utf-8", "surrogatepass").replace(b"\n", b" ")
@@ -135,7 +147,7 @@ class Sketches:
         for text, item in sorted(candidates):
             if text not in known:
                 known.clear()
-                known[text] = set(shingles_of(texts[text], self.size))
+                known[text] = set(shingles_of(texts[text], self.size, self.by_character))
             item_id, shingles = self.items[item]
             shared = sum(s in known[text] for s in shingles)
             if shared >= math.ceil(self.threshold * len(shingles) - 1e-9):
@@ -155,6 +167,20 @@ class Sketches:
         return found
 
 
+def sketches_of(
+    items: list[tuple[int, str]], size: int, threshold: float, every_item: bool
+) -> list[Sketches]:
+    """The sketches of a block of items; with ``every_item``, of each width of its shorter items too."""
+    if not every_item:
+        return [Sketches(items, size, threshold)]
+    by_width: dict[int, list[tuple[int, str]]] = {}
+    for item_id, text in items:
+        width = min(size, len(words_of(text, True)))
+        if width:
+            by_width.setdefault(width, []).append((item_id, text))
+    return [Sketches(own, width, threshold, True) for width, own in sorted(by_width.items())]
+
+
 def _item_blocks(items: DataFrame, block_bytes: int) -> Iterator[Broadcast]:
     """The items in blocks of about so many bytes, each sent to all executors."""
     own = items.filter(F.col("text").isNotNull()).select("item_id", "text").distinct()
@@ -176,22 +202,26 @@ def contained_items(
     shingle_words: int = SHINGLE_WORDS,
     threshold: float = THRESHOLD,
     block_bytes: int = BLOCK_BYTES,
+    every_item: bool = False,
 ) -> DataFrame:
     """Pairs of an item and a document that contains it: ``item_id, doc_id, n_shingles, n_shared``.
 
-    Words are runs of letters and digits in lower case. Items with fewer words than a shingle,
-    null texts and empty tables match nothing. Repeated items count once; documents with equal
+    Words are runs of letters and digits in lower case. With ``every_item``, characters of scripts
+    without spaces are words of their own, and all words of an item with fewer than a shingle's are
+    its one shingle; otherwise such items match nothing. Items without words, null texts and empty
+    tables match nothing. Repeated items count once; documents with equal
     or null ids are rows of their own, so that a pair can occur more than once.
     """
     found = []
     for shared in _item_blocks(items, block_bytes):
 
         def searched(batches, shared=shared):
-            sketches = Sketches(shared.value, shingle_words, threshold)
+            searches = sketches_of(shared.value, shingle_words, threshold, every_item)
             for batch in sliced(batches):
                 ids, texts = batch.column("doc_id"), texts_of(batch.column("text"))
                 rows = [
                     (item, ids[text].as_py(), n, shared_n)
+                    for sketches in searches
                     for text, item, n, shared_n in sketches.contained_in_slices(texts)
                 ]
                 columns = list(zip(*rows, strict=True)) or [[]] * 4
@@ -214,16 +244,18 @@ def without_items(
     shingle_words: int = SHINGLE_WORDS,
     threshold: float = THRESHOLD,
     block_bytes: int = BLOCK_BYTES,
+    every_item: bool = False,
 ) -> DataFrame:
     """The documents that contain no item, with all their columns; nothing is shuffled."""
     for shared in _item_blocks(items, block_bytes):
 
         def clean(batches, shared=shared):
-            sketches = Sketches(shared.value, shingle_words, threshold)
+            searches = sketches_of(shared.value, shingle_words, threshold, every_item)
             for batch in sliced(batches):
                 texts = texts_of(batch.column("text"))
                 keep = np.ones(len(texts), bool)
-                keep[[text for text, *_ in sketches.contained_in_slices(texts)]] = False
+                for sketches in searches:
+                    keep[[text for text, *_ in sketches.contained_in_slices(texts)]] = False
                 yield batch.filter(pa.array(keep))
 
         documents = documents.mapInArrow(clean, documents.schema)

@@ -81,7 +81,7 @@ def op8_token_counts(spark, sf):
 @query
 def op9_decontamination(spark, sf):
     return decontam.contained_items(
-        read_table(spark, sf, "documents"), read_table(spark, sf, "benchmark")
+        read_table(spark, sf, "documents"), read_table(spark, sf, "benchmark"), every_item=True
     )
 
 

@@ -171,6 +171,24 @@ def test_contained_items(spark, block_bytes):
     assert decontam.without_items(docs, benchmark.limit(0)).count() == len(texts)
 
 
+@pytest.mark.parametrize("block_bytes", [8_000_000, 60])
+def test_short_items_and_unspaced_scripts(spark, block_bytes):
+    items = ["Answer", "of life", "the answer of life", "什么是人工智能的定义", "日本", "สวัสดี", "one two three four five", "!", None]
+    texts = [
+        "The answer: of life.", "answers of lifetime", "of the life", "x answer the of life", "问 什么是人工智能的定义呢",
+        "什么是人工智能", "日・本", "日x本", "แล้ว สวัสดี ครับ", "ONE two three four five", "one two three four", "!", None,
+        "word of\nlife " * 3,
+    ]
+    benchmark = spark.createDataFrame(list(enumerate(items)), "item_id bigint, text string")
+    docs = documents(spark, texts)
+    want = {(0, 0, 1, 1), (1, 0, 1, 1), (2, 0, 1, 1), (0, 3, 1, 1), (1, 3, 1, 1), (3, 4, 6, 6)}
+    want |= {(4, 6, 1, 1), (5, 8, 1, 1), (6, 9, 1, 1), (1, 13, 1, 1)}
+    got = decontam.contained_items(docs, benchmark, block_bytes=block_bytes, every_item=True)
+    assert {tuple(r) for r in got.collect()} == want
+    kept = decontam.without_items(docs, benchmark, block_bytes=block_bytes, every_item=True)
+    assert {r.doc_id for r in kept.collect()} == set(range(len(texts))) - {d for _, d, *_ in want}
+
+
 P = "<p>Some words here that make the story long enough to matter for all of us.</p>"
 PAGE = (
     "<html><head><title>T</title><style>p{}</style><script>var t='</p>';</script></head><body>"
