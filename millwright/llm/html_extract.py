@@ -17,7 +17,7 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterable, Iterator
-from functools import cache
+from functools import cache, lru_cache
 from html import unescape
 
 import pyarrow as pa
@@ -105,14 +105,21 @@ _PARTS = re.compile(r"[a-z]+")
 # An element that is this clearly not content decides for all that is in it.
 _DECISIVE = -1.5
 _SMOOTHING = 0.5
+_CACHED = 16_384  # elements whose scores are kept
 
 
-def features(tag: str, attrs: str, inside: bool) -> list[str]:
+def names_of(attrs: str) -> str:
+    """The words in class, id and role, wherever they stand among the attributes."""
+    if not attrs:
+        return ""
+    return " ".join(p for names in _NAMES.findall(attrs) for p in _PARTS.findall("".join(names).lower()))
+
+
+def features(tag: str, names: str, inside: bool) -> list[str]:
     """Features of an element for the words in it."""
     found = [f"{tag}@in" if inside else f"{tag}@out"]
     if tag not in ("html", "body"):
-        for names in _NAMES.findall(attrs):
-            found += [f".{part}" for part in _PARTS.findall("".join(names).lower())]
+        found += [f".{part}" for part in names.split()]
     return found
 
 
@@ -144,8 +151,8 @@ def tokens(html: str) -> Iterator[tuple[str, str, str]]:
 
 
 def walk(html: str) -> Iterator[tuple[str, object, list]]:
-    """Tokens with the open elements, ``(tag, attributes, inside)``, at each of them."""
-    stack: list[tuple[str, str, bool]] = []
+    """Tokens with the open elements, ``(tag, names, inside, labelled)``, at each of them."""
+    stack: list[tuple[str, str, bool, bool]] = []
 
     def close(tags: Iterable[str], stops: frozenset[str] = frozenset()) -> None:
         for depth in range(len(stack) - 1, -1, -1):
@@ -164,7 +171,7 @@ def walk(html: str) -> Iterator[tuple[str, object, list]]:
             yield "tag", value, stack
             if value not in _VOID and not attrs.endswith("/"):
                 inside = bool(stack and stack[-1][2]) or value in _CONTAINERS
-                stack.append((value, attrs, inside))
+                stack.append((value, names_of(attrs), inside, LABEL in attrs))
         elif kind == "end":
             yield "tag", value, stack
             close((value,))
@@ -186,12 +193,12 @@ class Weights:
         tags: tuple[Counter, Counter] = (Counter(), Counter())
         for page in pages:
             for kind, value, stack in walk(page):
-                labelled = any(LABEL in attrs for _, attrs, _ in stack)
+                labelled = any(element[3] for element in stack)
                 if kind == "tag":
                     tags[labelled][value] += 1
                     continue
                 n = len(value.split())
-                own = {f for tag, attrs, inside in stack for f in features(tag, attrs, inside)}
+                own = {f for tag, names, inside, _ in stack for f in features(tag, names, inside)}
                 words[labelled].update({f: n for f in own})
                 words[labelled][""] += n
         totals = words[1][""], words[0][""]
@@ -205,20 +212,20 @@ class Weights:
             t: min(-0.1, max(-2.0, _log_ratio(tags[1][t], tags[0][t], *n_tags) - 1))
             for t in tags[0] | tags[1]
         }
-        self.element = cache(self._element)
+        self.element = lru_cache(_CACHED)(self._element)
 
-    def _element(self, tag: str, attrs: str, inside: bool) -> tuple[float, float]:
+    def _element(self, tag: str, names: str, inside: bool) -> tuple[float, float]:
         """Sum and least of the weights of an element's features; unknown ones count nothing."""
         if tag in _RAW or tag == "head":
             return -9.0, -9.0
-        own = [self.words.get(f, 0.0) for f in features(tag, attrs, inside)]
+        own = [self.words.get(f, 0.0) for f in features(tag, names, inside)]
         return sum(own), min(own)
 
     def word(self, stack: list) -> float:
         """Score of a word within the open elements, between -1 and 1."""
         total, least = 0.0, 0.0
-        for tag, attrs, inside in stack:
-            s, low = self.element(tag, attrs if len(attrs) < 500 else "", inside)
+        for tag, names, inside, *_ in stack:
+            s, low = self.element(tag, names, inside)
             total, least = total + s, min(least, low)
         if least <= _DECISIVE:
             # Within an article such words are passed over; elsewhere they end a region.

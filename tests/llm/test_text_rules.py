@@ -207,6 +207,13 @@ def test_main_text():
     ]
 
 
+@pytest.mark.parametrize("size", [0, 499, 500, 5000])
+def test_names_count_in_tags_of_any_size(size):
+    for tag in (f"<div class='ad' style='{'x' * size}'>", f"<div style='{'x' * size}' id=comments>"):
+        page = f"<article>{P}{tag}Buy now and here</div>{P}</article>"
+        assert html_extract.main_text(page).split("\n") == [P[3:-4]] * 2
+
+
 @pytest.mark.parametrize("page", ["", "<", "<p", "<!-- x", "<script>a b c", "&am", "<<<>>>", "</p></p>", "<div/>" * 50])
 def test_broken_pages_do_not_break(page):
     assert isinstance(html_extract.main_text(page), str)
