@@ -2,7 +2,8 @@
 
 A page is read as a sequence of words and tags. Words score by where they stand, tags score
 negative; the contiguous run with the largest sum, found in one linear scan, is the content
-region. Words that score negative inside the region (a menu or an advert within an article) are
+region. What is clearly boilerplate counts nothing in an article, or in any element that holds
+content both before and after it; elsewhere it ends a region. Words that score negative inside the region (a menu or an advert within an article) are
 left out of its text.
 
 The scores are learned from labelled pages: for each feature of the elements around a word
@@ -91,6 +92,7 @@ _BLOCKS = frozenset(
 )
 _SPACES = frozenset("br td th img".split())
 _CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr",), "option": ("option",)}
+_PARTS_OF_PAGE = frozenset("article aside div footer form header main nav section table td".split())
 _CONTAINERS = frozenset("article main".split())
 
 _TOKEN = re.compile(
@@ -105,6 +107,7 @@ _PARTS = re.compile(r"[a-z]+")
 # An element that is this clearly not content decides for all that is in it.
 _DECISIVE = -1.5
 _SMOOTHING = 0.5
+_PASSED_TAG = -0.01
 _CACHED = 16_384  # elements whose scores are kept
 
 
@@ -151,8 +154,9 @@ def tokens(html: str) -> Iterator[tuple[str, str, str]]:
 
 
 def walk(html: str) -> Iterator[tuple[str, object, list]]:
-    """Tokens with the open elements, ``(tag, names, inside, labelled)``, at each of them."""
-    stack: list[tuple[str, str, bool, bool]] = []
+    """Tokens with the open elements, ``(tag, names, inside, labelled, number)``, at each of them."""
+    stack: list[tuple[str, str, bool, bool, int]] = []
+    number = 0
 
     def close(tags: Iterable[str], stops: frozenset[str] = frozenset()) -> None:
         for depth in range(len(stack) - 1, -1, -1):
@@ -171,7 +175,8 @@ def walk(html: str) -> Iterator[tuple[str, object, list]]:
             yield "tag", value, stack
             if value not in _VOID and not attrs.endswith("/"):
                 inside = bool(stack and stack[-1][2]) or value in _CONTAINERS
-                stack.append((value, names_of(attrs), inside, LABEL in attrs))
+                stack.append((value, names_of(attrs), inside, LABEL in attrs, number))
+                number += 1
         elif kind == "end":
             yield "tag", value, stack
             close((value,))
@@ -198,7 +203,7 @@ class Weights:
                     tags[labelled][value] += 1
                     continue
                 n = len(value.split())
-                own = {f for tag, names, inside, _ in stack for f in features(tag, names, inside)}
+                own = {f for tag, names, inside, *_ in stack for f in features(tag, names, inside)}
                 words[labelled].update({f: n for f in own})
                 words[labelled][""] += n
         totals = words[1][""], words[0][""]
@@ -221,6 +226,10 @@ class Weights:
         own = [self.words.get(f, 0.0) for f in features(tag, names, inside)]
         return sum(own), min(own)
 
+    def decisive(self, stack: list) -> bool:
+        """Whether some open element is clearly not content."""
+        return any(self.element(*element[:3])[1] <= _DECISIVE for element in stack)
+
     def word(self, stack: list) -> float:
         """Score of a word within the open elements, between -1 and 1."""
         total, least = 0.0, 0.0
@@ -228,14 +237,15 @@ class Weights:
             s, low = self.element(tag, names, inside)
             total, least = total + s, min(least, low)
         if least <= _DECISIVE:
-            # Within an article such words are passed over; elsewhere they end a region.
+            # Within an article such words are passed over; elsewhere they end a region, unless
+            # content goes on after them (``main_text``).
             return 0.0 if stack[-1][2] else -1.0
         return max(-1.0, min(1.0, total + 0.5))
 
     def tag(self, name: str, stack: list) -> float:
         """Score of a tag; within content, where even a single word stands apart, next to none."""
         if stack and (stack[-1][2] or self.word(stack) > 0.5):
-            return -0.01
+            return _PASSED_TAG
         return self.tags.get(name, -0.5)
 
 
@@ -256,20 +266,46 @@ def best_run(scores: list[float]) -> tuple[int, int]:
     return best_run
 
 
+def _holders(stack: list) -> Iterator[int]:
+    """The elements that hold a text: all open ones, but the page only if no part of it does."""
+    whole = True
+    for tag, *_, number in reversed(stack):
+        if tag in ("html", "body"):
+            if whole:
+                yield number
+        else:
+            whole = whole and tag not in _PARTS_OF_PAGE
+            yield number
+
+
 def main_text(html: str, weights: Weights | None = None) -> str:
     """The text of the content region; blocks are joined by line breaks."""
     weights = weights or default_weights()
     scores: list[float] = []
     items: list[str | None] = []  # text, "" for a space, None for the end of a block
+    # Where positive words stand first and last in each element, and what boilerplate is in.
+    content: dict[int, list[int]] = {}
+    boilerplate: list[tuple[int, list[int], float]] = []
     for kind, value, stack in walk(html):
+        own = value
         if kind == "tag":
-            scores.append(weights.tag(value, stack))
+            score, passed = weights.tag(value, stack), _PASSED_TAG
             items.append(None if value in _BLOCKS else "" if value in _SPACES else "\0")
         else:
-            score = weights.word(stack)
+            score, passed = weights.word(stack), 0.0
             own = unescape(value) if "&" in value else value
-            scores.append(score * len(own.split()))
             items.append(own if score > 0 else "\0")
+            score *= len(own.split())
+        scores.append(score)
+        if score > 0:
+            for number in _holders(stack):
+                content.setdefault(number, [len(scores), 0])[1] = len(scores)
+        elif score < passed and weights.decisive(stack):
+            boilerplate.append((len(scores), [element[4] for element in stack], passed))
+    # Boilerplate with content before and after it in one element does not end a region.
+    for at, numbers, passed in boilerplate:
+        if any(n in content and content[n][0] < at < content[n][1] for n in numbers):
+            scores[at - 1] = passed
     start, end = best_run(scores)
     blocks, block = [], []
     for item in [*items[start:end], None]:

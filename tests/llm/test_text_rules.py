@@ -214,6 +214,23 @@ def test_names_count_in_tags_of_any_size(size):
         assert html_extract.main_text(page).split("\n") == [P[3:-4]] * 2
 
 
+@pytest.mark.parametrize("wrap", ["<div>{}</div>", "<div class=post><div>{}</div></div>", "{}", "<div id=x>{}</div>"])
+@pytest.mark.parametrize("advert", ["<div class=ad>{}</div>", "<div class=related><ul><li><a>{}</a></li></ul></div>"])
+@pytest.mark.parametrize(("before", "after"), [(30, 300), (300, 30), (30, 30)])
+def test_boilerplate_within_plain_elements_does_not_cut_the_article(wrap, advert, before, after):
+    first, last = ("one " * before).strip(), ("two " * after).strip()
+    inline = advert.format("buy " * 40) * 2
+    page = "<html><body><nav><a href=x>Home page</a></nav>{}<footer>us</footer></body></html>"
+    text = html_extract.main_text(page.format(wrap.format(f"<p>{first}</p>{inline}<p>{last}</p>")))
+    assert text.split("\n") == [first, last]
+
+
+def test_boilerplate_between_elements_still_ends_a_region():
+    words = "of the day " * 10
+    page = f"<body><div><p>short one</p></div><div class=ad>{words}</div><div>{P}{P}</div></body>"
+    assert html_extract.main_text(page).split("\n") == [P[3:-4]] * 2
+
+
 @pytest.mark.parametrize("page", ["", "<", "<p", "<!-- x", "<script>a b c", "&am", "<<<>>>", "</p></p>", "<div/>" * 50])
 def test_broken_pages_do_not_break(page):
     assert isinstance(html_extract.main_text(page), str)
