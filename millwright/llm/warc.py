@@ -6,7 +6,7 @@ revisit records that refer to it. ``build_index`` reads archives back and sorts
 by reversed-host key (``org,example,www)/path``) across the cluster; runs of captures are
 compressed into blocks, and a sparse directory keeps the first key of each block. ``lookup``
 finds the block of a key by binary search in the directory, then the captures by binary search
-in the block; ``read_captures`` cuts the wanted ranges out of the archives.
+in the block; ``read_captures`` cuts the wanted records out of the archives, which it reads whole.
 
 The directory has at most ``MAX_BLOCKS`` entries, whatever the number of captures (blocks grow
 instead), and an entry holds no more of a key than tells the blocks apart, so that sending it
@@ -350,7 +350,11 @@ def lookup(index: DataFrame, requests: DataFrame) -> DataFrame:
 
 
 def read_captures(spark: SparkSession, folder: str, captures: DataFrame) -> DataFrame:
-    """Payloads of captures by range: ``page_id, payload``; revisits have an empty one."""
+    """Payloads of captures: ``page_id, payload``; revisits have an empty one.
+
+    Archives with a wanted capture are read whole, as Spark's readers cannot seek, and cut by
+    offset and length in memory.
+    """
     ranges = captures.groupBy("path").agg(
         F.collect_list(F.struct("page_id", "offset", "length")).alias("ranges")
     )
