@@ -5,12 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from millwright.llm import (
     decontam,
     html_extract,
     language_id,
     packing,
+    periodic_runs,
     quality_rules,
     simhash,
     suffix_dedup,
@@ -94,3 +96,9 @@ def op10_warc(spark, sf):
     return warc.lookup(index, pages).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
     )
+
+
+@query
+def op11_periodic_runs(spark, sf):
+    rows = periodic_runs.with_planted_runs(read_table(spark, sf, "documents"))
+    return periodic_runs.run_digests(periodic_runs.find_runs(rows, F.col("words"), carry=["doc_id"]))
