@@ -6,6 +6,56 @@ Language models, XXH64, tokenizers and page extraction have no counterpart in SQ
 
 WORDS = r"regexp_extract_all({0}, '[^\x20\x09-\x0D]+')"
 
+
+def crc32(text: str) -> str:
+    """CRC of ASCII text, unsigned: bit by bit, with the usual reflected polynomial."""
+    bit = "CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END"
+    byte = f"list_reduce(list_prepend(xor(c, b), [0, 0, 0, 0, 0, 0, 0, 0]), lambda x, z: {bit})"
+    codes = f"list_transform(string_split({text}, ''), lambda d: CAST(unicode(d) AS BIGINT))"
+    return f"xor(list_reduce(list_prepend(4294967295, {codes}), lambda c, b: {byte}), 4294967295)"
+
+
+def leaf_hash(text: str) -> str:
+    def entry(value: str) -> str:
+        return f"coalesce(octet_length(encode({value})) || ':' || {value}, '-')"
+
+    fields = ["CAST(doc_id AS VARCHAR)", "source", "lang", "CAST(n_chars AS VARCHAR)", text]
+    return f"sha256({' || '.join(map(entry, fields))})"
+
+
+def merkle_levels(name: str, leaves: str, levels: int) -> str:
+    """CTEs of a tree per ``t`` over ``leaves`` (t, pos, h, size), level by level, and its tops."""
+    parts = [f"{name}0 AS ({leaves})"]
+    for k in range(levels):
+        parts.append(
+            f"{name}runs{k} AS (SELECT t, pos // 16 AS up, string_agg(h, '' ORDER BY pos) AS r, "
+            f"any_value(size) AS size FROM {name}{k} GROUP BY t, pos // 16)"
+        )
+        parts.append(
+            f"{name}{k + 1} AS (SELECT t, up AS pos, CASE WHEN size = 1 THEN r ELSE sha256(r) END "
+            f"AS h, CAST(ceil(size / 16) AS BIGINT) AS size FROM {name}runs{k})"
+        )
+    return ", ".join(parts)
+
+
+def merkle_climb(name: str, start: str, levels: int) -> str:
+    """CTEs that take (rid, t, pos, x, proof) of ``start`` up the levels of a tree."""
+    parts, last = [], start
+    for k in range(levels):
+        before, after = "left(r, 64 * (pos % 16))", "substring(r, 64 * (pos % 16) + 65)"
+        parts.append(
+            f"{name}up{k} AS (SELECT rid, c.t, pos // 16 AS pos, CASE WHEN size = 1 THEN x ELSE "
+            f"sha256({before} || x || {after}) END AS x, proof || {before} || {after} AS proof "
+            f"FROM {last} c JOIN {name}runs{k} n ON n.t = c.t AND up = pos // 16)"
+        )
+        last = f"{name}up{k}"
+    return ", ".join(parts)
+
+
+# Levels of the trees: up to 16**5 documents a source and 16**4 sources.
+SOURCE_LEVELS, TOP_LEVELS = 5, 4
+LOWERED = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
 ORACLES: dict[str, str] = {
     "op1_suffix_dedup": """
         WITH d AS (
@@ -112,4 +162,31 @@ ORACLES: dict[str, str] = {
             CASE WHEN first <> page_id THEN first END AS refers_to
         FROM p LEFT JOIN firsts ON firsts.h = p.h
     """,
+    "op12_merkle_manifest": f"""
+        WITH d AS (
+            SELECT row_number() OVER () AS rid, doc_id, leaf, x, pos, size,
+                CASE WHEN source IS NULL THEN '-' ELSE '=' || source END AS t
+            FROM (SELECT *, row_number() OVER w - 1 AS pos, count(*) OVER (PARTITION BY source) AS size
+                FROM (SELECT doc_id, source, {leaf_hash("text")} AS leaf,
+                    CASE WHEN {crc32("CAST(doc_id AS VARCHAR)")} % 5 = 0
+                        THEN {leaf_hash(LOWERED)} ELSE {leaf_hash("text")} END AS x
+                    FROM documents)
+                WINDOW w AS (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf))),
+        {merkle_levels("low", "SELECT t, pos, leaf AS h, size FROM d", SOURCE_LEVELS)},
+        sources AS (
+            SELECT t AS source_t, h AS subroot, row_number() OVER (ORDER BY t) - 1 AS source_at
+            FROM low{SOURCE_LEVELS}),
+        {merkle_levels("top", "SELECT '*' AS t, source_at AS pos, subroot AS h, "
+                       "count(*) OVER () AS size FROM sources", TOP_LEVELS)},
+        leaves AS (SELECT rid, t, pos, x, '' AS proof FROM d),
+        {merkle_climb("low", "leaves", SOURCE_LEVELS)},
+        folded AS (
+            SELECT rid, '*' AS t, source_at AS pos, x, proof, subroot
+            FROM lowup{SOURCE_LEVELS - 1} JOIN sources ON source_t = t),
+        {merkle_climb("top", "folded", TOP_LEVELS)}
+        SELECT doc_id, leaf, subroot, top{TOP_LEVELS}.h AS root, sha256(c.proof) AS proof_sha256,
+            c.x AS folded_root, c.x = top{TOP_LEVELS}.h AS verified
+        FROM topup{TOP_LEVELS - 1} c JOIN d ON d.rid = c.rid JOIN folded ON folded.rid = c.rid
+            CROSS JOIN top{TOP_LEVELS}
+    """,
 }

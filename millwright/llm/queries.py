@@ -8,9 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millwright.llm import (
+    byte_bpe,
     decontam,
     html_extract,
     language_id,
+    merkle_manifest,
     packing,
     periodic_runs,
     quality_rules,
@@ -102,3 +104,20 @@ def op10_warc(spark, sf):
 def op11_periodic_runs(spark, sf):
     rows = periodic_runs.with_planted_runs(read_table(spark, sf, "documents"))
     return periodic_runs.run_digests(periodic_runs.find_runs(rows, F.col("words"), carry=["doc_id"]))
+
+
+@query
+def op12_merkle_manifest(spark, sf):
+    leaves = merkle_manifest.leaves_of(read_table(spark, sf, "documents"))
+    return merkle_manifest.proof_digests(merkle_manifest.prove(merkle_manifest.build(leaves)))
+
+
+@query
+def op13_byte_bpe(spark, sf):
+    ids = byte_bpe.decode(byte_bpe.encode(read_table(spark, sf, "documents")))
+    return ids.select(
+        "doc_id",
+        F.expr("bigint(length(ids) div 4)").alias("n_tokens"),
+        F.sha2(F.col("ids"), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded"), 256).alias("decoded_sha256"),
+    )
