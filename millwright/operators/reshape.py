@@ -25,6 +25,8 @@ CUTOFF_ERROR = 1e-4
 # Cut-offs that are looked at: those above which 1/2, 1/4, 1/8, ... of the rows lie.
 CUTOFFS = 12
 EXPAND_BLOCK = 100_000
+# Up to so many last rows are kept per task and merged in one.
+TAKEN_ROWS = 10_000
 
 
 def union_all(frames: Sequence[DataFrame]) -> DataFrame:
@@ -157,9 +159,11 @@ def missing_slots(grid: DataFrame, production: DataFrame) -> DataFrame:
 def tail_extract(df: DataFrame, order_by: Sequence[str], n: int) -> DataFrame:
     """The last ``n`` rows in the given order, in that order.
 
-    Rows that can be among the last are found by a cut-off on the leading column, staged, and
+    A few rows are the last ones of each task's last ones, merged. Of more, rows that can be among the last are found by a cut-off on the leading column, staged, and
     numbered over the cluster, so that neither a large ``n`` nor a large table meets in one task.
     """
+    if n <= TAKEN_ROWS:
+        return df.orderBy(*[F.col(c).desc() for c in order_by]).limit(n).orderBy(*order_by)
     candidates = _tail_candidates(df, order_by[0], n)
     numbered = number_rows_of_staged(candidates, order_by, out="_seq")
     rows = numbered.agg(F.max("_seq")).scalar()

@@ -9,7 +9,12 @@ from pyspark.sql import functions as F
 
 from millwright.functions.expressions import without_nan
 from millwright.operators.kpi import with_known_keys
-from millwright.operators.quantiles import exact_quantiles, with_group_statistics
+from millwright.operators.quantiles import (
+    known_values,
+    quantiles_of_staged,
+    with_group_statistics,
+)
+from millwright.sources.staging import stage
 
 WHISKER = 1.5
 
@@ -48,11 +53,10 @@ def histogram(df: DataFrame, x: str, bins: int = 30, *, by: Sequence[str] = ())
 
 
 def box_stats(df: DataFrame, group_by: Sequence[str], y: str) -> DataFrame:
-    """Quartiles, 1.5 IQR whiskers and outlier count per group."""
+    """Quartiles, 1.5 IQR whiskers and outlier count per group; the input is read once."""
     keys = list(group_by)
-    values = with_known_keys(df, keys).select(*keys, F.col(y).cast("double").alias("value"))
-    values = without_nan(values, ["value"]).filter(F.col("value").isNotNull())
-    quartiles = exact_quantiles(values, "value", {"q1": 0.25, "median": 0.5, "q3": 0.75}, by=keys)
+    values = stage(known_values(with_known_keys(df, keys), y, keys))
+    quartiles = quantiles_of_staged(values, {"q1": 0.25, "median": 0.5, "q3": 0.75}, keys)
     reach = F.lit(WHISKER) * (F.col("q3") - F.col("q1"))
     inside = F.col("value").between(F.col("q1") - reach, F.col("q3") + reach)
     return (

@@ -65,6 +65,14 @@ def _folder(spark: SparkSession) -> str:
     return f"{staging_root(spark).rstrip('/')}/millwright-{spark.sparkContext.applicationId}"
 
 
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A new folder below the staging folder, deleted with what is staged."""
+    path = f"{_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    for scope in _SCOPES[-1:]:
+        scope.append(path)
+    return path
+
+
 def stage(df: DataFrame, *, row_ids: bool = False) -> DataFrame:
     """Write ``df`` to the staging folder and return a scan of it.
 
@@ -72,9 +80,7 @@ def stage(df: DataFrame, *, row_ids: bool = False) -> DataFrame:
     unique, repeatable address of each staged row.
     """
     spark = df.sparkSession
-    path = f"{_folder(spark)}/{uuid.uuid4().hex}"
-    for scope in _SCOPES[-1:]:
-        scope.append(path)
+    path = scratch_folder(spark, "table")
     df.write.parquet(path)
     staged = spark.read.schema(df.schema).parquet(path)
     if row_ids:

@@ -10,11 +10,19 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from millwright.functions.expressions import to_number, to_timestamp, without_nan
 from millwright.schemas import table_schemas
+from millwright.sources.publishing import (
+    TableSet,
+    publish_tables,
+    published_set,
+    read_table_of,
+)
 
 # Where a row stood in its file; load_tables() adds it on request, cleaning takes it off.
 INGEST_POSITION = "_ingest_position"
 # Quotes inside a quoted field are doubled; a field may hold separators and backslashes.
 _DIALECT = {"header": True, "quote": '"', "escape": '"'}
+# An empty text is written in quotes, so that it differs from null in the file.
+_WRITING = {**_DIALECT, "emptyValue": '""', "nullValue": ""}
 
 # Texts that stand for a missing value in CSV files.
 NULL_TEXTS = (
@@ -53,7 +61,11 @@ def _read_as(column: str, name: str) -> Column:
 
 
 def table_names(spark: SparkSession, directory: str, fmt: str = "csv") -> list[str]:
-    """Names of the tables in a directory: every ``<name>.<fmt>`` file or dataset folder."""
+    """Names of the tables in a directory: those of its published set, if it has one, or else
+    every ``<name>.<fmt>`` file or dataset folder."""
+    current = published_set(spark, directory)
+    if current is not None:
+        return sorted(current.tables)
     path = spark._jvm.org.apache.hadoop.fs.Path(directory)
     files = path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)
     found = (status.getPath().getName() for status in files)
@@ -135,7 +147,13 @@ def load_tables(
     (default: the ten plant tables), see :func:`read_csv_table` for the options; other formats
     carry their own. ``position`` adds where each row stood in its file, so that duplicates
     can be told apart by file order.
+
+    Of a directory with a published set all tables come from that set, in the format and with the
+    columns that they were published with.
     """
+    current = published_set(spark, directory)
+    if current is not None:
+        return _load_set(spark, current, names, position)
     base = directory.rstrip("/")
     known = table_schemas() if schemas is None else schemas
     tables = {}
@@ -154,6 +172,22 @@ def load_tables(
     return tables
 
 
+def _load_set(
+    spark: SparkSession, current: TableSet, names: Iterable[str] | None, position: bool
+) -> dict[str, DataFrame]:
+    tables = {}
+    for name in names or sorted(current.tables):
+        df = read_table_of(spark, current, name)
+        if position:
+            row = F.col("_metadata.row_index") if current.tables[name]["format"] == "parquet" else (
+                F.monotonically_increasing_id()
+            )
+            columns = df.columns
+            df = _with_position(df, row).select(*columns, INGEST_POSITION)
+        tables[name] = without_nan(df)
+    return tables
+
+
 def write_tables(
     tables: Mapping[str, DataFrame],
     directory: str,
@@ -162,24 +196,48 @@ def write_tables(
     suffix: str = "",
     partition_by: Mapping[str, list[str]] | None = None,
 ) -> None:
-    """One dataset per table, ``<directory>/<name><suffix>.<fmt>``, overwritten."""
+    """One dataset per table, ``<directory>/<name><suffix>.<fmt>``, overwritten one by one.
+
+    For readers that know nothing of published sets; :func:`publish_set` swaps all at once.
+    """
     base = directory.rstrip("/")
     for name, df in tables.items():
         writer = df.write.mode("overwrite").format(fmt)
         if fmt == "csv":
-            # An empty text is written in quotes, so that it differs from null in the file.
-            writer = writer.options(**_DIALECT).option("emptyValue", '""').option("nullValue", "")
+            writer = writer.options(**_WRITING)
         if partition_by and name in partition_by:
             writer = writer.partitionBy(*partition_by[name])
         writer.save(f"{base}/{name}{suffix}.{fmt}")
 
 
-def write_kpis(kpis: Mapping[str, DataFrame], directory: str, *, fmt: str = "csv") -> None:
-    """The KPI result set under its fixed table names."""
+def publish_set(
+    tables: Mapping[str, DataFrame],
+    directory: str,
+    *,
+    fmt: str = "csv",
+    partition_by: Mapping[str, list[str]] | None = None,
+    made_from: int | None = None,
+) -> TableSet:
+    """All tables as the directory's next set, in one step; :func:`load_tables` follows it.
+
+    Should anything fail on the way, readers keep the set before.
+    """
+    options = {k: str(v) for k, v in _WRITING.items()} if fmt == "csv" else {}
+    return publish_tables(
+        tables, directory, fmt=fmt, options=options, partition_by=partition_by, made_from=made_from
+    )
+
+
+def write_kpis(
+    kpis: Mapping[str, DataFrame], directory: str, *, fmt: str = "csv", made_from: int | None = None
+) -> TableSet:
+    """The KPI result set under its fixed table names, published as one."""
     missing = [n for n in KPI_TABLES if n not in kpis]
     if missing:
         raise ValueError(f"KPI tables not computed: {', '.join(missing)}")
-    write_tables({n: kpis[n] for n in KPI_TABLES}, directory, fmt=fmt)
+    return publish_set(
+        {n: kpis[n] for n in KPI_TABLES}, directory, fmt=fmt, made_from=made_from
+    )
 
 
 def table_overview(tables: Mapping[str, DataFrame]) -> DataFrame:

@@ -1,5 +1,6 @@
 """Distributed ordered operators against brute force in pandas."""
 
+import math
 import random
 
 import numpy as np
@@ -186,19 +187,78 @@ def test_expand_units_spreads_one_large_count(spark):
     assert units.agg(F.countDistinct("unit_no")).first()[0] == 3_000_000
 
 
-def test_quantile_brackets_are_widened(hot, frame, monkeypatch):
-    """Brackets that lie beside their quantile do no harm."""
-    monkeypatch.setattr(quantiles, "_brackets", _wrong_at_first(quantiles._brackets))
-    got = quantiles.exact_quantiles(hot, "v", {"q": 0.5}).first()["q"]
-    assert got == frame["v"].median()
-
-
-def _wrong_at_first(brackets):
-    def wrong(values, shares, by, error):
-        found = brackets(values, shares, by, error)
-        return found.withColumn("_high_q", F.col("_low_q") - 1) if error < 0.01 else found
-
-    return wrong
+EXTREMES = [
+    0.0, -0.0, 5e-324, -5e-324, 2.2250738585072009e-308, 2.2250738585072014e-308, 1.0, 2.0, 0.5,
+    *(float(np.nextafter(a, b)) for a, b in ((1, 0), (1, 2), (2, 1), (1024, 0))),
+    0.1, 1 / 3, 1e300, -1e300, 1.7976931348623157e308, -1.7976931348623157e308,
+    float("inf"), float("-inf"), 4503599627370497.0, -3.0,
+]
+
+
+def test_buckets_order_as_the_doubles_do(spark):
+    rng = np.random.default_rng(4)
+    bits = rng.integers(0, 2047 << 52, 20_000).view(np.float64)
+    powers = 2.0 ** np.arange(-1074, 1024)
+    around = np.concatenate([powers, np.nextafter(powers, 0), np.nextafter(powers, np.inf)])
+    close = 1.0 + rng.integers(0, 1 << 22, 5000) * 2.0**-52
+    values = np.concatenate([EXTREMES, bits, -bits, around, -around, close])
+    df = spark.createDataFrame([(float(v),) for v in values], "v double")
+    rows = df.select("v", *[quantiles.leading("v", d).alias(f"d{d}") for d in (1, 12, 33)]).collect()
+    ordered_rows = sorted(rows, key=lambda r: r["v"])
+    for a, b in zip(ordered_rows, ordered_rows[1:], strict=False):
+        assert all(x <= y for x, y in zip(a, b, strict=True))
+    for row in rows:
+        if math.isfinite(row["d12"]) and row["v"]:
+            digits, _ = math.frexp(row["d12"])
+            assert digits * 2**12 == int(digits * 2**12)
+            assert abs(row["d12"] - row["v"]) <= abs(row["v"]) * 2.0**-12
+    # Between 1 and 2 there are 2048 numbers of twelve digits, and 2 ** 21 of 33 in each.
+    assert len({r["d12"] for r in rows if 1 <= r["d12"] < 2}) <= 2048
+
+
+def test_quantiles_of_extreme_values(spark):
+    df = spark.createDataFrame([(v,) for v in EXTREMES], "v double").repartition(3)
+    ranked = sorted(EXTREMES)
+    names = {f"q{i}": i / (len(ranked) - 1) for i in range(len(ranked))}
+    got = quantiles.exact_quantiles(df, "v", names).first()
+    assert [got[n] for n in names] == ranked
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_quantiles_of_crowded_values(spark, seed):
+    """Values that differ in their last bits only, many times over, beside far ones."""
+    rng = np.random.default_rng(seed)
+    crowd = 1.0 + rng.integers(0, 40, 4000) * 2.0**-52
+    values = np.concatenate([crowd, rng.normal(0, 1e6, 500), np.full(900, -7.25)])
+    groups = rng.integers(0, 3, len(values))
+    df = spark.createDataFrame([(int(g), float(v)) for g, v in zip(groups, values, strict=True)], "g int, v double")
+    shares = {"a": 0.01, "b": 1 / 3, "c": 0.5, "d": 0.77, "e": 0.999}
+    for row in quantiles.exact_quantiles(df.repartition(4), "v", shares, by=["g"]).collect():
+        own = np.sort(values[groups == row["g"]])
+        for name, share in shares.items():
+            at = (len(own) - 1) * share
+            low, high = own[int(np.floor(at))], own[int(np.ceil(at))]
+            assert low <= row[name] <= high
+            assert row[name] == low + (high - low) * (at - np.floor(at))
+
+
+def test_quantiles_keep_a_null_group(spark):
+    df = spark.createDataFrame([(None, 1.0), (None, 3.0), ("a", 5.0), ("a", float("nan")), ("b", None)], "k string, v double")
+    got = quantiles.exact_quantiles(df, "v", {"m": 0.5}, by=["k"]).collect()
+    assert sorted(map(tuple, got), key=repr) == [("a", 5.0), (None, 2.0)]
+
+
+def test_what_is_kept_between_passes_does_not_grow_with_the_rows(spark, monkeypatch):
+    """A million rows around one value: the staged buckets stay a handful."""
+    staged = []
+    monkeypatch.setattr(quantiles, "stage", lambda df: staged.append(stage(df)) or staged[-1])
+    df = spark.range(1_000_000).select((100 + F.col("id") / 1e9).alias("v"))
+    got = quantiles.exact_quantiles(df, "v", {"m": 0.5}).first()["m"]
+    low, high = (100 + np.array([499_999, 500_000]) / 1e9).tolist()
+    assert got == low + (high - low) * 0.5
+    values, *buckets = staged
+    assert values.count() == 1_000_000
+    assert [b.count() <= 2 for b in buckets] == [True, True]
 
 
 def test_quartiles_without_broadcast(spark, hot, frame):
