@@ -96,10 +96,18 @@ def kpi_sums_by_grain(production_with_oee: DataFrame, grains: Sequence[str]) ->
     One pass over the records: row-level KPIs are computed once, then each row counts towards
     every grain, and what is shuffled are the groups of the grains, not their combinations.
     """
-    sets = (
-        _sum_inputs(production_with_oee, grains)
-        .groupingSets([[g] for g in grains], *grains)
-        .agg(F.grouping_id().alias("_grouping"), *_sums())
+    return merge_sums_by_grain(_sum_inputs(production_with_oee, grains), grains)
+
+
+def kpi_sums(production_with_oee: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """KPI sums per key, null keys included: they can be merged into those of any coarser grain."""
+    return _sum_inputs(production_with_oee, keys).groupBy(*keys).agg(*_sums())
+
+
+def merge_sums_by_grain(sums: DataFrame, grains: Sequence[str]) -> DataFrame:
+    """The sums of :func:`kpi_sums_by_grain` from rows or from finer sums."""
+    sets = sums.groupingSets([[g] for g in grains], *grains).agg(
+        F.grouping_id().alias("_grouping"), *_sums()
     )
     # The grouping id has a zero bit for the column that is grouped by, first column highest.
     full = (1 << len(grains)) - 1
@@ -138,7 +146,11 @@ def aggregate_kpis(production_with_oee: DataFrame, group_by: Sequence[str]) -> D
 
 def aggregate_kpis_by_grain(production_with_oee: DataFrame, grains: Sequence[str]) -> DataFrame:
     """KPIs for several single-column grains at once: ``(grain, grain_value, measures...)``."""
-    sums = kpi_sums_by_grain(production_with_oee, grains)
+    return finish_grains(kpi_sums_by_grain(production_with_oee, grains), grains)
+
+
+def finish_grains(sums: DataFrame, grains: Sequence[str]) -> DataFrame:
+    """The KPI tables of :func:`kpi_sums_by_grain`, one below the other."""
     # Of the grain columns only the one grouped by is set in a row.
     value = F.coalesce(*[F.col(g).cast("string") for g in grains])
     named = with_known_keys(sums.withColumn("grain_value", value), ["grain_value"])
@@ -168,7 +180,17 @@ def calculate_mtbf_mttr(
     Both sides are reduced to a row per group before they are joined.
     """
     keys = list(group_by)
-    failures = (
+    uptime = (
+        with_known_keys(without_nan(production, ["run_time_minutes"]), keys)
+        .groupBy(*keys)
+        .agg(sum_or_zero("run_time_minutes").alias("total_run_time_minutes"))
+    )
+    return finish_mtbf_mttr(failure_sums(downtime_events, keys), uptime, keys)
+
+
+def failure_sums(downtime_events: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Count and minutes of the unplanned stoppages per group."""
+    return (
         with_known_keys(without_nan(downtime_events, ["duration_minutes"]), keys)
         .filter("is_planned = false")
         .groupBy(*keys)
@@ -177,11 +199,11 @@ def calculate_mtbf_mttr(
             sum_or_zero("duration_minutes").alias("total_downtime_minutes"),
         )
     )
-    uptime = (
-        with_known_keys(without_nan(production, ["run_time_minutes"]), keys)
-        .groupBy(*keys)
-        .agg(sum_or_zero("run_time_minutes").alias("total_run_time_minutes"))
-    )
+
+
+def finish_mtbf_mttr(failures: DataFrame, uptime: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Times between failures and to repair from sums per group; groups without uptime are left out."""
+    keys = list(keys)
     count, downtime = "failure_count", "total_downtime_minutes"
     return (
         uptime.join(failures, keys, "left")
@@ -209,7 +231,12 @@ def least_reliable(
 
 def calculate_defect_rate(inspections: DataFrame, group_by: Sequence[str]) -> DataFrame:
     """Defective units over inspected units and first-pass yield, per group."""
-    counted = (
+    return finish_defect_rate(inspection_sums(inspections, group_by))
+
+
+def inspection_sums(inspections: DataFrame, group_by: Sequence[str]) -> DataFrame:
+    """Units, inspections and passes per group."""
+    return (
         with_known_keys(inspections, group_by)
         .groupBy(*group_by)
         .agg(
@@ -219,6 +246,10 @@ def calculate_defect_rate(inspections: DataFrame, group_by: Sequence[str]) -> Da
             F.count_if(F.col("result") == "Pass").alias("pass_count"),
         )
     )
+
+
+def finish_defect_rate(counted: DataFrame) -> DataFrame:
+    """Rates from the sums of :func:`inspection_sums`."""
     return counted.withColumns(
         {
             "defect_rate": safe_div("defective_units", "units_inspected"),
@@ -232,8 +263,13 @@ def pareto_analysis(defects: DataFrame, category_col: str = "defect_type") -> Da
 
     Equal counts are ordered by category; null categories are left out.
     """
+    return pareto_of_staged(staged_counts(defects, category_col), category_col)
+
+
+def pareto_of_staged(counts: DataFrame, category_col: str) -> DataFrame:
+    """The Pareto table of staged counts per category, ``(category, count)`` with row ids."""
     running = running_sum_of_staged(
-        staged_counts(defects, category_col),
+        counts,
         "count",
         [F.col("count").desc(), category_col],
         out="_upto",

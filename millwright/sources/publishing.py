@@ -100,6 +100,11 @@ class _Files:
         self._fs.delete(self._path(path), True)
 
 
+def folder_names(spark: SparkSession, directory: str) -> list[str]:
+    """Names of what a directory holds; none if it does not exist."""
+    return sorted(_Files(spark, directory).names(directory))
+
+
 def _base(directory: str) -> str:
     return directory.rstrip("/")
 

@@ -7,8 +7,7 @@ import pyarrow as pa
 import pytest
 
 import __spark_entry__ as driver
-from millwright.catalog.oracles import ORACLES
-from millwright.catalog.queries import QUERIES
+from __spark_entry__ import ORACLES, QUERIES
 from tests.conftest import SF
 
 TABLES = (
