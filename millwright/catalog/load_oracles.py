@@ -35,5 +35,22 @@ ORACLES: dict[str, str] = {
     ),
     "kpi_refreshed": WHOLE["kpi_all_grains"],
     "mtbf_refreshed": WHOLE["mtbf_mttr"],
+    "dedupe_two_loads": """
+        SELECT * EXCLUDE (copy) FROM (
+            SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber
+                ORDER BY l_partkey % 4 = 0, l_partkey, l_suppkey, l_quantity, l_extendedprice,
+                    l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate) AS copy
+            FROM lineitem) WHERE copy = 1
+    """,
+    "surrogate_keys_two_loads": over(
+        """WITH keyed AS (
+            SELECT *, row_number() OVER (ORDER BY defect_id % 3 <> 0, defect_id, defect_type) AS n
+            FROM (SELECT DISTINCT defect_id, defect_type FROM defects_v
+                WHERE defect_type IS NOT NULL))
+        SELECT d.defect_id, d.defect_type, 'DF' || lpad(CAST(n AS VARCHAR), 7, '0') AS defect_key
+        FROM defects_v d LEFT JOIN keyed k
+            ON k.defect_id = d.defect_id AND k.defect_type = d.defect_type""",
+        "defects_v",
+    ),
     "sensor_hourly_stream": WHOLE["sensor_hourly"],
 }

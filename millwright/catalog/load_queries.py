@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from millwright.catalog.queries import GRAINS, RECORD, Query, rounded
 from millwright.functions.expressions import month_key
-from millwright.operators import kpi
+from millwright.operators import kpi, membership, registry
+from millwright.operators.cleaning import dedupe
 from millwright.plans import refresh
 from millwright.plans.plant import compute_kpis
 from millwright.sources import proxies as P
@@ -128,6 +129,35 @@ def mtbf_refreshed(spark, sf):
     return rounded(refresh.refreshed_kpis(spark, _stored_loads(spark, sf))["mtbf_mttr_machine"])
 
 
+# --- keys across loads ----------------------------------------------------------------------
+
+
+@query
+def dedupe_two_loads(spark, sf):
+    """Order lines in two loads; a key of the first load is not taken from the second."""
+    lines = P.table(spark, sf, "lineitem")
+    early = F.col("l_partkey") % 4 != 0
+    kept = stage(dedupe(lines.filter(early), RECORD))
+    words = membership.words_for(kept.count())
+    filled = stage(membership.key_filter(kept, RECORD, words))
+    return kept.unionByName(
+        membership.dedupe_load(kept, lines.filter(~early), RECORD, filled, words)
+    )
+
+
+@query
+def surrogate_keys_two_loads(spark, sf):
+    """Defects in two loads, the first one sent twice: its keys are not changed by the second."""
+    defects = P.defects(spark, sf)
+    folder = scratch_folder(spark, "registry")
+    first = defects.filter("defect_id % 3 = 0")
+    for load in (first, first, defects):
+        registry.register(load, ["defect_id", "defect_type"], folder)
+    return registry.with_registered_keys(
+        defects, ["defect_id", "defect_type"], folder, "DF", out="defect_key"
+    )
+
+
 # --- the hourly rollup of a stream ----------------------------------------------------------
 
 SLICES = 4

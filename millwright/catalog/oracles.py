@@ -566,6 +566,36 @@ ORACLES: dict[str, str] = {
         GROUP BY machine_id, shift_id""",
         "production_v",
     ),
+    "slot_gaps": over(
+        """WITH days AS (
+            SELECT CAST(unnest(generate_series(min(date), max(date), INTERVAL 1 DAY)) AS DATE)
+                AS date
+            FROM production_v),
+        missing AS (
+            SELECT * FROM (
+                SELECT s_suppkey AS machine_id, date, shift_id
+                FROM supplier CROSS JOIN days CROSS JOIN (VALUES (0), (1), (2)) AS s(shift_id))
+            ANTI JOIN production_v USING (machine_id, date, shift_id)),
+        islands AS (
+            SELECT *, date - CAST(row_number() OVER (PARTITION BY machine_id, shift_id ORDER BY date)
+                AS INTEGER) AS island
+            FROM missing)
+        SELECT machine_id, shift_id, min(date) AS first, max(date) AS last, count(*) AS days
+        FROM islands GROUP BY machine_id, shift_id, island""",
+        "production_v",
+    ),
+    "slot_grid": over(
+        """WITH days AS (
+            SELECT CAST(unnest(generate_series(min(date), max(date), INTERVAL 1 DAY)) AS DATE)
+                AS date
+            FROM production_v)
+        SELECT date, count(*) AS missing_slots FROM (
+            SELECT s_suppkey AS machine_id, date, shift_id
+            FROM supplier CROSS JOIN days CROSS JOIN (VALUES (0), (1), (2)) AS s(shift_id))
+            ANTI JOIN production_v USING (machine_id, date, shift_id)
+        GROUP BY date""",
+        "production_v",
+    ),
     "union_all": over(
         """SELECT machine_id, round(downtime_minutes, 6) AS minutes, 'record' AS origin
         FROM production_v

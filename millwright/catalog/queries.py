@@ -277,13 +277,31 @@ def fk_orphans(spark, sf):
 
 @query
 def slot_coverage(spark, sf):
+    gaps = reshape.missing_intervals(
+        P.machines(spark, sf), "machine_id", P.production(spark, sf), [0, 1, 2]
+    )
+    return gaps.groupBy("machine_id", "shift_id").agg(
+        F.sum("days").alias("missing_slots"),
+        F.min("first").alias("first_missing"),
+        F.max("last").alias("last_missing"),
+    )
+
+
+@query
+def slot_gaps(spark, sf):
+    """Each stretch of days that a machine's shift does not report."""
+    return reshape.missing_intervals(
+        P.machines(spark, sf), "machine_id", P.production(spark, sf), [0, 1, 2]
+    )
+
+
+@query
+def slot_grid(spark, sf):
+    """The slots one by one, for a few machines' worth of checks by hand."""
     production = P.production(spark, sf)
     grid = reshape.slot_grid(P.machines(spark, sf), "machine_id", production, [0, 1, 2])
-    missing = reshape.missing_slots(grid, production)
-    return missing.groupBy("machine_id", "shift_id").agg(
-        F.count(F.lit(1)).alias("missing_slots"),
-        F.min("date").alias("first_missing"),
-        F.max("date").alias("last_missing"),
+    return reshape.missing_slots(grid, production).groupBy("date").agg(
+        F.count(F.lit(1)).alias("missing_slots")
     )
 
 

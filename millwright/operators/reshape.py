@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DatetimeType, NumericType
 
@@ -156,6 +156,43 @@ def missing_slots(grid: DataFrame, production: DataFrame) -> DataFrame:
     return grid.join(production.select(*slot).distinct(), slot, "left_anti")
 
 
+def missing_intervals(
+    machines: DataFrame, machine_key: str, production: DataFrame, shifts: Sequence
+) -> DataFrame:
+    """Unreported slots as intervals of dates: ``(machine_id, shift_id, first, last, days)``.
+
+    The slots are those of :func:`slot_grid`, but no row is made for a slot. The dates a machine's
+    shift reports are collected as a set, merged before the shuffle and never longer than the
+    period has days; what lies between neighbouring dates is missing. A shift without any record
+    is missing for the whole period.
+    """
+    known = production.select("machine_id", "date", "shift_id")
+    period = known.agg(F.struct(F.min("date").alias("first"), F.max("date").alias("last")).alias("p")).scalar()
+    before, after = F.date_sub(period["first"], 1), F.date_add(period["last"], 1)
+    pairs = machines.select(F.col(machine_key).alias("machine_id")).distinct().select(
+        "machine_id", F.explode(F.array(*map(F.lit, shifts))).alias("shift_id")
+    )
+    reported = known.groupBy("machine_id", "shift_id").agg(
+        F.array_sort(F.collect_set("date")).alias("_dates")
+    )
+    dates = F.coalesce("_dates", F.array().cast("array<date>"))
+    edges = F.concat(F.array(before), dates, F.array(after))
+
+    def gap(d: Column, i: Column) -> Column:
+        return F.struct(
+            F.date_add(d, 1).alias("first"),
+            F.date_sub(F.get("_edges", i + 1), 1).alias("last"),
+        )
+
+    gaps = F.filter(F.transform("_edges", gap), lambda g: g["first"] <= g["last"])
+    return (
+        pairs.join(reported, ["machine_id", "shift_id"], "left")
+        .select("machine_id", "shift_id", edges.alias("_edges"))
+        .select("machine_id", "shift_id", F.inline(gaps))
+        .withColumn("days", (F.datediff("last", "first") + 1).cast("bigint"))
+    )
+
+
 def tail_extract(df: DataFrame, order_by: Sequence[str], n: int) -> DataFrame:
     """The last ``n`` rows in the given order, in that order.
 

@@ -4,11 +4,12 @@ A set is written beside those before it, in a folder of its own, and becomes the
 single step: its manifest is renamed to the next version number, which fails if that number is taken.
 Until then nothing a reader looks at has changed, so a job that is lost on the way leaves the old
 set as it was. Readers list the manifests, take the highest and find all tables of one set through
-it; sets of earlier versions stay for a while, for readers that have begun.
+it; sets of earlier versions stay for a while, for readers that have begun. A set may also hold
+tables of the one before it, which are then named by both manifests and not written again.
 
 The layout below a directory::
 
-    _sets/<id>/<table>.<format>       the tables of one set
+    _sets/<id>/<table>.<format>       the tables written with one set
     _sets/versions/<number>.json      what the set holds; twenty digits, ascending
 
 The rename must fail on an existing target and be atomic, as on HDFS and local disks. On an object
@@ -120,7 +121,12 @@ def _manifest_path(base: str, version: int) -> str:
 
 def _read(files: _Files, base: str, version: int) -> TableSet:
     held = json.loads(files.read(_manifest_path(base, version)))
-    return TableSet(version, f"{base}/{SETS}/{held['set']}", held["tables"])
+    return TableSet(version, f"{base}/{SETS}", held["tables"])
+
+
+def _folders(tables: TableSet) -> set[str]:
+    """The folders that a set's tables lie in."""
+    return {t["path"].split("/")[0] for t in tables.tables.values()}
 
 
 def published_set(spark: SparkSession, directory: str, version: int | None = None) -> TableSet | None:
@@ -163,45 +169,48 @@ def publish_tables(
     options: Mapping[str, str] | None = None,
     partition_by: Mapping[str, Sequence[str]] | None = None,
     made_from: int | None = None,
+    along: TableSet | None = None,
     keep: int = KEPT_SETS,
 ) -> TableSet:
     """Write all tables and make them the directory's current set in one step.
 
-    Row counts are observed while the tables are written. ``made_from`` names the version that the
+    The tables of ``along``, an earlier set of the directory, are part of the new one too, unless
+    it brings a table of that name; they must come with ``made_from``. Row counts are observed while the tables are written. ``made_from`` names the version that the
     tables were computed from (0: none): should another one be current by then, nothing is
     published and :class:`PublishConflict` is raised. Whatever fails, the current set stays.
     """
     if not tables:
         raise ValueError("a table set needs a table")
+    if along is not None and made_from != along.version:
+        raise ValueError("tables are taken along from the version that the set is made from")
     base = _base(directory)
     spark = next(iter(tables.values())).sparkSession
     files = _Files(spark, base)
     name = uuid.uuid4().hex
     folder = f"{base}/{SETS}/{name}"
     try:
-        held = {}
+        held = dict(along.tables) if along is not None else {}
         for table, df in tables.items():
             parts = list((partition_by or {}).get(table, ()))
-            held[table] = _written(df, folder, table, fmt, options or {}, parts)
+            held[table] = _written(df, f"{base}/{SETS}", f"{name}/{table}.{fmt}", fmt, options or {}, parts)
         version = _commit(files, base, name, held, made_from)
     except BaseException:
         files.delete(folder)
         raise
     _drop_old(files, base, keep)
-    return TableSet(version, folder, held)
+    return TableSet(version, f"{base}/{SETS}", held)
 
 
 def _written(
-    df: DataFrame, folder: str, table: str, fmt: str, options: Mapping[str, str], parts: list[str]
+    df: DataFrame, sets: str, path: str, fmt: str, options: Mapping[str, str], parts: list[str]
 ) -> dict:
-    # Observed counts of a table without columns would not reach the writer.
-    observation = Observation(f"publication of {table}")
+    observation = Observation(f"publication of {path}")
     observed = df.observe(observation, F.count(F.lit(1)).alias("rows"))
     writer = observed.write.format(fmt).options(**options)
-    (writer.partitionBy(*parts) if parts else writer).save(f"{folder}/{table}.{fmt}")
+    (writer.partitionBy(*parts) if parts else writer).save(f"{sets}/{path}")
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
     return {
-        "path": f"{table}.{fmt}",
+        "path": path,
         "format": fmt,
         "options": dict(options),
         "columns": columns,
@@ -227,10 +236,15 @@ def _commit(files: _Files, base: str, name: str, held: Mapping, made_from: int |
 
 def _drop_old(files: _Files, base: str, keep: int) -> None:
     """Delete all but the newest sets: the manifest first, so that no reader starts on them."""
-    for version in _versions(files, base)[: -max(1, keep)]:
-        old = _read(files, base, version)
+    versions = _versions(files, base)
+    gone, kept = versions[: -max(1, keep)], versions[-max(1, keep) :]
+    if not gone:
+        return
+    old = set().union(*[_folders(_read(files, base, v)) for v in gone])
+    for version in gone:
         files.delete(_manifest_path(base, version))
-        files.delete(old.folder)
+    for folder in old - set().union(*[_folders(_read(files, base, v)) for v in kept]):
+        files.delete(f"{base}/{SETS}/{folder}")
 
 
 def sweep(spark: SparkSession, directory: str, older_than_hours: float = 24.0) -> list[str]:
@@ -241,7 +255,7 @@ def sweep(spark: SparkSession, directory: str, older_than_hours: float = 24.0) -
     base = _base(directory)
     files = _Files(spark, base)
     before = (time.time() - older_than_hours * 3600) * 1000
-    known = {_read(files, base, v).folder.rsplit("/", 1)[1] for v in _versions(files, base)}
+    known = set().union(*[_folders(_read(files, base, v)) for v in _versions(files, base)])
     left = [
         n
         for n, changed in files.names(f"{base}/{SETS}").items()
