@@ -52,5 +52,31 @@ ORACLES: dict[str, str] = {
             ON k.defect_id = d.defect_id AND k.defect_type = d.defect_type""",
         "defects_v",
     ),
+    "null_profile_merged": WHOLE["null_profile"],
+    "column_profile_merged": over(
+        " UNION ALL ".join(
+            f"""SELECT '{c}' AS column_name, count(*) AS row_count, count(*) - count({c}) AS null_count,
+            {f"CAST(min({c}) AS DOUBLE)" if number else "CAST(NULL AS DOUBLE)"} AS min_value,
+            {f"CAST(max({c}) AS DOUBLE)" if number else "CAST(NULL AS DOUBLE)"} AS max_value,
+            TRUE AS distinct_close, TRUE AS median_close FROM downtime_v"""
+            for c, number in (
+                ("event_id", True), ("machine_id", True), ("reason_code", False),
+                ("duration_minutes", True), ("is_planned", False), ("start_time", False),
+            )
+        ),
+        "downtime_v",
+    ),
+    "tail_extract_clustered": WHOLE["tail_extract"],
+    "sensor_hourly_period": over(
+        """WITH bounds AS (
+            SELECT min(timestamp) AS a, max(timestamp) AS z FROM sensor_v)
+        SELECT machine_id, sensor_type, CAST(date_trunc('hour', timestamp) AS TIMESTAMP) AS hour,
+            round(avg(reading_value), 6) AS mean_value, round(min(reading_value), 6) AS min_value,
+            round(max(reading_value), 6) AS max_value, count(reading_value) AS n_readings
+        FROM sensor_v, bounds
+        WHERE epoch_us(timestamp) >= epoch_us(a) + (epoch_us(z) - epoch_us(a)) * 0.75
+        GROUP BY ALL""",
+        "sensor_v",
+    ),
     "sensor_hourly_stream": WHOLE["sensor_hourly"],
 }

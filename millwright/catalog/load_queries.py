@@ -10,10 +10,11 @@ from pyspark.sql import functions as F
 
 from millwright.catalog.queries import GRAINS, RECORD, Query, rounded
 from millwright.functions.expressions import month_key
-from millwright.operators import kpi, membership, registry
+from millwright.operators import kpi, membership, profiles, registry, reshape
 from millwright.operators.cleaning import dedupe
 from millwright.plans import refresh
 from millwright.plans.plant import compute_kpis
+from millwright.sources import clustered
 from millwright.sources import proxies as P
 from millwright.sources.staging import scratch_folder, stage
 from millwright.sources.tables import load_tables, publish_set, write_kpis
@@ -158,6 +159,83 @@ def surrogate_keys_two_loads(spark, sf):
     )
 
 
+# --- profiles and file pruning --------------------------------------------------------------
+
+
+def _profiled(spark, sf) -> DataFrame:
+    """The profile of the stoppages, from those of three loads, two of them merged."""
+    folder = scratch_folder(spark, "profiles")
+    stoppages = P.downtime(spark, sf)
+    for k in range(3):
+        profiles.add_profile(folder, f"load-{k}", stoppages.filter(F.col("event_id") % 3 == k))
+        if k == 1:
+            profiles.merge_stored(spark, folder)
+    return profiles.stored_profile(spark, folder)
+
+
+@query
+def null_profile_merged(spark, sf):
+    return rounded(
+        profiles.null_report(_profiled(spark, sf), "downtime", max_null_pct=1.5, min_rows=50_000)
+    )
+
+
+@query
+def column_profile_merged(spark, sf):
+    """Exact counts and bounds; the estimates as whether they are within the stated error."""
+    read = profiles.read_profile(_profiled(spark, sf), [0.5])
+    exact = P.downtime(spark, sf)
+    # Taken from all rows, to hold the estimates against.
+    counts = exact.agg(*[F.count_distinct(c).alias(c) for c in exact.columns]).unpivot(
+        [], exact.columns, "column_name", "distinct"
+    )
+    numbers = ["event_id", "machine_id", "duration_minutes"]
+    ranks = read.filter(F.col("column_name").isin(numbers)).select("column_name", "q50")
+    below = exact.select(*[F.col(c).cast("double") for c in numbers]).unpivot([], numbers, "column_name", "v")
+    share = (
+        below.join(F.broadcast(ranks), "column_name")
+        .groupBy("column_name")
+        .agg(
+            F.avg((F.col("v") < F.col("q50")).cast("double")).alias("under"),
+            F.avg((F.col("v") <= F.col("q50")).cast("double")).alias("upto"),
+        )
+    )
+    close = F.abs(F.col("distinct_estimate") - F.col("distinct")) <= 0.08 * F.col("distinct")
+    middle = (F.col("under") <= 0.54) & (F.col("upto") >= 0.46)
+    return (
+        read.join(counts, "column_name")
+        .join(share, "column_name", "left")
+        .select(
+            "column_name", "row_count", "null_count", "min_value", "max_value",
+            close.alias("distinct_close"), F.coalesce(middle, F.lit(True)).alias("median_close"),
+        )
+    )
+
+
+def _clustered(spark, sf) -> str:
+    folder = scratch_folder(spark, "clustered")
+    clustered.write_clustered(
+        P.sensors(spark, sf), folder, ["timestamp", "event_id"], files=16, bloom=["machine_id"]
+    )
+    return folder
+
+
+@query
+def tail_extract_clustered(spark, sf):
+    """The last rows from the last files alone."""
+    last = clustered.read_last(spark, _clustered(spark, sf), 100)
+    return reshape.tail_extract(last, ["timestamp", "event_id"], 100)
+
+
+@query
+def sensor_hourly_period(spark, sf):
+    """The hourly rollup of the last quarter of the time, from the files that hold it."""
+    folder = _clustered(spark, sf)
+    first, last = clustered.file_index(spark, folder).agg(F.min("low"), F.max("high")).first()
+    readings = clustered.read_range(spark, folder, "timestamp", low=first + (last - first) * 0.75)
+    return rounded(reshape.sensor_hourly(readings, ["machine_id", "sensor_type"]))
+
+
 # --- the hourly rollup of a stream ----------------------------------------------------------
 
 SLICES = 4

@@ -1,22 +1,13 @@
 """KPI tables that take in new records without reading the old ones.
 
 Every KPI is a ratio of sums, so sums at the finest grain (day, factory, machine, shift) are all that
-has to be kept of records. A *load* adds the sums of its records to a store; the KPI tables are
-derived from the sums of all loads, whose number of rows depends on days and machines, not on
-records. Each load is published under its id: adding it again replaces it, and a load that fails
-half-way is not there at all.
-
-``merge_loads`` folds the loads into one base, so that reading does not slow down with their number.
-The base names the loads it holds; a reader leaves these out, whether or not their folders are
-still there. Loads and bases hold the same tables::
-
-    <directory>/loads/<id>/      the sums of one load
-    <directory>/base/            the sums of merged loads, and which ones
+has to be kept of records. A *load* adds the sums of its records to a store (``sources.loads``); the
+KPI tables are derived from the sums of all loads, whose number of rows depends on days and
+machines, not on records.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Mapping
 from functools import reduce
 
@@ -26,13 +17,8 @@ from pyspark.sql import functions as F
 from millwright.functions.expressions import month_key, sum_or_zero
 from millwright.operators import kpi
 from millwright.plans.plant import GRAIN_TABLES
-from millwright.sources.publishing import (
-    TableSet,
-    folder_names,
-    publish_tables,
-    published_set,
-    read_table_of,
-)
+from millwright.sources import loads
+from millwright.sources.publishing import TableSet
 from millwright.sources.staging import FILE_COLUMN, ROW_COLUMN, stage
 
 # The finest grain of each table of sums.
@@ -42,7 +28,6 @@ SUM_KEYS = {
     "inspection_sums": ("factory_id",),
     "defect_counts": ("defect_type",),
 }
-MERGED = "merged_loads"
 
 
 def load_sums(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
@@ -64,80 +49,31 @@ def load_sums(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
 
 
 def add_load(directory: str, load_id: str, tables: Mapping[str, DataFrame]) -> TableSet:
-    """Add the sums of a load's records; a load added again replaces itself.
-
-    A load that was merged into the base stays as it is there: adding it again is an error.
-    """
-    if not re.fullmatch(r"[A-Za-z0-9][A-Za-z0-9._-]*", load_id):
-        raise ValueError(f"a load id is letters, digits and ._-, not {load_id!r}")
+    """Add the sums of a load's cleaned records; a load added again replaces itself."""
     sums = load_sums(tables)
     if not sums:
         raise ValueError("a load needs at least one of the fact tables")
-    spark = next(iter(sums.values())).sparkSession
-    if load_id in _merged(spark, published_set(spark, _base(directory))):
-        raise ValueError(f"load {load_id} is part of the base already")
-    return publish_tables(sums, f"{_loads(directory)}/{load_id}")
-
-
-def _loads(directory: str) -> str:
-    return f"{directory.rstrip('/')}/loads"
-
-
-def _base(directory: str) -> str:
-    return f"{directory.rstrip('/')}/base"
+    return loads.add_load(directory, load_id, sums)
 
 
-def _merged(spark: SparkSession, base: TableSet | None) -> set[str]:
-    """Ids of the loads in the base: one short text per load."""
-    if base is None:
-        return set()
-    return {row["load_id"] for row in read_table_of(spark, base, MERGED).collect()}
-
-
-def _parts(spark: SparkSession, directory: str) -> tuple[TableSet | None, set[str], dict[str, TableSet]]:
-    """The base, the loads in it, and the loads beside it."""
-    base = published_set(spark, _base(directory))
-    merged = _merged(spark, base)
-    beside = {}
-    for name in folder_names(spark, _loads(directory)):
-        if name not in merged:
-            current = published_set(spark, f"{_loads(directory)}/{name}")
-            if current is not None:
-                beside[name] = current
-    return base, merged, beside
-
-
-def _merge(parts: list[DataFrame], keys: tuple[str, ...]) -> DataFrame:
+def _merge(parts: dict[str, list[DataFrame]]) -> dict[str, DataFrame]:
     """Sums of sums; a sum without any value stays null."""
-    rows = reduce(DataFrame.unionByName, parts)
-    measures = [c for c in rows.columns if c not in keys]
-    return rows.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in measures])
+    merged = {}
+    for name, frames in parts.items():
+        rows, keys = reduce(DataFrame.unionByName, frames), SUM_KEYS[name]
+        measures = [c for c in rows.columns if c not in keys]
+        merged[name] = rows.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in measures])
+    return merged
 
 
 def stored_sums(spark: SparkSession, directory: str) -> dict[str, DataFrame]:
     """The merged sums of all loads, per kind of record that any load has brought."""
-    base, _, beside = _parts(spark, directory)
-    return _sums_of(spark, [s for s in (base, *beside.values()) if s is not None])
-
-
-def _sums_of(spark: SparkSession, sets: list[TableSet]) -> dict[str, DataFrame]:
-    found = {}
-    for name, keys in SUM_KEYS.items():
-        parts = [read_table_of(spark, s, name) for s in sets if name in s.tables]
-        if parts:
-            found[name] = _merge(parts, keys)
-    return found
+    return _merge(loads.stored(spark, directory))
 
 
 def merge_loads(spark: SparkSession, directory: str) -> TableSet | None:
-    """Fold all loads into the base, in one step for readers; None where there is none to fold."""
-    base, merged, beside = _parts(spark, directory)
-    if not beside:
-        return base
-    sums = _sums_of(spark, [s for s in (base, *beside.values()) if s is not None])
-    ids = sorted(merged | set(beside))
-    sums[MERGED] = spark.createDataFrame([(i,) for i in ids], "load_id string").coalesce(1)
-    return publish_tables(sums, _base(directory), made_from=base.version if base else 0)
+    """Fold the sums of all loads into one base."""
+    return loads.merge_loads(spark, directory, _merge)
 
 
 def refreshed_kpis(spark: SparkSession, directory: str) -> dict[str, DataFrame]:

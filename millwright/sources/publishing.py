@@ -21,7 +21,7 @@ from __future__ import annotations
 import json
 import time
 import uuid
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -170,12 +170,14 @@ def publish_tables(
     partition_by: Mapping[str, Sequence[str]] | None = None,
     made_from: int | None = None,
     along: TableSet | None = None,
+    derive: Callable[[TableSet], Mapping[str, DataFrame]] | None = None,
     keep: int = KEPT_SETS,
 ) -> TableSet:
     """Write all tables and make them the directory's current set in one step.
 
     The tables of ``along``, an earlier set of the directory, are part of the new one too, unless
-    it brings a table of that name; they must come with ``made_from``. Row counts are observed while the tables are written. ``made_from`` names the version that the
+    it brings a table of that name; they must come with ``made_from``. ``derive`` is called with the
+    written tables and gives more of them (Parquet), such as an index of their files. Row counts are observed while the tables are written. ``made_from`` names the version that the
     tables were computed from (0: none): should another one be current by then, nothing is
     published and :class:`PublishConflict` is raised. Whatever fails, the current set stays.
     """
@@ -193,6 +195,10 @@ def publish_tables(
         for table, df in tables.items():
             parts = list((partition_by or {}).get(table, ()))
             held[table] = _written(df, f"{base}/{SETS}", f"{name}/{table}.{fmt}", fmt, options or {}, parts)
+        if derive is not None:
+            written = TableSet(0, f"{base}/{SETS}", dict(held))
+            for table, df in derive(written).items():
+                held[table] = _written(df, f"{base}/{SETS}", f"{name}/{table}.parquet", "parquet", {}, [])
         version = _commit(files, base, name, held, made_from)
     except BaseException:
         files.delete(folder)

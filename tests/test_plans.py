@@ -3,6 +3,7 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from millwright.catalog.queries import QUERIES
 from millwright.sources import proxies as P
@@ -95,3 +96,22 @@ def test_statistics_are_computed_once(spark):
 def test_staged_tables_are_pruned(spark):
     staged = stage(spark.range(10).selectExpr("id", "id * 2 AS twice"))
     assert "ReadSchema: struct<twice:bigint>" in plan_of(staged.select("twice"))
+
+
+def test_tables_are_made_when_asked_for(spark, monkeypatch):
+    """The Pareto table of defects needs neither production records nor their cleaning."""
+    from millwright.plans import plant
+
+    cleaned = []
+    plain = plant.clean
+    monkeypatch.setattr(plant, "clean", lambda df, spec, s: cleaned.append(spec.table) or plain(df, spec, s))
+    defects = spark.createDataFrame([("D1", "A"), ("D2", "A"), ("D3", "B")], "defect_id string, defect_type string")
+    lost = spark.range(1).select(F.raise_error(F.lit("read")).alias("record_id"))
+    tables, reports = plant.clean_tables({"production_records": lost, "defects": defects, "machines": lost})
+    kpis = plant.compute_kpis(tables)
+    assert list(kpis) == list(plant.compute_kpis({})) and len(reports) == 2
+    assert [r["count"] for r in kpis["pareto"].collect()] == [2, 1]
+    assert kpis["pareto"] is kpis["pareto"]
+    assert len(cleaned) == 1
+    assert reports["defects"].rows_before == 3
+    assert len(cleaned) == 1
