@@ -11,15 +11,16 @@ gives these two tokens again; answers are kept by pair.
 A text is cut where no piece of the vocabulary crosses (before a space mark that follows
 another character, before a comma or full stop that follows a letter, and around line breaks), so the pass runs
 once per distinct word and worker, and its counts, as steps from prefix to prefix, are joined for
-each text. The steps, one byte a character, are the ledger: their running sum is the count at
+each text. Within a word the pass is an automaton that is filled as words are met: all that later
+positions can ask of a prefix is its longest end that begins some longer piece, with the last token
+and the count at each position in it. Prefixes that agree in this are one state, so a character of a
+new word is mostly one look into a table, not a search through the pieces. The steps, one byte a character, are the ledger: their running sum is the count at
 every prefix, and truncation and budget questions need no encoding.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -30,8 +31,10 @@ from millwright.llm.token_words import in_slices, tokenizer_path
 TOKEN_LIMIT = 4096
 MAX_KEPT = 1_200_000
 MAX_PAIRS = 2_000_000
-# Texts looked at together: the more new words there are at once, the more prefixes they share.
-SLICE_CHARS = 40_000_000
+# States of the automaton, some 500 bytes each.
+MAX_STATES = 300_000
+# Characters of texts that are looked at together.
+SLICE_CHARS = 8_000_000
 SPACE_MARK = "▁"
 _STOPS = ",."
 
@@ -51,7 +54,6 @@ class PrefixCounter:
             if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i))
         ]
         self.score = {model.id_to_piece(i): model.get_score(i) for i in ordinary}
-        self.longest = max(map(len, self.score))
         longer = [p for p in self.score if len(p) > 1]
         if any(re.search(f"[^{SPACE_MARK}]{SPACE_MARK}", p) for p in longer):
             raise ValueError("a piece of this vocabulary crosses the start of a word")
@@ -61,7 +63,9 @@ class PrefixCounter:
             raise ValueError("a piece of this vocabulary crosses the end of a word")
         self.stops: dict[str, bytes] = {}
         self.tails: set[str] = {p[k:] for p in longer for k in range(len(p))}
+        self.heads: set[str] = {p[:k] for p in longer for k in range(1, len(p))}
         self.apart: dict[tuple[str, str], bool] = {}
+        self._forget()
         self.line_break = self._steps("\n")
         # Steps of words after a space (kept without its mark) or, with it, after a line break.
         self.word: dict[str, bytes] = {}
@@ -80,54 +84,70 @@ class PrefixCounter:
             symbols[at : at + 2] = [symbols[at] + symbols[at + 1]]
         return symbols == [left, right]
 
+    def _state(self, end: str, last: tuple[str, ...], count: tuple[int, ...]) -> dict:
+        """The moves from a prefix with this end; tokens and counts at each place in it."""
+        key = (end, last, count)
+        moves = self.states.get(key)
+        if moves is None:
+            moves = self.states[key] = {"": key}
+        return moves
+
+    def _move(self, moves: dict, character: str) -> tuple[dict, int]:
+        """The moves after one more character, and by how much the count changes."""
+        end, last, count = moves[""]
+        text = end + character
+        n = len(text)
+        for k in range(n - 1, -1, -1):
+            piece = text[k:]
+            if k < n - 1:
+                if piece not in self.tails:
+                    k = -1  # no piece ends with these characters, so none with more
+                    break
+                if piece not in self.score:
+                    continue
+            before = last[k]
+            if before:
+                free = self.apart.get((before, piece))
+                if free is None:
+                    if len(self.apart) >= MAX_PAIRS:
+                        self.apart.clear()
+                    free = self.apart[before, piece] = self._stay_apart(before, piece)
+                if not free:
+                    continue
+            break
+        else:
+            k = -1
+        if k < 0:
+            raise AssertionError(f"no token ends at the end of {text!r}")
+        # A character without a piece is spelled in bytes.
+        units = 1 if piece in self.score else len(piece.encode("utf-8", "surrogatepass"))
+        step = count[k] + units
+        cut = next(m for m in range(n + 1) if m == n or text[m:] in self.heads)
+        counts = (*count[cut:], step) if cut <= len(end) else (step,)
+        moved = self._state(
+            text[cut:], (*last, piece)[cut:], tuple(c - step for c in counts)
+        ), step & 255
+        moves[character] = moved
+        return moved
+
     def _steps(self, text: str) -> bytes:
         """The change of the count at each character of a segment."""
-        return next(self._steps_of_sorted([text]))
+        if len(self.states) > MAX_STATES:
+            self._forget()
+        moves, steps = self.start, []
+        for character in text:
+            move = moves.get(character)
+            if move is None:
+                move = self._move(moves, character)
+            moves, step = move
+            steps.append(step)
+        return bytes(steps)
 
-    def _steps_of_sorted(self, texts: list[str]) -> Iterator[bytes]:
-        """:meth:`_steps` of segments in order; what a segment shares with the one before, its
-        first characters, is not gone through again: the state at a prefix is the prefix's own.
-        """
-        score, tails, apart, longest = self.score, self.tails, self.apart, self.longest
-        last, count, before_text = [""], [0], ""
-        for text in texts:
-            n, i = len(text), 0
-            for left, right in zip(text, before_text):
-                if left != right:
-                    break
-                i += 1
-            del last[i + 1 :], count[i + 1 :]
-            before_text = text
-            while i < n:
-                i += 1
-                for k in range(i - 1, max(-1, i - 1 - longest), -1):
-                    piece = text[k:i]
-                    if k < i - 1:
-                        if piece not in tails:
-                            k = -1  # no piece ends with these characters, so none with more
-                            break
-                        if piece not in score:
-                            continue
-                    before = last[k]
-                    if before:
-                        pair = (before, piece)
-                        free = apart.get(pair)
-                        if free is None:
-                            if len(apart) >= MAX_PAIRS:
-                                apart.clear()
-                            free = apart[pair] = self._stay_apart(before, piece)
-                        if not free:
-                            continue
-                    break
-                else:
-                    k = -1
-                if k < 0:
-                    raise AssertionError(f"no token ends at {i} of {text!r}")
-                # A character without a piece is spelled in bytes.
-                units = 1 if piece in score else len(piece.encode("utf-8", "surrogatepass"))
-                last.append(piece)
-                count.append(count[k] + units)
-            yield bytes([(b - a) & 255 for a, b in zip(count, count[1:])])
+    def _forget(self) -> None:
+        """The automaton with nothing but its start: the empty prefix."""
+        # By what tells states apart: the moves from there, and itself under no character.
+        self.states: dict[tuple, dict] = {}
+        self.start = self._state("", ("",), (0,))
 
     def _ledger_of_any(self, text: str) -> bytes:
         """Texts with runs of spaces: cut before each run instead of before each space."""
@@ -155,30 +175,33 @@ class PrefixCounter:
                 continue
             values, parts = self._regular(text)
             if None in values:
-                later.append(i)
+                later.append((i, values, parts))
                 new |= {p: None for p, v in zip(parts, values, strict=True) if v is None}
             else:
                 out[i] = b"".join(values)
         if len(self.word) + len(new) > MAX_KEPT:
             self.word.clear()
-        # Words with a comma or full stop after them take the word's own steps.
-        bare = {p: p.rstrip(_STOPS) for p in new if p not in self.word}
-        ended = {p: w for p, w in bare.items() if w != p and w and w[-1].isalpha()}
-        new = {ended.get(p, p): None for p in bare}
-        after_space = sorted(p for p in new if p not in self.word and not p.startswith("\n"))
-        marked = [SPACE_MARK + p for p in after_space]
-        self.word.update(zip(after_space, self._steps_of_sorted(marked), strict=True))
-        heads = sorted(p for p in new if p not in self.word)
-        steps = self._steps_of_sorted([p[1:] for p in heads])
-        self.word.update({p: self.line_break + s for p, s in zip(heads, steps, strict=True)})
-        for part, word in ended.items():
+        known, stops, steps = self.word, self.stops, self._steps
+        for part in new:
+            if part in known:
+                continue
+            if part[:1] == "\n":
+                known[part] = self.line_break + steps(part[1:])
+                continue
+            # A comma or full stop after a letter is apart from the word: few such ends differ.
+            word = part.rstrip(_STOPS) if part[-1:] in _STOPS else part
+            if word == part or not word or not word[-1].isalpha():
+                known[part] = steps(SPACE_MARK + part)
+                continue
             tail = part[len(word) :]
-            if tail not in self.stops:
-                self.stops[tail] = self._steps(tail)
-            self.word[part] = self.word[word] + self.stops[tail]
-        for i in later:
-            values, _ = self._regular(texts[i])
-            out[i] = self._ledger_of_any(texts[i]) if None in values else b"".join(values)
+            if tail not in stops:
+                stops[tail] = steps(tail)
+            own = known.get(word)
+            known[part] = (steps(SPACE_MARK + word) if own is None else own) + stops[tail]
+        for i, values, parts in later:
+            out[i] = b"".join(
+                [known[p] if v is None else v for v, p in zip(values, parts, strict=True)]
+            )
         return out
 
 
