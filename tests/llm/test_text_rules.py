@@ -4,6 +4,7 @@ import collections
 import random
 import re
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -262,3 +263,114 @@ def test_extract_in_spark(spark):
         [(1, "u", text, len(text))] * 2 + [(2, None, "", 0), (None, "v", "", 0)], key=repr
     )
     assert html_extract.extract(pages.limit(0)).count() == 0
+
+
+# --- cases of the page extraction, each with its article around it ---------------------------
+
+PARAGRAPHS = "<p>one two three four five six seven eight nine ten</p>" * 6
+
+
+def links(n):
+    return "<ul>" + '<li><a href="/x">Home</a></li>' * n + "</ul>"
+
+
+@pytest.mark.parametrize(
+    "html",
+    [
+        f"<article>{PARAGRAPHS}<p>the <span>KEEPME</span> word</p>{PARAGRAPHS}</article>",
+        "<article>" + "<p><span>KEEPME words of the article</span></p>" * 5 + "</article>",
+        f"<body><nav>{links(5)}</nav><section><h2>KEEPME</h2>{PARAGRAPHS}</section></body>",
+        f'<div class="site-content"><p>KEEPME</p>{PARAGRAPHS}</div>',
+        f'<body class="site"><p>KEEPME</p>{PARAGRAPHS}</body>',
+        f"<article>{PARAGRAPHS}</article><nav>{links(200)}</nav><article><p>KEEPME</p>{PARAGRAPHS}</article>",
+        f"<article>{PARAGRAPHS}<p>sum <math><mi>KEEPME</mi></math></p>{PARAGRAPHS}</article>",
+        f"<article>{PARAGRAPHS}<a href=/a/>KEEPME</a>{PARAGRAPHS}</article>",
+        f"<article>{PARAGRAPHS}<div/><p>KEEPME</p>{PARAGRAPHS}</article>",
+        *[
+            f'<article>{PARAGRAPHS}<p class="{name}">KEEPME</p>{PARAGRAPHS}</article>'
+            for name in (
+                "share-price", "story-date", "text-widget", "article-tags", "post-meta", "author-bio",
+                "social-issues", "related-work", "footer-note", "alert", "date",
+            )
+        ],
+    ],
+)
+def test_what_stands_in_neutral_elements_is_kept(html):
+    assert "KEEPME" in html_extract.main_text(html)
+
+
+@pytest.mark.parametrize(
+    "noise",
+    [
+        "<script src=/a/>DROPME</script>", "<script/>DROPME</script>", "<button>DROPME</button>",
+        "<label>DROPME</label>", "<select><option>DROPME</select>", "<p hidden>DROPME</p>",
+        '<div aria-hidden="true"><p>DROPME</p></div>', "<p style='display: none'>DROPME</p>",
+        "<nav><p>DROPME</p></nav>", "<aside><p>DROPME</p></aside>", "<form><p>DROPME</p></form>",
+        "<footer><p>DROPME</p></footer>",
+        *[
+            f'<div class="{name}">DROPME here and there</div>'
+            for name in (
+                "ad", "sidebar", "comments", "comment-list", "comment-section", "blog-comments",
+                "cookie-notice", "related-posts", "newsletter-signup", "share-buttons", "site-footer",
+                "my-ad-slot", "promo big",
+            )
+        ],
+    ],
+)
+def test_boilerplate_is_dropped_inside_and_beside_the_article(noise):
+    inside = html_extract.main_text(f"<article>{PARAGRAPHS}{noise}{PARAGRAPHS}</article>")
+    beside = html_extract.main_text(f"<body>{noise}<div><div>{PARAGRAPHS}</div></div>{noise}</body>")
+    assert "DROPME" not in inside and "DROPME" not in beside
+    assert inside.count("ten") == 12 and beside.count("ten") == 6
+
+
+def test_neutral_elements_have_no_weight_and_single_parts_do_not_decide():
+    weights = html_extract.default_weights()
+    for tag in ("div", "span", "section", "p", "ul", "li", "a"):
+        assert f"{tag}@out" not in weights.words
+        assert weights.element(tag, "", True)[1] is False
+    for name in ("unknown", "x-share", "x-related", "x-footer", "x-story", "x-widget"):
+        assert not weights.element("div", name, True)[1]
+
+
+@pytest.mark.parametrize("part", ["<font>x", "<div>", "<div class=ad>y", "</p><hr>", "<li>a</b>", "<dt>a<span>"])
+def test_deep_pages_take_time_in_proportion(part):
+    """A hundred thousand open elements: no token looks through all of them."""
+    import time
+
+    def seconds(n):
+        started = time.perf_counter()
+        html_extract.main_text(part * n)
+        return time.perf_counter() - started
+
+    seconds(1000)
+    small = min(seconds(10_000) for _ in range(2))
+    assert seconds(100_000) < 30 * small + 1
+
+
+def tried_run(scores):
+    """The run with the largest sum by trying all of them; the first and shortest of equals."""
+    sums = {(a, b): sum(scores[a:b]) for a in range(len(scores)) for b in range(a + 1, len(scores) + 1)}
+    return max([(0, 0), *sums], key=lambda r: sums.get(r, 0.0))
+
+
+def test_extraction_equals_the_best_of_all_runs(monkeypatch):
+    """The whole operator with every run tried instead of the linear scan."""
+    pages = pq.read_table(f"{SF}/pages.parquet")["html"].to_pylist()
+    short = [p[:1500] for p in pages[:25]] + [p[-900:] for p in pages[:25]]
+    want = [html_extract.main_text(p) for p in short]
+    scored = []
+
+    def tried(scores):
+        best = html_extract_best(scores)
+        run = tried_run([round(s, 9) for s in scores])
+        total = sum(scores[slice(*run)])
+        assert abs(sum(scores[slice(*best)]) - total) < 1e-6
+        scored.append(total)
+        return run
+
+    html_extract_best = html_extract.best_run
+    monkeypatch.setattr(html_extract, "best_run", tried)
+    got = [html_extract.main_text(p) for p in short]
+    assert len(scored) == 50
+    assert sum(a == b for a, b in zip(got, want, strict=True)) == 50
