@@ -8,10 +8,10 @@ decoder reads ``LIMIT`` bits at a place, looks up id and length in one table, an
 runs between checkpoints are decoded side by side.
 
 A block is, in little-endian order: the magic ``MWHB``, the number of documents, ids,
-checkpoints and payload bytes (unsigned 32-bit each); per document its id (signed 64-bit, with
-the least value for null) and its number of ids (unsigned 32-bit); the checkpoints (unsigned
-64-bit); the payload; a zero byte. A file is a sequence of blocks; files in order of their
-names hold the documents in order.
+checkpoints and payload bytes (unsigned 32-bit each); per document its id (signed 64-bit), its
+number of ids (unsigned 32-bit) and a byte that is one for a null id; the checkpoints (unsigned
+64-bit); the payload; a zero byte. A file is a sequence of blocks; files in order of the numbers in
+their names (``part-00012-...``) hold the documents in order.
 """
 
 from __future__ import annotations
@@ -37,8 +37,7 @@ BLOCK_IDS = 1 << 18
 FILE_IDS = 1 << 23
 MAGIC = b"MWHB"
 _HEAD = struct.Struct("<4sIIII")
-_NULL_ID = -(1 << 63)
-SLICE_CHARS = 16_000_000
+SLICE_CHARS = 2_000_000
 
 
 # --- the code -------------------------------------------------------------------------------
@@ -135,9 +134,10 @@ def pack_block(docs: list[tuple[int | None, bytes]], code: Code) -> bytes:
     ids = np.frombuffer(b"".join(d for _, d in docs), "<u4").astype(np.int64)
     payload, checkpoints = code.encode(ids)
     head = _HEAD.pack(MAGIC, len(docs), len(ids), len(checkpoints), len(payload))
-    names = np.array([_NULL_ID if i is None else i for i, _ in docs], "<i8")
+    names = np.array([i or 0 for i, _ in docs], "<i8")
     sizes = np.array([len(d) // 4 for _, d in docs], "<u4")
-    parts = [head, names.tobytes(), sizes.tobytes(), checkpoints.tobytes(), payload, b"\0"]
+    nulls = bytes(i is None for i, _ in docs)
+    parts = [head, names.tobytes(), sizes.tobytes(), nulls, checkpoints.tobytes(), payload, b"\0"]
     return b"".join(parts)
 
 
@@ -151,14 +151,16 @@ def unpack_blocks(content: bytes, code: Code):
         at += _HEAD.size
         names = np.frombuffer(content, "<i8", n_docs, at)
         sizes = np.frombuffer(content, "<u4", n_docs, at + 8 * n_docs)
-        at += 12 * n_docs
+        nulls = content[at + 12 * n_docs : at + 13 * n_docs]
+        at += 13 * n_docs
         marks = np.frombuffer(content, "<u8", n_marks, at)
         at += 8 * n_marks
         ids = code.decode(content[at : at + n_bytes], marks, n_ids)
         at += n_bytes + 1
         ends = np.cumsum(sizes.astype(np.int64))
-        for name, end, size in zip(names.tolist(), ends.tolist(), sizes.tolist(), strict=True):
-            yield (None if name == _NULL_ID else name), ids[end - size : end]
+        listed = zip(names.tolist(), nulls, ends.tolist(), sizes.tolist(), strict=True)
+        for name, null, end, size in listed:
+            yield (None if null else name), ids[end - size : end]
     if at != len(content):
         raise ValueError("the last block is cut off")
 
@@ -167,7 +169,11 @@ def unpack_blocks(content: bytes, code: Code):
 
 
 def tokenized(documents: DataFrame, *, tokenizer: str | None = None, end_id: int = END_ID) -> DataFrame:
-    """``doc_id, n_tokens, ids``: ids as unsigned 32-bit bytes with the end id, compressed."""
+    """``doc_id, n_tokens, ids, counts``: ids as unsigned 32-bit bytes with the end id, compressed.
+
+    Some rows have ``counts``: the ids of the rows up to the next such row, and how often each
+    occurs, so that counting all ids need not read them.
+    """
 
     def made(batches):
         words = encoder(tokenizer or tokenizer_path("word_bpe_49k.json"), DROPPED_SPACE)
@@ -176,6 +182,7 @@ def tokenized(documents: DataFrame, *, tokenizer: str | None = None, end_id: int
             texts = texts_of(batch.column("text"))
             for low, high in in_slices(texts, SLICE_CHARS):
                 ids = [i + end for i in words.encode(texts[low:high])]
+                counts = [_counted(b"".join(ids))] + [None] * (len(ids) - 1)
                 # Half the bytes where the vocabulary allows it.
                 narrow = [_narrow(i) for i in ids]
                 yield pa.RecordBatch.from_arrays(
@@ -183,14 +190,22 @@ def tokenized(documents: DataFrame, *, tokenizer: str | None = None, end_id: int
                         batch.column("doc_id").slice(low, high - low),
                         pa.array([len(i) // 4 for i in ids], pa.int64()),
                         pa.array(narrow, pa.binary()),
+                        pa.array(counts[: len(ids)], pa.binary()),
                     ],
-                    ["doc_id", "n_tokens", "ids"],
+                    ["doc_id", "n_tokens", "ids", "counts"],
                 )
 
-    schema = "doc_id bigint, n_tokens bigint, ids binary"
+    schema = "doc_id bigint, n_tokens bigint, ids binary, counts binary"
     return map_batches(documents, ["doc_id", "text"], made, schema)
 
 
+def _counted(ids: bytes) -> bytes:
+    """The ids that occur and how often: unsigned 32-bit, all ids first."""
+    total = np.bincount(np.frombuffer(ids, "<u4"))
+    used = np.flatnonzero(total)
+    return np.concatenate([used, total[used]]).astype("<u4").tobytes()
+
+
 def _narrow(ids: bytes) -> bytes:
     """A zero byte and 16-bit ids if all fit, else a one and the 32-bit ids."""
     wide = np.frombuffer(ids, "<u4")
@@ -204,22 +219,26 @@ def _wide(ids: bytes) -> bytes:
 
 
 def id_counts(tokens: DataFrame) -> dict[int, int]:
-    """How often each id occurs in the whole data set; at most one entry per vocabulary id."""
+    """How often each id occurs in the whole data set; at most one entry per vocabulary id.
+
+    ``tokens`` must be whole, because a row's ids may be counted in another one.
+    """
 
     def counted(batches):
         total = np.zeros(1, np.int64)
         for batch in batches:
-            for ids in batch.column("ids").to_pylist():
-                own = np.bincount(np.frombuffer(_wide(ids), "<u4"))
-                if len(own) > len(total):
-                    total = np.pad(total, (0, len(own) - len(total)))
-                total[: len(own)] += own
+            for packed in batch.column("counts").to_pylist():
+                used, n = np.frombuffer(packed, "<u4").reshape(2, -1)
+                if used.max(initial=0) >= len(total):
+                    total = np.pad(total, (0, int(used.max()) + 1 - len(total)))
+                total[used] += n
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays(
             [pa.array(used, pa.int64()), pa.array(total[used], pa.int64())], ["id", "n"]
         )
 
-    partial = map_batches(tokens, ["ids"], counted, "id bigint, n bigint")
+    known = tokens.filter("counts IS NOT NULL")
+    partial = map_batches(known, ["counts"], counted, "id bigint, n bigint")
     rows = partial.groupBy("id").agg(F.sum("n").alias("n")).collect()
     return {r["id"]: r["n"] for r in rows}
 
@@ -286,8 +305,10 @@ def read_ids(spark: SparkSession, folder: str, lengths: dict[int, int], *, limit
     schema = "path string, doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint"
     files = read_raw(spark, folder)
     documents = stage(map_batches(files, ["path", "content"], decoded, schema))
-    # One row per file: the number of ids in the files before it.
-    earlier = Window.orderBy("path").rowsBetween(Window.unboundedPreceding, -1)
+    # One row per file: the number of ids in the files before it. Names are padded to five digits
+    # only, so they are ordered by the number.
+    number = F.regexp_extract("path", r"part-(\d+)[^/]*$", 1).cast("bigint")
+    earlier = Window.orderBy(number).rowsBetween(Window.unboundedPreceding, -1)
     sizes = documents.groupBy("path").agg(F.sum("n_tokens").alias("_ids"))
     bases = sizes.select("path", F.coalesce(F.sum("_ids").over(earlier), F.lit(0)).alias("_base"))
     return documents.join(bases, "path").select(

@@ -6,13 +6,17 @@ parts in order. The ids of a part are found once and kept in a bounded table as
 
 Plain words (letters, then maybe some punctuation) are merged by their bytes with the merges of
 the tokenizer file, which a rank encoder runs several times as fast. All other parts are asked
-from the tokenizers library itself.
+from the tokenizers library itself. Merging by rank of the joined bytes is the same as merging by
+pair only if the file's merges agree with it, so both are compared when a file is loaded (every
+word of the vocabulary and a seeded sample of joins); should they differ, the library does it all.
 """
 
 from __future__ import annotations
 
 import json
 import os
+import random
+import re
 import unicodedata
 from collections.abc import Callable
 
@@ -23,6 +27,12 @@ MAX_KEPT = 350_000
 _ENCODERS: dict[tuple[str, str], WordEncoder] = {}
 
 # The two kinds of tokenizer files that this module can cut texts for.
+# Words of Latin letters, each one character whatever its case, with punctuation after them (none
+# that special strings are made of).
+_LATIN_PARTS = re.compile(
+    "^([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([!-/:;=?@\\[-`{}~]*)$", re.M
+)
+
 LEADING_SPACE = "leading-space"  # byte-level: a word keeps the single space before it
 DROPPED_SPACE = "dropped-space"  # white space never reaches the ids
 
@@ -61,8 +71,9 @@ class Kept:
         return [p for p in new if p not in again]
 
     def get(self, part: str) -> bytes | None:
-        found = self.now.get(part)
-        return self.before.get(part) if found is None else found
+        if part in self.now:
+            return self.now[part]
+        return self.before.get(part)
 
 
 def _byte_alphabet() -> dict[str, int]:
@@ -76,8 +87,8 @@ def _byte_alphabet() -> dict[str, int]:
 class PlainMerges:
     """Merges of a byte-level tokenizer file, applied to the bytes of a single pre-token."""
 
-    # Stands for the end-of-word mark; the byte occurs in no UTF-8 text.
-    END = b"\xff"
+    # Stands for the end-of-word mark; no plain word holds it.
+    END = b"\0"
 
     def __init__(self, model: dict):
         import tiktoken
@@ -94,7 +105,7 @@ class PlainMerges:
 
         names = [(bytes([b]), character[b]) for b in range(256)]
         if mark:
-            names += [(bytes([b]) + self.END, character[b] + mark) for b in range(255)]
+            names += [(bytes([b]) + self.END, character[b] + mark) for b in range(1, 256)]
         for merge in model["merges"]:
             left, right = merge if isinstance(merge, list) else merge.split(" ")
             names.append((as_bytes(left + right), left + right))
@@ -104,11 +115,25 @@ class PlainMerges:
             if raw not in ranks:
                 ranks[raw] = len(self.ids)
                 self.ids.append(model["vocab"].get(name, 0).to_bytes(4, "little"))
-        encoding = tiktoken.Encoding("plain", pat_str=r"\S+", mergeable_ranks=ranks, special_tokens={})
-        self._merged = encoding._core_bpe.encode_single_piece
+        # A piece is a word with its end; the pattern takes any text without one as a whole.
+        encoding = tiktoken.Encoding(
+            "plain", pat_str=r"[^\x00]+\x00?|\x00", mergeable_ranks=ranks, special_tokens={}
+        )
+        self._merged = encoding.encode_ordinary
+        self._id_of_rank = np.frombuffer(b"".join(self.ids), "<u4")
+        self._ends = np.zeros(len(self.ids), bool)
+        for raw, rank in ranks.items():
+            self._ends[rank] = bool(mark) and raw.endswith(self.END)
 
-    def encode(self, piece: bytes) -> bytes:
-        return b"".join([self.ids[r] for r in self._merged(piece + self.end)])
+    def encode(self, piece: str) -> bytes:
+        return b"".join([self.ids[r] for r in self._merged(piece + self.end.decode())])
+
+    def encode_words(self, words: list[str]) -> list[bytes]:
+        """:meth:`encode` of many words without white space, of a file with ends of words."""
+        ranks = np.asarray(self._merged("\0".join([*words, ""])), np.int64)
+        raw = self._id_of_rank[ranks].astype("<u4").tobytes()
+        ends = (4 * (np.flatnonzero(self._ends[ranks]) + 1)).tolist()
+        return [raw[a:b] for a, b in zip([0, *ends], ends, strict=False)]
 
 
 class WordEncoder:
@@ -123,7 +148,8 @@ class WordEncoder:
             _parts_with_space if kind == LEADING_SPACE else _parts_without_space
         )
         self.spaced = kind == LEADING_SPACE
-        self.merges = PlainMerges(json.loads(self.tokenizer.to_str())["model"])
+        model = json.loads(self.tokenizer.to_str())["model"]
+        self.merges = PlainMerges(model)
         # What stands between parts when many are encoded at once, and the id it always gets.
         self.between = "\n" if self.spaced else " \x01 "
         self.mark = self._ids(self.between)[0]
@@ -131,11 +157,29 @@ class WordEncoder:
         # Empty bytes stand for parts with white space at an edge: such texts are encoded whole.
         self.first = Kept()
         self.rest = Kept() if self.spaced else self.first
+        self.plain_merges = True
+        self.plain_merges = self._merges_agree(model)
 
     def _ids(self, text: str) -> np.ndarray:
         encoded = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)
         return np.asarray(encoded[0].ids, "<u4")
 
+    def _merges_agree(self, model: dict) -> bool:
+        """Whether plain words have the same ids by rank as by the library."""
+        mark = model.get("end_of_word_suffix") or ""
+        words = [w.removesuffix(mark).lstrip("\u0120") for w in model["vocab"]]
+        words = [w for w in words if w.isascii() and w.isalpha()]
+        rng = random.Random(7)
+        words += ["".join(rng.choices(words, k=rng.randrange(2, 4))) for _ in range(2000)]
+        if not words:
+            return False
+        plain = [self._plain(w, " ") for w in words]
+        asked = self._ids_of_many([" " + w if self.spaced else w for w in words])
+        ends = ["".join(rng.choices("!\"#$%&'()*+,-./:;=?@[]^_`{}~", k=k % 6 + 1)) for k in range(600)]
+        plain += map(self.merges.encode, ends)
+        asked += self._ids_of_many(ends)
+        return all(p is None or p == a for p, a in zip(plain, asked, strict=True))
+
     def _ids_of_many(self, chunks: list[str]) -> list[bytes]:
         """Ids of chunks, encoded as one text in which the mark stands between them.
 
@@ -164,7 +208,7 @@ class WordEncoder:
     def _plain(self, part: str, prefix: str) -> bytes | None:
         """Ids of letters and punctuation after them; None for any other part."""
         core = part.rstrip(".,;:!?")
-        if not core.isalpha():
+        if not self.plain_merges or not core.isalpha():
             return None
         if not self.spaced:
             # Lower case by characters, so not where the place in the word matters.
@@ -172,12 +216,14 @@ class WordEncoder:
             if not core.isalpha() or not unicodedata.is_normalized("NFC", core):
                 return None
         tail = part[len(part.rstrip(".,;:!?")) :]
-        ids = self.merges.encode(((prefix if self.spaced else "") + core).encode())
-        return ids + self.merges.encode(tail.encode()) if tail else ids
+        ids = self.merges.encode((prefix if self.spaced else "") + core)
+        return ids + self.merges.encode(tail) if tail else ids
 
     def _learn(self, kept: Kept, new: list[str], prefix: str) -> None:
         chunks, unknown = {}, kept.make_room(new)
         known = kept.now
+        if not self.spaced and self.plain_merges:
+            unknown = self._learn_latin(known, unknown)
         for part in unknown:
             own_line = self.spaced and prefix and part.startswith("\n")
             core = part[1:] if own_line else part
@@ -197,6 +243,18 @@ class WordEncoder:
             chunks.pop("", None)
         known.update(zip(chunks, self._ids_of_many(list(chunks.values())), strict=True))
 
+    def _learn_latin(self, known: dict[str, bytes], parts: list[str]) -> list[str]:
+        """Learn the words of Latin letters, all at once; returns the other parts."""
+        found = _LATIN_PARTS.findall("\n".join(parts))
+        if not found:
+            return parts
+        # Letter by letter: none of these has a lower case of two characters.
+        cores = self.merges.encode_words("\0".join([core for core, _ in found]).lower().split("\0"))
+        tails = {tail: self.merges.encode(tail) if tail else b"" for _, tail in found}
+        for (core, tail), ids in zip(found, cores, strict=True):
+            known[core + tail] = ids + tails[tail]
+        return [p for p in parts if p not in known]
+
     def _look_up(self, parts: list[str]) -> list[bytes | None]:
         if not self.spaced:
             return list(map(self.first.now.get, parts))
@@ -219,24 +277,30 @@ class WordEncoder:
             parts = self.split(text)
             values = self._look_up(parts)
             if None in values:
-                later.append((i, parts))
-                new = {p: None for p, v in zip(parts, values, strict=True) if v is None}
+                later.append((i, parts, values))
+                new = [p for p, v in zip(parts, values, strict=True) if v is None]
                 if values[0] is None and self.spaced:
                     first[parts[0]] = None
                     if parts[0] not in parts[1:]:
-                        del new[parts[0]]
-                rest |= new
+                        del new[0]
+                rest.update(dict.fromkeys(new))
             else:
                 out[i] = self._joined(text, values)
         if later:
             self._learn(self.first, list(first), "")
             self._learn(self.rest, list(rest), " ")
-        for i, parts in later:
-            values = self._look_up(parts)
-            if None in values:  # the generations changed meanwhile
-                values = list(map(self.rest.get, parts))
-                values[0] = self.first.get(parts[0])
-            if None in values:
+        newest = self.rest.now.get
+        for i, parts, values in later:
+            head = self.first.get(parts[0]) if values[0] is None else values[0]
+            values = [newest(p) if v is None else v for p, v in zip(parts, values, strict=True)]
+            if self.spaced:
+                values[0] = head
+            if None in values:  # some went to the older generation meanwhile
+                get = self.rest.get
+                values = [get(p) if v is None else v for p, v in zip(parts, values, strict=True)]
+                if self.spaced:
+                    values[0] = head
+            if None in values:  # given up to make room
                 out[i] = self._ids(texts[i]).tobytes()
             else:
                 out[i] = self._joined(texts[i], values)

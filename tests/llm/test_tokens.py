@@ -1,5 +1,6 @@
 """Packing, token files and token counts against the tokenizer libraries."""
 
+import json
 import random
 import zlib
 
@@ -148,3 +149,54 @@ def test_token_files_of_nothing(spark):
     tokens = stage(token_binary.tokenized(documents(spark, ["a"]).limit(0)))
     lengths = token_binary.write_ids(tokens, folder)
     assert token_binary.read_ids(spark, folder, lengths).count() == 0
+
+
+def test_files_are_read_in_order_of_their_numbers(spark, tmp_path):
+    """From 100,000 files on the order of the names is not that of the files."""
+    lengths = token_binary.code_lengths({5: 3, 6: 2, 7: 1})
+    code = token_binary.Code(lengths)
+    for number, doc, ids in ((99_999, 1, [5, 6]), (100_000, 2, [7, 5, 5]), (9, None, [6]), (10, -(1 << 63), [5])):
+        raw = np.array(ids, "<u4").tobytes()
+        block = token_binary.pack_block([(doc, raw)], code)
+        (tmp_path / f"part-{number:05d}-abc-c000.txt").write_bytes(block)
+    got = token_binary.read_ids(spark, str(tmp_path), lengths).orderBy("start").collect()
+    assert [(r.doc_id, r.start, r.n_tokens) for r in got] == [
+        (None, 0, 1), (-(1 << 63), 1, 1), (1, 2, 2), (2, 4, 3),
+    ]
+
+
+def test_words_by_rank_are_only_used_where_they_agree():
+    encoder = WordEncoder(tokenizer_path("word_bpe_49k.json"), DROPPED_SPACE)
+    assert encoder.plain_merges
+    texts = fuzz(300)
+    want = encoder.encode(texts)
+    # The same ids from the library alone, as for a file whose merges do not agree.
+    other = WordEncoder(tokenizer_path("word_bpe_49k.json"), DROPPED_SPACE)
+    other.plain_merges = False
+    assert other.encode(texts) == want
+    other.merges.encode = lambda piece: b""
+    other.plain_merges = True
+    assert not other._merges_agree(json.loads(other.tokenizer.to_str())["model"])
+
+
+def test_latin_words_of_any_case_and_punctuation():
+    encoder = WordEncoder(tokenizer_path("word_bpe_49k.json"), DROPPED_SPACE)
+    whole = Tokenizer.from_file(tokenizer_path("word_bpe_49k.json"))
+    rng = random.Random(11)
+    letters = "aebnostéèÄÖüßñÇØæÐþ×÷ªµİıſǅ"
+    texts = []
+    for _ in range(200):
+        words = ["".join(rng.choice(letters) for _ in range(rng.randrange(1, 9))) for _ in range(20)]
+        texts.append(" ".join(w + rng.choice(["", "", ",", ".", "?!", "...", ".)", "'s"]) for w in words))
+    for text, got in zip(texts, encoder.encode(texts), strict=True):
+        assert np.frombuffer(got, "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids, text
+
+
+def test_automaton_that_forgets_counts_the_same(monkeypatch):
+    path = tokenizer_path("piece_bpe_32k.model")
+    texts = [t for t in fuzz(300, 9) if t]
+    want = [token_counts.PrefixCounter(path).ledgers([t])[0] for t in texts[:40]]
+    monkeypatch.setattr(token_counts, "MAX_STATES", 5)
+    monkeypatch.setattr(token_counts, "MAX_KEPT", 3)
+    counter = token_counts.PrefixCounter(path)
+    assert counter.ledgers(texts)[:40] == want
