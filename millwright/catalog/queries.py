@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 from dataclasses import replace
 
@@ -16,7 +15,7 @@ from millwright.operators.ordered import fill_gaps
 from millwright.plans.plant import clean_tables, compute_kpis, kpi_summary
 from millwright.settings import Settings
 from millwright.sources import proxies as P
-from millwright.sources.staging import staging_root
+from millwright.sources.staging import scratch_folder
 from millwright.sources.tables import load_tables, table_overview, write_tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -71,7 +70,7 @@ def scan_tables(spark, sf):
 @query
 def csv_round_trip(spark, sf):
     """Texts with quotes, commas and line breaks, written as CSV and read back."""
-    folder = f"{staging_root(spark).rstrip('/')}/csv-{uuid.uuid4().hex}"
+    folder = scratch_folder(spark, "csv")
     texts = P.table(spark, sf, "documents").select(
         "doc_id", F.concat(F.lit('say "so", \\'), "text").alias("text"), "lang"
     )

@@ -23,6 +23,8 @@ ROW_COLUMN = "_staged_row"
 _LOCAL_FOLDERS: dict[str, str] = {}
 # Paths staged within each open scope, the innermost last.
 _SCOPES: list[list[str]] = []
+# Catalog tables over staged files, by the folder of their files.
+_TABLES: dict[str, str] = {}
 
 
 def _is_local(spark: SparkSession) -> bool:
@@ -73,6 +75,14 @@ def scratch_folder(spark: SparkSession, name: str) -> str:
     return path
 
 
+def scratch_table(spark: SparkSession, name: str) -> tuple[str, str]:
+    """A new catalog table's name and the folder for its files; dropped with what is staged."""
+    path = scratch_folder(spark, name)
+    table = f"{name}_{uuid.uuid4().hex}"
+    _TABLES[path] = table
+    return table, path
+
+
 def stage(df: DataFrame, *, row_ids: bool = False) -> DataFrame:
     """Write ``df`` to the staging folder and return a scan of it.
 
@@ -93,6 +103,9 @@ def stage(df: DataFrame, *, row_ids: bool = False) -> DataFrame:
 
 
 def _delete(spark: SparkSession, folder: str) -> None:
+    """Delete a folder, after the catalog tables whose files it holds."""
+    for path in [p for p in _TABLES if p == folder or p.startswith(f"{folder}/")]:
+        spark.sql(f"DROP TABLE IF EXISTS {_TABLES.pop(path)}")
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 

@@ -130,3 +130,27 @@ def test_staged_tables_can_be_dropped(spark, production, monkeypatch):
     assert os.path.exists(path)
     staging.drop_staged(spark)
     assert not os.path.exists(path)
+
+
+def test_scopes_drop_folders_and_tables(spark, production):
+    with staging.staged_scope(spark):
+        folder = staging.scratch_folder(spark, "files")
+        production.write.csv(folder)
+        table, path = staging.scratch_table(spark, "scratch")
+        production.write.format("parquet").option("path", path).saveAsTable(table)
+        assert spark.table(table).count() == 3
+    assert not os.path.exists(folder) and not os.path.exists(path)
+    assert not spark.catalog.tableExists(table)
+
+
+@pytest.mark.parametrize("name", ["csv_round_trip", "kpi_set_published", "surrogate_keys_two_loads"])
+def test_queries_leave_nothing_behind(spark, name):
+    from tests.conftest import QUERIES, SF
+
+    root = staging._folder(spark)
+    before = set(os.listdir(root)) if os.path.exists(root) else set()
+    outside = set(os.listdir(staging_root(spark)))
+    with staging.staged_scope(spark):
+        QUERIES[name](spark, SF).count()
+    assert set(os.listdir(root)) == before
+    assert set(os.listdir(staging_root(spark))) - {os.path.basename(root)} == outside - {os.path.basename(root)}
