@@ -8,18 +8,15 @@ commit protocol keeps the parts of failed tasks out.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millwright.sources.staging import staging_root
+from millwright.sources.staging import scratch_folder
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
-    """A folder of its own below the shared folder of the session."""
-    root = staging_root(spark).rstrip("/")
-    return f"{root}/{name}-{spark.sparkContext.applicationId}-{uuid.uuid4().hex}"
+    """A folder of its own below the staging folder, deleted with what is staged."""
+    return scratch_folder(spark, name)
 
 
 def write_raw(entries: DataFrame, column: str, folder: str, *, per_file: int = 0) -> None:

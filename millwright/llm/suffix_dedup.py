@@ -29,7 +29,6 @@ Values are compared by 64-bit hashes (trigger and context together by 126 bits).
 from __future__ import annotations
 
 import hashlib
-import uuid
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -40,8 +39,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from millwright.llm.common import ByteHashes, map_batches, utf8
-from millwright.llm.rawfiles import new_folder
-from millwright.sources.staging import stage
+from millwright.sources.staging import scratch_table, stage
 
 LENGTH = 200
 TRIGGER_BYTES = 56
@@ -216,9 +214,9 @@ def write_blocks(
     if carry:
         schema += f", carried array<{fields.simpleString()}>"
     made = map_batches(documents, ["doc_id", "text", *carry], blocks, schema)
-    name = f"text_blocks_{uuid.uuid4().hex}"
+    name, folder = scratch_table(spark, "text_blocks")
     writer = made.write.bucketBy(min(parts, MAX_BUCKETS), "block").format("parquet")
-    writer.options(compression="zstd", path=new_folder(spark, "text-blocks")).saveAsTable(name)
+    writer.options(compression="zstd", path=folder).saveAsTable(name)
     return spark.table(name)
 
 

@@ -1,5 +1,6 @@
 """The registered corpus queries over whole small tables, and the pipeline."""
 
+import pathlib
 import random
 
 import duckdb
@@ -10,7 +11,7 @@ import corpus_pipeline
 from millwright.llm import minhash
 from millwright.llm.oracles import ORACLES
 from millwright.llm.queries import QUERIES
-from millwright.sources.staging import stage
+from millwright.sources.staging import stage, staged_scope, staging_root
 
 SF = "/root/testdata/sf0.001"
 
@@ -134,3 +135,19 @@ def test_pipeline_of_an_empty_table(spark):
     for _, step in corpus_pipeline.STAGES:
         docs = stage(step(spark, docs, SF))
     assert docs.count() == 0
+
+
+@pytest.mark.parametrize("name", ["op1_suffix_dedup", "op6_token_binary", "op10_warc", "op12_merkle_manifest"])
+def test_queries_leave_nothing_behind(spark, name):
+    """No file and no catalog table is left once the scope is over."""
+    root = staging_root(spark)
+
+    def held():
+        return {p for p in pathlib.Path(root).rglob("*")}, {t.name for t in spark.catalog.listTables()}
+
+    before = held()
+    with staged_scope(spark):
+        QUERIES[name](spark, SF).count()
+    files, tables = held()
+    assert {p for p in files - before[0] if p.name != f"millwright-{spark.sparkContext.applicationId}"} == set()
+    assert tables == before[1]
