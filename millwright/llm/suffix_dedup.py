@@ -126,26 +126,37 @@ def windows(data: np.ndarray, ends: np.ndarray, length: int) -> Iterator[Phrases
         yield Phrases(data, ends, low, min(len(data), low + WINDOW_STARTS), length)
 
 
-def dictionary_order(data: np.ndarray, starts: np.ndarray, length: int) -> np.ndarray:
-    """The starts in the order of the ``length`` bytes that follow each of them.
+def order_and_ties(
+    data: np.ndarray, starts: np.ndarray, length: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """:func:`dictionary_order`, and whether each entry's bytes equal those of the one before.
 
     Sorts by eight bytes at a time, as big-endian numbers; only ties are looked at further.
     """
     order = np.arange(len(starts))
-    group = np.zeros(len(starts), np.int64)
+    equal = np.zeros(len(starts), bool)
     padded = np.r_[data, np.zeros(8, np.uint8)]
+    wide = np.ndarray((len(data) + 1,), ">u8", padded, strides=(1,))
+    # Places of ``order`` that hold tied starts, and the tie of each; ties lie side by side.
+    places, tie = order.copy(), np.zeros(len(starts), np.int64)
     for depth in range(0, length, 8):
-        at = starts[order] + depth
-        word = np.zeros(len(order), np.uint64)
-        for k in range(min(8, length - depth)):
-            word = (word << np.uint64(8)) | padded[at + k]
-        ranked = np.lexsort((word, group))
-        order, word, group = order[ranked], word[ranked], group[ranked]
-        changed = (word[1:] != word[:-1]) | (group[1:] != group[:-1])
-        group = np.r_[0, np.cumsum(changed)]
-        if len(group) and group[-1] == len(group) - 1:
-            break  # no ties are left
-    return order
+        if not len(places):
+            break
+        tied = order[places]
+        word = wide[starts[tied] + depth].astype(np.uint64)
+        word >>= np.uint64(8 * max(0, depth + 8 - length))
+        ranked = np.argsort(word, kind="stable") if not depth else np.lexsort((word, tie))
+        order[places], word = tied[ranked], word[ranked]
+        same = np.r_[False, (word[1:] == word[:-1]) & (tie[1:] == tie[:-1])]
+        equal[places] = same
+        still = same | np.r_[same[1:], False]
+        places, tie = places[still], np.cumsum(~same)[still]
+    return order, equal
+
+
+def dictionary_order(data: np.ndarray, starts: np.ndarray, length: int) -> np.ndarray:
+    """The starts in the order of the ``length`` bytes that follow each of them."""
+    return order_and_ties(data, starts, length)[0]
 
 
 def classes(data: np.ndarray, starts: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
@@ -155,14 +166,9 @@ def classes(data: np.ndarray, starts: np.ndarray, length: int) -> tuple[np.ndarr
     """
     if not len(starts):
         return starts, starts
-    order = starts[dictionary_order(data, starts, length)]
-    views = np.lib.stride_tricks.sliding_window_view(data, length)
-    differs = np.ones(len(order), bool)
-    for low in range(1, len(order), 100_000):
-        high = min(len(order), low + 100_000)
-        differs[low:high] = (views[order[low:high]] != views[order[low - 1 : high - 1]]).any(1)
-    at = np.flatnonzero(differs)
-    return order[at], np.diff(np.r_[at, len(order)])
+    order, equal = order_and_ties(data, starts, length)
+    at = np.flatnonzero(~equal)
+    return starts[order[at]], np.diff(np.r_[at, len(order)])
 
 
 # --- blocks in Spark ------------------------------------------------------------------------
