@@ -27,11 +27,10 @@ MAX_KEPT = 350_000
 _ENCODERS: dict[tuple[str, str], WordEncoder] = {}
 
 # The two kinds of tokenizer files that this module can cut texts for.
-# Words of Latin letters, each one character whatever its case, with punctuation after them (none
-# that special strings are made of).
-_LATIN_PARTS = re.compile(
-    "^([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([!-/:;=?@\\[-`{}~]*)$", re.M
-)
+# Latin letters, each one character whatever its case, and the punctuation that may follow a word
+# (none that special strings are made of).
+_LATIN_LETTERS = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
+_PUNCTUATION = "!\"#$%&'()*+,-./:;=?@[\\]^_`{}~"
 
 LEADING_SPACE = "leading-space"  # byte-level: a word keeps the single space before it
 DROPPED_SPACE = "dropped-space"  # white space never reaches the ids
@@ -245,15 +244,27 @@ class WordEncoder:
 
     def _learn_latin(self, known: dict[str, bytes], parts: list[str]) -> list[str]:
         """Learn the words of Latin letters, all at once; returns the other parts."""
-        found = _LATIN_PARTS.findall("\n".join(parts))
+        found, cores, others = [], [], []
+        for part in parts:
+            core = part.rstrip(_PUNCTUATION)
+            if core.isalpha() and (core.isascii() or _LATIN_LETTERS.fullmatch(core)):
+                found.append(part)
+                cores.append(core)
+            else:
+                others.append(part)
         if not found:
             return parts
         # Letter by letter: none of these has a lower case of two characters.
-        cores = self.merges.encode_words("\0".join([core for core, _ in found]).lower().split("\0"))
-        tails = {tail: self.merges.encode(tail) if tail else b"" for _, tail in found}
-        for (core, tail), ids in zip(found, cores, strict=True):
-            known[core + tail] = ids + tails[tail]
-        return [p for p in parts if p not in known]
+        learned = self.merges.encode_words("\0".join(cores).lower().split("\0"))
+        tails: dict[str, bytes] = {}
+        for part, core, ids in zip(found, cores, learned, strict=True):
+            if len(core) < len(part):
+                tail = part[len(core) :]
+                if tail not in tails:
+                    tails[tail] = self.merges.encode(tail)
+                ids += tails[tail]
+            known[part] = ids
+        return others
 
     def _look_up(self, parts: list[str]) -> list[bytes | None]:
         if not self.spaced:
