@@ -95,9 +95,7 @@ def op10_warc(spark, sf):
     folder = new_folder(spark, "warc")
     warc.write_archives(pages, folder)
     index = warc.build_index(warc.read_archives(spark, folder))
-    return warc.lookup(index, pages).select(
-        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
-    )
+    return warc.fetch(spark, folder, warc.lookup(index, pages), with_payload=False)
 
 
 @query

@@ -6,7 +6,9 @@ revisit records that refer to it. ``build_index`` reads archives back and sorts
 by reversed-host key (``org,example,www)/path``) across the cluster; runs of captures are
 compressed into blocks, and a sparse directory keeps the first key of each block. ``lookup``
 finds the block of a key by binary search in the directory, then the captures by binary search
-in the block; ``read_captures`` cuts the wanted records out of the archives, which it reads whole.
+in the block; ``fetch`` reads the wanted records by offset and length, and checks each against the
+index. Archives are read as streams, so their size is no matter to a task. Only where no client
+can seek in the file system (see ``rawfiles``) are whole archives handed over and cut in memory.
 
 The directory has at most ``MAX_BLOCKS`` entries, whatever the number of captures (blocks grow
 instead), and an entry holds no more of a key than tells the blocks apart, so that sending it
@@ -21,11 +23,12 @@ from __future__ import annotations
 import bisect
 import gzip
 import hashlib
+import io
 import json
 import re
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 from urllib.parse import quote, urlsplit
 
 import pyarrow as pa
@@ -34,7 +37,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millwright.llm.common import map_batches
-from millwright.llm.rawfiles import read_raw, write_raw
+from millwright.llm.rawfiles import can_seek, list_files, open_file, read_raw, write_raw
 from millwright.sources.staging import stage
 
 # Payloads shorter than this are stored every time.
@@ -43,6 +46,11 @@ BLOCK_LINES = 3000
 MAX_BLOCKS = 65_536
 RECORDS_PER_FILE = 20_000
 COMPRESSION_LEVEL = 4
+# Records that follow each other are read together up to so many bytes.
+RANGE_BYTES = 4_000_000
+# A task's share of an archive, and the payload bytes of a batch.
+STRETCH_BYTES = 64_000_000
+BATCH_BYTES = 16_000_000
 CAPTURE_DATE = "1970-01-01T00:00:00Z"
 
 # Fixed values of the archive format.
@@ -154,19 +162,19 @@ def write_archives(pages: DataFrame, folder: str) -> None:
 # --- reading --------------------------------------------------------------------------------
 
 
-def members(content: bytes) -> Iterator[tuple[int, int, bytes]]:
-    """Offset, length and data of the gzip members of a file."""
-    offset, view = 0, memoryview(content)
-    while offset < len(content):
+def members(source) -> Iterator[tuple[int, int, bytes]]:
+    """Offset, length and data of the gzip members of a file that is open for reading."""
+    offset, held = 0, b""
+    while held := held or source.read(65_536):
         unpack = zlib.decompressobj(31)
-        parts, fed = [], offset
+        parts, fed = [], 0
         while not unpack.eof:
-            if fed >= len(content):
+            if not held:
                 raise ValueError("a record is cut off at the end of the file")
-            piece = view[fed : fed + 65_536]
-            parts.append(unpack.decompress(piece))
-            fed += len(piece)
-        length = fed - len(unpack.unused_data) - offset
+            parts.append(unpack.decompress(held))
+            fed += len(held)
+            held = unpack.unused_data if unpack.eof else source.read(65_536)
+        length = fed - len(held)
         yield offset, length, b"".join(parts)
         offset += length
 
@@ -229,22 +237,36 @@ def read_archives(spark: SparkSession, folder: str) -> DataFrame:
     """All captures of a folder of archives: ``key`` and the index fields, checked on the way."""
     schema = _CAPTURES.insert(0, pa.field("key", pa.string()))
 
-    def captures(batches):
+    def indexed(name: str, source) -> Iterator[pa.RecordBatch]:
+        rows = []
+        for offset, length, data in members(source):
+            if not data:  # the empty member that ends a very large record
+                last = rows.pop()
+                rows.append((*last[:-1], last[-1] + length))
+                continue
+            if len(rows) > 2000:  # the last one may go on
+                yield _rows(rows[:-1], schema)
+                del rows[:-1]
+            headers, payload = parse_record(data)
+            key = reversed_host_key(json.loads(headers["X-Page-Url"]))
+            rows.append((key, *_capture(headers, payload), name, offset, length))
+        yield _rows(rows, schema)
+
+    def streamed(batches):
+        for batch in batches:
+            for name in batch.column("path").to_pylist():
+                with open_file(name) as source:
+                    yield from indexed(name, source)
+
+    def whole(batches):
         for batch in batches:
             for path, content in zip(batch.column("path"), batch.column("content"), strict=True):
-                rows, name = [], path.as_py()
-                for offset, length, data in members(content.as_buffer()):
-                    if not data:  # the empty member that ends a very large record
-                        last = rows.pop()
-                        rows.append((*last[:-1], last[-1] + length))
-                        continue
-                    headers, payload = parse_record(data)
-                    key = reversed_host_key(json.loads(headers["X-Page-Url"]))
-                    rows.append((key, *_capture(headers, payload), name, offset, length))
-                yield _rows(rows, schema)
+                yield from indexed(path.as_py(), io.BytesIO(content.as_buffer()))
 
-    files = read_raw(spark, folder)
-    return map_batches(files, ["path", "content"], captures, "key string, " + CAPTURE_SCHEMA)
+    fields = "key string, " + CAPTURE_SCHEMA
+    if can_seek(folder):
+        return map_batches(list_files(spark, folder), ["path"], streamed, fields)
+    return map_batches(read_raw(spark, folder), ["path", "content"], whole, fields)
 
 
 def build_index(captures: DataFrame) -> DataFrame:
@@ -349,28 +371,101 @@ def lookup(index: DataFrame, requests: DataFrame) -> DataFrame:
     return map_batches(joined, ["lines", "wanted"], answered, CAPTURE_SCHEMA)
 
 
-def read_captures(spark: SparkSession, folder: str, captures: DataFrame) -> DataFrame:
-    """Payloads of captures: ``page_id, payload``; revisits have an empty one.
+Located = tuple[str, int, int, str]  # path, offset, length, payload digest
 
-    Archives with a wanted capture are read whole, as Spark's readers cannot seek, and cut by
-    offset and length in memory.
+
+def read_ranges(
+    wanted: Iterable[Located], opener: Callable = open_file
+) -> Iterator[tuple[tuple, bytes]]:
+    """Index fields and payload of each wanted record, given in order of path and offset.
+
+    Records that follow each other are read at once; nothing else of a file is read.
     """
-    ranges = captures.groupBy("path").agg(
-        F.collect_list(F.struct("page_id", "offset", "length")).alias("ranges")
-    )
+    opened, source = None, None
+    run: list[Located] = []
+
+    def records():
+        nonlocal opened, source
+        path, start = run[0][0], run[0][1]
+        if path != opened:
+            if source is not None:
+                source.close()
+            opened, source = path, opener(path)
+        source.seek(start)
+        data = source.read(run[-1][1] + run[-1][2] - start)
+        for _, offset, length, digest in run:
+            own = data[offset - start : offset - start + length]
+            headers, payload = parse_record(gzip.decompress(own))
+            fields = _capture(headers, payload)
+            if fields[2] != digest:
+                raise ValueError(f"{path} holds another record at byte {offset}")
+            yield fields, payload
+        run.clear()
+
+    for row in wanted:
+        if run:
+            path, offset, length, _ = run[-1]
+            follows = row[0] == path and row[1] == offset + length
+            if not follows or row[1] + row[2] - run[0][1] > RANGE_BYTES:
+                yield from records()
+        run.append(row)
+    if run:
+        yield from records()
+    if source is not None:
+        source.close()
+
+
+def fetch(
+    spark: SparkSession, folder: str, captures: DataFrame, *, with_payload: bool = True
+) -> DataFrame:
+    """The captures as their records say: ``page_id, payload_bytes, payload_digest, record_type,
+    refers_to`` and, with ``with_payload``, ``payload`` (of revisits an empty one).
+
+    ``captures`` are distinct rows of :func:`lookup`. Every record is read by its offset and
+    length; a response's digest is taken from its payload, and must be that of the index.
+    Stretches of an archive are dealt out, so that a large one is read by many tasks.
+    """
+    fields = list(_CAPTURES)[:5] + [pa.field("payload", pa.binary())] * with_payload
+    schema = pa.schema(fields)
+
+    def listed(records):
+        rows, held = [], 0
+        for record_fields, payload in records:
+            rows.append((*record_fields, payload)[: len(schema)])
+            held += len(payload) if with_payload else 0
+            if held > BATCH_BYTES or len(rows) == 5000:
+                yield _rows(rows, schema)
+                rows, held = [], 0
+        yield _rows(rows, schema)
+
+    def located(batches):
+        for batch in batches:
+            yield from zip(*[batch.column(c).to_pylist() for c in places], strict=True)
+
+    def ranged(batches):
+        yield from listed(read_ranges(located(batches)))
 
     def cut(batches):
         for batch in batches:
             wanted = batch.column("ranges").to_pylist()
             for content, ranges in zip(batch.column("content"), wanted, strict=True):
-                view = memoryview(content.as_buffer())
-                for r in ranges:
-                    data = gzip.decompress(view[r["offset"] : r["offset"] + r["length"]])
-                    payload = parse_record(data)[1]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([r["page_id"]], pa.int64()), pa.array([payload], pa.binary())],
-                        ["page_id", "payload"],
-                    )
-
-    files = read_raw(spark, folder).join(ranges, "path")
-    return map_batches(files, ["content", "ranges"], cut, "page_id bigint, payload binary")
+                own = sorted(tuple(r[c] for c in places) for r in ranges)
+                source = io.BytesIO(content.as_buffer())
+                yield from listed(read_ranges(own, lambda _: source))
+
+    places = ["path", "offset", "length", "payload_digest"]
+    out = CAPTURE_SCHEMA.partition(", path")[0] + ", payload binary" * with_payload
+    own = captures.select(*places)
+    if can_seek(folder):
+        stretch = F.expr(f"offset div {STRETCH_BYTES}")
+        dealt = own.repartition("path", stretch).sortWithinPartitions("path", "offset")
+        return map_batches(dealt, places, ranged, out)
+    # At most as many ranges as an archive has records.
+    by_file = own.groupBy("path").agg(F.collect_list(F.struct(*places)).alias("ranges"))
+    files = read_raw(spark, folder).join(by_file, "path")
+    return map_batches(files, ["content", "ranges"], cut, out)
+
+
+def read_captures(spark: SparkSession, folder: str, captures: DataFrame) -> DataFrame:
+    """Payloads of captures: ``page_id, payload``; revisits have an empty one."""
+    return fetch(spark, folder, captures).select("page_id", "payload")

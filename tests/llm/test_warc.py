@@ -83,6 +83,43 @@ def test_ranges_hold_the_payloads(spark, pages, folder):
     assert all(payloads[i] == html[i].encode() for i in payloads)
 
 
+@pytest.mark.parametrize("seeks", [True, False])
+def test_fetched_records_say_what_the_index_says(spark, pages, folder, monkeypatch, seeks):
+    monkeypatch.setattr(warc, "can_seek", lambda _: seeks)
+    captures = warc.lookup(warc.build_index(warc.read_archives(spark, folder)), pages)
+    got = warc.fetch(spark, folder, captures, with_payload=False)
+    assert rows_of(got, *FIELDS) == sorted(expected(page_rows()), key=repr)
+
+
+def test_only_the_wanted_ranges_are_read(spark, folder):
+    captures = warc.read_archives(spark, folder).orderBy("path", "offset").collect()
+    wanted = [c for i, c in enumerate(captures) if i % 10 in (3, 4)]
+    read = []
+
+    class Counting:
+        def __init__(self, path):
+            self.file = warc.open_file(path)
+
+        def seek(self, place):
+            self.file.seek(place)
+
+        def read(self, size):
+            read.append(size)
+            return self.file.read(size)
+
+        def close(self):
+            self.file.close()
+
+    places = [(c.path, c.offset, c.length, c.payload_digest) for c in wanted]
+    got = [fields for fields, _ in warc.read_ranges(places, Counting)]
+    assert got == [tuple(c[f] for f in FIELDS) for c in wanted]
+    assert sum(read) == sum(c.length for c in wanted)
+    assert len(read) < len(wanted)  # neighbours are read together
+    moved = [(p, o, n, "0" * 64) for p, o, n, _ in places[:1]]
+    with pytest.raises(ValueError, match="another record"):
+        list(warc.read_ranges(moved))
+
+
 def test_empty_table(spark, pages):
     path = new_folder(spark, "test-warc")
     warc.write_archives(pages.limit(0), path)
