@@ -6,14 +6,19 @@ open window with the least room that still holds it. A segment tree over the rem
 (one leaf per possible room, set if some open window has just that room) finds that window in
 the time of the tree's height, whatever the number of open windows.
 
-Every Spark partition packs the documents it reads, so nothing is shuffled and no task sees
-more than its own input; a partition's windows that stay open are at most a few.
+Every Spark partition packs the documents it reads, and closes the windows that are full but for
+a few tokens. What lies in its other windows is packed once more together with that of other
+partitions: pieces (not texts) are dealt out by window, adaptive execution makes few tasks of
+little data, and every task takes its pieces in falling order of length, holding open windows
+only. So padding does not depend on how finely the input is split.
 """
 
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterable
+from collections import Counter, deque
+from collections.abc import Iterable, Iterator
+from itertools import islice
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -22,14 +27,18 @@ from pyspark.sql import functions as F
 
 from millwright.llm.common import map_batches, texts_of
 from millwright.llm.token_words import LEADING_SPACE, encoder, in_slices, tokenizer_path
+from millwright.sources.staging import stage
 
 SEQUENCE_TOKENS = 1024
 END_ID = 0
 # Pieces that one group of windows is chosen from; about 100 bytes each are held meanwhile.
 GROUP_PIECES = 200_000
 SLICE_CHARS = 16_000_000
+# Windows with at most this share of room left are closed by the partition that packs them.
+CLOSED_ROOM = 1 / 128
 # sequence_id keeps the partition above, the number of the sequence below this bit.
 _PARTITION_BIT = 40
+_SECOND_PASS = 1 << 62
 
 PIECE_SCHEMA = (
     "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, "
@@ -79,21 +88,57 @@ class RoomTree:
         return room, window
 
 
+def best_fit(lengths: Iterable[int], capacity: int) -> Iterator[tuple[int, int]]:
+    """``(window, offset)`` of each piece, placed in the given order."""
+    tree, opened = RoomTree(capacity), 0
+    for length in lengths:
+        found = tree.take(length)
+        room, window = found if found else (capacity, opened)
+        opened += found is None
+        yield window, capacity - room
+        if room > length:
+            tree.add(room - length, window)
+
+
 def best_fit_decreasing(lengths: Iterable[int], capacity: int) -> list[tuple[int, int]]:
     """``(window, offset)`` of each piece; equal lengths are placed in the given order."""
     lengths = list(lengths)
+    order = sorted(range(len(lengths)), key=lambda k: -lengths[k])
     places: list[tuple[int, int]] = [(0, 0)] * len(lengths)
-    tree, opened = RoomTree(capacity), 0
-    for i in sorted(range(len(lengths)), key=lambda k: -lengths[k]):
-        found = tree.take(lengths[i])
-        room, window = found if found else (capacity, opened)
-        opened += found is None
-        places[i] = (window, capacity - room)
-        if room > lengths[i]:
-            tree.add(room - lengths[i], window)
+    for i, place in zip(order, best_fit([lengths[i] for i in order], capacity), strict=True):
+        places[i] = place
     return places
 
 
+def _pack_again(pieces: DataFrame, sequence_tokens: int) -> DataFrame:
+    """Pack the pieces of windows that stayed open, those of many partitions together."""
+    columns = pieces.columns
+
+    def packed(batches):
+        context = TaskContext.get()
+        first = _SECOND_PASS | (context.partitionId() if context else 0) << _PARTITION_BIT
+        taken = deque()
+
+        def lengths():
+            for batch in batches:
+                taken.append(batch)
+                yield from batch.column("length").to_pylist()
+
+        places = best_fit(lengths(), sequence_tokens)
+        while ahead := next(places, None):
+            batch = taken.popleft()
+            own = [ahead, *islice(places, batch.num_rows - 1)]
+            windows = pa.array([first + w for w, _ in own], pa.int64())
+            offsets = pa.array([o for _, o in own], pa.int64())
+            arrays = {n: batch.column(n) for n in columns}
+            arrays |= {"sequence_id": windows, "offset": offsets}
+            yield pa.RecordBatch.from_arrays(list(arrays.values()), columns)
+
+    falling = [F.desc("length"), "doc_id", "start", "ids_crc32"]
+    dealt = pieces.repartition("sequence_id").sortWithinPartitions(*falling)
+    return map_batches(dealt, columns, packed, pieces.schema.simpleString()[7:-1])
+
+
 def pack(
     documents: DataFrame,
     *,
@@ -107,8 +152,10 @@ def pack(
 
     ``tokenizer`` is the path of a byte-level tokenizer file. Null and empty texts are one end
     id. With ``with_ids`` the ids of the piece follow (unsigned 32-bit, little-endian). Rows
-    with equal or null ``doc_id`` are documents of their own; an empty table gives no rows.
+    with equal or null ``doc_id`` are documents of their own; an empty table gives no rows. The
+    pieces of the first pass are staged, so that texts are tokenized once.
     """
+    closed_at = sequence_tokens - int(sequence_tokens * CLOSED_ROOM)
 
     def packed(batches):
         words = encoder(tokenizer or tokenizer_path("byte_bpe_50k.json"), LEADING_SPACE)
@@ -122,11 +169,15 @@ def pack(
             nonlocal sequence
             rows = []
             for piece in whole:
-                rows.append((*piece, sequence, 0))
+                rows.append((*piece, sequence, 0, False))
                 sequence += 1
             places = best_fit_decreasing([p[2] for p in rest], sequence_tokens)
+            used = Counter()
+            for piece, (window, _) in zip(rest, places, strict=True):
+                used[window] += piece[2]
             rows += [
-                (*p, sequence + w, o) for p, (w, o) in zip(rest, places, strict=True)
+                (*p, sequence + w, o, used[w] < closed_at)
+                for p, (w, o) in zip(rest, places, strict=True)
             ]
             sequence += 1 + max((w for w, _ in places), default=-1)
             whole.clear()
@@ -136,9 +187,10 @@ def pack(
 
         def as_batch(rows):
             columns = list(zip(*rows, strict=True))
-            ids = columns.pop(5)
-            arrays = [pa.array(c, pa.int64()) for c in columns]
+            ids, still_open = columns.pop(5), columns.pop()
+            arrays = [pa.array(c, pa.int64()) for c in columns] + [pa.array(still_open)]
             names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
+            names.append("open")
             if with_ids:
                 arrays.append(pa.array(ids, pa.binary()))
                 names.append("ids")
@@ -160,8 +212,10 @@ def pack(
         if whole or rest:
             yield from flushed()
 
-    schema = PIECE_SCHEMA + (", ids binary" if with_ids else "")
-    return map_batches(documents, ["doc_id", "text"], packed, schema)
+    schema = PIECE_SCHEMA + ", open boolean" + (", ids binary" if with_ids else "")
+    pieces = stage(map_batches(documents, ["doc_id", "text"], packed, schema))
+    again = _pack_again(pieces.filter("open").drop("open"), sequence_tokens)
+    return pieces.filter("NOT open").drop("open").unionByName(again)
 
 
 def sequence_lengths(pieces: DataFrame, *, sequence_tokens: int = SEQUENCE_TOKENS) -> DataFrame:

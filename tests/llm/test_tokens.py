@@ -83,6 +83,25 @@ def test_packing(spark):
     assert packing.pack(documents(spark, texts).limit(0)).count() == 0
 
 
+def test_padding_does_not_depend_on_partitions(spark):
+    rng = random.Random(11)
+    texts = ["word " * int(rng.paretovariate(0.8) * 20 % 4000) for _ in range(3000)]
+    table = documents(spark, texts)
+    found = []
+    for parts in (1, 60):
+        pieces = stage(packing.pack(table.repartition(parts)))
+        found.append(rows_of(pieces, "doc_id", "start", "length", "ids_crc32", "doc_tokens"))
+        lengths = packing.sequence_lengths(pieces).collect()
+        assert sum(r.padding for r in lengths) < 0.01 * sum(r.used for r in lengths)
+        ends = pieces.selectExpr("sequence_id", "offset", "offset + length AS end").collect()
+        by_sequence = {}
+        for r in sorted(ends, key=lambda r: (r.sequence_id, r.offset)):
+            assert r.offset == by_sequence.get(r.sequence_id, 0)
+            by_sequence[r.sequence_id] = r.end
+        assert max(by_sequence.values()) <= 1024
+    assert found[0] == found[1]
+
+
 def test_best_fit_decreasing_against_a_plain_search():
     rng = random.Random(2)
     for _ in range(30):
