@@ -97,7 +97,7 @@ def test_pipeline_keeps_different_texts_under_null_and_repeated_ids(spark):
     assert sorted(map(tuple, got), key=repr) == sorted([(i, text[k]) for i, k in want], key=repr)
 
 
-@pytest.mark.parametrize("block_entries", [3, 1024])
+@pytest.mark.parametrize("block_entries", [1, 3, 1024])
 def test_links_connect_what_is_similar(spark, block_entries):
     """Long lists in blocks give the same groups as brute force over all pairs."""
     rng = random.Random(3)
@@ -130,6 +130,22 @@ def test_links_connect_what_is_similar(spark, block_entries):
     assert groups(close) == groups([(r.a, r.b) for r in found])
 
 
+@pytest.mark.parametrize(("strangers", "most"), [(0, 0), (3, 400 + 3 * 40), (25, 3 * 400 + 25 * 40)])
+def test_second_round_meets_only_what_is_not_connected(spark, strangers, most):
+    """A list of 400 entries in 40 blocks; each stranger still meets every entry."""
+    postings = spark.createDataFrame([(1, i) for i in range(400)], "key bigint, start bigint")
+    lists = spark.createDataFrame([(1, 40)], "key bigint, blocks int")
+    rows = [(i, f"own {i}" if i < strangers else "all") for i in range(400)]
+    trees = spark.createDataFrame(rows, "start bigint, tree string")
+    met = minhash._left_open(postings, lists, trees, 10).collect()
+    assert len(met) <= most
+    tasks = {}
+    for row in met:
+        tasks.setdefault(row["at"], set()).add(row.start)
+    for i in range(strangers):
+        assert set().union(*(t for t in tasks.values() if i in t)) == set(range(400))
+
+
 def test_pipeline_of_an_empty_table(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").limit(0)
     for _, step in corpus_pipeline.STAGES:
