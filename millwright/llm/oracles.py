@@ -55,6 +55,16 @@ def merkle_climb(name: str, start: str, levels: int) -> str:
 # Levels of the trees: up to 16**5 documents a source and 16**4 sources.
 SOURCE_LEVELS, TOP_LEVELS = 5, 4
 LOWERED = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+# Words of letters and digits; characters of scripts without spaces are words of their own.
+UNSPACED = (
+    r"\x{0e00}-\x{0eff}\x{1000}-\x{109f}\x{1780}-\x{17ff}\x{3005}-\x{3007}\x{3040}-\x{30ff}"
+    r"\x{31f0}-\x{31ff}\x{3400}-\x{4dbf}\x{4e00}-\x{9fff}\x{f900}-\x{faff}\x{ff66}-\x{ff9f}"
+    r"\x{20000}-\x{3ffff}"
+)
+SPACED = (
+    f"regexp_extract_all(regexp_replace(lower(text), '([{UNSPACED}])', ' \\1 ', 'g'), "
+    r"'[\p{L}\p{N}]+')"
+)
 
 ORACLES: dict[str, str] = {
     "op1_suffix_dedup": """
@@ -126,29 +136,31 @@ ORACLES: dict[str, str] = {
             failed = 0 AS kept, CAST(failed AS BIGINT) AS failed
         FROM ledger
     """,
-    "op9_decontamination": r"""
+    "op9_decontamination": rf"""
         WITH iw AS (
-            SELECT DISTINCT item_id, text,
-                regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS w
-            FROM benchmark WHERE text IS NOT NULL),
+            SELECT *, least(5, len(w)) AS width
+            FROM (SELECT DISTINCT item_id, text, {SPACED} AS w FROM benchmark WHERE text IS NOT NULL)
+            WHERE len(w) > 0),
         items AS (
-            SELECT DISTINCT item_id, unnest(list_transform(generate_series(1, len(w) - 4),
-                lambda k: array_to_string(w[k:k + 4], ' '))) AS s
-            FROM iw WHERE len(w) >= 5),
-        sizes AS (SELECT item_id, count(*) AS n FROM items GROUP BY item_id),
-        dw AS (
-            SELECT row_number() OVER () AS rid, doc_id,
-                regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS w
-            FROM documents),
+            SELECT DISTINCT item_id, text, width, unnest(list_transform(
+                generate_series(1, len(w) - width + 1),
+                lambda k: array_to_string(w[k:k + width - 1], ' '))) AS s
+            FROM iw),
+        sizes AS (SELECT item_id, text, count(*) AS n FROM items GROUP BY item_id, text),
+        dw AS (SELECT row_number() OVER () AS rid, doc_id, {SPACED} AS w FROM documents),
         docs AS (
-            SELECT DISTINCT rid, doc_id, unnest(list_transform(generate_series(1, len(w) - 4),
-                lambda k: array_to_string(w[k:k + 4], ' '))) AS s
-            FROM dw WHERE len(w) >= 5),
+            SELECT DISTINCT rid, doc_id, width, unnest(list_transform(
+                generate_series(1, len(w) - width + 1),
+                lambda k: array_to_string(w[k:k + width - 1], ' '))) AS s
+            FROM dw JOIN (SELECT DISTINCT width FROM iw) ON len(w) >= width),
         shared AS (
-            SELECT item_id, rid, doc_id, count(*) AS c
-            FROM items JOIN docs ON docs.s = items.s GROUP BY item_id, rid, doc_id)
+            SELECT item_id, text, rid, doc_id, count(*) AS c
+            FROM items JOIN docs ON docs.s = items.s AND docs.width = items.width
+            GROUP BY item_id, text, rid, doc_id)
         SELECT shared.item_id, doc_id, n AS n_shingles, c AS n_shared
-        FROM shared JOIN sizes ON sizes.item_id = shared.item_id WHERE 5 * c >= 4 * n
+        FROM shared JOIN sizes ON sizes.item_id IS NOT DISTINCT FROM shared.item_id
+            AND sizes.text = shared.text
+        WHERE 5 * c >= 4 * n
     """,
     "op10_warc": """
         WITH p AS (

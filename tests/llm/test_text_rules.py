@@ -4,11 +4,13 @@ import collections
 import random
 import re
 
+import duckdb
 import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 from millwright.llm import decontam, html_extract, language_id, quality_rules
+from millwright.llm.oracles import ORACLES
 from tests.llm.helpers import WORD, awkward_texts, documents, rows_of
 
 SF = "/root/testdata/sf0.001"
@@ -188,6 +190,10 @@ def test_short_items_and_unspaced_scripts(spark, block_bytes):
     assert {tuple(r) for r in got.collect()} == want
     kept = decontam.without_items(docs, benchmark, block_bytes=block_bytes, every_item=True)
     assert {r.doc_id for r in kept.collect()} == set(range(len(texts))) - {d for _, d, *_ in want}
+    connection = duckdb.connect()
+    connection.register("documents", docs.select("doc_id", "text").toArrow())
+    connection.register("benchmark", benchmark.toArrow())
+    assert set(connection.sql(ORACLES["op9_decontamination"]).fetchall()) == want
 
 
 P = "<p>Some words here that make the story long enough to matter for all of us.</p>"
