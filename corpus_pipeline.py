@@ -26,8 +26,9 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the first document, by id, of each group of near-duplicates.
 
-    Rows with equal or null ids are documents of their own. Near-duplicates are texts whose sets of five-word shingles have a Jaccard similarity of at
-    least 0.8; groups are what such pairs connect.
+    Rows with equal or null ids are documents of their own. Candidates are found by SimHash, and by
+    MinHash bands where fingerprints are too far apart. Near-duplicates are those texts whose sets of
+    five-word shingles have a Jaccard similarity of at least 0.8; groups are what such pairs connect.
     """
     return minhash.first_of_groups(docs, COLUMNS)
 

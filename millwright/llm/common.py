@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -10,6 +12,28 @@ from pyspark.sql import DataFrame, SparkSession
 
 Batches = Iterator[pa.RecordBatch]
 
+# Tables that reused workers keep from task to task.
+_KEPT: list[dict] = []
+
+
+def kept_table() -> dict:
+    """A new table for what a worker keeps from task to task, until :func:`free_kept`."""
+    _KEPT.append({})
+    return _KEPT[-1]
+
+
+def free_kept() -> None:
+    """Give back what earlier tasks, maybe of other operators, have left in this worker."""
+    if not any(_KEPT) and len(ByteHashes._powers) == 1:
+        return
+    for table in _KEPT:
+        table.clear()
+    ByteHashes._powers = ByteHashes._inverses = np.ones(1, np.uint64)
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    # The C library keeps freed memory unless asked (glibc only).
+    getattr(ctypes.CDLL(None), "malloc_trim", int)(0)
+
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

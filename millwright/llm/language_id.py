@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millwright.llm.common import map_batches, sliced, texts_of
+from millwright.llm.common import free_kept, map_batches, sliced, texts_of
 from millwright.sources.staging import stage
 
 ORDERS = (1, 2, 3)
@@ -310,6 +310,7 @@ def supported(documents: DataFrame, model: Model) -> DataFrame:
     shared = documents.sparkSession.sparkContext.broadcast(model)
 
     def kept(batches):
+        free_kept()
         model = shared.value
         for batch in sliced(batches):
             keep = model.supported(texts_of(batch.column("text")))

@@ -1,12 +1,16 @@
-"""Groups of near-duplicates by Jaccard similarity of word shingles.
+"""Groups of near-duplicates: SimHash, then MinHash bands, verified by Jaccard similarity.
 
 Texts are compared as sets of five-word shingles (words as in ``simhash``; a shorter text is one
-shingle). Bands of MinHash values bring candidates together: two texts of similarity ``s`` meet in
-one of ``BANDS`` bands of ``ROWS`` values but for a chance of ``(1 - s ** ROWS) ** BANDS``, which
-is 1 in 14,000 at 0.8 and 1 in 1,000,000 at 0.85. Candidates are verified by the similarity of
-their whole shingle sets, so every link is a pair of at least the threshold.
-
-Texts of equal sets are one entry throughout. Bands that hold the same entries are compared once.
+shingle). Candidates come in two steps. First ``simhash`` connects the fingerprints of five-word
+shingles that differ in at most four bits, by its index of positional bytes. Most pairs of a
+similarity near 0.8 differ in more bits, so bands of MinHash values bring together what those
+links leave apart: two texts of similarity ``s`` meet in one of ``BANDS`` bands of ``ROWS`` values
+but for a chance of ``(1 - s ** ROWS) ** BANDS``, which is 1 in 14,000 at 0.8 and 1 in 1,000,000
+at 0.85. Candidates of both steps are verified by the similarity of their whole shingle sets, so
+every link is a pair of at least the threshold.
+
+Texts of equal sets are one entry throughout. Bands that hold the same entries are compared once,
+and not at all if the links of the first step connect them.
 Pairs never leave the task that finds them: it puts out the links of a spanning forest. A long
 list is dealt to blocks and compared in two rounds. First every block is compared with itself and
 with the first block, which connects a large group of near copies by twice as many rows as it has
@@ -22,7 +26,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millwright.llm.common import ByteHashes, map_batches, sliced, texts_of, utf8
+from millwright.llm import simhash
+from millwright.llm.common import ByteHashes, free_kept, map_batches, sliced, texts_of, utf8
 from millwright.llm.simhash import components
 from millwright.sources.staging import stage
 
@@ -71,6 +76,7 @@ def named(documents: DataFrame, columns: list[str]) -> DataFrame:
     """The columns and ``set_name``, the name of the text's shingle set."""
 
     def made(batches):
+        free_kept()
         for batch in sliced(batches):
             names = [set_name(shingle_set(t)) for t in texts_of(batch.column("text"))]
             yield batch.append_column("set_name", pa.array(names, pa.string()))
@@ -215,31 +221,62 @@ def _left_open(postings: DataFrame, long_lists: DataFrame, trees: DataFrame, blo
     return met.unionByName(own.select("start", "tree", meeting(F.col("i"), _block("blocks")))).distinct()
 
 
-def links(entries: DataFrame, *, threshold: float = THRESHOLD, block_entries: int = BLOCK_ENTRIES) -> DataFrame:
-    """Links ``a, b`` that connect what pairs of at least ``threshold`` connect.
+def _fingerprint_lists(entries: DataFrame) -> DataFrame:
+    """``key, start``: entries whose fingerprints ``simhash`` connects have equal keys."""
+    # Texts without words are one entry, and near no other.
+    worded = entries.filter(F.col("set_name") != set_name(shingle_set("")))
+    texts = worded.select(_start().alias("doc_id"), "text")
+    prints = stage(simhash.fingerprints(texts, shingle_words=SHINGLE_WORDS))
+    roots = components(simhash.links(stage(prints.select("fp").distinct())))
+    return prints.join(roots, F.col("fp") == F.col("node"), "left").select(
+        F.coalesce("root", "fp").alias("key"), F.col("doc_id").alias("start")
+    )
 
-    ``entries`` have a ``set_name``, each once, and a ``text``.
-    """
-    postings = stage(_postings(entries))
+
+def _lists(postings: DataFrame, block_entries: int) -> DataFrame:
+    """``key, blocks`` of the lists of several entries, once where lists have the same entries."""
     lists = postings.groupBy("key").agg(
         F.count("*").alias("n"), F.min("start").alias("first"), F.bit_xor("start").alias("all")
     )
-    # Lists of the same entries are one list.
     lists = lists.filter("n > 1").groupBy("n", "first", "all").agg(F.min("key").alias("key"))
-    blocks = F.ceil(F.col("n") / block_entries).cast("int")
-    lists = stage(lists.select("key", blocks.alias("blocks")))
+    return lists.select("key", F.ceil(F.col("n") / block_entries).cast("int").alias("blocks"))
+
+
+def _first_round(held: DataFrame) -> DataFrame:
+    """What meets first of ``key, start, blocks, tree``, as ``met`` of :func:`_links_of_tasks`."""
     # The first block meets all blocks, any other one itself.
     own = _block("blocks")
-    met = (
-        postings.join(lists, "key")
-        .withColumn("j", F.explode(F.when(own == 0, _each("blocks")).otherwise(F.array(own))))
-        .select(
-            "start",
-            F.struct("key", F.lit(0).alias("i"), "j").alias("at"),
-            F.lit(None).cast("string").alias("tree"),
-        )
+    return held.withColumn("j", F.explode(F.when(own == 0, _each("blocks")).otherwise(F.array(own)))).select(
+        "start", F.struct("key", F.lit(0).alias("i"), "j").alias("at"), "tree"
     )
-    found = _links_of_tasks(entries, met, threshold)
+
+
+def fingerprint_links(
+    entries: DataFrame, *, threshold: float = THRESHOLD, block_entries: int = BLOCK_ENTRIES
+) -> DataFrame:
+    """Verified links ``a, b`` among entries whose fingerprints ``simhash`` connects."""
+    postings = stage(_fingerprint_lists(entries))
+    held = postings.join(_lists(postings, block_entries), "key")
+    # Long lists have no second round here: whatever is similar still meets in a band.
+    met = _first_round(held.withColumn("tree", F.lit(None).cast("string")))
+    return _links_of_tasks(entries, met, threshold)
+
+
+def links(entries: DataFrame, *, threshold: float = THRESHOLD, block_entries: int = BLOCK_ENTRIES) -> DataFrame:
+    """Links ``a, b`` that connect what pairs of at least ``threshold`` connect.
+
+    ``entries`` have a ``set_name``, each once, and a ``text``.
+    """
+    near = stage(fingerprint_links(entries, threshold=threshold, block_entries=block_entries))
+    postings = stage(_postings(entries))
+    held = postings.join(_lists(postings, block_entries), "key")
+    held = stage(held.join(_trees(entries, near), "start"))
+    # Nothing is left to find in a list whose entries are connected already.
+    apart = F.min("tree") != F.max("tree")
+    lists = held.groupBy("key", "blocks").agg(apart.alias("apart")).filter("apart")
+    lists = stage(lists.select("key", "blocks"))
+    met = _first_round(held.join(lists.select("key"), "key"))
+    found = near.unionByName(_links_of_tasks(entries, met, threshold)).distinct()
     long_lists = lists.filter("blocks > 1")
     if long_lists.isEmpty():
         return found

@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from millwright.llm.common import map_batches, texts_of
+from millwright.llm.common import kept_table, map_batches, texts_of
 from millwright.llm.token_words import in_slices, tokenizer_path
 
 TOKEN_LIMIT = 4096
@@ -38,7 +38,7 @@ SLICE_CHARS = 8_000_000
 SPACE_MARK = "▁"
 _STOPS = ",."
 
-_COUNTERS: dict[str, PrefixCounter] = {}
+_COUNTERS: dict[str, PrefixCounter] = kept_table()
 
 
 class PrefixCounter:

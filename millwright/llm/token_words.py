@@ -22,9 +22,11 @@ from collections.abc import Callable
 
 import numpy as np
 
+from millwright.llm.common import kept_table
+
 # Parts in each of two generations; a part takes some 200 bytes.
 MAX_KEPT = 350_000
-_ENCODERS: dict[tuple[str, str], WordEncoder] = {}
+_ENCODERS: dict[tuple[str, str], WordEncoder] = kept_table()
 
 # The two kinds of tokenizer files that this module can cut texts for.
 # Latin letters, each one character whatever its case, and the punctuation that may follow a word

@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from millwright.llm import minhash
+from millwright.llm import minhash, simhash
 from millwright.llm.oracles import ORACLES
 from millwright.llm.queries import QUERIES
 from millwright.sources.staging import stage, staged_scope, staging_root
@@ -130,6 +130,26 @@ def test_links_connect_what_is_similar(spark, block_entries):
     assert groups(close) == groups([(r.a, r.b) for r in found])
 
 
+def test_simhash_links_near_copies_before_any_band(spark, monkeypatch):
+    """Without bands, copies whose fingerprints are near still go, and no pair below the threshold."""
+    monkeypatch.setattr(minhash, "_postings", lambda entries: spark.createDataFrame([], "key bigint, start bigint"))
+    rng = random.Random(5)
+    rows, near = [(100, ""), (101, None), (102, "w1")], set()
+    for k in range(20):
+        words = [f"w{rng.randrange(5000)}" for _ in range(600)]
+        copy = [*words[:300], "new", *words[301:]]
+        rows += [(2 * k, " ".join(words)), (2 * k + 1, " ".join(copy))]
+        prints = [simhash.fingerprint(t, minhash.SHINGLE_WORDS) for _, t in rows[-2:]]
+        if (prints[0] ^ prints[1]).bit_count() <= simhash.MAX_BITS:
+            near.add(2 * k + 1)
+    assert len(near) > 10
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").selectExpr(
+        "doc_id", "text", "'en' AS lang", "'s' AS source", "bigint(length(text)) AS n_chars"
+    )
+    got = {r.doc_id for r in corpus_pipeline.near_duplicates(spark, docs, SF).collect()}
+    assert got == {i for i, _ in rows} - near - {101}
+
+
 @pytest.mark.parametrize(("strangers", "most"), [(0, 0), (3, 400 + 3 * 40), (25, 3 * 400 + 25 * 40)])
 def test_second_round_meets_only_what_is_not_connected(spark, strangers, most):
     """A list of 400 entries in 40 blocks; each stranger still meets every entry."""

@@ -9,7 +9,8 @@ import pytest
 import sentencepiece
 from tokenizers import Tokenizer
 
-from millwright.llm import packing, token_binary, token_counts
+from millwright.llm import packing, token_binary, token_counts, token_words
+from millwright.llm.common import free_kept
 from millwright.llm.rawfiles import new_folder
 from millwright.llm.token_words import DROPPED_SPACE, LEADING_SPACE, WordEncoder, tokenizer_path
 from millwright.sources.staging import stage
@@ -219,3 +220,12 @@ def test_automaton_that_forgets_counts_the_same(monkeypatch):
     monkeypatch.setattr(token_counts, "MAX_KEPT", 3)
     counter = token_counts.PrefixCounter(path)
     assert counter.ledgers(texts)[:40] == want
+
+
+def test_workers_give_back_encoders_when_another_operator_begins():
+    """A reused worker held the tables of packing while later stages ran in it."""
+    path = tokenizer_path("byte_bpe_50k.json")
+    ids = token_words.encoder(path, LEADING_SPACE).encode(["some words, some more"])
+    free_kept()
+    assert not token_words._ENCODERS
+    assert token_words.encoder(path, LEADING_SPACE).encode(["some words, some more"]) == ids
