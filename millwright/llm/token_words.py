@@ -246,6 +246,12 @@ class WordEncoder:
 
     def _learn_latin(self, known: dict[str, bytes], parts: list[str]) -> list[str]:
         """Learn the words of Latin letters, all at once; returns the other parts."""
+        # Most parts have no punctuation.
+        bare = [p for p in parts if p.isalpha() and (p.isascii() or _LATIN_LETTERS.fullmatch(p))]
+        if bare:
+            # Letter by letter: none of these has a lower case of two characters.
+            known.update(zip(bare, self.merges.encode_words("\0".join(bare).lower().split("\0")), strict=True))
+            parts = [p for p in parts if p not in known]
         found, cores, others = [], [], []
         for part in parts:
             core = part.rstrip(_PUNCTUATION)
@@ -256,7 +262,6 @@ class WordEncoder:
                 others.append(part)
         if not found:
             return parts
-        # Letter by letter: none of these has a lower case of two characters.
         learned = self.merges.encode_words("\0".join(cores).lower().split("\0"))
         tails: dict[str, bytes] = {}
         for part, core, ids in zip(found, cores, learned, strict=True):
@@ -289,9 +294,10 @@ class WordEncoder:
                 continue
             parts = self.split(text)
             values = self._look_up(parts)
-            if None in values:
-                later.append((i, parts, values))
-                new = [p for p, v in zip(parts, values, strict=True) if v is None]
+            missing = [k for k, v in enumerate(values) if v is None]
+            if missing:
+                later.append((i, parts, values, missing))
+                new = [parts[k] for k in missing]
                 if values[0] is None and self.spaced:
                     first[parts[0]] = None
                     if parts[0] not in parts[1:]:
@@ -302,18 +308,17 @@ class WordEncoder:
         if later:
             self._learn(self.first, list(first), "")
             self._learn(self.rest, list(rest), " ")
-        newest = self.rest.now.get
-        for i, parts, values in later:
-            head = self.first.get(parts[0]) if values[0] is None else values[0]
-            values = [newest(p) if v is None else v for p, v in zip(parts, values, strict=True)]
-            if self.spaced:
-                values[0] = head
-            if None in values:  # some went to the older generation meanwhile
-                get = self.rest.get
-                values = [get(p) if v is None else v for p, v in zip(parts, values, strict=True)]
-                if self.spaced:
-                    values[0] = head
-            if None in values:  # given up to make room
+        # Only what was missing is looked up again; it may be in the older generation meanwhile.
+        newest, older = self.rest.now.get, self.rest.before.get
+        for i, parts, values, missing in later:
+            lost = False
+            for k in missing:
+                value = newest(parts[k]) if k or not self.spaced else self.first.get(parts[k])
+                if value is None and (k or not self.spaced):
+                    value = older(parts[k])
+                values[k] = value
+                lost = lost or value is None
+            if lost:  # given up to make room
                 out[i] = self._ids(texts[i]).tobytes()
             else:
                 out[i] = self._joined(texts[i], values)

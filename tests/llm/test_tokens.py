@@ -229,3 +229,21 @@ def test_workers_give_back_encoders_when_another_operator_begins():
     free_kept()
     assert not token_words._ENCODERS
     assert token_words.encoder(path, LEADING_SPACE).encode(["some words, some more"]) == ids
+
+
+def test_words_are_looked_up_once_unless_missing():
+    """Of a text with one new word, only that word was to be looked up a second time."""
+
+    class Counting(dict):
+        asked = 0
+
+        def get(self, key, default=None):
+            Counting.asked += 1
+            return super().get(key, default)
+
+    words = token_words.WordEncoder(tokenizer_path("word_bpe_49k.json"), DROPPED_SPACE)
+    known = " ".join(f"word{chr(97 + i % 26)}" for i in range(1000))
+    words.encode([known])
+    words.first.now = Counting(words.first.now)
+    assert words.encode([known + " unseen"]) == [words._ids(known + " unseen").tobytes()]
+    assert Counting.asked <= 1001 + 2
